@@ -1,7 +1,6 @@
 """Score post-processing expressions: thresholds, relabel rule, summary
 scores, output row helpers.  All are JVM-side column expressions."""
 
-from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F

@@ -113,3 +113,350 @@ def collection_counts(classified: DataFrame) -> DataFrame:
 @register("e19_collection_counts", _E19_SQL)
 def e19(spark, d):
     return collection_counts(SC.classify(view(spark, d, "v_requests"), _scorer(spark)))
+
+
+# ------------------------------------------------------------ B (more) ----
+from labelweave.operators import requests as RQ  # noqa: E402
+
+_REQ_IDS = """case when length(identifier) = 19 and not regexp_matches(identifier,
+ '^scix:[A-Za-z0-9]{4}-[A-Za-z0-9]{4}-[A-Za-z0-9]{4}$') then identifier end as bibcode,
+ case when length(identifier) = 19 and regexp_matches(identifier,
+ '^scix:[A-Za-z0-9]{4}-[A-Za-z0-9]{4}-[A-Za-z0-9]{4}$') then identifier end as scix_id"""
+
+
+@register("b02_split_identifier", duck_cte("v_requests") + f"select input_index, {_REQ_IDS} from v_requests")
+def b02(spark, d):
+    return _requests_split(spark, d).select("input_index", "bibcode", "scix_id")
+
+
+@register("b03_record_key", duck_cte("v_scored") + """
+select input_index, case when coalesce(scix_id,'') <> '' then 'scix_id' else 'bibcode' end as key_kind,
+ case when coalesce(scix_id,'') <> '' then scix_id else bibcode end as key_value from v_scored""")
+def b03(spark, d):
+    v = view(spark, d, "v_scored")
+    return v.select("input_index", I.record_key_kind().alias("key_kind"), I.record_key_value().alias("key_value"))
+
+
+@register("b04_normalize_request", duck_cte("v_requests") + f"""
+select input_index, bibcode, scix_id, coalesce(title,'None') as title, coalesce(abstract,'None') as abstract,
+ coalesce(title,'None') || ' ' || coalesce(abstract,'None') as text, 'classify_verify' as operation_step,
+ 'tsv' as output_format from (select *, {_REQ_IDS} from v_requests) r""")
+def b04(spark, d):
+    r = RQ.normalize_requests(_requests_split(spark, d))
+    return r.select("input_index", "bibcode", "scix_id", "title", "abstract", "text", "operation_step",
+                    "output_format")
+
+
+_B05_SRC = """(select input_index, batch_id,
+ case when input_index % 7 = 0 then 'pre_ingest' when input_index % 5 = 0 then 'classify' end as operation_step,
+ case when input_index % 3 = 0 then input_index * 10 end as run_id from v_requests)"""
+
+
+@register("b05_batch_defaults", duck_cte("v_requests") + f"""
+select input_index, batch_id,
+ coalesce(first_value(operation_step) over w, 'classify_verify') as operation_step,
+ coalesce(first_value(run_id) over w, 1000000 + batch_id) as run_id
+from {_B05_SRC} s window w as (partition by batch_id order by input_index)""")
+def b05(spark, d):
+    v = view(spark, d, "v_requests").select(
+        "input_index", "batch_id",
+        F.when(F.col("input_index") % 7 == 0, "pre_ingest").when(F.col("input_index") % 5 == 0, "classify")
+        .alias("operation_step"),
+        F.when(F.col("input_index") % 3 == 0, F.col("input_index") * 10).alias("run_id"))
+    return RQ.apply_batch_defaults(v, new_run=F.lit(1000000) + F.col("batch_id")).select(
+        "input_index", "batch_id", "operation_step", "run_id")
+
+
+_B06_SRC = """(select input_index, batch_id * 7 as run_id,
+ case when input_index % 4 = 0 then 'pre_ingest' else 'classify' end as operation_step,
+ case input_index % 5 when 0 then null when 1 then '/data/in/part_' || cast(input_index as varchar)
+  when 2 then 'rel/dir/name' || cast(input_index % 13 as varchar) when 3 then '' else '/abs/' end as output_path
+ from v_requests)"""
+
+
+@register("b06_output_path", duck_cte("v_requests") + f"""
+select input_index, case when operation_step = 'pre_ingest' and coalesce(output_path,'') <> ''
+  and starts_with(output_path, '/') then output_path
+ else '/home/app/logs/' || coalesce(nullif(string_split(coalesce(output_path,''), '/')[-1], ''), 'pre-ingest')
+  || '_' || cast(run_id as varchar) || '_classified.tsv' end as output_path
+from {_B06_SRC} s""")
+def b06(spark, d):
+    v = view(spark, d, "v_requests")
+    i = F.col("input_index")
+    src = v.select(
+        "input_index", (F.col("batch_id") * 7).alias("run_id"),
+        F.when(i % 4 == 0, "pre_ingest").otherwise("classify").alias("operation_step"),
+        F.when(i % 5 == 0, F.lit(None)).when(i % 5 == 1, F.concat(F.lit("/data/in/part_"), i.cast("string")))
+        .when(i % 5 == 2, F.concat(F.lit("rel/dir/name"), (i % 13).cast("string")))
+        .when(i % 5 == 3, F.lit("")).otherwise(F.lit("/abs/")).alias("output_path"))
+    return src.select("input_index", RQ.output_path("/home/app").alias("output_path"))
+
+
+@register("b07_filter_fields", duck_cte("v_scored") + """
+select bibcode, scix_id, input_index as run_id, 'ok' as status, len(scores) as n_scores from v_scored""")
+def b07(spark, d):
+    v = view(spark, d, "v_scored").withColumn("run_id", F.col("input_index")).withColumn("status", F.lit("ok"))
+    out = RQ.select_allowed(v)
+    return out.withColumn("n_scores", F.size("scores")).drop("scores")
+
+
+_OVR_SQL = duck_cte("v_overrides") + """, ov as (select *, string_split(override_csv, ',') as override from v_overrides)
+"""
+
+
+@register("b08_split_override", _OVR_SQL + """
+select doc_id, v, array_to_string(override, '|') as override, len(override) as n_parts from ov""")
+def b08(spark, d):
+    o = view(spark, d, "v_overrides").withColumn("override", RQ.split_override("override_csv"))
+    return o.select("doc_id", "v", F.array_join("override", "|").alias("override"), F.size("override").alias("n_parts"))
+
+
+_ALLOWED_LOWER = "[" + ", ".join("'" + x.lower() + "'" for x in C.LABELS) + "]"
+
+
+@register("b09_is_allowed_category", _OVR_SQL + f"""
+select doc_id, v, len(list_filter(override, lambda x: not list_contains({_ALLOWED_LOWER}, lower(x)))) = 0
+ as is_allowed from ov""")
+def b09(spark, d):
+    o = view(spark, d, "v_overrides").withColumn("override", RQ.split_override("override_csv"))
+    return o.select("doc_id", "v", RQ.is_allowed("override").alias("is_allowed"))
+
+
+@register("b10_is_single_empty", _OVR_SQL + """
+select doc_id, v, coalesce(len(override) = 1 and override[1] = '', false) as is_single_empty from ov""")
+def b10(spark, d):
+    o = view(spark, d, "v_overrides").withColumn("override", RQ.split_override("override_csv"))
+    return o.select("doc_id", "v", RQ.is_single_empty("override").alias("is_single_empty"))
+
+
+_WS = I.WHITESPACE_RUN
+
+
+def _norm_sql(x: str) -> str:
+    return f"coalesce(trim(regexp_replace({x}, '{_WS}', ' ', 'g')), '')"
+
+
+@register("b11_fingerprint", duck_cte("v_requests") + f"""
+select input_index, sha256(case
+ when coalesce(scix_id,'') <> '' then concat_ws('|', {_norm_sql("run_txt")}, 'scix_id', {_norm_sql("scix_id")})
+ when coalesce(bibcode,'') <> '' then concat_ws('|', {_norm_sql("run_txt")}, 'bibcode', {_norm_sql("bibcode")})
+ else concat_ws('|', {_norm_sql("run_txt")}, 'text', {_norm_sql("title")}, {_norm_sql("abstract")}) end)
+ as fingerprint
+from (select *, {_REQ_IDS}, case when batch_id = 0 then '' else cast(batch_id as varchar) end as run_txt
+      from v_requests) r""")
+def b11(spark, d):
+    r = _requests_split(spark, d).withColumn("run_id", F.col("batch_id"))
+    return r.select("input_index", I.fingerprint(r).alias("fingerprint"))
+
+
+@register("b12_safe_score", duck_cte("v_scored") + "select input_index, " + ", ".join(
+    f"coalesce(round(scores[{i + 1}], 2), 0.0) as x{i}" for i in range(10)) + " from v_scored")
+def b12(spark, d):
+    v = view(spark, d, "v_scored")
+    return v.select("input_index", *[S.safe_score("scores", i).alias(f"x{i}") for i in range(10)])
+
+
+@register("b14_python_round", duck_cte("v_scored") + "select input_index, " + ", ".join(
+    f"round(s{i} * 3, 2) as r{i}, round(s{i} * 3, 2) as e{i}" for i in range(8)) + " from v_scored")
+def b14(spark, d):
+    v = view(spark, d, "v_scored")
+    cols = []
+    for i in range(8):
+        cols += [S.py_round(F.col(f"s{i}") * 3, 2).alias(f"r{i}"),
+                 S.py_round(F.col(f"s{i}") * 3, 2, exact=True).alias(f"e{i}")]
+    return v.select("input_index", *cols)
+
+
+_RELABEL = dict(relabel_active=True, relabel_from="general", relabel_to="earthscience", relabel_threshold=0.55)
+
+
+@register("b15_relabel_rule", duck_cte("v_scored") + f"""
+, m as (select input_index, scores, list_transform(range(0, 8), lambda i: scores[i+1] > {O.THRESH_SQL}[i+1]) as meet
+ from v_scored),
+m2 as (select input_index, scores, case when coalesce(meet[7], false) and scores[4] > 0.55
+  then list_transform(range(0, 8), lambda i: case when i = 3 then true when i = 6 then false else meet[i+1] end)
+  else meet end as meet from m)
+select input_index, array_to_string(list_transform(list_filter(range(0, 8), lambda i: meet[i+1]),
+  lambda i: {O.LABELS_SQL}[i+1]), ', ') as collections from m2""")
+def b15(spark, d):
+    v = view(spark, d, "v_scored")
+    return v.select("input_index", S.join_list(S.collections("scores", **_RELABEL)).alias("collections"))
+
+
+def output_row(df: DataFrame) -> DataFrame:
+    """The 20 TSV columns (lists joined by ', ', NULL/0 ids -> '')."""
+    def blank(c):
+        col = F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
+        return F.when(col.isNull() | (col == "0"), F.lit("")).otherwise(col)
+    summ = {c._jc.toString().split(" AS ")[-1].strip("`"): c for c in S.summary_columns("scores")}
+    return df.select(
+        blank("bibcode").alias("bibcode"), blank("scix_id").alias("scix_id"), blank("run_id").alias("run_id"),
+        blank("title").alias("title"), blank("abstract").alias("abstract"),
+        S.join_list("collections").alias("collections"), S.join_list("collection_scores").alias("collection_scores"),
+        *[summ[n] for n in C.OUTPUT_HEADER[7:18]],
+        (blank("gross_collection_override") if "gross_collection_override" in df.columns else F.lit("")).alias(
+            "gross_collection_override"),
+        F.lit("").alias("override"))
+
+
+@register("b17_output_row", duck_cte("v_scored", "v_requests") + f"""
+select coalesce(s.bibcode, '') as bibcode, coalesce(s.scix_id, '') as scix_id,
+ case when r.batch_id = 0 then '' else cast(r.batch_id as varchar) end as run_id,
+ coalesce(r.title, '') as title, coalesce(r.abstract, '') as abstract,
+ array_to_string({O.collections_sql('s.scores')}, ', ') as collections,
+ array_to_string(list_transform({O.collection_scores_sql('s.scores')}, lambda x: cast(x as varchar)), ', ')
+   as collection_scores,
+ {O.summary_sql('s.scores')}, '' as gross_collection_override, '' as override
+from v_scored s join v_requests r on r.input_index = s.input_index""")
+def b17(spark, d):
+    s = view(spark, d, "v_scored").withColumn("collections", S.collections("scores")).withColumn(
+        "collection_scores", S.collection_scores("scores"))
+    r = view(spark, d, "v_requests").select("input_index", F.col("batch_id").alias("run_id"), "title", "abstract")
+    return output_row(s.join(r, "input_index"))
+
+
+def score_payload(scores="scores", collections_col="collections", labels=C.LABELS,
+                  adjustment: bool = C.RELABEL_ACTIVE):
+    """Canonical JSON (sorted keys) of label->score, the adjustment
+    flag and the collections."""
+    order = sorted(range(len(labels)), key=lambda i: labels[i])
+    m = F.map_from_arrays(F.array(*[F.lit(labels[i]) for i in order]),
+                          F.array(*[F.get(F.col(scores), i) for i in order]))
+    return F.to_json(F.struct(F.col(collections_col).alias("collections"),
+                              F.lit(adjustment).alias("earth_science_adjustment"), m.alias("scores")))
+
+
+@register("b18_score_payload")
+def b18(spark, d):
+    s = view(spark, d, "v_scored").withColumn("collections", S.collections("scores"))
+    return s.select("input_index", score_payload().alias("payload"))
+
+
+def model_metadata(model_name: str = "hashed-linear", revision: str = "v1", cfg: C.ClassifierConfig = C.DEFAULT):
+    """Canonical JSON of the model settings and of the post-processing settings."""
+    model = F.to_json(F.struct(F.lit(list(cfg.labels)).alias("labels"), F.lit(model_name).alias("model"),
+                               F.lit(revision).alias("revision")))
+    post = F.to_json(F.struct(F.lit(cfg.relabel_active).alias("earth_science_adjustment"),
+                              F.lit(cfg.relabel_threshold).alias("earth_science_threshold"),
+                              F.lit([float(x) for x in cfg.thresholds]).alias("thresholds")))
+    return model, post
+
+
+@register("b19_model_metadata", duck_cte("v_scores") + f"""
+select distinct run_id, to_json({{'labels': {O.LABELS_SQL}, 'model': 'hashed-linear', 'revision': 'v1'}}) as model,
+ to_json({{'earth_science_adjustment': false, 'earth_science_threshold': 0.015, 'thresholds': {O.THRESH_SQL}}})
+ as postprocessing from v_scores""")
+def b19(spark, d):
+    m, p = model_metadata()
+    return view(spark, d, "v_scores").select("run_id").distinct().select("run_id", m.alias("model"),
+                                                                          p.alias("postprocessing"))
+
+
+@register("b20_constant_scorer", duck_cte("v_requests") + f"""
+select input_index, array_to_string({O.collections_sql('[0.5,0.5,0.5,0.5,0.5,0.5,0.5,0.5]')}, ', ') as collections
+from v_requests""")
+def b20(spark, d):
+    v = view(spark, d, "v_requests").withColumn("scores", SC.constant_scores())
+    return v.select("input_index", S.join_list(S.collections("scores")).alias("collections"))
+
+
+_B21_SQL = duck_cte("v_requests") + """, req as (select input_index, coalesce(title,'None') || ' ' ||
+ coalesce(abstract,'None') as text from v_requests where input_index % 2 <> 0),""" + O.scores_ctes("req") + f""",
+allr as (select input_index, scores, false as fake from o_scores
+ union all select input_index, [0.5,0.5,0.5,0.5,0.5,0.5,0.5,0.5], true from v_requests where input_index % 2 = 0)
+select input_index, fake, array_to_string({O.collections_sql('scores')}, ', ') as collections from allr"""
+
+
+@register("b21_route_scorer", _B21_SQL)
+def b21(spark, d):
+    v = view(spark, d, "v_requests").withColumn("fake_data", F.col("input_index") % 2 == 0)
+    out = SC.route_scoring(v, _scorer(spark))
+    return out.select("input_index", "fake", S.join_list("collections").alias("collections"))
+
+
+@register("b22_score_by_label", duck_cte("v_scored") + f"""
+select input_index, array_to_string(list_transform({O.collections_sql('scores')},
+ lambda c: cast(round(scores[list_position({O.LABELS_SQL}, c)], 6) as varchar)), ', ') as label_scores
+from v_scored""")
+def b22(spark, d):
+    s = view(spark, d, "v_scored").withColumn("collections", S.collections("scores"))
+    return s.select("input_index", S.join_list(F.transform(S.scores_by_label("collections", "scores"),
+                                                          lambda x: F.round(x, 6))).alias("label_scores"))
+
+
+@register("b23_min_collection_score", duck_cte("v_scored") + f"""
+select input_index, list_min(list_transform({O.collections_sql('scores')},
+ lambda c: scores[list_position({O.LABELS_SQL}, c)])) as min_score from v_scored""")
+def b23(spark, d):
+    s = view(spark, d, "v_scored").withColumn("collections", S.collections("scores"))
+    return s.select("input_index", S.min_collection_score("collections", "scores").alias("min_score"))
+
+
+@register("b24_has_identifier", duck_cte("v_requests") + f"""
+select input_index, coalesce(bibcode,'') <> '' or coalesce(scix_id,'') <> '' as has_identifier
+from (select *, {_REQ_IDS} from v_requests) r""")
+def b24(spark, d):
+    return _requests_split(spark, d).select("input_index", I.has_identifier().alias("has_identifier"))
+
+
+@register("b25_rate_per_minute", duck_cte("v_perf_events") + """
+, r as (select run_id, count(*) filter (where stage = 'index') as indexed, max(ts) - min(ts) as wall
+ from v_perf_events group by run_id),
+b as (select indexed / wall * 60 as base_rate from r where run_id = '0')
+select run_id, case when wall > 0 then indexed / wall * 60 end as records_per_minute,
+ case when b.base_rate <> 0 then ((indexed / wall * 60) - b.base_rate) / b.base_rate * 100 end as pct_vs_run0
+from r cross join b""")
+def b25(spark, d):
+    e = view(spark, d, "v_perf_events")
+    r = e.groupBy("run_id").agg(F.count_if(F.col("stage") == "index").alias("indexed"),
+                                (F.max("ts") - F.min("ts")).alias("wall"))
+    r = r.withColumn("records_per_minute", S.per_minute("indexed", "wall"))
+    base = r.filter(F.col("run_id") == "0").select(F.col("records_per_minute").alias("base_rate"))
+    # one row per run (bounded by the run count) joined to a one-row baseline
+    return r.join(F.broadcast(base), how="cross").select(
+        "run_id", "records_per_minute", S.pct_delta("records_per_minute", "base_rate").alias("pct_vs_run0"))
+
+
+# --------------------------------------------------------------------- F ----
+@register("f04_batch_ids", duck_cte("v_requests") + """
+select input_index, (row_number() over (order by input_index desc) - 1) // 16 as batch_id from v_requests""")
+def f04(spark, d):
+    v = view(spark, d, "v_requests").select("input_index", (-F.col("input_index")).alias("neg"))
+    return RQ.assign_batches(RQ.dense_index(v, ["neg"]), 16, "row_index").select("input_index", "batch_id")
+
+
+@register("f05_restore_order", _C13_SQL.replace("select input_index, round(scores[1], 6) as s0",
+                                                "select input_index, round(scores[1], 6) as s0", 1))
+def f05(spark, d):
+    v = view(spark, d, "v_requests").repartition(5)
+    out = RQ.restore_order(SC.classify(v, _scorer(spark)))
+    return out.select("input_index", *[r6(F.get(F.col("scores"), i)).alias(f"s{i}") for i in range(8)],
+                      S.join_list("collections").alias("collections"))
+
+
+@register("f06_sort_by_min_score", duck_cte("v_scored") + f"""
+select input_index, list_min(list_transform({O.collections_sql('scores')},
+ lambda c: scores[list_position({O.LABELS_SQL}, c)])) as min_score,
+ row_number() over (order by list_min(list_transform({O.collections_sql('scores')},
+ lambda c: scores[list_position({O.LABELS_SQL}, c)])) asc nulls last, input_index) as rank
+from v_scored""")
+def f06(spark, d):
+    s = view(spark, d, "v_scored").withColumn("collections", S.collections("scores"))
+    s = s.select("input_index", S.min_collection_score("collections", "scores").alias("min_score"))
+    ordered = s.orderBy(F.col("min_score").asc_nulls_last(), "input_index")
+    return RQ.dense_index(ordered.select("input_index", "min_score"),
+                          [F.col("min_score").asc_nulls_last(), "input_index"], "rank0").select(
+        "input_index", "min_score", (F.col("rank0") + 1).alias("rank"))
+
+
+@register("f08_union_results", duck_cte("v_requests") + f"""
+select input_index, bibcode, scix_id, 'indexed' as branch from (select *, {_REQ_IDS} from v_requests) r
+ where coalesce(bibcode,'') <> '' or coalesce(scix_id,'') <> ''
+union all
+select input_index, null, null, 'anonymous' from (select *, {_REQ_IDS} from v_requests) r
+ where not (coalesce(bibcode,'') <> '' or coalesce(scix_id,'') <> '')""")
+def f08(spark, d):
+    r = _requests_split(spark, d)
+    a = r.filter(I.has_identifier()).select("input_index", "bibcode", "scix_id", F.lit("indexed").alias("branch"))
+    b = r.filter(~I.has_identifier()).select("input_index", F.lit("anonymous").alias("branch"))
+    return RQ.union_results(a, b).select("input_index", "bibcode", "scix_id", "branch")
