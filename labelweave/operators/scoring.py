@@ -19,6 +19,7 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from labelweave import config as C
 from labelweave.functions import scores as S
@@ -92,7 +93,7 @@ class PandasScorer:
         import pandas as pd
 
         factory = self.model_factory
-        schema = chunks.select(*keys, "chunk").schema.add("probs", "array<double>")
+        schema = chunks.select(*keys, "chunk").schema.add("probs", ArrayType(DoubleType()))
         cols = list(keys) + ["chunk"]
 
         def run(it):
@@ -140,7 +141,7 @@ def custom_pool(chunk_probs: DataFrame, keys: list[str], fn: Callable, n_labels:
     import numpy as np
     import pandas as pd
 
-    schema = chunk_probs.select(*keys).schema.add("scores", "array<double>")
+    schema = chunk_probs.select(*keys).schema.add("scores", ArrayType(DoubleType()))
 
     def per_record(pdf: pd.DataFrame) -> pd.DataFrame:
         block = np.array(pdf.sort_values("chunk")["probs"].tolist(), dtype=float).reshape(-1, n_labels)

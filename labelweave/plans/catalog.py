@@ -460,3 +460,231 @@ def f08(spark, d):
     a = r.filter(I.has_identifier()).select("input_index", "bibcode", "scix_id", F.lit("indexed").alias("branch"))
     b = r.filter(~I.has_identifier()).select("input_index", F.lit("anonymous").alias("branch"))
     return RQ.union_results(a, b).select("input_index", "bibcode", "scix_id", "branch")
+
+
+# ------------------------------------------------------------ C (more) ----
+from labelweave.functions import text as T  # noqa: E402
+from labelweave.operators import windows as W  # noqa: E402
+from labelweave.session import read_table  # noqa: E402
+
+
+def _doc_ids(spark, d):
+    docs = read_table(spark, d, "documents")
+    return docs.select("doc_id", (F.col("doc_id") / 100).cast("bigint").alias("batch_id"),
+                       T.token_ids("text").alias("ids"))
+
+
+def _prepared(spark, d):
+    p = W.prepare_records(_doc_ids(spark, d), "ids", C.SCORING_WINDOW, C.SCORING_STRIDE)
+    return W.assign_micro_batch(W.length_group(p, "batch_id", "doc_id"), C.MODEL_INFERENCE_BATCH_SIZE)
+
+
+@register("c01_tokenize", "with o_ids as (select doc_id, " + O.token_ids_sql("text") + """ as ids from documents)
+select doc_id, len(ids) as n_tokens, array_to_string(ids, ' ') as token_ids from o_ids""")
+def c01(spark, d):
+    t = _doc_ids(spark, d)
+    return t.select("doc_id", F.size("ids").alias("n_tokens"), F.array_join("ids", " ").alias("token_ids"))
+
+
+@register("c02_window_split", "with " + O.prepared_ctes(C.SPLITTER_WINDOW, C.SPLITTER_STRIDE)
+          + """
+select doc_id, chunk - 1 as chunk, len(w) as n_ids, w[1] as first_id, w[-1] as last_id
+from (select doc_id, unnest(wins) as w, generate_subscripts(wins, 1) as chunk from o_rows) x""")
+def c02(spark, d):
+    t = _doc_ids(spark, d)
+    x = t.select("doc_id", F.posexplode(W.window_split("ids", C.SPLITTER_WINDOW, C.SPLITTER_STRIDE)).alias(
+        "chunk", "w"))
+    return x.select("doc_id", "chunk", F.size("w").alias("n_ids"), F.get(F.col("w"), 0).alias("first_id"),
+                    F.element_at("w", -1).alias("last_id"))
+
+
+@register("c03_special_tokens", "with " + O.prepared_ctes() + """
+select doc_id, chunk - 1 as chunk, len(r) as width, r[1] as first_tok, r[2] as second_tok, r[-1] as last_tok,
+ len(list_filter(r, lambda x: x = 0)) as n_pad
+from (select doc_id, unnest(rows) as r, generate_subscripts(rows, 1) as chunk from o_prep) x""")
+def c03(spark, d):
+    p = W.prepare_records(_doc_ids(spark, d), "ids", C.SCORING_WINDOW, C.SCORING_STRIDE)
+    x = p.select("doc_id", F.posexplode("rows").alias("chunk", "r"))
+    return x.select("doc_id", "chunk", F.size("r").alias("width"), F.get(F.col("r"), 0).alias("first_tok"),
+                    F.get(F.col("r"), 1).alias("second_tok"), F.element_at("r", -1).alias("last_tok"),
+                    F.size(F.filter("r", lambda v: v == 0)).alias("n_pad"))
+
+
+@register("c04_prepare_record_stats", "with " + O.prepared_ctes() + """
+select doc_id, chunk_count, max_row_width, total_row_tokens from o_stats""")
+def c04(spark, d):
+    p = W.prepare_records(_doc_ids(spark, d), "ids", C.SCORING_WINDOW, C.SCORING_STRIDE)
+    return p.select("doc_id", "chunk_count", "max_row_width", "total_row_tokens")
+
+
+@register("c05_length_group", "with " + O.prepared_ctes() + "select doc_id, batch_id, group_rank from o_rank")
+def c05(spark, d):
+    return _prepared(spark, d).select("doc_id", "batch_id", "group_rank")
+
+
+@register("c06_micro_batch", "with " + O.prepared_ctes() + "select doc_id, batch_id, micro_batch from o_mb")
+def c06(spark, d):
+    return _prepared(spark, d).select("doc_id", "batch_id", "micro_batch")
+
+
+@register("c07_pad_and_mask", "with " + O.prepared_ctes() + """
+select doc_id, max(max_row_width) over (partition by batch_id, micro_batch) as mb_width,
+ active_tokens as mask_ones, chunk_count * max(max_row_width) over (partition by batch_id, micro_batch) as padded_len
+from o_mb""")
+def c07(spark, d):
+    p = W.pad_and_mask(_prepared(spark, d))
+    ones = F.aggregate(F.transform("attention_mask", lambda m: F.aggregate(m, F.lit(0), lambda a, b: a + b)),
+                       F.lit(0).cast("bigint"), lambda a, b: a + b)
+    plen = F.aggregate(F.transform("padded_rows", lambda r: F.size(r)), F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return p.select("doc_id", F.col("mb_width").cast("bigint").alias("mb_width"), ones.alias("mask_ones"),
+                    plen.alias("padded_len"))
+
+
+@register("c08_tensor_shape", "with " + O.prepared_ctes() + """
+, m as (select batch_id, micro_batch, sum(chunk_count) as row_count, max(max_row_width) as col_count,
+ sum(active_tokens) as active_token_count from o_mb group by all)
+select batch_id, micro_batch, row_count, col_count, active_token_count,
+ row_count * col_count - active_token_count as pad_token_count,
+ case when row_count * col_count > 0 then (row_count * col_count - active_token_count) / (row_count * col_count)
+  else 0.0 end as pad_ratio from m""")
+def c08(spark, d):
+    t = W.tensor_shape(W.pad_and_mask(_prepared(spark, d)))
+    return t.select("batch_id", "micro_batch", "row_count", "col_count", "active_token_count", "pad_token_count",
+                    r6(F.col("pad_ratio")).alias("pad_ratio"))
+
+
+_C09_COLS = ", ".join(f"cast({m} as double) as {m}" for m in W.SHAPE_METRICS)
+
+
+@register("c09_batch_shape_metrics", "with " + O.prepared_ctes() + f"""
+, mb as (select batch_id, micro_batch, count(*) as mb_records, sum(chunk_count) as mb_rows,
+  max(max_row_width) as mb_cols, max(max_row_width) - min(max_row_width) as mb_span,
+  sum(total_row_tokens) as mb_tokens from o_mb group by all),
+mb2 as (select *, mb_cols * mb_rows - mb_tokens as mb_pad,
+  case when mb_cols * mb_rows > 0 then (mb_cols * mb_rows - mb_tokens) / (mb_cols * mb_rows) else 0.0 end as mb_ratio
+  from mb),
+a as (select batch_id, count(*) as micro_batch_count, max(mb_records) as max_micro_batch_records,
+  avg(mb_records) as mean_micro_batch_records, max(mb_rows) as max_micro_batch_rows,
+  avg(mb_rows) as mean_micro_batch_rows, avg(mb_cols) as mean_micro_batch_padded_cols,
+  max(mb_cols) as max_micro_batch_padded_cols, avg(mb_span) as mean_micro_batch_width_span,
+  max(mb_span) as max_micro_batch_width_span, avg(mb_tokens) as mean_micro_batch_token_count,
+  max(mb_tokens) as max_micro_batch_token_count, avg(mb_pad) as mean_micro_batch_pad_tokens,
+  max(mb_pad) as max_micro_batch_pad_tokens, avg(mb_ratio) as mean_micro_batch_pad_ratio,
+  max(mb_ratio) as max_micro_batch_pad_ratio from mb2 group by batch_id),
+r as (select batch_id, count(*) as configured_record_batch_size, 16 as model_inference_batch_size,
+  sum(chunk_count) as effective_chunk_batch_size, sum(chunk_count) as total_chunks,
+  avg(chunk_count) as mean_chunks_per_record, max(chunk_count) as max_chunks_per_record,
+  max(len(ids)) as max_tokenized_length, max(chunk_count) as padded_tensor_rows,
+  max(len(rows[1])) as padded_tensor_cols, 1 as grouping_applied,
+  avg(max_row_width) as mean_grouped_record_width, max(max_row_width) as max_grouped_record_width,
+  1 as attention_mask_applied from o_mb group by batch_id),
+wide as (select r.batch_id, {_C09_COLS} from r join a using (batch_id))
+select batch_id, name, round(value, 6) as value from (unpivot wide on {", ".join(W.SHAPE_METRICS)}
+ into name name value value) u""")
+def c09(spark, d):
+    m = W.batch_shape_metrics(_prepared(spark, d), "batch_id", C.MODEL_INFERENCE_BATCH_SIZE)
+    return m.select("batch_id", "name", r6(F.col("value")).alias("value"))
+
+
+_DOC_TEXT = "with req as (select doc_id as input_index, text from documents),"
+
+
+@register("c10_score_chunks", _DOC_TEXT + O.scores_ctes("req") + """
+select input_index as doc_id, chunk, """ + ", ".join(
+    f"round(max(p) filter (where label = {i}), 6) as p{i}" for i in range(8)) + """
+from o_probs group by all""")
+def c10(spark, d):
+    docs = read_table(spark, d, "documents").select(F.col("doc_id"), T.token_ids("text").alias("ids"))
+    chunks = SC.explode_windows(docs, ["doc_id"], "ids")
+    probs = _scorer(spark).score_windows(chunks, ["doc_id"])
+    return probs.select("doc_id", "chunk", *[r6(F.get(F.col("probs"), i)).alias(f"p{i}") for i in range(8)])
+
+
+def _doc_scores_sql(pooling: str = "max") -> str:
+    return _DOC_TEXT + O.scores_ctes("req", pooling=pooling)
+
+
+@register("c11_pool_scores", _doc_scores_sql("mean") + "select input_index as doc_id, " + ", ".join(
+    f"round(scores[{i + 1}], 6) as s{i}" for i in range(8)) + " from o_scores")
+def c11(spark, d):
+    docs = read_table(spark, d, "documents").select(F.col("doc_id").alias("input_index"), "text")
+    cfg = C.ClassifierConfig(pooling="mean")
+    out = SC.score_records(docs, ["input_index"], _scorer(spark), "text", cfg)
+    return out.select(F.col("input_index").alias("doc_id"),
+                      *[r6(F.get(F.col("scores"), i)).alias(f"s{i}") for i in range(8)])
+
+
+@register("c12_select_labels", _doc_scores_sql() + f"""
+select input_index as doc_id, array_to_string(list_transform(list_filter(range(0, 8),
+ lambda i: scores[i+1] >= 0.3), lambda i: {O.LABELS_SQL}[i+1]), ', ') as categories from o_scores""")
+def c12(spark, d):
+    docs = read_table(spark, d, "documents").select(F.col("doc_id").alias("input_index"), "text")
+    out = SC.score_records(docs, ["input_index"], _scorer(spark), "text")
+    return out.select(F.col("input_index").alias("doc_id"),
+                      S.join_list(SC.select_labels("scores", C.LABELS, [0.3] * 8)).alias("categories"))
+
+
+@register("c14_classify_batch_counts", duck_cte("v_requests") + """
+select batch_id, count(*) as record_count, count(*) filter (where input_index % 3 <> 0) as real_count,
+ count(*) filter (where input_index % 3 = 0) as fake_count, 'ok' as status from v_requests group by batch_id""")
+def c14(spark, d):
+    v = view(spark, d, "v_requests").withColumn("fake_data", F.col("input_index") % 3 == 0)
+    routed = SC.route_scoring(v, _scorer(spark), carry=("batch_id",))
+    return SC.classify_counts(routed, "batch_id")
+
+
+def _blend(block):
+    return 0.5 * block.mean(axis=0) + 0.5 * block.max(axis=0)
+
+
+@register("i01_custom_combiner", _DOC_TEXT + O.scores_ctes("req") + """
+, b as (select input_index, label, 0.5 * avg(p) + 0.5 * max(p) as s from o_probs group by all)
+select input_index as doc_id, """ + ", ".join(
+    f"round(max(s) filter (where label = {i}), 6) as s{i}" for i in range(8)) + " from b group by input_index")
+def i01(spark, d):
+    docs = read_table(spark, d, "documents").select(F.col("doc_id").alias("input_index"), "text")
+    cfg = C.ClassifierConfig(pooling=_blend)
+    out = SC.score_records(docs, ["input_index"], _scorer(spark), "text", cfg)
+    return out.select(F.col("input_index").alias("doc_id"),
+                      *[r6(F.get(F.col("scores"), i)).alias(f"s{i}") for i in range(8)])
+
+
+def numpy_linear_model():
+    """A plug-in model for I2: the hashed linear model evaluated with numpy
+    (stands in for any transformer behind the same interface)."""
+    import numpy as np
+
+    b = np.arange(C.N_BUCKETS)[:, None]
+    lab = np.arange(len(C.LABELS))[None, :]
+    wts = (((b * (2 * lab + 3) + 7 * lab) % 199) - 99) / 99.0
+    bias = np.array(C.MODEL_BIAS)
+
+    def model(windows):
+        out = []
+        for w in windows:
+            ids = np.asarray(w, dtype=np.int64) % C.N_BUCKETS
+            mean = wts[ids].sum(axis=0) / max(len(ids), 1)
+            out.append((1.0 / (1.0 + np.exp(-(bias + C.MODEL_SCALE * mean)))).tolist())
+        return out
+    return model
+
+
+@register("i02_scorer_plugin", _C13_SQL)
+def i02(spark, d):
+    out = SC.classify(view(spark, d, "v_requests"), SC.PandasScorer(numpy_linear_model))
+    return out.select("input_index", *[r6(F.get(F.col("scores"), i)).alias(f"s{i}") for i in range(8)],
+                      S.join_list("collections").alias("collections"))
+
+
+@register("i03_window_udtf", "with " + O.prepared_ctes(C.SPLITTER_WINDOW, C.SPLITTER_STRIDE) + """
+select doc_id, chunk - 1 as chunk, len(w) as n_ids, list_sum(w) as id_sum
+from (select doc_id, unnest(wins) as w, generate_subscripts(wins, 1) as chunk from o_rows) x""")
+def i03(spark, d):
+    from labelweave.plans.sql_functions import register_sql_functions
+    register_sql_functions(spark)
+    docs = read_table(spark, d, "documents")
+    return spark.sql(f"""
+        SELECT t.doc_id, w.chunk, size(w.window) AS n_ids,
+               aggregate(w.window, 0L, (a, b) -> a + b) AS id_sum
+        FROM (SELECT doc_id, lw_token_ids(text) AS ids FROM {{docs}}) t,
+             LATERAL lw_windows(t.ids, {C.SPLITTER_WINDOW}, {C.SPLITTER_STRIDE}) w""", docs=docs)

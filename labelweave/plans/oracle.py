@@ -65,3 +65,22 @@ def summary_sql(scores: str) -> str:
              "biology_score", "physics_score", "other_score", "garbage_score"]
     cols = [f"{r[i]} as {names[i]}" for i in range(8)]
     return ", ".join(cols + [f"{astro} as astronomy_score", f"{gen} as general_score", f"{gross} as gross_collection"])
+
+
+def prepared_ctes(window: int = 510, stride: int = 500, batch: int = 100, micro: int = 16) -> str:
+    """documents -> ids, rows (C2+C3), record stats (C4), group rank (C5),
+    micro batch (C6) as DuckDB CTEs ``o_ids .. o_mb``."""
+    return f"""
+o_ids as (select doc_id, doc_id // {batch} as batch_id, {token_ids_sql('text')} as ids from documents),
+o_rows as (select *, list_transform(range(0, greatest(1, len(ids) // {stride})),
+  lambda i: list_slice(ids, i*{stride}+1, i*{stride}+{window})) as wins from o_ids),
+o_wr as (select *, list_transform(wins, lambda x: list_concat([101::BIGINT], x, [102::BIGINT])) as wr from o_rows),
+o_prep as (select doc_id, batch_id, ids, wins, list_transform(range(0, len(wr)), lambda i: case when i = len(wr) - 1
+  then list_resize(wr[i+1], greatest(len(wr[i+1]), len(wr[1])), 0::BIGINT) else wr[i+1] end) as rows from o_wr),
+o_stats as (select *, len(rows) as chunk_count, list_max(list_transform(rows, lambda r: len(r))) as max_row_width,
+  list_sum(list_transform(rows, lambda r: len(r))) as total_row_tokens,
+  list_sum(list_transform(rows, lambda r: len(list_filter(r, lambda x: x <> 0)))) as active_tokens from o_prep),
+o_rank as (select *, row_number() over (partition by batch_id order by max_row_width, chunk_count, doc_id)
+  as group_rank from o_stats),
+o_mb as (select *, (group_rank - 1) // {micro} as micro_batch from o_rank)
+"""
