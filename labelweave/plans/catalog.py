@@ -688,3 +688,233 @@ def i03(spark, d):
                aggregate(w.window, 0L, (a, b) -> a + b) AS id_sum
         FROM (SELECT doc_id, lw_token_ids(text) AS ids FROM {{docs}}) t,
              LATERAL lw_windows(t.ids, {C.SPLITTER_WINDOW}, {C.SPLITTER_STRIDE}) w""", docs=docs)
+
+
+# ----------------------------------------------------- D / F / G (state) ----
+from labelweave.operators import latest as L  # noqa: E402
+from labelweave.operators import state as ST  # noqa: E402
+from labelweave.plans.views import NOW_S  # noqa: E402
+
+
+def _ts(c):
+    return F.timestamp_seconds(F.col(c))
+
+
+def _epoch(c):
+    return F.unix_seconds(F.col(c) if isinstance(c, str) else c)
+
+
+def _coll_seed():
+    return F.split(F.when(F.col("doc_id") % 3 == 0, "astrophysics").when(F.col("doc_id") % 3 == 1, "general,physics")
+                   .otherwise(""), ",")
+
+
+def fixture_state(spark, d) -> ST.State:
+    """Score / override / final tables derived from the fixture views."""
+    ov = view(spark, d, "v_overrides").select(
+        (F.col("doc_id") * 2 + F.col("v")).cast("long").alias("id"), "bibcode", "scix_id",
+        F.split("override_csv", ",", -1).alias("override"), _ts("created_s").alias("created"), "doc_id")
+    sc = view(spark, d, "v_scores").select(
+        F.col("id").cast("long").alias("id"), "bibcode", "scix_id", F.col("payload").alias("scores"),
+        _ts("created_s").alias("created"), F.col("overrides_id").cast("long").alias("overrides_id"),
+        F.col("run_id").cast("long").alias("run_id"))
+    fc = view(spark, d, "v_final").select(
+        F.col("id").cast("long").alias("id"), "bibcode", "scix_id", F.col("score_id").cast("long").alias("score_id"),
+        _coll_seed().alias("collection"), "validated", _ts("validated_at_s").alias("validated_at"),
+        _ts("created_s").alias("created"), "doc_id")
+    return ST.State(ov.drop("doc_id"), sc, fc.drop("doc_id")), ov, fc
+
+
+def fixture_records(spark, d):
+    v = view(spark, d, "v_scored")
+    return v.select("input_index", "bibcode", "scix_id", S.collections("scores").alias("collections"),
+                    (F.col("input_index") % 3).cast("long").alias("run_id"),
+                    F.concat(F.lit("p"), (F.col("doc_id") % 50).cast("string")).alias("payload"))
+
+
+def _now():
+    return F.timestamp_seconds(F.lit(NOW_S))
+
+_ST_SQL = duck_cte("v_overrides", "v_scores", "v_final", "v_scored") + f""",
+st_ov as (select doc_id*2+v as id, doc_id, bibcode, scix_id, string_split(override_csv, ',') as override,
+  created_s as created from v_overrides),
+st_sc as (select id, bibcode, scix_id, payload as scores, created_s as created, overrides_id, run_id from v_scores),
+st_fc as (select id, doc_id, bibcode, scix_id, score_id, string_split(case doc_id % 3 when 0 then 'astrophysics'
+  when 1 then 'general,physics' else '' end, ',') as collection, validated, validated_at_s as validated_at,
+  created_s as created from v_final),
+recs as (select input_index, bibcode, scix_id, {O.collections_sql('scores')} as collections,
+  input_index % 3 as run_id, 'p' || cast(doc_id % 50 as varchar) as payload from v_scored),
+ov_s as (select * from st_ov where coalesce(scix_id,'') <> ''
+  qualify row_number() over (partition by scix_id order by created desc, id desc) = 1),
+ov_b as (select * from st_ov where coalesce(bibcode,'') <> ''
+  qualify row_number() over (partition by bibcode order by created desc, id desc) = 1),
+d1 as (select r.*, coalesce(s.id, b.id) as overrides_id,
+  case when s.id is not null then s.override when b.id is not null then b.override else r.collections end
+  as final_collections
+  from recs r left join ov_s s on s.scix_id = nullif(r.scix_id,'') left join ov_b b on b.bibcode = nullif(r.bibcode,'')),
+sc_k as (select *, case when coalesce(scix_id,'') <> '' then 'scix_id' else 'bibcode' end as kk,
+  case when coalesce(scix_id,'') <> '' then scix_id else bibcode end as kv from st_sc
+  qualify row_number() over (partition by kk, kv, scores, overrides_id, run_id order by created desc, id desc) = 1),
+d3 as (select d1.*, s.id as existing_score_id from d1 left join sc_k s
+  on s.kk = case when coalesce(d1.scix_id,'') <> '' then 'scix_id' else 'bibcode' end
+  and s.kv = case when coalesce(d1.scix_id,'') <> '' then d1.scix_id else d1.bibcode end
+  and s.scores = d1.payload and s.overrides_id is not distinct from d1.overrides_id and s.run_id = d1.run_id),
+fc_s as (select * from st_fc where coalesce(scix_id,'') <> ''
+  qualify row_number() over (partition by scix_id order by created desc, id desc) = 1),
+fc_b as (select * from st_fc where coalesce(bibcode,'') <> ''
+  qualify row_number() over (partition by bibcode order by created desc, id desc) = 1),
+d5 as (select r.input_index, coalesce(s.id, b.id) as fc_id from recs r
+  left join fc_s s on s.scix_id = nullif(r.scix_id,'') left join fc_b b on b.bibcode = nullif(r.bibcode,''))
+"""
+
+
+@register("f01_latest_per_key", _ST_SQL + """
+select doc_id, id, array_to_string(override, '|') as override from st_ov
+qualify row_number() over (partition by doc_id order by created desc, id desc) = 1""")
+def f01(spark, d):
+    _, ov, _ = fixture_state(spark, d)
+    return L.latest_per_key(ov, "doc_id", ST.ORDER).select("doc_id", "id", F.array_join("override", "|").alias(
+        "override"))
+
+
+@register("f02_recently_validated", _ST_SQL + f"""
+select bibcode, scix_id, score_id, validated_at from st_fc
+where validated and validated_at is not null and validated_at >= {NOW_S} - 7*86400
+qualify row_number() over (partition by case when coalesce(scix_id,'') <> '' then 'scix_id' else 'bibcode' end,
+  case when coalesce(scix_id,'') <> '' then scix_id else bibcode end order by validated_at desc, created desc,
+  id desc) = 1""")
+def f02(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    r = ST.recently_validated(st.final, 7, _now())
+    return r.select("bibcode", "scix_id", "score_id", _epoch("validated_at").alias("validated_at"))
+
+
+@register("f03_dedupe_result_key", _ST_SQL + """
+select case when coalesce(scix_id,'') <> '' then scix_id else bibcode end as result_key, id from st_fc
+qualify row_number() over (partition by case when coalesce(scix_id,'') <> '' then 'scix_id' else 'bibcode' end,
+  case when coalesce(scix_id,'') <> '' then scix_id else bibcode end order by created desc, id desc) = 1""")
+def f03(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    r = L.dedupe_results(st.final, [F.col("created").desc(), F.col("id").desc()])
+    return r.select(I.record_key_value().alias("result_key"), "id")
+
+
+@register("f07_new_run_ids", duck_cte("v_scores", "v_requests") + """
+select batch_id, (select max(run_id) from v_scores) + row_number() over (order by batch_id) as id
+from (select distinct batch_id from v_requests) b""")
+def f07(spark, d):
+    runs = view(spark, d, "v_scores").select(F.col("run_id").cast("long").alias("id")).distinct()
+    out = L.new_runs(spark, runs, view(spark, d, "v_requests"), "batch_id", _now())
+    return out.select("batch_id", "id")
+
+
+@register("f09_surrogate_ids", duck_cte("v_scores", "v_scored") + """
+select input_index, (select max(id) from v_scores) + row_number() over (order by input_index) as id from v_scored""")
+def f09(spark, d):
+    base = L.max_id(view(spark, d, "v_scores"))
+    return L.with_surrogate_ids(view(spark, d, "v_scored").select("input_index"), base, ["input_index"], "id")
+
+
+@register("d01_resolve_override", _ST_SQL + """
+select input_index, overrides_id, array_to_string(final_collections, '|') as final_collections from d1""")
+def d01(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    r = ST.resolve_override(fixture_records(spark, d), st.overrides, "batch")
+    return r.select("input_index", "overrides_id", F.array_join("final_collections", "|").alias("final_collections"))
+
+
+@register("d02_resolve_override_newest", _ST_SQL + """
+, m as (select r.input_index, o.id, o.created, o.override from recs r join st_ov o on o.scix_id = nullif(r.scix_id,'')
+  union select r.input_index, o.id, o.created, o.override from recs r join st_ov o on o.bibcode = nullif(r.bibcode,'')),
+best as (select * from m qualify row_number() over (partition by input_index order by created desc, id desc) = 1)
+select r.input_index, b.id as overrides_id,
+ array_to_string(case when b.id is not null then b.override else r.collections end, '|') as final_collections
+from recs r left join best b using (input_index)""")
+def d02(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    r = ST.resolve_override(fixture_records(spark, d), st.overrides, "newest")
+    return r.select("input_index", "overrides_id", F.array_join("final_collections", "|").alias("final_collections"))
+
+
+@register("d03_match_scores", _ST_SQL + """
+select input_index, existing_score_id, existing_score_id is null as is_new from d3""")
+def d03(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    r = ST.match_scores(ST.resolve_override(fixture_records(spark, d), st.overrides), st.scores)
+    return r.select("input_index", "existing_score_id", F.col("existing_score_id").isNull().alias("is_new"))
+
+
+_D04_SQL = duck_cte("v_scores", "v_scored") + """,
+models as (select distinct run_id + 1 as id, 'm' || cast(run_id as varchar) as model, 'p' as postprocessing,
+  run_id as created from v_scores),
+runs as (select distinct run_id as id, run_id as model_id from v_scores),
+want as (select * from (values ('found', 'm1'), ('created', 'm9')) t(variant, model)),
+mid as (select w.variant, coalesce((select max(id) from models m where m.model = w.model and m.postprocessing = 'p'),
+  (select max(id) from models) + 1) as model_id from want w),
+batch_runs as (select distinct input_index % 3 as run_id from v_scored where input_index % 3 < 2)
+select w.variant, r.id as run_id, case when r.id in (select run_id from batch_runs) then w.model_id
+ else r.model_id end as model_id from runs r cross join mid w"""
+
+
+@register("d04_get_or_create_model", _D04_SQL)
+def d04(spark, d):
+    sc = view(spark, d, "v_scores")
+    models = sc.select((F.col("run_id") + 1).cast("long").alias("id"),
+                       F.concat(F.lit("m"), F.col("run_id").cast("string")).alias("model"),
+                       F.lit("p").alias("postprocessing"), F.col("run_id").cast("long").alias("created")).distinct()
+    runs = sc.select(F.col("run_id").cast("long").alias("id"), F.col("run_id").cast("long").alias("model_id")).distinct()
+    batch_runs = view(spark, d, "v_scored").select((F.col("input_index") % 3).alias("run_id")).filter("run_id < 2")
+    outs = []
+    for variant, name in (("found", "m1"), ("created", "m9")):
+        _, runs2, _ = ST.get_or_create_model(models, runs, F.lit(name), F.lit("p"), batch_runs, F.lit(0).cast("long"))
+        outs.append(runs2.select(F.lit(variant).alias("variant"), F.col("id").alias("run_id"), "model_id"))
+    return outs[0].unionByName(outs[1])
+
+
+@register("d05_match_final", _ST_SQL + """
+select input_index, fc_id, case when fc_id is null then 'insert' else 'update' end as action from d5""")
+def d05(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    r = L.resolve_by_either_id(fixture_records(spark, d), st.final, ST.ORDER, "fc_")
+    return r.select("input_index", "fc_id", F.when(F.col("fc_id").isNull(), "insert").otherwise("update").alias(
+        "action"))
+
+
+_D06_SQL = _ST_SQL + """
+, j as (select f.id, f.created, f.collection, coalesce(nullif(f.bibcode,''), s.bibcode) as bibcode,
+  coalesce(nullif(f.scix_id,''), s.scix_id) as scix_id from st_fc f join st_sc s on f.score_id = s.id where s.run_id = 1)
+select bibcode, scix_id, id, array_to_string(collection, '|') as collection from j
+qualify row_number() over (partition by case when coalesce(scix_id,'') <> '' then 'scix_id' else 'bibcode' end,
+  case when coalesce(scix_id,'') <> '' then scix_id else bibcode end order by created desc, id desc) = 1"""
+
+
+@register("d06_run_results", _D06_SQL)
+def d06(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    r = ST.run_results(st.final, st.scores, 1)
+    return r.select("bibcode", "scix_id", "id", F.array_join("collection", "|").alias("collection"))
+
+
+@register("d07_bulk_lookup", duck_cte("v_requests", "v_scores") + """
+select distinct s.id from v_scores s where s.bibcode in (select identifier from v_requests)
+ or s.scix_id in (select identifier from v_requests)""")
+def d07(spark, d):
+    cat = view(spark, d, "v_scores")
+    return ST.bulk_lookup(view(spark, d, "v_requests"), cat).select("id")
+
+
+@register("d08_lookup_missing", duck_cte("v_requests", "v_scores") + """
+select identifier from v_requests where identifier not in (select bibcode from v_scores where bibcode is not null)
+ and identifier not in (select scix_id from v_scores where scix_id is not null)""")
+def d08(spark, d):
+    cat = view(spark, d, "v_scores")
+    return ST.lookup_missing(view(spark, d, "v_requests").select("identifier"), cat)
+
+
+@register("d11_lookup_by_id", duck_cte("v_requests", "v_final") + """
+, f as (select id, bibcode, scix_id, created_s as created from v_final)
+select bibcode, id, scix_id from f where bibcode in (select identifier from v_requests)
+qualify row_number() over (partition by bibcode order by created desc, id desc) = 1""")
+def d11(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    return ST.lookup_by_id(st.final, view(spark, d, "v_requests")).select("bibcode", "id", "scix_id")
