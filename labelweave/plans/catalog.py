@@ -918,3 +918,267 @@ qualify row_number() over (partition by bibcode order by created desc, id desc)
 def d11(spark, d):
     st, _, _ = fixture_state(spark, d)
     return ST.lookup_by_id(st.final, view(spark, d, "v_requests")).select("bibcode", "id", "scix_id")
+
+
+_G_SQL = _ST_SQL + """,
+newsc as (select input_index, (select max(id) from st_sc) + row_number() over (order by input_index) as new_score_id
+  from d3 where existing_score_id is null),
+g as (select d3.*, coalesce(existing_score_id, n.new_score_id) as score_id, n.new_score_id is not null as new_score
+  from d3 left join newsc n using (input_index)),
+newfc as (select input_index, (select max(id) from st_fc) + row_number() over (order by input_index) as new_final_id
+  from d5 where fc_id is null),
+gres as (select g.input_index, g.overrides_id, g.score_id, coalesce(d5.fc_id, nf.new_final_id) as final_id,
+  g.new_score, d5.fc_id is not null as final_updated, array_to_string(g.final_collections, '|') as final_collections
+  from g join d5 using (input_index) left join newfc nf using (input_index))
+"""
+
+
+def _g01_results(spark, d, mode="batch"):
+    st, _, _ = fixture_state(spark, d)
+    _, res = ST.index_batch(st, fixture_records(spark, d), _now(), "payload", mode)
+    return res
+
+
+@register("g01_index_batch", _G_SQL + "select * from gres")
+def g01(spark, d):
+    res = _g01_results(spark, d)
+    return res.select("input_index", "overrides_id", "score_id", "final_id", "new_score", "final_updated",
+                      F.array_join("final_collections", "|").alias("final_collections"))
+
+
+_D2_CTE = """d1 as (select r.*, b.id as overrides_id,
+  case when b.id is not null then b.override else r.collections end as final_collections from recs r left join
+  (select * from (select r.input_index, o.id, o.created, o.override from recs r join st_ov o
+     on o.scix_id = nullif(r.scix_id,'')
+   union select r.input_index, o.id, o.created, o.override from recs r join st_ov o on o.bibcode = nullif(r.bibcode,''))
+   qualify row_number() over (partition by input_index order by created desc, id desc) = 1) b using (input_index)),"""
+
+
+def _swap_d1(sql: str) -> str:
+    start = sql.index("d1 as (")
+    end = sql.index("sc_k as (")
+    return sql[:start] + _D2_CTE + "\n" + sql[end:]
+
+
+@register("g02_index_record_single", _swap_d1(_G_SQL) + "select * from gres")
+def g02(spark, d):
+    res = _g01_results(spark, d, "newest")
+    return res.select("input_index", "overrides_id", "score_id", "final_id", "new_score", "final_updated",
+                      F.array_join("final_collections", "|").alias("final_collections"))
+
+
+@register("e16_index_counters", _G_SQL + """
+select count(*) as record_count, count(*) filter (where new_score) as new_score_rows,
+ count(*) filter (where not new_score) as reused_score_rows, count(*) filter (where not final_updated)
+ as new_final_rows, count(*) filter (where final_updated) as updated_final_rows from gres""")
+def e16(spark, d):
+    return ST.index_counters(_g01_results(spark, d))
+
+
+def fixture_validations(spark, d):
+    v = view(spark, d, "v_scored").filter(F.col("input_index") % 4 == 0)
+    i = F.col("input_index") % 16
+    ov = F.when(i == 0, "").when(i == 4, "Astrophysics,physics").when(i == 8, "Nope").otherwise("general")
+    return v.select("input_index", "bibcode", "scix_id", F.split(ov, ",", -1).alias("override"))
+
+
+_V_SQL = _ST_SQL + f""",
+reqs as (select input_index, bibcode, scix_id, string_split(case input_index % 16 when 0 then '' when 4 then
+  'Astrophysics,physics' when 8 then 'Nope' else 'general' end, ',') as override from v_scored
+  where input_index % 4 = 0),
+ovm as (select r.input_index, o.id, o.override from reqs r join st_ov o on o.scix_id = nullif(r.scix_id,'')
+  union select r.input_index, o.id, o.override from reqs r join st_ov o on o.bibcode = nullif(r.bibcode,'')),
+same as (select distinct m.input_index from ovm m join reqs r using (input_index) where m.override = r.override),
+fcm as (select r.input_index, f.id, f.created, f.validated from reqs r join st_fc f on f.scix_id = nullif(r.scix_id,'')
+  union select r.input_index, f.id, f.created, f.validated from reqs r join st_fc f on f.bibcode = nullif(r.bibcode,'')),
+newest as (select input_index, id as newest_id from fcm
+  qualify row_number() over (partition by input_index order by created desc, id desc) = 1),
+unval as (select input_index, id as unval_id from fcm where not validated
+  qualify row_number() over (partition by input_index order by created desc, id desc) = 1),
+hasval as (select distinct input_index from fcm where validated),
+x as (select r.*, s.input_index is not null as same, n.newest_id, u.unval_id, h.input_index is not null as has_val,
+  len(list_filter(r.override, lambda z: not list_contains({_ALLOWED_LOWER}, lower(z)))) = 0 as allowed,
+  coalesce(len(r.override) = 1 and r.override[1] = '', false) as empty
+  from reqs r left join same s using (input_index) left join newest n using (input_index)
+  left join unval u using (input_index) left join hasval h using (input_index)),
+b as (select *, case when not same and allowed then 'override' when not same and empty then 'as_is'
+  when same then 'identical' else 'disallowed' end as branch from x),
+newov as (select input_index, (select max(id) from st_ov) + row_number() over (order by input_index) as new_ov_id
+  from b where branch = 'override'),
+ch as (select newest_id as id, override as coll from b where branch = 'override' and newest_id is not null
+  union all select unval_id, null from b where branch = 'as_is' and unval_id is not null and not has_val
+  union all select unval_id, null from b where branch = 'as_is' and unval_id is not null and has_val)
+"""
+
+
+def _validated(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    return ST.validate(st, fixture_validations(spark, d), _now())
+
+
+@register("g03_validate_with_override", _V_SQL + """
+, scm as (select s.id, n.new_ov_id from newov n join reqs r using (input_index) join st_sc s
+  on s.scix_id = nullif(r.scix_id,'') union select s.id, n.new_ov_id from newov n join reqs r using (input_index)
+  join st_sc s on s.bibcode = nullif(r.bibcode,''))
+select 'score' as kind, s.id, coalesce(m.new_ov_id, s.overrides_id) as ref, null as val from st_sc s
+ left join scm m on m.id = s.id
+union all select 'override', n.new_ov_id, null, array_to_string(r.override, '|') from newov n join reqs r
+ using (input_index)""")
+def g03(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    st2, _ = _validated(spark, d)
+    sc = st2.scores.select(F.lit("score").alias("kind"), "id", F.col("overrides_id").alias("ref"),
+                           F.lit(None).cast("string").alias("val"))
+    new_ov = st2.overrides.join(st.overrides.select("id"), "id", "left_anti").select(
+        F.lit("override").alias("kind"), "id", F.lit(None).cast("long").alias("ref"),
+        F.array_join("override", "|").alias("val"))
+    return sc.unionByName(new_ov)
+
+
+@register("g04_validate_as_is", _V_SQL + f"""
+select f.id, array_to_string(coalesce(ch.coll, f.collection), '|') as collection,
+ case when ch.id is not null then true else f.validated end as validated,
+ case when ch.id is not null then coalesce(f.validated_at, {NOW_S}) else f.validated_at end as validated_at
+from st_fc f left join ch on ch.id = f.id""")
+def g04(spark, d):
+    st2, _ = _validated(spark, d)
+    return st2.final.select("id", F.array_join("collection", "|").alias("collection"), "validated",
+                            _epoch("validated_at").alias("validated_at"))
+
+
+@register("g05_validation_outcome", _V_SQL + """
+select input_index, case when branch = 'override' then 'record_validated'
+ when branch = 'as_is' and has_val then 'record_previously_validated'
+ when branch = 'as_is' and unval_id is not null then 'record_validated'
+ when branch = 'identical' then 'record_previously_validated'
+ when branch = 'disallowed' then 'other_failure' end as outcome, 'record_validated' as status from b""")
+def g05(spark, d):
+    _, res = _validated(spark, d)
+    return res.select("input_index", "outcome", "status")
+
+
+@register("g06_set_validation", _ST_SQL + f"""
+select id, id % 3 = 0 as validated, case when id % 3 = 0 then coalesce(validated_at, {NOW_S}) end as validated_at
+from st_fc""")
+def g06(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    out = ST.set_validation(st.final, F.col("id") % 3 == 0, _now())
+    return out.select("id", "validated", _epoch("validated_at").alias("validated_at"))
+
+
+_RUN1_ROWS = """
+, j as (select f.id, f.created, f.collection, coalesce(nullif(f.bibcode,''), s.bibcode) as bibcode,
+  coalesce(nullif(f.scix_id,''), s.scix_id) as scix_id from st_fc f join st_sc s on f.score_id = s.id where s.run_id = 1),
+rr as (select bibcode, scix_id, id from j
+  qualify row_number() over (partition by case when coalesce(scix_id,'') <> '' then 'scix_id' else 'bibcode' end,
+  case when coalesce(scix_id,'') <> '' then scix_id else bibcode end order by created desc, id desc) = 1)
+"""
+
+
+@register("g07_validate_run", _ST_SQL + _RUN1_ROWS + """
+, fcm as (select r.id as rid, f.id, f.created, f.validated from rr r join st_fc f on f.scix_id = nullif(r.scix_id,'')
+  union select r.id, f.id, f.created, f.validated from rr r join st_fc f on f.bibcode = nullif(r.bibcode,'')),
+unval as (select rid, id as fid from fcm where not validated
+  qualify row_number() over (partition by rid order by created desc, id desc) = 1)
+select r.id as input_index, r.bibcode, r.scix_id, u.fid is not null as success from rr r left join unval u
+ on u.rid = r.id""")
+def g07(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    _, res = ST.validate_run(st, 1, _now())
+    return res
+
+
+_G8_SRC = """(select input_index, case input_index % 5 when 0 then 'classify' when 1 then 'classify_verify'
+  when 2 then 'pre_ingest' when 3 then 'pre_ingest' else 'validate' end as operation_step, identifier,
+  case when length(identifier) = 19 and not regexp_matches(identifier,
+  '^scix:[A-Za-z0-9]{4}-[A-Za-z0-9]{4}-[A-Za-z0-9]{4}$') then identifier end as bibcode,
+  case when length(identifier) = 19 and regexp_matches(identifier,
+  '^scix:[A-Za-z0-9]{4}-[A-Za-z0-9]{4}-[A-Za-z0-9]{4}$') then identifier end as scix_id from v_requests)"""
+
+
+def _g8_src(spark, d):
+    r = _requests_split(spark, d)
+    i = F.col("input_index") % 5
+    step = (F.when(i == 0, "classify").when(i == 1, "classify_verify").when(i <= 3, "pre_ingest")
+            .otherwise("validate"))
+    return r.withColumn("operation_step", step)
+
+
+@register("g08_route_index", duck_cte("v_requests") + f"""
+select input_index, case when operation_step in ('classify', 'classify_verify') then 'index'
+ when operation_step = 'pre_ingest' and (coalesce(bibcode,'') <> '' or coalesce(scix_id,'') <> '') then 'index'
+ when operation_step = 'pre_ingest' then 'pass_through' else 'validate' end as route from {_G8_SRC} s""")
+def g08(spark, d):
+    return _g8_src(spark, d).select("input_index", ST.route_index(_g8_src(spark, d)).alias("route"))
+
+
+@register("g09_output_actions", duck_cte("v_requests") + f"""
+select input_index, operation_step in ('classify', 'classify_verify', 'pre_ingest') as write_tsv,
+ operation_step = 'classify' or (operation_step = 'validate' and input_index % 3 = 0) as forward
+from {_G8_SRC} s""")
+def g09(spark, d):
+    s = _g8_src(spark, d)
+    status = F.when(F.col("input_index") % 3 == 0, C.STATUS_VALIDATED).otherwise(C.STATUS_OTHER_FAILURE)
+    w, f = ST.output_actions(F.col("operation_step"), status)
+    return s.select("input_index", w.alias("write_tsv"), f.alias("forward"))
+
+
+def fixture_resend_requests(spark, d):
+    r = _requests_split(spark, d)
+    bib = r.filter((F.col("input_index") % 2 == 0) & F.col("bibcode").isNotNull()).select(
+        F.col("input_index").alias("request_id"), "bibcode", F.lit(None).cast("string").alias("scix_id"),
+        F.lit(None).cast("long").alias("run_id"))
+    scx = r.filter((F.col("input_index") % 2 == 1) & F.col("scix_id").isNotNull()).select(
+        F.col("input_index").alias("request_id"), F.lit(None).cast("string").alias("bibcode"), "scix_id",
+        F.lit(None).cast("long").alias("run_id"))
+    runs = view(spark, d, "v_scores").select(F.col("run_id").cast("long")).distinct().select(
+        (-1 - F.col("run_id")).alias("request_id"), F.lit(None).cast("string").alias("bibcode"),
+        F.lit(None).cast("string").alias("scix_id"), "run_id")
+    return bib.unionByName(scx).unionByName(runs)
+
+
+_ST_BASE = duck_cte("v_overrides", "v_scores", "v_final", "v_scored")
+_G10_SQL = duck_cte("v_overrides", "v_scores", "v_final", "v_scored", "v_requests") + _ST_SQL[len(_ST_BASE):] + f""",
+rq as (select input_index, bibcode, scix_id from (select *, {_REQ_IDS} from v_requests) z),
+reqs as (select input_index as request_id, bibcode, null::varchar as scix_id, null::bigint as run_id from rq
+   where input_index % 2 = 0 and bibcode is not null
+  union all select input_index, null, scix_id, null from rq where input_index % 2 = 1 and scix_id is not null
+  union all select -1 - run_id, null, null, run_id from (select distinct run_id from st_sc) q),
+fb as (select * from st_fc where coalesce(bibcode,'') <> ''
+  qualify row_number() over (partition by bibcode order by created desc, id desc) = 1),
+fs as (select * from st_fc where coalesce(scix_id,'') <> ''
+  qualify row_number() over (partition by scix_id order by created desc, id desc) = 1),
+rs as (select q.request_id, f.id as final_id, f.collection, f.created, coalesce(nullif(f.bibcode,''), s.bibcode)
+  as bibcode, coalesce(nullif(f.scix_id,''), s.scix_id) as scix_id from reqs q join st_sc s on s.run_id = q.run_id
+  join st_fc f on f.score_id = s.id where q.bibcode is null and q.scix_id is null),
+rsd as (select * from rs qualify row_number() over (partition by request_id,
+  case when coalesce(scix_id,'') <> '' then 'scix_id' else 'bibcode' end,
+  case when coalesce(scix_id,'') <> '' then scix_id else bibcode end order by created desc, final_id desc) = 1),
+allr as (select q.request_id, q.bibcode, f.scix_id, f.id as final_id, f.collection from reqs q join fb f
+  on f.bibcode = q.bibcode where q.bibcode is not null
+ union all select q.request_id, f.bibcode, q.scix_id, f.id, f.collection from reqs q join fs f on f.scix_id = q.scix_id
+  where q.bibcode is null and q.scix_id is not null
+ union all select request_id, bibcode, scix_id, final_id, collection from rsd)
+"""
+
+
+@register("g10_resend_select", _G10_SQL + """
+select request_id, bibcode, scix_id, final_id, array_to_string(collection, '|') as collection from allr""")
+def g10(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    out = ST.resend_select(fixture_resend_requests(spark, d), st.final, st.scores)
+    return out.select("request_id", "bibcode", "scix_id", "final_id", F.array_join("collection", "|").alias(
+        "collection"))
+
+
+@register("g11_resend_validated", _ST_SQL + f"""
+select bibcode, scix_id, 'success' as status, array_to_string(collection, ', ') as collections from st_fc
+where validated and validated_at is not null and validated_at >= {NOW_S} - 7*86400
+qualify row_number() over (partition by case when coalesce(scix_id,'') <> '' then 'scix_id' else 'bibcode' end,
+  case when coalesce(scix_id,'') <> '' then scix_id else bibcode end order by validated_at desc, created desc,
+  id desc) = 1""")
+def g11(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    r = ST.recently_validated(st.final, 7, _now())
+    return r.select("bibcode", "scix_id", F.lit("success").alias("status"),
+                    S.join_list("collection").alias("collections"))
