@@ -1182,3 +1182,344 @@ def g11(spark, d):
     r = ST.recently_validated(st.final, 7, _now())
     return r.select("bibcode", "scix_id", F.lit("success").alias("status"),
                     S.join_list("collection").alias("collections"))
+
+
+# ------------------------------------------------------------ E (metrics) ----
+from labelweave.operators import metrics as M  # noqa: E402
+
+
+def _stats_sql(v: str, p99: bool = True) -> str:
+    s = (f"count({v}) as count, min({v}) as min, max({v}) as max, avg({v}) as mean, "
+         f"quantile_cont({v}, 0.5) as p50, quantile_cont({v}, 0.95) as p95")
+    return s + (f", quantile_cont({v}, 0.99) as p99" if p99 else "")
+
+
+def _ev(spark, d):
+    return view(spark, d, "v_perf_events")
+
+
+def _r6_all(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(*[r6(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+_STAT_COLS = ["mean", "p50", "p95", "p99", "min", "max"]
+_EV = duck_cte("v_perf_events")
+_NORM_SQL = """, nd as (select *, case when stage in ('classify', 'index_db') and coalesce(record_count, 0) > 0
+  then duration_ms / record_count else duration_ms end as latency_ms from v_perf_events
+  where duration_ms is not null and stage not in ('task_timing', 'app_timing', 'classifier_timing',
+  'classifier_batch_shape'))"""
+
+
+def _round_sql(cols: str) -> str:
+    return ", ".join(f"round({c}, 6) as {c}" for c in cols.split(","))
+
+
+@register("e01_percentile", _EV + """
+select stage, p, round(value, 6) as value from (
+ select stage, 0.0::double as p, min(duration_ms) as value from v_perf_events group by stage
+ union all select stage, 25.0, quantile_cont(duration_ms, 0.25) from v_perf_events group by stage
+ union all select stage, 90.0, quantile_cont(duration_ms, 0.9) from v_perf_events group by stage
+ union all select stage, 100.0, max(duration_ms) from v_perf_events group by stage) t""")
+def e01(spark, d):
+    out = M.order_stats(_ev(spark, d), ["stage"], "duration_ms", [0.0, 25.0, 90.0, 100.0])
+    return out.select("stage", "p", r6(F.col("value")).alias("value"))
+
+
+@register("e02_numeric_stats", _EV + f"""
+select run_id, count, {_round_sql('min,max,mean,p50,p95,p99')} from (select run_id, {_stats_sql('duration_ms')}
+ from v_perf_events group by run_id) t""")
+def e02(spark, d):
+    return _r6_all(M.numeric_stats(_ev(spark, d), ["run_id"], "duration_ms"), _STAT_COLS)
+
+
+@register("e03_event_counts", _EV + """
+select run_id, coalesce(sum(case when stage = 'ingest_enqueue' then coalesce(record_count, 1) end), 0)
+ as records_submitted, count(*) filter (where stage = 'index') as records_indexed,
+ count(*) filter (where stage in ('forward', 'forward_message')) as records_forwarded,
+ count(*) filter (where coalesce(status, 'ok') <> 'ok') as failures from v_perf_events group by run_id""")
+def e03(spark, d):
+    return M.event_counts(_ev(spark, d))
+
+
+@register("e04_stage_latency", _EV + _NORM_SQL + f"""
+select run_id, stage, count, {_round_sql('min,max,mean,p50,p95,p99')} from (select run_id, stage,
+ {_stats_sql('latency_ms')} from nd group by run_id, stage) t""")
+def e04(spark, d):
+    return _r6_all(M.stage_latency(_ev(spark, d)), _STAT_COLS)
+
+
+_BATCH_SQL = """, b as (select * from v_perf_events where duration_ms is not null and stage in ('classify', 'index_db')
+  and (coalesce(batch_mode, false) or coalesce(record_count, 0) > 1))"""
+
+
+@register("e05_batch_latency_sizes", _EV + _BATCH_SQL + f"""
+select 'latency' as kind, run_id, stage, count, {_round_sql('min,max,mean,p50,p95,p99')} from (select run_id, stage,
+ {_stats_sql('duration_ms')} from b group by run_id, stage) t
+union all
+select 'size', run_id, stage, count, {_round_sql('min,max,mean,p50,p95,p99')} from (select run_id, stage,
+ {_stats_sql('cast(record_count as double)')} from b where coalesce(record_count, 0) > 0 group by run_id, stage) t""")
+def e05(spark, d):
+    lat, sizes = M.batch_stats(_ev(spark, d))
+    return _r6_all(lat.withColumn("kind", F.lit("latency")).unionByName(sizes.withColumn("kind", F.lit("size"))),
+                   _STAT_COLS)
+
+
+@register("e06_named_timings", _EV + f"""
+select run_id, stage, name, count, {_round_sql('min,max,mean,p50,p95,p99')} from (select run_id, stage,
+ coalesce(nullif(name, ''), 'unknown') as name, {_stats_sql('duration_ms')} from v_perf_events
+ where duration_ms is not null and stage in ('task_timing', 'app_timing', 'classifier_timing', 'classifier_batch_shape')
+ group by all) t""")
+def e06(spark, d):
+    return _r6_all(M.named_timings(_ev(spark, d)), _STAT_COLS)
+
+
+@register("e07_errors_by_stage", _EV + """
+select run_id, stage, count(*) as errors from v_perf_events where coalesce(status, 'ok') <> 'ok'
+group by run_id, stage""")
+def e07(spark, d):
+    return M.errors_by_stage(_ev(spark, d))
+
+
+_THR_SQL = """, thr as (select run_id, count(*) filter (where stage = 'index') as records_indexed,
+  greatest(0.0, max(ts) - min(ts)) as wall_clock_s from v_perf_events group by run_id),
+thr2 as (select *, case when wall_clock_s > 0 then records_indexed / wall_clock_s * 60 end
+  as overall_records_per_minute from thr)"""
+
+
+@register("e08_throughput", _EV + _THR_SQL + """
+select run_id, records_indexed, round(wall_clock_s, 6) as wall_clock_s,
+ round(overall_records_per_minute, 6) as overall_records_per_minute from thr2""")
+def e08(spark, d):
+    return _r6_all(M.throughput(_ev(spark, d)), ["wall_clock_s", "overall_records_per_minute"])
+
+
+@register("e09_backlog_status", _EV + _THR_SQL + """
+select run_id, records_indexed, greatest(0, 300 - records_indexed) as backlog,
+ case when greatest(0, 300 - records_indexed) > 0 then 'incomplete' else 'complete' end as status from thr2""")
+def e09(spark, d):
+    t = M.throughput(_ev(spark, d))
+    b, st = M.backlog(F.col("records_indexed"), F.lit(300))
+    return t.select("run_id", "records_indexed", b.alias("backlog"), st.alias("status"))
+
+
+_LAT_SQL = _NORM_SQL + """, lat as (select run_id, stage, quantile_cont(latency_ms, 0.95) as p95 from nd
+  group by run_id, stage),
+bn as (select run_id, stage as bottleneck_stage, p95 as bottleneck_p95 from lat where p95 is not null
+  qualify row_number() over (partition by run_id order by p95 desc, stage) = 1)"""
+
+_E10_SQL = _EV + _THR_SQL + _LAT_SQL + """,
+cnt as (select run_id, coalesce(sum(case when stage = 'ingest_enqueue' then coalesce(record_count, 1) end), 0)
+  as records_submitted, count(*) filter (where stage = 'index') as records_indexed,
+  count(*) filter (where stage in ('forward', 'forward_message')) as records_forwarded,
+  count(*) filter (where coalesce(status, 'ok') <> 'ok') as failures from v_perf_events group by run_id),
+ns as (select run_id, count(*) as n_stages from lat group by run_id),
+summ as (select c.*, round(t.wall_clock_s, 6) as wall_clock_s,
+  round(t.overall_records_per_minute, 6) as overall_records_per_minute, n.n_stages, b.bottleneck_stage,
+  round(b.bottleneck_p95, 6) as bottleneck_p95, greatest(0, 300 - c.records_indexed) as backlog,
+  case when greatest(0, 300 - c.records_indexed) > 0 then 'incomplete' else 'complete' end as status
+  from cnt c join thr2 t using (run_id) left join ns n using (run_id) left join bn b using (run_id))"""
+
+_E10_COLS = ["run_id", "records_submitted", "records_indexed", "records_forwarded", "failures", "wall_clock_s",
+             "overall_records_per_minute", "n_stages", "bottleneck_stage", "bottleneck_p95", "backlog", "status"]
+
+
+@register("e10_event_summary", _E10_SQL + "select * from summ")
+def e10(spark, d):
+    s = M.summarize_events(_ev(spark, d), F.lit(300))
+    return _r6_all(s.select(*_E10_COLS), ["wall_clock_s", "overall_records_per_minute", "bottleneck_p95"])
+
+
+def _samples(spark, d):
+    v = view(spark, d, "v_system_samples")
+    return v.withColumn("platform", F.when(F.col("event_id") % 40 == 0, "linux").otherwise("darwin"))
+
+
+_SYS_SQL = duck_cte("v_system_samples") + f""",
+sl as (select run_id, ts, m.metric, m.v from v_system_samples, (select unnest([
+  {{'metric': 'normalized_load_1m', 'v': normalized_load_1m}},
+  {{'metric': 'normalized_load_5m', 'v': normalized_load_5m}},
+  {{'metric': 'normalized_load_15m', 'v': normalized_load_15m}},
+  {{'metric': 'memory_available_ratio', 'v': memory_available_ratio}}]) as m)),
+sysm as (select run_id, metric, {_stats_sql('v', False)} from sl group by run_id, metric),
+first as (select run_id, count(*) as sample_count, arg_min(case when event_id % 40 = 0 then 'linux' else 'darwin' end,
+  ts) as platform from v_system_samples group by run_id)
+"""
+
+
+@register("e11_system_samples", _SYS_SQL + f"""
+select s.run_id, s.metric, s.count, {_round_sql('s.min,s.max,s.mean,s.p50,s.p95').replace('as s.', 'as ')},
+ f.sample_count, f.platform from sysm s join first f using (run_id)""")
+def e11(spark, d):
+    return _r6_all(M.system_summary(_samples(spark, d)), _STAT_COLS)
+
+
+
+_SYS_BODY = _SYS_SQL[len(duck_cte("v_system_samples")):]
+_BOTH = duck_cte("v_perf_events", "v_system_samples") + _THR_SQL + _SYS_BODY + """,
+adj as (select t.run_id, t.records_indexed, t.wall_clock_s, t.overall_records_per_minute,
+  case when m.mean is not null then greatest(1.0, m.mean) else 1.0 end as host_load_adjustment_factor,
+  t.overall_records_per_minute * case when m.mean is not null then greatest(1.0, m.mean) else 1.0 end
+  as load_adjusted_records_per_minute
+  from thr2 t left join (select run_id, mean from sysm where metric = 'normalized_load_1m') m using (run_id)),
+summary as (select a.*, l.mean as mean_load_1m, r.mean as mean_memory_ratio from adj a
+  left join (select run_id, mean from sysm where metric = 'normalized_load_1m') l using (run_id)
+  left join (select run_id, mean from sysm where metric = 'memory_available_ratio') r using (run_id))
+"""
+
+
+def _summary(spark, d):
+    ev = _ev(spark, d)
+    sysm = M.system_summary(_samples(spark, d))
+    adj = M.load_adjust(M.throughput(ev), sysm)
+    means = sysm.groupBy("run_id").agg(
+        F.max(F.when(F.col("metric") == "normalized_load_1m", F.col("mean"))).alias("mean_load_1m"),
+        F.max(F.when(F.col("metric") == "memory_available_ratio", F.col("mean"))).alias("mean_memory_ratio"))
+    return adj.join(means, "run_id", "left")
+
+
+@register("e12_load_adjustment", _BOTH + """
+select run_id, round(overall_records_per_minute, 6) as overall_records_per_minute,
+ round(host_load_adjustment_factor, 6) as host_load_adjustment_factor,
+ round(load_adjusted_records_per_minute, 6) as load_adjusted_records_per_minute from adj""")
+def e12(spark, d):
+    s = _summary(spark, d)
+    return _r6_all(s.select("run_id", "overall_records_per_minute", "host_load_adjustment_factor",
+                            "load_adjusted_records_per_minute"),
+                   ["overall_records_per_minute", "host_load_adjustment_factor", "load_adjusted_records_per_minute"])
+
+
+_GATE_SQL = _BOTH + _LAT_SQL + """,
+cmp as (select c.stage, c.p95 as cand_p95, b.p95 as base_p95,
+  case when b.p95 <> 0 and c.p95 is not null then (c.p95 - b.p95) / b.p95 * 100 end as p95_delta_pct
+  from lat c join lat b on b.stage = c.stage and b.run_id = '0' where c.run_id = '1'),
+reg as (select coalesce(max(p95_delta_pct > 10.0), false) as regressed, count(*) as common_stages from cmp),
+g as (select case when b.overall_records_per_minute <> 0 and c.overall_records_per_minute is not null then
+  (c.overall_records_per_minute - b.overall_records_per_minute) / b.overall_records_per_minute * 100 end as tdelta,
+  case when b.load_adjusted_records_per_minute <> 0 and c.load_adjusted_records_per_minute is not null then
+  (c.load_adjusted_records_per_minute - b.load_adjusted_records_per_minute) / b.load_adjusted_records_per_minute * 100
+  end as adelta, b.mean_load_1m as bl, c.mean_load_1m as cl, b.mean_memory_ratio as bm, c.mean_memory_ratio as cm,
+  r.regressed, r.common_stages
+  from summary c, summary b, reg r where c.run_id = '1' and b.run_id = '0')
+"""
+
+
+@register("e13_gate", _GATE_SQL + """
+select coalesce(tdelta >= 5.0, false) and not regressed as pass, round(tdelta, 6) as throughput_delta_pct,
+ round(adelta, 6) as load_adjusted_throughput_delta_pct,
+ array_to_string(list_filter([case when not coalesce(tdelta >= 5.0, false) then
+  'throughput improvement below threshold' end, case when regressed then
+  'p95 latency regression exceeded threshold' end], lambda x: x is not null), '; ') as reasons, common_stages,
+ round(bl, 6) as baseline_mean_normalized_load_1m, round(cl, 6) as candidate_mean_normalized_load_1m,
+ round(bm, 6) as baseline_mean_memory_available_ratio, round(cm, 6) as candidate_mean_memory_available_ratio,
+ 5.0::double as min_throughput_improvement_pct, 10.0::double as p95_regression_limit_pct from g""")
+def e13(spark, d):
+    s = _summary(spark, d)
+    lat = M.stage_latency(_ev(spark, d))
+    cmp = M.compare_stages(lat.filter(F.col("run_id") == "1"), lat.filter(F.col("run_id") == "0"))
+    g = M.evaluate_gate(s.filter(F.col("run_id") == "1"), s.filter(F.col("run_id") == "0"), cmp)
+    g = g.withColumn("reasons", F.array_join("reasons", "; "))
+    return _r6_all(g, ["throughput_delta_pct", "load_adjusted_throughput_delta_pct",
+                       "baseline_mean_normalized_load_1m", "candidate_mean_normalized_load_1m",
+                       "baseline_mean_memory_available_ratio", "candidate_mean_memory_available_ratio"])
+
+
+@register("e14_bottleneck", _EV + _LAT_SQL + """
+select run_id, bottleneck_stage, round(bottleneck_p95, 6) as bottleneck_p95 from bn""")
+def e14(spark, d):
+    return _r6_all(M.bottleneck(M.stage_latency(_ev(spark, d))), ["bottleneck_p95"])
+
+
+SWEEP_MODES = ["real", "fake"]
+SWEEP_SIZES = [50, 100, 250, 500]
+
+
+def sweep_table(spark, summary: DataFrame, modes=SWEEP_MODES, sizes=SWEEP_SIZES) -> DataFrame:
+    """One row per (mode, batch size) case of the sweep; case i is run
+    ``str(i)``; cases without a run are 'missing'."""
+    grid = spark.createDataFrame([(m, b, str(i * len(sizes) + j)) for i, m in enumerate(modes)
+                                  for j, b in enumerate(sizes)], "mode string, batch_size int, run_id string")
+    j = grid.join(summary, "run_id", "left")
+    return j.select("mode", "batch_size", F.when(F.col("overall_records_per_minute").isNotNull() |
+                                                 F.col("wall_clock_s").isNotNull(), "ok").otherwise("missing")
+                    .alias("status"), "overall_records_per_minute", "load_adjusted_records_per_minute",
+                    "mean_load_1m", "mean_memory_ratio")
+
+
+_GRID_SQL = "(values " + ", ".join(f"('{m}', {b}, '{i * 4 + j}')" for i, m in enumerate(SWEEP_MODES)
+                                   for j, b in enumerate(SWEEP_SIZES)) + ") g(mode, batch_size, run_id)"
+
+
+@register("e15_sweep_table", _BOTH + f"""
+select g.mode, g.batch_size, case when s.overall_records_per_minute is not null or s.wall_clock_s is not null then 'ok'
+ else 'missing' end as status, round(s.overall_records_per_minute, 6) as overall_records_per_minute,
+ round(s.load_adjusted_records_per_minute, 6) as load_adjusted_records_per_minute,
+ round(s.mean_load_1m, 6) as mean_load_1m, round(s.mean_memory_ratio, 6) as mean_memory_ratio
+from {_GRID_SQL} left join summary s using (run_id)""")
+def e15(spark, d):
+    out = sweep_table(spark, _summary(spark, d))
+    return _r6_all(out, ["overall_records_per_minute", "load_adjusted_records_per_minute", "mean_load_1m",
+                         "mean_memory_ratio"])
+
+
+def run_completion(final: DataFrame, scores: DataFrame, run_id, expected: int) -> DataFrame:
+    """Distinct records of a run present in the tables vs expected."""
+    rr = ST.run_results(final, scores, run_id)
+    n = rr.agg(F.count(F.lit(1)).alias("indexed_records"))
+    return n.select(F.lit(run_id).cast("long").alias("run_id"), "indexed_records",
+                    (F.col("indexed_records") >= expected).alias("complete"), F.lit(expected).alias("expected"))
+
+
+@register("e17_run_completion", _ST_SQL + _RUN1_ROWS + """
+select 1 as run_id, count(*) as indexed_records, count(*) >= 300 as complete, 300 as expected from rr""")
+def e17(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    return run_completion(st.final, st.scores, 1, 300)
+
+
+@register("e18_completion_override", _ST_SQL.replace(_ST_BASE, duck_cte(
+    "v_overrides", "v_scores", "v_final", "v_scored", "v_perf_events"), 1) + _RUN1_ROWS + _THR_SQL + """
+, comp as (select count(*) as n from rr)
+select t.run_id, comp.n as records_indexed, round(t.wall_clock_s, 6) as wall_clock_s,
+ round(case when t.wall_clock_s > 0 then comp.n / t.wall_clock_s * 60 end, 6) as overall_records_per_minute,
+ comp.n < 300 as timed_out from thr2 t, comp where t.run_id = '1'""")
+def e18(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    comp = run_completion(st.final, st.scores, 1, 300)
+    thr = M.throughput(_ev(spark, d)).filter(F.col("run_id") == "1").drop("records_indexed")
+    j = thr.crossJoin(comp.select("indexed_records", "complete"))  # one row x one row
+    out = j.select("run_id", F.col("indexed_records").alias("records_indexed"), "wall_clock_s",
+                   S.per_minute("indexed_records", "wall_clock_s").alias("overall_records_per_minute"),
+                   (~F.col("complete")).alias("timed_out"))
+    return _r6_all(out, ["wall_clock_s", "overall_records_per_minute"])
+
+
+@register("d09_stage_compare", _EV + _LAT_SQL + """
+select c.stage, round(c.p95, 6) as cand_p95, round(b.p95, 6) as base_p95,
+ round(case when b.p95 <> 0 and c.p95 is not null then (c.p95 - b.p95) / b.p95 * 100 end, 6) as p95_delta_pct
+from lat c join lat b on b.stage = c.stage and b.run_id = '0' where c.run_id = '1'""")
+def d09(spark, d):
+    lat = M.stage_latency(_ev(spark, d))
+    cmp = M.compare_stages(lat.filter(F.col("run_id") == "1"), lat.filter(F.col("run_id") == "0"))
+    return _r6_all(cmp, ["cand_p95", "base_p95", "p95_delta_pct"])
+
+
+def fixture_contexts(events: DataFrame) -> DataFrame:
+    runs = events.select("run_id").distinct()
+    run_level = runs.select("run_id", F.lit(None).cast("string").alias("context_id"),
+                            (F.col("run_id") != "3").alias("enabled"),
+                            F.concat(F.lit("ctx"), F.col("run_id")).alias("default_context_id"))
+    spec = runs.filter(F.col("run_id") == "1").select("run_id", F.lit("c-off").alias("context_id"),
+                                                      F.lit(False).alias("enabled"),
+                                                      F.lit(None).cast("string").alias("default_context_id"))
+    return run_level.unionByName(spec)
+
+
+@register("d10_event_context", _EV + """
+, ev as (select *, case event_id % 5 when 0 then 'c-off' when 1 then 'c-x' end as context_id from v_perf_events)
+select e.event_id, coalesce(e.context_id, 'ctx' || e.run_id) as context_id from ev e
+where coalesce(case when e.run_id = '1' and e.context_id = 'c-off' then false end, e.run_id <> '3', true)""")
+def d10(spark, d):
+    ev = _ev(spark, d).withColumn("context_id", F.when(F.col("event_id") % 5 == 0, "c-off")
+                                  .when(F.col("event_id") % 5 == 1, "c-x"))
+    out = M.resolve_event_context(ev, fixture_contexts(ev))
+    return out.select("event_id", "context_id")
