@@ -329,12 +329,3 @@ def resend_select(reqs: DataFrame, final: DataFrame, scores: DataFrame, key: str
     c = L.latest_per_key(c, [key, "_kk", "_kv"], ["created", "final_id"]).drop("_kk", "_kv", "created")
     cols = [key, "bibcode", "scix_id", "final_id", "collection"]
     return a.select(*cols).unionByName(b.select(*cols)).unionByName(c.select(*cols))
-
-
-def to_response(df: DataFrame, status: Column | None = None) -> DataFrame:
-    """One response message per record: JSON of bibcode, scix_id,
-    status, collections."""
-    st = status if status is not None else (F.col("status") if "status" in df.columns else F.lit("success"))
-    coll = F.col("collections") if "collections" in df.columns else F.col("collection")
-    return df.select(F.to_json(F.struct(F.col("bibcode"), F.col("scix_id"), st.alias("status"),
-                                        coll.alias("collections"))).alias("value"))

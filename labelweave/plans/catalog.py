@@ -1523,3 +1523,240 @@ def d10(spark, d):
                                   .when(F.col("event_id") % 5 == 1, "c-x"))
     out = M.resolve_event_context(ev, fixture_contexts(ev))
     return out.select("event_id", "context_id")
+
+
+# ----------------------------------------------------------- A (files) ----
+import os  # noqa: E402
+
+from labelweave.session import rename_parts, scratch_dir  # noqa: E402
+from labelweave.sources import readers as RD  # noqa: E402
+from labelweave.sources import writers as WR  # noqa: E402
+
+
+def _csv_out(df: DataFrame, path: str, sep: str = ",", header: bool = True, parts: int = 3) -> None:
+    (df.repartition(parts).write.mode("overwrite").option("sep", sep).option("header", header)
+       .option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+       .option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+_A1_SQL = duck_cte("v_requests") + f"""
+select bibcode, scix_id, coalesce(title, '') as title, coalesce(abstract, '') as abstract
+from (select *, {_REQ_IDS} from v_requests) r"""
+
+
+@register("a01_read_new_records", _A1_SQL)
+def a01(spark, d):
+    path = scratch_dir(spark, "a01")
+    v = view(spark, d, "v_requests").select(F.col("identifier").alias("bibcode"), "title", "abstract")
+    _csv_out(v, path)
+    return RD.read_new_records(spark, path).select("bibcode", "scix_id", "title", "abstract")
+
+
+@register("a02_read_pre_ingest", duck_cte("v_requests") + """
+select bibcode, scix_id, coalesce(title, '') as title, coalesce(abstract, '') as abstract,
+ 'pre_ingest' as operation_step, case when bibcode is null and scix_id is null
+ then 'Expected a bibcode or SciX ID in the first column, got ' || identifier end as error
+from (select *, """ + _REQ_IDS + """ from v_requests) r""")
+def a02(spark, d):
+    path = scratch_dir(spark, "a02")
+    v = view(spark, d, "v_requests").select(F.col("identifier").alias("bibcode"), "title", "abstract")
+    _csv_out(v, path, sep="\t")
+    out = RD.read_pre_ingest(spark, path, delimiter="tab", strict=False)
+    return out.select("bibcode", "scix_id", "title", "abstract", "operation_step", "error")
+
+
+@register("a02b_resolve_delimiter")
+def a02b(spark, d):
+    base = scratch_dir(spark, "a02b")
+    v = view(spark, d, "v_requests").select("identifier", "title", "abstract")
+    _csv_out(v, os.path.join(base, "tabbed"), sep="\t")
+    _csv_out(v, os.path.join(base, "comma"), sep=",")
+    s = RD.delimiter_by_file(RD.sniff_delimiters(spark, [os.path.join(base, "tabbed"), os.path.join(base, "comma")]))
+    return s.select(F.when(F.col("file").contains("/tabbed/"), "tabbed").otherwise("comma").alias("folder"),
+                    "delimiter").distinct()
+
+
+@register("a03_inline_text", "with req as (select doc_id as input_index, '' || ' ' || text as text from documents),"
+          + O.scores_ctes("req") + f"""
+select input_index as doc_id, 'pre_ingest' as operation_step,
+ array_to_string({O.collections_sql('scores')}, ', ') as collections from o_scores""")
+def a03(spark, d):
+    docs = read_table(spark, d, "documents").select(F.col("doc_id").alias("input_index"), "text")
+    req = RD.from_text(docs).drop("text")
+    out = SC.classify(req, _scorer(spark), carry=("operation_step",))
+    return out.select(F.col("input_index").alias("doc_id"), "operation_step",
+                      S.join_list("collections").alias("collections"))
+
+
+def _validation_rows(spark, d):
+    s = view(spark, d, "v_scored").withColumn("collections", S.collections("scores")).withColumn(
+        "collection_scores", S.collection_scores("scores"))
+    r = view(spark, d, "v_requests").select("input_index", F.col("batch_id").alias("run_id"), "title", "abstract")
+    rows = output_row(s.join(r, "input_index"))
+    i = F.col("bibcode") != ""
+    ov = F.when(F.length("title") % 3 == 0, "general").when(F.length("title") % 3 == 1, "Astrophysics,physics") \
+        .otherwise("")
+    return rows.withColumn("override", F.when(i | (F.col("scix_id") != ""), ov).otherwise(F.lit("")))
+
+
+@register("a04_read_validation_tsv", duck_cte("v_scored", "v_requests") + """
+, rows as (select coalesce(s.bibcode, '') as bibcode, coalesce(s.scix_id, '') as scix_id,
+  case when r.batch_id = 0 then '' else cast(r.batch_id as varchar) end as run_id,
+  coalesce(r.title, '') as title, coalesce(r.abstract, '') as abstract from v_scored s join v_requests r
+  using (input_index))
+select case when bibcode <> '' and length(bibcode) = 19 and not regexp_matches(bibcode,
+  '^scix:[A-Za-z0-9]{4}-[A-Za-z0-9]{4}-[A-Za-z0-9]{4}$') then bibcode end as bibcode,
+ case when not (bibcode <> '' and length(bibcode) = 19 and not regexp_matches(bibcode,
+  '^scix:[A-Za-z0-9]{4}-[A-Za-z0-9]{4}-[A-Za-z0-9]{4}$')) and length(scix_id) = 19 and regexp_matches(scix_id,
+  '^scix:[A-Za-z0-9]{4}-[A-Za-z0-9]{4}-[A-Za-z0-9]{4}$') then scix_id end as scix_id,
+ run_id, title, abstract, 'validate' as operation_step,
+ case when length(title) % 3 = 0 then 'general' when length(title) % 3 = 1 then 'Astrophysics|physics' else '' end
+ as override from rows""")
+def a04(spark, d):
+    path = scratch_dir(spark, "a04")
+    _csv_out(_validation_rows(spark, d), path, sep="\t")
+    out = RD.read_validation_tsv(spark, path)
+    return out.select("bibcode", "scix_id", "run_id", "title", "abstract", "operation_step",
+                      F.array_join("override", "|").alias("override"))
+
+
+@register("a05_read_benchmark_dataset", _A1_SQL + " where bibcode is not null or scix_id is not null")
+def a05(spark, d):
+    path = scratch_dir(spark, "a05")
+    v = view(spark, d, "v_requests").select(F.col("identifier").alias("bibcode"), "title", "abstract")
+    _csv_out(v, path)
+    return RD.read_dataset(spark, path).select("bibcode", "scix_id", "title", "abstract")
+
+
+def _events_jsonl(spark, d, path: str) -> None:
+    e = view(spark, d, "v_perf_events")
+    js = e.select(F.to_json(F.struct(
+        "ts", "stage", "run_id", F.lit(None).cast("string").alias("context_id"),
+        F.col("event_id").cast("string").alias("record_id"), "duration_ms", "status",
+        F.struct("name", F.col("record_count").cast("long").alias("record_count"), "batch_mode").alias("extra"))
+    ).alias("value"))
+    junk = spark.range(2).select(F.when(F.col("id") == 0, F.lit("")).otherwise(F.lit('{"ts": 1, broken')).alias(
+        "value"))
+    js.unionByName(junk).repartition(4).write.mode("overwrite").text(path)
+
+
+@register("a06_read_perf_events", _EV + """
+select cast(event_id as varchar) as record_id, ts, stage, duration_ms, status, name,
+ cast(record_count as bigint) as record_count, batch_mode from v_perf_events where run_id = '1'""")
+def a06(spark, d):
+    path = scratch_dir(spark, "a06")
+    _events_jsonl(spark, d, path)
+    ev = RD.flatten_events(RD.read_events(spark, path, run_id=1))
+    return ev.select("record_id", "ts", "stage", "duration_ms", "status", "name", "record_count", "batch_mode")
+
+
+@register("a07_concat_tsv", duck_cte("v_requests") + """
+select identifier, coalesce(title, '') as title, coalesce(abstract, '') as abstract from v_requests""")
+def a07(spark, d):
+    base = scratch_dir(spark, "a07")
+    v = view(spark, d, "v_requests").select("identifier", "title", "abstract")
+    _csv_out(v.filter(F.col("input_index") % 2 == 0), base + "-w1", sep="\t", parts=2)
+    _csv_out(v.filter(F.col("input_index") % 2 == 1).toDF("id", "t", "a"), base + "-w2", sep="\t", parts=1)
+    _csv_out(v.limit(0), base + "-w3", sep="\t", parts=1)
+    rename_parts(spark, base + "-w1", base, "p_", ".tsv")
+    rename_parts(spark, base + "-w2", base, "p_x", ".tsv")
+    rename_parts(spark, base + "-w3", base, "q_", ".tsv")
+    out = RD.concat_tsv(spark, base, "p_")
+    return out.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c != "identifier" else F.col(c)
+                        for c in ("identifier", "title", "abstract")])
+
+
+def _responses(spark, d) -> DataFrame:
+    """Search-response JSON texts derived from v_requests: 10 docs each with
+    the title as a list, a string, an empty list or missing."""
+    v = view(spark, d, "v_requests")
+    t = F.coalesce(F.col("title"), F.lit(""))
+    as_list = F.to_json(F.array(t))
+    as_str = F.substring(as_list, 2, 1 << 30).substr(F.lit(1), F.length(as_list) - 2)
+    k = F.col("input_index") % 4
+    title_part = (F.when(k == 0, F.concat(F.lit(',"title":'), as_list))
+                  .when(k == 1, F.concat(F.lit(',"title":'), as_str))
+                  .when(k == 2, F.lit(',"title":[]')).otherwise(F.lit("")))
+    ab = F.to_json(F.array(F.coalesce(F.col("abstract"), F.lit(""))))
+    ab_str = F.substring(ab, 2, 1 << 30).substr(F.lit(1), F.length(ab) - 2)
+    ab_part = F.when(F.col("input_index") % 5 == 0, F.lit("")).otherwise(F.concat(F.lit(',"abstract":'), ab_str))
+    doc = F.concat(F.lit('{"bibcode":'), F.to_json(F.array("identifier")).substr(F.lit(2), F.length(
+        F.to_json(F.array("identifier"))) - 2), title_part, ab_part, F.lit("}"))
+    docs = v.select((F.col("input_index") / 10).cast("long").alias("resp"), "input_index", doc.alias("doc"))
+    # a response holds 10 docs: a bounded group
+    resp = docs.groupBy("resp").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
+        "input_index", "doc"))), lambda x: x["doc"]), ",").alias("docs"))
+    js = resp.select(F.concat(F.lit('{"response":{"docs":['), F.col("docs"), F.lit("]}}")).alias("value"))
+    return js.unionByName(spark.range(1).select(F.lit("{}").alias("value")))
+
+
+@register("a08_parse_search_response", duck_cte("v_requests") + """
+, p as (select identifier as bibcode, case when input_index % 4 in (0, 1) then coalesce(title, '') else '' end
+  as title, case when input_index % 5 = 0 then '' else coalesce(abstract, '') end as abstract from v_requests)
+select bibcode, title, abstract, title || ' ' || abstract as text from p""")
+def a08(spark, d):
+    return RD.parse_search_response(_responses(spark, d))
+
+
+def _classified_rows(spark, d):
+    cl = SC.classify(view(spark, d, "v_requests"), _scorer(spark), carry=("identifier", "title", "abstract",
+                                                                           "batch_id"))
+    cl = I.split_identifier(cl, "identifier").withColumnRenamed("batch_id", "run_id")
+    return output_row(cl)
+
+
+@register("a09_write_classified_tsv")
+def a09(spark, d):
+    path = scratch_dir(spark, "a09")
+    WR.write_classified_tsv(_classified_rows(spark, d), path)
+    return spark.read.option("sep", "\t").option("header", True).option("multiLine", True).option(
+        "escape", '"').csv(path)
+
+
+@register("a10_append_classified_tsv")
+def a10(spark, d):
+    path = scratch_dir(spark, "a10")
+    rows = _classified_rows(spark, d)
+    WR.append_classified_tsv(rows, path)
+    WR.append_classified_tsv(rows, path)
+    return spark.read.option("sep", "\t").option("header", True).option("multiLine", True).option(
+        "escape", '"').csv(path)
+
+
+@register("a11_forward_response")
+def a11(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    r = ST.recently_validated(st.final, 30, _now())
+    return WR.to_response(r, F.lit("success"))
+
+
+@register("a12_write_metrics_summary")
+def a12(spark, d):
+    path = scratch_dir(spark, "a12")
+    s = M.summarize_events(_ev(spark, d), F.lit(300))
+    WR.write_summary(s, path)
+    return spark.read.json(path)
+
+
+def classify_ids(spark, ids_path: str, catalog: DataFrame, out_path: str, scorer) -> DataFrame:
+    """Ids CSV -> catalogue lookup (D7) -> classify (C13) -> scores by
+    label and minimum collection score (B22, B23) -> ascending sort (F6) ->
+    ``<name>_classified.csv``."""
+    ids = RD.read_ids_csv(spark, ids_path).withColumnRenamed("bibcode", "identifier")
+    found = catalog.join(ids, "identifier", "left_semi")
+    cl = SC.classify(found, scorer, carry=("identifier",))
+    out = cl.select(F.col("identifier").alias("bibcode"), S.join_list("collections").alias("collections"),
+                    S.min_collection_score("collections", "scores").alias("min_score"))
+    out = out.orderBy(F.col("min_score").asc_nulls_last(), "bibcode")
+    out.write.mode("overwrite").option("header", True).csv(out_path)
+    return spark.read.option("header", True).csv(out_path)
+
+
+@register("a13_ids_csv_roundtrip")
+def a13(spark, d):
+    base = scratch_dir(spark, "a13")
+    v = _requests_split(spark, d)
+    ids = v.filter(F.col("bibcode").isNotNull()).select("bibcode")
+    ids.write.mode("overwrite").option("header", True).csv(os.path.join(base, "ids"))
+    return classify_ids(spark, os.path.join(base, "ids"), v, os.path.join(base, "ids_classified.csv"),
+                        _scorer(spark))

@@ -53,3 +53,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def scratch_dir(spark: SparkSession, tag: str) -> str:
+    """A fresh folder under the shared checkpoint folder for derived files."""
+    import uuid
+    return os.path.join(ensure_checkpoint_dir(spark), "lw-scratch", f"{tag}-{uuid.uuid4().hex[:12]}")
+
+
+def rename_parts(spark: SparkSession, src_dir: str, dest_dir: str, prefix: str, ext: str) -> list[str]:
+    """Give the part files Spark wrote in ``src_dir`` stable names
+    ``<prefix><n><ext>`` in ``dest_dir`` (metadata-only renames)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src = jvm.org.apache.hadoop.fs.Path(src_dir)
+    fs = src.getFileSystem(conf)
+    dest = jvm.org.apache.hadoop.fs.Path(dest_dir)
+    fs.mkdirs(dest)
+    names = sorted(st.getPath().getName() for st in fs.listStatus(src) if st.getPath().getName().startswith("part-"))
+    out = []
+    for i, n in enumerate(names):
+        target = jvm.org.apache.hadoop.fs.Path(dest, f"{prefix}{i + 1}{ext}")
+        fs.rename(jvm.org.apache.hadoop.fs.Path(src, n), target)
+        out.append(target.toString())
+    return out
