@@ -1760,3 +1760,77 @@ def a13(spark, d):
     ids.write.mode("overwrite").option("header", True).csv(os.path.join(base, "ids"))
     return classify_ids(spark, os.path.join(base, "ids"), v, os.path.join(base, "ids_classified.csv"),
                         _scorer(spark))
+
+
+# ------------------------------------------------------- H (streaming) ----
+from labelweave.streaming import claims as CL  # noqa: E402
+from labelweave.streaming import pipelines as PL  # noqa: E402
+
+
+def _write_request_files(spark, d, path: str, n_files: int = 4) -> None:
+    r = _requests_split(spark, d).select("input_index", "batch_id", "bibcode", "scix_id", "title", "abstract")
+    r.repartitionByRange(n_files, "input_index").write.mode("overwrite").json(path)
+
+
+@register("h01_stream_classify", _C13_SQL)
+def h01(spark, d):
+    base = scratch_dir(spark, "h01")
+    _write_request_files(spark, d, os.path.join(base, "in"))
+    q = PL.start_classify_stream(spark, os.path.join(base, "in"), os.path.join(base, "out"),
+                                 os.path.join(base, "ckpt"), _scorer(spark))
+    q.awaitTermination()
+    out = spark.read.parquet(os.path.join(base, "out"))
+    return out.select("input_index", *[r6(F.get(F.col("scores"), i)).alias(f"s{i}") for i in range(8)],
+                      S.join_list("collections").alias("collections"))
+
+
+def _claims_events(spark, d):
+    v = view(spark, d, "v_claims")
+    return v.select("fp", "event_id", F.col("ts_s").cast("double").alias("ts"), "op")
+
+
+@register("h02_claim_stage")
+def h02(spark, d):
+    base = scratch_dir(spark, "h02")
+    ev = _claims_events(spark, d)
+    # files in time order, one per trigger, so the stream sees events in ts order
+    ev.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.mode("overwrite").parquet(
+        os.path.join(base, "in"))
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in"))
+    q = (CL.claims_stream(stream).writeStream.format("parquet").option("path", os.path.join(base, "out"))
+         .option("checkpointLocation", os.path.join(base, "ckpt")).outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "out")).select("fp", "event_id", "op", "granted", "stage")
+
+
+@register("h03_mark_stage")
+def h03(spark, d):
+    return CL.final_states(CL.claims_batch(_claims_events(spark, d)))
+
+
+@register("h04_replay_dedupe", duck_cte("v_requests") + f"""
+select distinct sha256(case
+ when coalesce(scix_id,'') <> '' then concat_ws('|', {_norm_sql("run_txt")}, 'scix_id', {_norm_sql("scix_id")})
+ when coalesce(bibcode,'') <> '' then concat_ws('|', {_norm_sql("run_txt")}, 'bibcode', {_norm_sql("bibcode")})
+ else concat_ws('|', {_norm_sql("run_txt")}, 'text', {_norm_sql("title")}, {_norm_sql("abstract")}) end)
+ as fingerprint
+from (select *, {_REQ_IDS}, case when batch_id = 0 then '' else cast(batch_id as varchar) end as run_txt
+      from v_requests) r""")
+def h04(spark, d):
+    r = _requests_split(spark, d).withColumn("run_id", F.col("batch_id"))
+    doubled = r.unionByName(r)
+    return PL.drop_replays(doubled).select("fingerprint")
+
+
+@register("h05_stream_events", _EV + """
+select run_id, stage, count(*) as count, round(quantile_cont(duration_ms, 0.5), 6) as p50,
+ round(quantile_cont(duration_ms, 0.95), 6) as p95 from v_perf_events group by run_id, stage""")
+def h05(spark, d):
+    base = scratch_dir(spark, "h05")
+    _events_jsonl(spark, d, os.path.join(base, "in"))
+    q = PL.start_event_stream(spark, os.path.join(base, "in"), os.path.join(base, "out"),
+                              os.path.join(base, "ckpt"), RD.PERF_EVENT)
+    q.awaitTermination()
+    out = spark.read.parquet(os.path.join(base, "out"))
+    return _r6_all(out, ["p50", "p95"])
