@@ -1528,7 +1528,7 @@ def d10(spark, d):
 # ----------------------------------------------------------- A (files) ----
 import os  # noqa: E402
 
-from labelweave.session import rename_parts, scratch_dir  # noqa: E402
+from labelweave.session import rename_parts, scratch_dir, stamp_in_name_order  # noqa: E402
 from labelweave.sources import readers as RD  # noqa: E402
 from labelweave.sources import writers as WR  # noqa: E402
 
@@ -1796,6 +1796,7 @@ def h02(spark, d):
     # files in time order, one per trigger, so the stream sees events in ts order
     ev.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.mode("overwrite").parquet(
         os.path.join(base, "in"))
+    stamp_in_name_order(spark, os.path.join(base, "in"))
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in"))
     q = (CL.claims_stream(stream).writeStream.format("parquet").option("path", os.path.join(base, "out"))
          .option("checkpointLocation", os.path.join(base, "ckpt")).outputMode("append")

@@ -20,7 +20,8 @@ from labelweave import config as C
 
 def _tsv_writer(df: DataFrame, mode: str):
     return (df.write.mode(mode).option("sep", "\t").option("header", True).option("quote", '"')
-            .option("escape", '"').option("escapeQuotes", True))
+            .option("escape", '"').option("escapeQuotes", True).option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False))
 
 
 def write_classified_tsv(rows: DataFrame, path: str, partition_by: str | None = None) -> None:
