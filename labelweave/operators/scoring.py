@@ -25,6 +25,7 @@ from labelweave import config as C
 from labelweave.functions import scores as S
 from labelweave.functions import text as T
 from labelweave.operators import windows as W
+from labelweave.operators.layout import spread_records
 
 
 def default_weights(spark: SparkSession, n_buckets: int = C.N_BUCKETS, n_labels: int = len(C.LABELS)) -> DataFrame:
@@ -164,6 +165,7 @@ def select_labels(scores, labels=C.LABELS, thresholds=None) -> Column:
 def score_records(df: DataFrame, keys: list[str], scorer, text_col: str = "text",
                   cfg: C.ClassifierConfig = C.DEFAULT) -> DataFrame:
     """C1 + C2 + C10 + C11: ``keys + text`` -> ``keys + scores``."""
+    df = spread_records(df.select(*keys, text_col), keys[0])
     ids = df.select(*keys, T.token_ids(F.col(text_col)).alias("ids"))
     chunks = explode_windows(ids, keys, "ids", cfg.window, cfg.stride, cfg.cover_tail)
     probs = scorer.score_windows(chunks, keys)

@@ -23,6 +23,7 @@ from labelweave import config as C
 from labelweave.functions.ids import nonblank, record_key_kind, record_key_value
 from labelweave.operators import latest as L
 from labelweave.operators.requests import is_allowed, is_single_empty
+from labelweave.session import cut_lineage
 
 ORDER = ["created", "id"]
 
@@ -98,42 +99,47 @@ def index_batch(state: State, records: DataFrame, now: Column, payload_col: str
                 override_mode: str = "batch") -> tuple[State, DataFrame]:
     """Resolve overrides, reuse or append score rows, update or insert
     final rows.  Returns the new state and per-record results
-    (``status='record_indexed'``, score/final ids, flags for E16)."""
+    (``status='record_indexed'``, score/final ids, flags for E16).
+
+    The resolved batch is materialised once (checkpoint) and new ids are
+    assigned on that copy, so every output (score rows, final upserts,
+    results) sees the same ids and no branch re-derives the joins."""
     recs = dedupe_batch(records)
     r = resolve_override(recs, state.overrides, override_mode)
     r = match_scores(r, state.scores, payload_col)
-    new_sc = L.with_surrogate_ids(r.filter(F.col("existing_score_id").isNull()).select("input_index"),
+    f = L.resolve_by_either_id(r, state.final, ORDER, "fc_")
+    f = cut_lineage(f.select("input_index", "bibcode", "scix_id", "run_id", F.col(payload_col).alias("_payload"),
+                             "overrides_id", "final_collections", "existing_score_id", "fc_id"))
+    new_sc = L.with_surrogate_ids(f.filter(F.col("existing_score_id").isNull()).select("input_index"),
                                   L.max_id(state.scores), ["input_index"], "new_score_id")
-    r = r.join(new_sc, "input_index", "left").withColumn(
-        "score_id", F.coalesce(F.col("existing_score_id"), F.col("new_score_id")))
-    score_rows = r.filter(F.col("new_score_id").isNotNull()).select(
-        F.col("new_score_id").alias("id"), "bibcode", "scix_id", F.col(payload_col).alias("scores"),
+    new_fc = L.with_surrogate_ids(f.filter(F.col("fc_id").isNull()).select("input_index"),
+                                  L.max_id(state.final), ["input_index"], "new_final_id")
+    res = cut_lineage(f.join(new_sc, "input_index", "left").join(new_fc, "input_index", "left")
+                      .withColumn("score_id", F.coalesce(F.col("existing_score_id"), F.col("new_score_id"))))
+    score_rows = res.filter(F.col("new_score_id").isNotNull()).select(
+        F.col("new_score_id").alias("id"), "bibcode", "scix_id", F.col("_payload").alias("scores"),
         now.alias("created"), F.col("overrides_id").cast("long").alias("overrides_id"),
         F.col("run_id").cast("long").alias("run_id"))
     scores2 = state.scores.unionByName(score_rows.select(*state.scores.columns))
-    f = L.resolve_by_either_id(r, state.final, ORDER, "fc_")
-    upd = f.filter(F.col("fc_id").isNotNull())
-    upd = L.latest_per_key(upd.select("fc_id", "input_index", "final_collections", "score_id"), "fc_id",
-                           ["input_index"])
-    ins = f.filter(F.col("fc_id").isNull()).select("input_index", "bibcode", "scix_id", "final_collections",
-                                                   "score_id")
-    ins = L.with_surrogate_ids(ins, L.max_id(state.final), ["input_index"], "new_final_id")
+    upd = L.latest_per_key(res.filter(F.col("fc_id").isNotNull()).select(
+        "fc_id", "input_index", "final_collections", "score_id"), "fc_id", ["input_index"])
     u = upd.select(F.col("fc_id").alias("id"), F.col("final_collections").alias("_coll"),
                    F.col("score_id").alias("_sid"))
     fin = state.final.join(u, "id", "left").select(
         *[F.coalesce(F.col("_coll"), F.col("collection")).alias("collection") if c == "collection"
           else F.coalesce(F.col("_sid"), F.col("score_id")).alias("score_id") if c == "score_id"
           else F.col(c) for c in state.final.columns])
-    new_rows = ins.select(F.col("new_final_id").alias("id"), "bibcode", "scix_id", "score_id",
-                          F.col("final_collections").alias("collection"), F.lit(False).alias("validated"),
-                          F.lit(None).cast("timestamp").alias("validated_at"), now.alias("created"))
+    new_rows = res.filter(F.col("new_final_id").isNotNull()).select(
+        F.col("new_final_id").alias("id"), "bibcode", "scix_id", "score_id",
+        F.col("final_collections").alias("collection"), F.lit(False).alias("validated"),
+        F.lit(None).cast("timestamp").alias("validated_at"), now.alias("created"))
     final2 = fin.unionByName(new_rows.select(*state.final.columns))
-    results = f.join(ins.select("input_index", "new_final_id"), "input_index", "left").select(
+    results = res.select(
         "input_index", "bibcode", "scix_id", "overrides_id", "final_collections", "score_id",
         F.col("new_score_id").isNotNull().alias("new_score"),
         F.col("fc_id").isNotNull().alias("final_updated"),
         F.coalesce(F.col("fc_id"), F.col("new_final_id")).alias("final_id"),
-                       F.lit(C.STATUS_INDEXED).alias("status"))
+        F.lit(C.STATUS_INDEXED).alias("status"))
     return State(state.overrides, scores2, final2, state.runs, state.models), results
 
 
@@ -191,7 +197,7 @@ def validate(state: State, reqs: DataFrame, now: Column, key: str = "input_index
                .when((F.col("_branch") == "as_is") & F.col("_unval_id").isNotNull(), F.lit(C.STATUS_VALIDATED))
                .when(F.col("_branch") == "identical", F.lit(C.STATUS_PREVIOUSLY_VALIDATED))
                .when(F.col("_branch") == "disallowed", F.lit(C.STATUS_OTHER_FAILURE)))
-    x = x.withColumn("outcome", outcome)
+    x = cut_lineage(x.withColumn("outcome", outcome))
     # new override rows
     ins = x.filter(F.col("_branch") == "override").select(key, "bibcode", "scix_id", "override")
     ins = L.with_surrogate_ids(ins, L.max_id(state.overrides), [key], "new_override_id")
@@ -270,8 +276,8 @@ def lookup_by_id(final: DataFrame, ids: DataFrame, id_col: str = "identifier", b
 def validate_run(state: State, run_id, now: Column, key: str = "input_index") -> tuple[State, DataFrame]:
     """Every record of a run: its newest unvalidated final row becomes
     validated.  Per-row ``success`` (Q7)."""
-    recs = run_results(state.final, state.scores, run_id).select(
-        F.col("id").alias(key), "bibcode", "scix_id")
+    recs = cut_lineage(run_results(state.final, state.scores, run_id).select(
+        F.col("id").alias(key), "bibcode", "scix_id"))
     fc = _either_match(recs, state.final, key, ["id", "created", "validated", "bibcode", "scix_id"])
     unval = L.latest_per_key(fc.filter(~F.col("_t_validated")), key, ["_t_created", "_t_id"]).select(
         key, F.col("_t_id").alias("_fid"))

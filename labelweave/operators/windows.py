@@ -19,11 +19,9 @@ def _c(col) -> Column:
 
 
 def window_count(ids, window: int, stride: int, cover_tail: bool = False) -> Column:
-    n = F.size(_c(ids))
-    if cover_tail:
-        # enough windows that the last one reaches the final token
-        return F.lit(1) + F.greatest(F.lit(0), F.ceil((n - window) / F.lit(stride)).cast("int"))
-    return F.greatest(F.lit(1), (n / F.lit(stride)).cast("int"))
+    """max(1, len // stride) windows; with ``cover_tail`` enough windows that
+    the last one reaches the final token."""
+    return _k(F.size(_c(ids)), window, stride, cover_tail)
 
 
 def window_split(ids, window: int = C.SPLITTER_WINDOW, stride: int = C.SPLITTER_STRIDE,
@@ -62,7 +60,41 @@ def prepare_records(df: DataFrame, ids_col: str = "ids", window: int = C.SCORING
                     stride: int = C.SCORING_STRIDE, cover_tail: bool = False) -> DataFrame:
     """C2 + C3 + C4 on a frame with a token-id array column."""
     rows = add_special_tokens(window_split(F.col(ids_col), window, stride, cover_tail))
-    return df.withColumn("rows", rows).select("*", *record_stats("rows"))
+    return df.withColumn("rows", rows).select(
+        "*", *record_stats("rows"), F.size(ids_col).alias("n_tokens"),
+        F.size(F.get(F.col("rows"), 0)).alias("first_row_width"))
+
+
+def record_stats_from_count(n_tokens, window: int = C.SCORING_WINDOW, stride: int = C.SCORING_STRIDE,
+                            cover_tail: bool = False) -> list[Column]:
+    """C4 in closed form from the token count alone (no token arrays).
+
+    Window i holds ``min(window, n - i*stride)`` ids plus CLS/SEP; the first
+    window is the widest, the last one is padded to its width, so
+    max_row_width = first width and total = sum of the first k-1 widths +
+    the first width.  Equal to ``record_stats`` of the materialised rows."""
+    n = _c(n_tokens)
+    k = _k(n, window, stride, cover_tail)
+    first = F.least(F.lit(window), n) + 2
+    body = F.when(k > 1, F.aggregate(F.sequence(F.lit(0), k - 2),
+                                     F.lit(0).cast("bigint"),
+                                     lambda a, i: a + F.greatest(F.lit(0), F.least(F.lit(window), n - i * stride)) + 2)
+                  ).otherwise(F.lit(0).cast("bigint"))
+    return [k.alias("chunk_count"), first.alias("max_row_width"), (body + first).cast("bigint").alias("total_row_tokens"),
+            n.alias("n_tokens"), first.alias("first_row_width")]
+
+
+def _k(n: Column, window: int, stride: int, cover_tail: bool) -> Column:
+    if cover_tail:
+        return F.lit(1) + F.greatest(F.lit(0), F.ceil((n - window) / F.lit(stride)).cast("int"))
+    return F.greatest(F.lit(1), (n / F.lit(stride)).cast("int"))
+
+
+def prepare_stats(df: DataFrame, n_col: str = "n_tokens", window: int = C.SCORING_WINDOW,
+                  stride: int = C.SCORING_STRIDE, cover_tail: bool = False) -> DataFrame:
+    """C4 columns for C5 / C6 / C9 from a token-count column."""
+    return df.select(*[c for c in df.columns if c != n_col],
+                     *record_stats_from_count(F.col(n_col), window, stride, cover_tail))
 
 
 def length_group(df: DataFrame, batch_col: str = "batch_id", index_col: str = "input_index") -> DataFrame:
@@ -121,9 +153,10 @@ SHAPE_METRICS = [
 
 
 def batch_shape_metrics(df: DataFrame, batch_col: str = "batch_id", n: int = C.MODEL_INFERENCE_BATCH_SIZE,
-                        configured_batch_size: int | None = None, ids_col: str = "ids") -> DataFrame:
+                        configured_batch_size: int | None = None) -> DataFrame:
     """The 28 shape metrics of each scoring call (= batch), long form
-    ``(batch, name, value)``.  Input: C4..C6 columns."""
+    ``(batch, name, value)``.  Input: C4..C6 columns plus ``n_tokens`` and
+    ``first_row_width`` (from ``prepare_records`` or ``prepare_stats``)."""
     mb = (df.groupBy(batch_col, "micro_batch")
             .agg(F.count(F.lit(1)).alias("mb_records"),
                  F.sum("chunk_count").alias("mb_rows"),
@@ -153,9 +186,9 @@ def batch_shape_metrics(df: DataFrame, batch_col: str = "batch_id", n: int = C.M
         F.sum("chunk_count").alias("total_chunks"),
         F.avg("chunk_count").alias("mean_chunks_per_record"),
         F.max("chunk_count").alias("max_chunks_per_record"),
-        F.max(F.size(ids_col)).alias("max_tokenized_length"),
+        F.max("n_tokens").alias("max_tokenized_length"),
         F.max("chunk_count").alias("padded_tensor_rows"),
-        F.max(F.size(F.get(F.col("rows"), 0))).alias("padded_tensor_cols"),
+        F.max("first_row_width").alias("padded_tensor_cols"),
         F.lit(1).alias("grouping_applied"),
         F.avg("max_row_width").alias("mean_grouped_record_width"),
         F.max("max_row_width").alias("max_grouped_record_width"),

@@ -102,12 +102,14 @@ from (select unnest({O.collections_sql('scores')}) as c from o_scores) x group b
 
 
 def collection_counts(classified: DataFrame) -> DataFrame:
-    """Records per gross collection and per assigned collection."""
-    gross = (classified.select(S.gross_collection("scores").alias("name"))
-             .groupBy("name").agg(F.count(F.lit(1)).alias("n_records")).withColumn("level", F.lit("gross")))
-    coll = (classified.select(F.explode("collections").alias("name"))
-            .groupBy("name").agg(F.count(F.lit(1)).alias("n_records")).withColumn("level", F.lit("collection")))
-    return gross.unionByName(coll).select("level", "name", "n_records")
+    """Records per gross collection and per assigned collection, in one
+    pass: each record emits its gross label and its collections, then one
+    aggregate (partial counts combine map-side)."""
+    tags = F.concat(F.array(F.struct(F.lit("gross").alias("level"), S.gross_collection("scores").alias("name"))),
+                    F.transform("collections", lambda c: F.struct(F.lit("collection").alias("level"),
+                                                                  c.alias("name"))))
+    x = classified.select(F.explode(tags).alias("t")).select("t.level", "t.name")
+    return x.groupBy("level", "name").agg(F.count(F.lit(1)).alias("n_records"))
 
 
 @register("e19_collection_counts", _E19_SQL)
@@ -465,20 +467,33 @@ def f08(spark, d):
 # ------------------------------------------------------------ C (more) ----
 from labelweave.functions import text as T  # noqa: E402
 from labelweave.operators import windows as W  # noqa: E402
+from labelweave.operators.layout import spread_records  # noqa: E402
 from labelweave.session import read_table  # noqa: E402
 
 
+def _docs(spark, d):
+    return spread_records(read_table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+
+
 def _doc_ids(spark, d):
-    docs = read_table(spark, d, "documents")
-    return docs.select("doc_id", (F.col("doc_id") / 100).cast("bigint").alias("batch_id"),
-                       T.token_ids("text").alias("ids"))
+    return _docs(spark, d).select("doc_id", (F.col("doc_id") / 100).cast("bigint").alias("batch_id"),
+                                  T.token_ids("text").alias("ids"))
 
 
 def _prepared(spark, d):
+    """C4..C6 with the token rows materialised (needed by C7 / C8)."""
     p = W.prepare_records(_doc_ids(spark, d), "ids", C.SCORING_WINDOW, C.SCORING_STRIDE)
     return W.assign_micro_batch(W.length_group(p, "batch_id", "doc_id"), C.MODEL_INFERENCE_BATCH_SIZE)
 
 
+def _prepared_stats(spark, d):
+    """C4..C6 from token counts only (closed form, no token arrays)."""
+    n = _docs(spark, d).select("doc_id", (F.col("doc_id") / 100).cast("bigint").alias("batch_id"),
+                               F.size(T.tokens("text")).alias("n_tokens"))
+    p = W.prepare_stats(n, "n_tokens", C.SCORING_WINDOW, C.SCORING_STRIDE)
+    return W.assign_micro_batch(W.length_group(p, "batch_id", "doc_id"), C.MODEL_INFERENCE_BATCH_SIZE)
+
+
 @register("c01_tokenize", "with o_ids as (select doc_id, " + O.token_ids_sql("text") + """ as ids from documents)
 select doc_id, len(ids) as n_tokens, array_to_string(ids, ' ') as token_ids from o_ids""")
 def c01(spark, d):
@@ -513,18 +528,17 @@ def c03(spark, d):
 @register("c04_prepare_record_stats", "with " + O.prepared_ctes() + """
 select doc_id, chunk_count, max_row_width, total_row_tokens from o_stats""")
 def c04(spark, d):
-    p = W.prepare_records(_doc_ids(spark, d), "ids", C.SCORING_WINDOW, C.SCORING_STRIDE)
-    return p.select("doc_id", "chunk_count", "max_row_width", "total_row_tokens")
+    return _prepared_stats(spark, d).select("doc_id", "chunk_count", "max_row_width", "total_row_tokens")
 
 
 @register("c05_length_group", "with " + O.prepared_ctes() + "select doc_id, batch_id, group_rank from o_rank")
 def c05(spark, d):
-    return _prepared(spark, d).select("doc_id", "batch_id", "group_rank")
+    return _prepared_stats(spark, d).select("doc_id", "batch_id", "group_rank")
 
 
 @register("c06_micro_batch", "with " + O.prepared_ctes() + "select doc_id, batch_id, micro_batch from o_mb")
 def c06(spark, d):
-    return _prepared(spark, d).select("doc_id", "batch_id", "micro_batch")
+    return _prepared_stats(spark, d).select("doc_id", "batch_id", "micro_batch")
 
 
 @register("c07_pad_and_mask", "with " + O.prepared_ctes() + """
@@ -582,7 +596,7 @@ wide as (select r.batch_id, {_C09_COLS} from r join a using (batch_id))
 select batch_id, name, round(value, 6) as value from (unpivot wide on {", ".join(W.SHAPE_METRICS)}
  into name name value value) u""")
 def c09(spark, d):
-    m = W.batch_shape_metrics(_prepared(spark, d), "batch_id", C.MODEL_INFERENCE_BATCH_SIZE)
+    m = W.batch_shape_metrics(_prepared_stats(spark, d), "batch_id", C.MODEL_INFERENCE_BATCH_SIZE)
     return m.select("batch_id", "name", r6(F.col("value")).alias("value"))
 
 
@@ -1791,23 +1805,13 @@ def _claims_events(spark, d):
 
 @register("h02_claim_stage")
 def h02(spark, d):
-    base = scratch_dir(spark, "h02")
-    ev = _claims_events(spark, d)
-    # files in time order, one per trigger, so the stream sees events in ts order
-    ev.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.mode("overwrite").parquet(
-        os.path.join(base, "in"))
-    stamp_in_name_order(spark, os.path.join(base, "in"))
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in"))
-    q = (CL.claims_stream(stream).writeStream.format("parquet").option("path", os.path.join(base, "out"))
-         .option("checkpointLocation", os.path.join(base, "ckpt")).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(os.path.join(base, "out")).select("fp", "event_id", "op", "granted", "stage")
+    out = CL.claims_replay(_claims_events(spark, d), scratch_dir(spark, "h02"), n_slices=4)
+    return out.select("fp", "event_id", "op", "granted", "stage")
 
 
 @register("h03_mark_stage")
 def h03(spark, d):
-    return CL.final_states(CL.claims_batch(_claims_events(spark, d)))
+    return CL.final_states(CL.claims_replay(_claims_events(spark, d), scratch_dir(spark, "h03"), n_slices=4))
 
 
 @register("h04_replay_dedupe", duck_cte("v_requests") + f"""

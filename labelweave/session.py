@@ -91,3 +91,13 @@ def stamp_in_name_order(spark: SparkSession, folder: str, start_ms: int = 1_000_
     for i, part in enumerate(parts):
         fs.setTimes(part, start_ms + i * 1000, -1)
     return len(parts)
+
+
+def cut_lineage(df):
+    """Materialise ``df`` once as a Parquet table in the shared checkpoint
+    folder and read it back, so every later branch scans that table instead
+    of re-deriving it (one computation; survives executor loss)."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -74,3 +74,11 @@ def test_stream_classify_equals_batch(spark, sf_small):
     a = {r[0]: tuple(r[1:]) for r in QUERIES["c13_classify"](spark, sf_small).collect()}
     b = {r[0]: tuple(r[1:]) for r in QUERIES["h01_stream_classify"](spark, sf_small).collect()}
     assert a == b
+
+
+def test_claims_replay_matches_brute_force(spark):
+    ev = _events(n=300, keys=3, seed=5)
+    expect = _brute(ev)
+    df = spark.createDataFrame(ev, "event_id long, fp long, ts double, op string")
+    got = {r["event_id"]: r["granted"] for r in CL.claims_replay(df, tempfile.mkdtemp(prefix="lw-cr-"), 5).collect()}
+    assert got == expect

@@ -91,3 +91,15 @@ def test_scores_do_not_depend_on_partitioning(spark, sf_small):
     b = {r[0]: r[1] for r in SC.classify(v.repartition(7), scorer).select("input_index", "scores").collect()}
     assert a.keys() == b.keys()
     assert all(np.allclose(a[k], b[k], rtol=0, atol=1e-12) for k in a)
+
+
+def test_closed_form_stats_equal_array_stats(spark):
+    lengths = [0, 1, 2, 254, 255, 256, 499, 500, 509, 510, 511, 999, 1000, 1001, 1499, 1500, 2763, 10000]
+    df = spark.createDataFrame([(i, list(range(1, n + 1))) for i, n in enumerate(lengths)],
+                               "input_index long, ids array<bigint>")
+    for w, s, tail in [(510, 500, False), (510, 255, False), (510, 500, True), (7, 3, True), (7, 3, False)]:
+        a = W.prepare_records(df, "ids", w, s, tail).select("input_index", "chunk_count", "max_row_width",
+                                                            "total_row_tokens", "n_tokens", "first_row_width")
+        b = W.prepare_stats(df.select("input_index", F.size("ids").alias("n_tokens")), "n_tokens", w, s, tail)
+        b = b.select(*a.columns)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())), (w, s, tail)
