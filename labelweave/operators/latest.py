@@ -11,7 +11,7 @@ whose results are coalesced (scix_id first) or unioned (newest of either).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelweave.functions.ids import nonblank
@@ -30,29 +30,37 @@ def latest_per_key(df: DataFrame, key, order: list[str]) -> DataFrame:
     return df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(best).select("_best.*")
 
 
-def dedupe_results(df: DataFrame, order: list[Column], bibcode="bibcode", scix_id="scix_id") -> DataFrame:
-    """first row per result key (scix_id when non-empty, else bibcode) in
-    the given order.  ``row_number() = 1`` per key plans as a window group
-    limit, which trims each key to one row before the final sort."""
-    key_kind = F.when(nonblank(scix_id).isNotNull(), F.lit("scix_id")).otherwise(F.lit("bibcode"))
-    key_val = F.coalesce(nonblank(scix_id), F.col(bibcode))
-    w = Window.partitionBy(key_kind, key_val).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+def dedupe_results(df: DataFrame, newest_first: list[str], bibcode="bibcode", scix_id="scix_id") -> DataFrame:
+    """first row per result key (scix_id when non-empty, else bibcode)
+    when rows are ordered by ``newest_first`` descending.  Written as the
+    latest-per-key aggregate, so a hot key is combined map-side rather than
+    sorted whole in one task."""
+    k = (df.withColumn("_rk", F.when(nonblank(scix_id).isNotNull(), F.lit("scix_id")).otherwise(F.lit("bibcode")))
+           .withColumn("_rv", F.coalesce(nonblank(scix_id), F.col(bibcode))))
+    return latest_per_key(k, ["_rk", "_rv"], newest_first).drop("_rk", "_rv")
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
 
 
+def _join_by_ids(records: DataFrame, table: DataFrame, order: list[str], bibcode="bibcode",
+                 scix_id="scix_id") -> DataFrame:
+    """Left-join each record to the newest ``table`` row per scix_id
+    (``_s_*``) and per bibcode (``_b_*``).  The table side is reduced to one
+    row per id before the join, so a hot id costs one row, not all of its."""
+    by_s = _prefixed(latest_per_key(table.filter(nonblank("scix_id").isNotNull()), "scix_id", order), "_s_")
+    by_b = _prefixed(latest_per_key(table.filter(nonblank("bibcode").isNotNull()), "bibcode", order), "_b_")
+    return (records.join(by_s, nonblank(F.col(scix_id)) == F.col("_s_scix_id"), "left")
+                   .join(by_b, nonblank(F.col(bibcode)) == F.col("_b_bibcode"), "left"))
+
+
 def resolve_by_either_id(records: DataFrame, table: DataFrame, order: list[str], prefix: str,
                          bibcode="bibcode", scix_id="scix_id") -> DataFrame:
     """D1 / D5 rule: newest ``table`` row with the record's scix_id; if there
     is none, newest with its bibcode.  Adds the chosen row's columns with
     ``prefix``."""
-    by_s = _prefixed(latest_per_key(table.filter(nonblank("scix_id").isNotNull()), "scix_id", order), "_s_")
-    by_b = _prefixed(latest_per_key(table.filter(nonblank("bibcode").isNotNull()), "bibcode", order), "_b_")
-    j = (records.join(by_s, nonblank(F.col(scix_id)) == F.col("_s_scix_id"), "left")
-                .join(by_b, nonblank(F.col(bibcode)) == F.col("_b_bibcode"), "left"))
+    j = _join_by_ids(records, table, order, bibcode, scix_id)
     use_s = F.col("_s_id").isNotNull()
     picked = [F.when(use_s, F.col("_s_" + c)).otherwise(F.col("_b_" + c)).alias(prefix + c) for c in table.columns]
     return j.select(*records.columns, *picked)
@@ -60,16 +68,30 @@ def resolve_by_either_id(records: DataFrame, table: DataFrame, order: list[str],
 
 def resolve_newest_either(records: DataFrame, table: DataFrame, order: list[str], prefix: str,
                           key: str = "input_index", bibcode="bibcode", scix_id="scix_id") -> DataFrame:
-    """D2 rule: newest ``table`` row matching EITHER id (union of the two equi
-    joins, then newest per record)."""
+    """D2 rule: newest ``table`` row matching EITHER id = the newer of the
+    newest row by scix_id and the newest row by bibcode."""
+    j = _join_by_ids(records, table, order, bibcode, scix_id)
+    s_ord = F.struct(*[F.col("_s_" + c) for c in order])
+    b_ord = F.struct(*[F.col("_b_" + c) for c in order])
+    use_s = F.col("_s_id").isNotNull() & (F.col("_b_id").isNull() | (s_ord >= b_ord))
+    picked = [F.when(use_s, F.col("_s_" + c)).otherwise(F.col("_b_" + c)).alias(prefix + c) for c in table.columns]
+    return j.select(*records.columns, *picked)
+
+
+def exists_by_either_id(records: DataFrame, table: DataFrame, extra: list[tuple[str, str]] = (),
+                        key: str = "input_index", bibcode="bibcode", scix_id="scix_id") -> DataFrame:
+    """Keys of the records that have at least one ``table`` row with the
+    same scix_id or bibcode (and equal ``extra`` (record col, table col)
+    pairs): two semi joins, never more rows than records."""
+    def cond(rid, tid):
+        c = nonblank(F.col(rid)) == F.col("_t_" + tid)
+        for rc, tc in extra:
+            c = c & (F.col(rc) == F.col("_t_" + tc))
+        return c
     t = _prefixed(table, "_t_")
-    rk = records.select(key, nonblank(F.col(scix_id)).alias("_rs"), nonblank(F.col(bibcode)).alias("_rb"))
-    m1 = rk.join(t, F.col("_rs") == F.col("_t_scix_id"), "inner")
-    m2 = rk.join(t, F.col("_rb") == F.col("_t_bibcode"), "inner")
-    both = m1.unionByName(m2)
-    best = latest_per_key(both.drop("_rs", "_rb"), key, ["_t_" + c for c in order])
-    picked = best.select(key, *[F.col("_t_" + c).alias(prefix + c) for c in table.columns])
-    return records.join(picked, key, "left")
+    a = records.join(t, cond(scix_id, "scix_id"), "left_semi").select(key)
+    b = records.join(t, cond(bibcode, "bibcode"), "left_semi").select(key)
+    return a.unionByName(b).distinct()
 
 
 def with_surrogate_ids(df: DataFrame, base: Column | int, order: list[str], name: str = "id") -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from labelweave import config as C
 from labelweave.functions.ids import nonblank, record_key_kind, record_key_value
 from labelweave.operators import latest as L
+from labelweave.operators.latest import exists_by_either_id
 from labelweave.operators.requests import is_allowed, is_single_empty
 from labelweave.session import cut_lineage
 
@@ -174,15 +175,14 @@ def validate(state: State, reqs: DataFrame, now: Column, key: str = "input_index
     ``outcome`` (true status) with ``status`` = 'record_validated' for every
     request (the forwarded status, Q5)."""
     reqs = dedupe_batch(reqs, key)
-    ov = _either_match(reqs, state.overrides, key, ["id", "override", "bibcode", "scix_id"])
-    r = reqs.select(key, F.col("override").alias("_ov_req"))
-    ov = ov.join(r, key)
-    same = ov.filter(F.col("_t_override") == F.col("_ov_req")).select(key).distinct().withColumn("_same", F.lit(True))
-    fc = _either_match(reqs, state.final, key, ["id", "created", "validated", "bibcode", "scix_id"])
-    newest_any = L.latest_per_key(fc, key, ["_t_created", "_t_id"]).select(key, F.col("_t_id").alias("_newest_id"))
-    newest_unval = L.latest_per_key(fc.filter(~F.col("_t_validated")), key, ["_t_created", "_t_id"]).select(
-        key, F.col("_t_id").alias("_unval_id"))
-    any_val = fc.filter(F.col("_t_validated")).select(key).distinct().withColumn("_has_val", F.lit(True))
+    same = exists_by_either_id(reqs, state.overrides, [("override", "override")], key).withColumn(
+        "_same", F.lit(True))
+    fin = state.final.select("id", "bibcode", "scix_id", "created", "validated")
+    newest_any = L.resolve_newest_either(reqs.select(key, "bibcode", "scix_id"), fin, ORDER, "_n_", key).select(
+        key, F.col("_n_id").alias("_newest_id"))
+    newest_unval = L.resolve_newest_either(reqs.select(key, "bibcode", "scix_id"), fin.filter(~F.col("validated")),
+                                           ORDER, "_u_", key).select(key, F.col("_u_id").alias("_unval_id"))
+    any_val = exists_by_either_id(reqs, fin.filter(F.col("validated")), [], key).withColumn("_has_val", F.lit(True))
     x = (reqs.join(same, key, "left").join(newest_any, key, "left").join(newest_unval, key, "left")
              .join(any_val, key, "left"))
     same_c = F.coalesce(F.col("_same"), F.lit(False))
@@ -241,7 +241,7 @@ def run_results(final: DataFrame, scores: DataFrame, run_id) -> DataFrame:
     j = j.select("id", "created", "collection",
                  F.coalesce(nonblank("bibcode"), F.col("_sb")).alias("bibcode"),
                  F.coalesce(nonblank("scix_id"), F.col("_ss")).alias("scix_id"))
-    return L.dedupe_results(j, [F.col("created").desc(), F.col("id").desc()])
+    return L.dedupe_results(j, ["created", "id"])
 
 
 def recently_validated(final: DataFrame, days: int, now: Column) -> DataFrame:
@@ -249,7 +249,7 @@ def recently_validated(final: DataFrame, days: int, now: Column) -> DataFrame:
     validation first, one per result key."""
     f = final.filter(F.col("validated") & F.col("validated_at").isNotNull()
                      & (F.col("validated_at") >= now - F.make_interval(days=F.lit(days))))
-    return L.dedupe_results(f, [F.col("validated_at").desc(), F.col("created").desc(), F.col("id").desc()])
+    return L.dedupe_results(f, ["validated_at", "created", "id"])
 
 
 def bulk_lookup(ids: DataFrame, catalog: DataFrame, id_col: str = "identifier") -> DataFrame:
@@ -278,9 +278,9 @@ def validate_run(state: State, run_id, now: Column, key: str = "input_index") ->
     validated.  Per-row ``success`` (Q7)."""
     recs = cut_lineage(run_results(state.final, state.scores, run_id).select(
         F.col("id").alias(key), "bibcode", "scix_id"))
-    fc = _either_match(recs, state.final, key, ["id", "created", "validated", "bibcode", "scix_id"])
-    unval = L.latest_per_key(fc.filter(~F.col("_t_validated")), key, ["_t_created", "_t_id"]).select(
-        key, F.col("_t_id").alias("_fid"))
+    fin = state.final.select("id", "bibcode", "scix_id", "created", "validated")
+    unval = L.resolve_newest_either(recs, fin.filter(~F.col("validated")), ORDER, "_u_", key).select(
+        key, F.col("_u_id").alias("_fid")).filter(F.col("_fid").isNotNull())
     tgt = L.latest_per_key(unval, "_fid", [key]).select(F.col("_fid").alias("id")).withColumn("_touch", F.lit(True))
     fj = state.final.join(tgt, "id", "left")
     touched = F.coalesce(F.col("_touch"), F.lit(False))

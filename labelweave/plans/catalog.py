@@ -809,7 +809,7 @@ qualify row_number() over (partition by case when coalesce(scix_id,'') <> '' the
   case when coalesce(scix_id,'') <> '' then scix_id else bibcode end order by created desc, id desc) = 1""")
 def f03(spark, d):
     st, _, _ = fixture_state(spark, d)
-    r = L.dedupe_results(st.final, [F.col("created").desc(), F.col("id").desc()])
+    r = L.dedupe_results(st.final, ["created", "id"])
     return r.select(I.record_key_value().alias("result_key"), "id")
 
 
