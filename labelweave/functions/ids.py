@@ -18,7 +18,7 @@ def _c(col) -> Column:
 
 
 def identifier_kind(col) -> Column:
-    """B1: NULL unless 19 chars; 'scix_id' when it matches the SciX pattern, else 'bibcode'."""
+    """B1: NULL unless 19 chars; 'scix_id' when it matches the scix_id pattern, else 'bibcode'."""
     c = _c(col).cast("string")
     return (F.when(c.isNull() | (F.length(c) != C.ID_LENGTH), F.lit(None).cast("string"))
             .when(c.rlike(C.SCIX_PATTERN), F.lit("scix_id"))

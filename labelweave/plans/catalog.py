@@ -1569,7 +1569,7 @@ def a01(spark, d):
 @register("a02_read_pre_ingest", duck_cte("v_requests") + """
 select bibcode, scix_id, coalesce(title, '') as title, coalesce(abstract, '') as abstract,
  'pre_ingest' as operation_step, case when bibcode is null and scix_id is null
- then 'Expected a bibcode or SciX ID in the first column, got ' || identifier end as error
+ then 'Expected a bibcode or scix_id in the first column, got ' || identifier end as error
 from (select *, """ + _REQ_IDS + """ from v_requests) r""")
 def a02(spark, d):
     path = scratch_dir(spark, "a02")
