@@ -245,10 +245,11 @@ def run_results(final: DataFrame, scores: DataFrame, run_id) -> DataFrame:
 
 
 def recently_validated(final: DataFrame, days: int, now: Column) -> DataFrame:
-    """validated rows with validated_at in the last ``days`` days, newest
+    """validated rows with validated_at in the last ``days`` days (exact
+    86400-second days, independent of the session time zone), newest
     validation first, one per result key."""
     f = final.filter(F.col("validated") & F.col("validated_at").isNotNull()
-                     & (F.col("validated_at") >= now - F.make_interval(days=F.lit(days))))
+                     & (F.col("validated_at") >= F.timestamp_seconds(F.unix_seconds(now) - F.lit(int(days) * 86400))))
     return L.dedupe_results(f, ["validated_at", "created", "id"])
 
 
