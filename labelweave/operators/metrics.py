@@ -226,11 +226,14 @@ def evaluate_gate(cand_summary: DataFrame, base_summary: DataFrame, stage_cmp: D
                   p95_limit_pct: float = C.P95_REGRESSION_LIMIT_PCT) -> DataFrame:
     """pass = throughput gain >= min AND no common stage's p95 grew by
     more than the limit.  Inputs are one-row summaries (E8+E11+E12 columns)."""
-    c = cand_summary.select(*[F.col(x).alias("c_" + x) for x in cand_summary.columns])
-    b = base_summary.select(*[F.col(x).alias("b_" + x) for x in base_summary.columns])
-    reg = stage_cmp.agg(F.coalesce(F.max(F.col("p95_delta_pct") > p95_limit_pct), F.lit(False)).alias("_regressed"),
-                        F.count(F.lit(1)).alias("common_stages"))
-    j = c.crossJoin(b).crossJoin(reg)  # three one-row frames
+    # both summaries into one row with a single aggregate (no join)
+    cols = [x for x in cand_summary.columns if x in base_summary.columns]
+    both = (cand_summary.select(*cols, F.lit("c").alias("_role"))
+            .unionByName(base_summary.select(*cols, F.lit("b").alias("_role"))))
+    j = both.agg(*[F.max(F.when(F.col("_role") == r, F.col(x))).alias(f"{r}_{x}") for r in ("c", "b") for x in cols])
+    regressed = stage_cmp.select(F.coalesce(F.max(F.col("p95_delta_pct") > p95_limit_pct), F.lit(False))).scalar()
+    common = stage_cmp.select(F.count(F.lit(1))).scalar()
+    j = j.withColumn("_regressed", regressed).withColumn("common_stages", common)
     tdelta = pct_delta("c_overall_records_per_minute", "b_overall_records_per_minute")
     adelta = pct_delta("c_load_adjusted_records_per_minute", "b_load_adjusted_records_per_minute")
     tpass = F.coalesce(tdelta >= min_gain_pct, F.lit(False))

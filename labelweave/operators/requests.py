@@ -89,6 +89,20 @@ def dense_index(df: DataFrame, order: list[str], name: str = "row_index") -> Dat
         "_pid", "_local", "_off")
 
 
+def dense_index_in_place(df: DataFrame, name: str = "row_index") -> DataFrame:
+    """Dense 0-based index in the frame's current row order (partition after
+    partition, rows in reading order) without sorting: local position from
+    the low 33 bits of ``monotonically_increasing_id`` plus per-partition
+    offsets (one row per partition, broadcast).  The frame must be
+    deterministic (e.g. a file scan and filters), since it is read twice."""
+    s = df.withColumn("_pid", F.spark_partition_id()).withColumn(
+        "_local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offs = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
+    return s.join(F.broadcast(offs), "_pid").withColumn(name, F.col("_off") + F.col("_local")).drop(
+        "_pid", "_local", "_off")
+
+
 def assign_batches(df: DataFrame, n: int, index_col: str = "input_index", name: str = "batch_id") -> DataFrame:
     """consecutive fixed-size batches over a dense index column."""
     return df.withColumn(name, F.floor(F.col(index_col) / F.lit(n)).cast("bigint"))

@@ -81,14 +81,16 @@ def get_or_create_model(models: DataFrame, runs: DataFrame, model: Column, postp
                         run_ids: DataFrame, now: Column) -> tuple[DataFrame, DataFrame, Column]:
     """Newest models row with this (model, postprocessing), inserted when
     absent; every run of ``run_ids`` is bound to it.  Returns (models, runs,
-    model_id scalar)."""
-    want = models.sparkSession.range(1).select(model.alias("model"), postprocessing.alias("postprocessing"))
-    found = models.join(want, ["model", "postprocessing"], "left_semi")
-    new = (want.join(found.select("model", "postprocessing"), ["model", "postprocessing"], "left_anti")
-               .select((L.max_id(models) + 1).alias("id"), "model", "postprocessing", now.alias("created")))
-    models2 = models.unionByName(new)
-    mid = (L.latest_per_key(models2.join(want, ["model", "postprocessing"], "left_semi"), ["model", "postprocessing"],
-                            ORDER).select("id").scalar())
+    model_id scalar).  Lookups are filters + scalar subqueries (the wanted
+    key is a literal, so a join would degenerate into a nested loop)."""
+    found = models.filter((F.col("model") == model) & (F.col("postprocessing") == postprocessing))
+    n_found = found.select(F.count(F.lit(1))).scalar()
+    new = (models.sparkSession.range(1).filter(n_found == 0)
+           .select((L.max_id(models) + 1).alias("id"), model.alias("model"), postprocessing.alias("postprocessing"),
+                   now.alias("created")))
+    models2 = models.unionByName(new.select(*models.columns))
+    mid = (models2.filter((F.col("model") == model) & (F.col("postprocessing") == postprocessing))
+           .select(F.max_by("id", F.struct("created", "id"))).scalar())
     bind = run_ids.select(F.col("run_id").alias("id")).distinct()
     runs2 = runs.join(bind.withColumn("_bind", F.lit(True)), "id", "left").select(
         *[F.when(F.col("_bind"), mid).otherwise(F.col("model_id")).alias("model_id") if c == "model_id"

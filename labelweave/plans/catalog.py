@@ -413,10 +413,9 @@ def b25(spark, d):
     r = e.groupBy("run_id").agg(F.count_if(F.col("stage") == "index").alias("indexed"),
                                 (F.max("ts") - F.min("ts")).alias("wall"))
     r = r.withColumn("records_per_minute", S.per_minute("indexed", "wall"))
-    base = r.filter(F.col("run_id") == "0").select(F.col("records_per_minute").alias("base_rate"))
-    # one row per run (bounded by the run count) joined to a one-row baseline
-    return r.join(F.broadcast(base), how="cross").select(
-        "run_id", "records_per_minute", S.pct_delta("records_per_minute", "base_rate").alias("pct_vs_run0"))
+    base = r.filter(F.col("run_id") == "0").select(F.max("records_per_minute")).scalar()
+    return r.select("run_id", "records_per_minute", S.pct_delta(F.col("records_per_minute"), base).alias(
+        "pct_vs_run0"))
 
 
 # --------------------------------------------------------------------- F ----
@@ -1500,10 +1499,11 @@ def e18(spark, d):
     st, _, _ = fixture_state(spark, d)
     comp = run_completion(st.final, st.scores, 1, 300)
     thr = M.throughput(_ev(spark, d)).filter(F.col("run_id") == "1").drop("records_indexed")
-    j = thr.crossJoin(comp.select("indexed_records", "complete"))  # one row x one row
-    out = j.select("run_id", F.col("indexed_records").alias("records_indexed"), "wall_clock_s",
-                   S.per_minute("indexed_records", "wall_clock_s").alias("overall_records_per_minute"),
-                   (~F.col("complete")).alias("timed_out"))
+    n = comp.select(F.max("indexed_records")).scalar()
+    done = comp.select(F.max("complete")).scalar()
+    out = thr.select("run_id", n.alias("records_indexed"), "wall_clock_s",
+                     S.per_minute(n, F.col("wall_clock_s")).alias("overall_records_per_minute"),
+                     (~done).alias("timed_out"))
     return _r6_all(out, ["wall_clock_s", "overall_records_per_minute"])
 
 

@@ -58,3 +58,13 @@ def test_query_matches_oracle(spark, sf_small, duck, name):
     assert sorted(rel.columns) == cols
     exp = sorted((tuple(_norm(dict(zip(rel.columns, r))[c]) for c in cols) for r in rel.fetchall()), key=repr)
     assert got == exp
+
+
+BAD_PLAN_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_nested_loop_or_cartesian_join(spark, sf_small, name):
+    df = E.queries()[name](spark, sf_small)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(b in plan for b in BAD_PLAN_NODES), name
