@@ -49,8 +49,12 @@ def _join_by_ids(records: DataFrame, table: DataFrame, order: list[str], bibcode
     """Left-join each record to the newest ``table`` row per scix_id
     (``_s_*``) and per bibcode (``_b_*``).  The table side is reduced to one
     row per id before the join, so a hot id costs one row, not all of its."""
-    by_s = _prefixed(latest_per_key(table.filter(nonblank("scix_id").isNotNull()), "scix_id", order), "_s_")
-    by_b = _prefixed(latest_per_key(table.filter(nonblank("bibcode").isNotNull()), "bibcode", order), "_b_")
+    # prefetch: only table rows whose id occurs in the batch (semi joins), so
+    # the per-batch work follows the batch size, not the table size
+    s_ids = records.select(nonblank(F.col(scix_id)).alias("scix_id")).filter(F.col("scix_id").isNotNull())
+    b_ids = records.select(nonblank(F.col(bibcode)).alias("bibcode")).filter(F.col("bibcode").isNotNull())
+    by_s = _prefixed(latest_per_key(table.join(s_ids, "scix_id", "left_semi"), "scix_id", order), "_s_")
+    by_b = _prefixed(latest_per_key(table.join(b_ids, "bibcode", "left_semi"), "bibcode", order), "_b_")
     return (records.join(by_s, nonblank(F.col(scix_id)) == F.col("_s_scix_id"), "left")
                    .join(by_b, nonblank(F.col(bibcode)) == F.col("_b_bibcode"), "left"))
 

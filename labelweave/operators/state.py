@@ -65,12 +65,14 @@ def match_scores(specs: DataFrame, scores: DataFrame, payload_col: str = "payloa
     """D3: newest existing score row with the same (key kind, key value,
     payload, overrides_id [NULL matches NULL], run_id).  Adds
     ``existing_score_id`` (NULL -> a new row is needed)."""
-    s = _row_key(scores)
+    k = specs.withColumn("_kk", record_key_kind()).withColumn("_kv", record_key_value())
+    # prefetch the score rows of the batch's keys and runs only
+    want = k.select("_kk", "_kv", "run_id")
+    s = _row_key(scores).join(want, ["_kk", "_kv", "run_id"], "left_semi")
     s = L.latest_per_key(s, ["_kk", "_kv", "scores", "overrides_id", "run_id"], ORDER)
     s = s.select(F.col("_kk").alias("_s_kk"), F.col("_kv").alias("_s_kv"), F.col("scores").alias("_s_payload"),
                  F.col("overrides_id").alias("_s_ov"), F.col("run_id").alias("_s_run"),
                  F.col("id").alias("existing_score_id"))
-    k = specs.withColumn("_kk", record_key_kind()).withColumn("_kv", record_key_value())
     cond = ((F.col("_kk") == F.col("_s_kk")) & (F.col("_kv") == F.col("_s_kv"))
             & (F.col(payload_col) == F.col("_s_payload")) & F.col("overrides_id").eqNullSafe(F.col("_s_ov"))
             & (F.col("run_id") == F.col("_s_run")))
