@@ -101,7 +101,8 @@ def get_or_create_model(models: DataFrame, runs: DataFrame, model: Column, postp
 
 
 def index_batch(state: State, records: DataFrame, now: Column, payload_col: str = "payload",
-                override_mode: str = "batch") -> tuple[State, DataFrame]:
+                override_mode: str = "batch", score_id_base: Column | None = None,
+                final_id_base: Column | None = None) -> tuple[State, DataFrame]:
     """Resolve overrides, reuse or append score rows, update or insert
     final rows.  Returns the new state and per-record results
     (``status='record_indexed'``, score/final ids, flags for E16).
@@ -109,6 +110,8 @@ def index_batch(state: State, records: DataFrame, now: Column, payload_col: str
     The resolved batch is materialised once (checkpoint) and new ids are
     assigned on that copy, so every output (score rows, final upserts,
     results) sees the same ids and no branch re-derives the joins."""
+    # ``*_id_base``: current max ids when ``state`` holds only a prefetched
+    # subset of the tables (default: max over the given tables)
     recs = dedupe_batch(records)
     r = resolve_override(recs, state.overrides, override_mode)
     r = match_scores(r, state.scores, payload_col)
@@ -116,9 +119,11 @@ def index_batch(state: State, records: DataFrame, now: Column, payload_col: str
     f = cut_lineage(f.select("input_index", "bibcode", "scix_id", "run_id", F.col(payload_col).alias("_payload"),
                              "overrides_id", "final_collections", "existing_score_id", "fc_id"))
     new_sc = L.with_surrogate_ids(f.filter(F.col("existing_score_id").isNull()).select("input_index"),
-                                  L.max_id(state.scores), ["input_index"], "new_score_id")
+                                  score_id_base if score_id_base is not None else L.max_id(state.scores),
+                                  ["input_index"], "new_score_id")
     new_fc = L.with_surrogate_ids(f.filter(F.col("fc_id").isNull()).select("input_index"),
-                                  L.max_id(state.final), ["input_index"], "new_final_id")
+                                  final_id_base if final_id_base is not None else L.max_id(state.final),
+                                  ["input_index"], "new_final_id")
     res = cut_lineage(f.join(new_sc, "input_index", "left").join(new_fc, "input_index", "left")
                       .withColumn("score_id", F.coalesce(F.col("existing_score_id"), F.col("new_score_id"))))
     score_rows = res.filter(F.col("new_score_id").isNotNull()).select(

@@ -17,6 +17,7 @@ from labelweave import config as C
 from labelweave.functions import ids as I
 from labelweave.functions import scores as S
 from labelweave.operators import scoring as SC
+from labelweave.operators.output import model_metadata, output_row, score_payload
 from labelweave.plans import oracle as O
 from labelweave.plans.views import duck_cte, view
 
@@ -285,22 +286,6 @@ def b15(spark, d):
     return v.select("input_index", S.join_list(S.collections("scores", **_RELABEL)).alias("collections"))
 
 
-def output_row(df: DataFrame) -> DataFrame:
-    """The 20 TSV columns (lists joined by ', ', NULL/0 ids -> '')."""
-    def blank(c):
-        col = F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
-        return F.when(col.isNull() | (col == "0"), F.lit("")).otherwise(col)
-    summ = {c._jc.toString().split(" AS ")[-1].strip("`"): c for c in S.summary_columns("scores")}
-    return df.select(
-        blank("bibcode").alias("bibcode"), blank("scix_id").alias("scix_id"), blank("run_id").alias("run_id"),
-        blank("title").alias("title"), blank("abstract").alias("abstract"),
-        S.join_list("collections").alias("collections"), S.join_list("collection_scores").alias("collection_scores"),
-        *[summ[n] for n in C.OUTPUT_HEADER[7:18]],
-        (blank("gross_collection_override") if "gross_collection_override" in df.columns else F.lit("")).alias(
-            "gross_collection_override"),
-        F.lit("").alias("override"))
-
-
 @register("b17_output_row", duck_cte("v_scored", "v_requests") + f"""
 select coalesce(s.bibcode, '') as bibcode, coalesce(s.scix_id, '') as scix_id,
  case when r.batch_id = 0 then '' else cast(r.batch_id as varchar) end as run_id,
@@ -317,33 +302,12 @@ def b17(spark, d):
     return output_row(s.join(r, "input_index"))
 
 
-def score_payload(scores="scores", collections_col="collections", labels=C.LABELS,
-                  adjustment: bool = C.RELABEL_ACTIVE):
-    """Canonical JSON (sorted keys) of label->score, the adjustment
-    flag and the collections."""
-    order = sorted(range(len(labels)), key=lambda i: labels[i])
-    m = F.map_from_arrays(F.array(*[F.lit(labels[i]) for i in order]),
-                          F.array(*[F.get(F.col(scores), i) for i in order]))
-    return F.to_json(F.struct(F.col(collections_col).alias("collections"),
-                              F.lit(adjustment).alias("earth_science_adjustment"), m.alias("scores")))
-
-
 @register("b18_score_payload")
 def b18(spark, d):
     s = view(spark, d, "v_scored").withColumn("collections", S.collections("scores"))
     return s.select("input_index", score_payload().alias("payload"))
 
 
-def model_metadata(model_name: str = "hashed-linear", revision: str = "v1", cfg: C.ClassifierConfig = C.DEFAULT):
-    """Canonical JSON of the model settings and of the post-processing settings."""
-    model = F.to_json(F.struct(F.lit(list(cfg.labels)).alias("labels"), F.lit(model_name).alias("model"),
-                               F.lit(revision).alias("revision")))
-    post = F.to_json(F.struct(F.lit(cfg.relabel_active).alias("earth_science_adjustment"),
-                              F.lit(cfg.relabel_threshold).alias("earth_science_threshold"),
-                              F.lit([float(x) for x in cfg.thresholds]).alias("thresholds")))
-    return model, post
-
-
 @register("b19_model_metadata", duck_cte("v_scores") + f"""
 select distinct run_id, to_json({{'labels': {O.LABELS_SQL}, 'model': 'hashed-linear', 'revision': 'v1'}}) as model,
  to_json({{'earth_science_adjustment': false, 'earth_science_threshold': 0.015, 'thresholds': {O.THRESH_SQL}}})
@@ -1778,7 +1742,7 @@ def a13(spark, d):
 
 # ------------------------------------------------------- H (streaming) ----
 from labelweave.streaming import claims as CL  # noqa: E402
-from labelweave.streaming import pipelines as PL  # noqa: E402
+from labelweave.streaming import jobs as PL  # noqa: E402
 
 
 def _write_request_files(spark, d, path: str, n_files: int = 4) -> None:

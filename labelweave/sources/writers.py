@@ -58,9 +58,15 @@ def write_summary(df: DataFrame, path: str) -> None:
 
 
 class SnapshotStore:
-    """Persisted table state under one root folder (on shared storage)."""
+    """Persisted table state under one root folder (on shared storage).
 
-    APPEND = ("scores", "overrides", "runs", "models")
+    ``scores`` / ``overrides`` / ``runs`` / ``models`` are append-only;
+    ``final_collection`` is a change log: each batch appends only the rows
+    it inserted or updated (partition ``batch=<id>``, overwritten when the
+    batch is replayed) and the current table is the newest version per id.
+    ``compact`` folds the log into one partition."""
+
+    LOG = "final_collection"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -69,39 +75,66 @@ class SnapshotStore:
     def _path(self, name: str) -> str:
         return os.path.join(self.root, name)
 
+    def _exists(self, name: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self._path(name))
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
     def append(self, name: str, df: DataFrame, batch_id: int | None = None) -> None:
         """Append rows; with ``batch_id`` the batch's rows land in their own
         partition, replaced on replay (dynamic partition overwrite)."""
         if batch_id is None:
             df.write.mode("append").parquet(self._path(name))
             return
-        (df.withColumn("batch", F.lit(int(batch_id))).write.mode("overwrite")
+        (df.withColumn("batch", F.lit(int(batch_id)).cast("long")).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self._path(name)))
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, schema=None, before_batch: int | None = None) -> DataFrame:
+        """Rows of an append-only table (empty frame of ``schema`` if absent);
+        ``before_batch`` hides the rows of that batch and later ones."""
+        if not self._exists(name):
+            return self.spark.createDataFrame([], schema)
         df = self.spark.read.parquet(self._path(name))
+        if before_batch is not None and "batch" in df.columns:
+            df = df.filter(F.col("batch") < F.lit(int(before_batch)))
         return df.drop("batch") if "batch" in df.columns else df
 
-    def write_final(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(os.path.join(self._path("final_collection"), f"v={int(version)}"))
-
-    def latest_final_version(self) -> int | None:
-        base = self._path("final_collection")
-        jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(base)
-        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(hpath):
-            return None
-        versions = []
-        for st in fs.listStatus(hpath):
-            name = st.getPath().getName()
-            ok = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-            if name.startswith("v=") and fs.exists(ok):
-                versions.append(int(name[2:]))
-        return max(versions) if versions else None
-
-    def read_final(self) -> DataFrame | None:
-        v = self.latest_final_version()
-        if v is None:
+    def final_log(self, before_batch: int | None = None) -> DataFrame | None:
+        if not self._exists(self.LOG):
             return None
-        return self.spark.read.parquet(os.path.join(self._path("final_collection"), f"v={v}"))
+        df = self.spark.read.parquet(self._path(self.LOG))
+        if before_batch is not None:
+            df = df.filter(F.col("batch") < F.lit(int(before_batch)))
+        return df
+
+    def current_final(self, schema, before_batch: int | None = None, records: DataFrame | None = None) -> DataFrame:
+        """Current final rows (newest version per id).  With ``records`` only
+        rows sharing a scix_id or bibcode with them are read (prefetch)."""
+        from labelweave.operators.latest import latest_per_key
+        log = self.final_log(before_batch)
+        if log is None:
+            return self.spark.createDataFrame([], schema)
+        if records is not None:
+            s_ids = records.select("scix_id").filter(F.col("scix_id").isNotNull() & (F.col("scix_id") != ""))
+            b_ids = records.select("bibcode").filter(F.col("bibcode").isNotNull() & (F.col("bibcode") != ""))
+            log = log.join(s_ids, "scix_id", "left_semi").unionByName(log.join(b_ids, "bibcode", "left_semi"))
+        return latest_per_key(log, "id", ["batch"]).drop("batch")
+
+    def write_final_changes(self, changes: DataFrame, batch_id: int) -> None:
+        self.append(self.LOG, changes, batch_id)
+
+    def compact(self, schema) -> None:
+        """Rewrite the log as one partition holding the current table."""
+        cur = self.current_final(schema)
+        last = self.final_log().agg(F.max("batch")).first()[0]
+        tmp = self._path(self.LOG + "_compacted")
+        cur.withColumn("batch", F.lit(int(last)).cast("long")).write.mode("overwrite").partitionBy("batch").parquet(tmp)
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        src = jvm.org.apache.hadoop.fs.Path(tmp)
+        dst = jvm.org.apache.hadoop.fs.Path(self._path(self.LOG))
+        fs = src.getFileSystem(conf)
+        import uuid
+        old = jvm.org.apache.hadoop.fs.Path(self._path(f"{self.LOG}_previous_{uuid.uuid4().hex[:8]}"))
+        fs.rename(dst, old)
+        fs.rename(src, dst)

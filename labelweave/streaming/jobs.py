@@ -87,3 +87,47 @@ def start_event_stream(spark: SparkSession, src: str, sink: str, checkpoint: str
     w = agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def index_sink(store, tsv_root: str, forward_root: str, now=None, cfg: C.ClassifierConfig = C.DEFAULT,
+               default_step: str = C.DEFAULT_OPERATION_STEP):
+    """H1 ``on_batch`` step after classification: G1 index against the
+    stored state as of before this batch, A10 TSV rows and A11 responses
+    (G9 decides which rows go where).  Every output of batch ``n`` is
+    written under ``batch=<n>`` and replaced if the batch is replayed."""
+    from labelweave import schemas
+    from labelweave.operators import latest as L
+    from labelweave.operators import state as ST
+    from labelweave.operators.output import output_row, score_payload
+    from labelweave.sources.writers import to_response
+
+    def on_batch(classified: DataFrame, batch_id: int) -> None:
+        ts = now if now is not None else F.current_timestamp()
+        recs = classified
+        for c, t in (("run_id", "long"), ("operation_step", "string"), ("bibcode", "string"),
+                     ("scix_id", "string")):
+            if c not in recs.columns:
+                recs = recs.withColumn(c, F.lit(None).cast(t))
+        recs = recs.withColumn("operation_step", F.coalesce(F.col("operation_step"), F.lit(default_step)))
+        recs = recs.withColumn("payload", score_payload())
+        ident = recs.filter(F.coalesce(F.col("bibcode"), F.lit("")) != "")
+        ident = ident.unionByName(recs.filter((F.coalesce(F.col("bibcode"), F.lit("")) == "")
+                                              & (F.coalesce(F.col("scix_id"), F.lit("")) != "")))
+        state = ST.State(store.read("overrides", schemas.OVERRIDES, batch_id),
+                         store.read("scores", schemas.SCORES, batch_id),
+                         store.current_final(schemas.FINAL_COLLECTION, batch_id, ident))
+        log = store.final_log(batch_id)
+        final_base = L.max_id(log) if log is not None else F.lit(0)
+        new_state, res = ST.index_batch(state, ident, ts, final_id_base=final_base)
+        store.append("scores", new_state.scores.join(state.scores.select("id"), "id", "left_anti"), batch_id)
+        changed = new_state.final.join(res.select(F.col("final_id").alias("id")), "id", "left_semi")
+        store.write_final_changes(changed, batch_id)
+        write_tsv, fwd = ST.output_actions(F.col("operation_step"), F.lit(C.STATUS_INDEXED))
+        rows = output_row(recs.filter(write_tsv))
+        (rows.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", '"')
+             .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+             .csv(os.path.join(tsv_root, f"batch={batch_id}")))
+        fw = res.join(recs.filter(fwd).select("input_index"), "input_index", "left_semi")
+        to_response(fw.withColumnRenamed("final_collections", "collections"), F.lit("success")).write.mode(
+            "overwrite").text(os.path.join(forward_root, f"batch={batch_id}"))
+    return on_batch

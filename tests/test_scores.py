@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from labelweave.functions import ids as I
 from labelweave.functions import scores as S
 from labelweave.operators import requests as RQ
-from labelweave.plans.catalog import output_row
+from labelweave.operators.output import output_row
 from conftest import FAKE_LABELS, FAKE_THRESHOLDS
 
 
