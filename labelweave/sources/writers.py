@@ -1,11 +1,9 @@
 """A9..A13 sinks and the table-state store.
 
 TSV output mirrors Python's csv writer (tab separator, ``"`` quoting with
-doubled quotes, header row).  The store keeps ``scores`` / ``overrides`` /
-``runs`` / ``models`` append-only and ``final_collection`` as versioned
-snapshots ``final_collection/v=<n>``: each batch writes a new version (named
-by the batch id, so a replayed batch rewrites the same version) and readers
-take the highest committed version.
+doubled quotes, header row, no whitespace trimming).  The store keeps
+``scores`` / ``overrides`` / ``runs`` / ``models`` append-only and
+``final_collection`` as a change log (see ``SnapshotStore``).
 """
 
 from __future__ import annotations

@@ -62,29 +62,46 @@ def drop_replays(df: DataFrame, done: DataFrame | None = None, watermark: str |
     return fp.dropDuplicates(["fingerprint"])
 
 
-def event_stats_stream(events: DataFrame, exact: bool = True) -> DataFrame:
-    """H5: per (run, stage) count and p50/p95 of the durations over an event
-    stream (complete mode).  ``exact=False`` keeps a bounded sketch."""
+def event_stats_stream(events: DataFrame) -> DataFrame:
+    """H5 live view: per (run, stage) count and approximate p50/p95 of the
+    durations (complete mode; ``percentile_approx`` keeps bounded state)."""
     d = F.col("duration_ms")
-    if exact:
-        p = [F.percentile(d, F.lit(0.5)).alias("p50"), F.percentile(d, F.lit(0.95)).alias("p95")]
-    else:
-        p = [F.percentile_approx(d, F.lit(0.5), 10000).cast("double").alias("p50"),
-             F.percentile_approx(d, F.lit(0.95), 10000).cast("double").alias("p95")]
-    return events.groupBy("run_id", "stage").agg(F.count(F.lit(1)).alias("count"), *p)
+    return events.groupBy("run_id", "stage").agg(
+        F.count(F.lit(1)).alias("count"),
+        F.percentile_approx(d, F.lit(0.5), 10000).cast("double").alias("p50"),
+        F.percentile_approx(d, F.lit(0.95), 10000).cast("double").alias("p95"))
 
 
 def start_event_stream(spark: SparkSession, src: str, sink: str, checkpoint: str, schema, exact: bool = True,
-                       available_now: bool = True):
-    """H5: JSONL events appended by many workers, folded per run/stage;
-    every micro-batch replaces ``sink`` with the complete result."""
+                       available_now: bool = True, table: str | None = None):
+    """H5: JSONL events appended by many workers, folded per run/stage.
+
+    ``exact=True``: each micro-batch appends its events to ``table``
+    (partition ``batch=<id>``, replaced on replay) and the exact per-stage
+    statistics are recomputed over the table with the distributed
+    order-statistics operator (no group is held in one task or in state).
+    ``exact=False``: a complete-mode aggregate with approximate percentiles.
+    Either way ``sink`` holds the current result after every micro-batch."""
+    from labelweave.operators.metrics import numeric_stats
+
     ev = spark.readStream.schema(schema).option("mode", "DROPMALFORMED").json(src)
     ev = ev.select("run_id", "stage", "duration_ms")
-    agg = event_stats_stream(ev, exact)
+    if exact:
+        table = table or sink + "_events"
+
+        def write(df: DataFrame, batch_id: int) -> None:
+            (df.withColumn("batch", F.lit(int(batch_id)).cast("long")).write.mode("overwrite")
+               .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(table))
+            allev = spark.read.parquet(table)
+            st = numeric_stats(allev, ["run_id", "stage"], "duration_ms", include_p99=False)
+            st.select("run_id", "stage", "count", "p50", "p95").write.mode("overwrite").parquet(sink)
+        w = ev.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    else:
+        agg = event_stats_stream(ev)
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(sink)
-    w = agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
+        def write(df: DataFrame, batch_id: int) -> None:
+            df.write.mode("overwrite").parquet(sink)
+        w = agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 

@@ -110,3 +110,17 @@ def test_classify_index_stream_is_replay_safe(spark, sf_small):
     sink(spark.read.parquet(os.path.join(base, "out", f"batch={last}")), last)
     after = sorted(map(tuple, store.current_final(schemas.FINAL_COLLECTION).select("id", "score_id").collect()))
     assert before == after and store.read("scores").count() == ident
+
+
+def test_event_stream_approx_mode(spark, sf_small):
+    from labelweave.plans.catalog import _events_jsonl
+    from labelweave.sources.readers import PERF_EVENT
+    base = tempfile.mkdtemp(prefix="lw-h5-")
+    _events_jsonl(spark, sf_small, os.path.join(base, "in"))
+    q = PL.start_event_stream(spark, os.path.join(base, "in"), os.path.join(base, "out"), os.path.join(base, "ck"),
+                              PERF_EVENT, exact=False)
+    q.awaitTermination()
+    got = {(r["run_id"], r["stage"]): r["count"] for r in spark.read.parquet(os.path.join(base, "out")).collect()}
+    ev = spark.read.schema(PERF_EVENT).option("mode", "DROPMALFORMED").json(os.path.join(base, "in"))
+    exp = {(r["run_id"], r["stage"]): r["count"] for r in ev.groupBy("run_id", "stage").count().collect()}
+    assert got == exp
