@@ -23,7 +23,16 @@ LOW33 = (1 << 33) - 1
 
 
 def order_stats(df: DataFrame, groups: list[str], value: str, pcts: list[float]) -> DataFrame:
-    """Exact percentiles per group: ``groups + [p, value]`` (p in 0..100)."""
+    """Exact percentiles per group: ``groups + [p, value]`` (p in 0..100).
+
+    1. range-partition on (group, value) and sort inside partitions: a hot
+       group spans many partitions;
+    2. per (partition, group) segment: row count and first local position
+       (small table) -> each segment's global rank range;
+    3. the ranks each percentile needs (2 per percentile per group) are
+       mapped to (partition, local position) on that small table;
+    4. only those rows are picked from the data (semi join against at most
+       2 x len(pcts) rows per group) and interpolated."""
     s = (df.select(*groups, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
            .repartitionByRange(*groups, "_v").sortWithinPartitions(*groups, "_v")
            .withColumn("_pid", F.spark_partition_id())
@@ -32,9 +41,6 @@ def order_stats(df: DataFrame, groups: list[str], value: str, pcts: list[float])
     wg = Window.partitionBy(*groups).orderBy("_pid")
     seg = (seg.withColumn("_before", F.sum("_n").over(wg) - F.col("_n"))
               .withColumn("_total", F.sum("_n").over(Window.partitionBy(*groups))))
-    # segments: one row per (partition, group); broadcast is bounded by that
-    ranked = s.join(F.broadcast(seg), ["_pid", *groups]).withColumn(
-        "_rank", F.col("_before") + F.col("_pos") - F.col("_start"))
     tot = seg.select(*groups, "_total").distinct()
     ps = F.explode(F.array(*[F.lit(float(p)) for p in pcts])).alias("p")
     tg = tot.select(*groups, "_total", ps)
@@ -45,7 +51,11 @@ def order_stats(df: DataFrame, groups: list[str], value: str, pcts: list[float])
             .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_total") - 1))
             .withColumn("_w", F.col("_idx") - F.col("_lo")))
     need = tg.select(*groups, F.explode(F.array("_lo", "_hi")).alias("_rank")).distinct()
-    vals = ranked.join(F.broadcast(need), [*groups, "_rank"], "left_semi").select(*groups, "_rank", "_v")
+    where = (need.join(seg.drop("_total"), groups)
+                 .filter((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
+                 .select("_pid", *groups, "_rank", (F.col("_rank") - F.col("_before") + F.col("_start")).alias("_pos")))
+    # ``where`` holds at most 2 x len(pcts) rows per group
+    vals = s.join(F.broadcast(where), ["_pid", *groups, "_pos"]).select(*groups, "_rank", "_v")
     lo = vals.select(*groups, F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
     hi = vals.select(*groups, F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
     out = tg.join(lo, [*groups, "_lo"]).join(hi, [*groups, "_hi"])

@@ -108,3 +108,22 @@ def test_throughput_zero_wall(spark):
     ev = _events(spark, [(5.0, "index", 1.0, "ok", "r", None, None, None)])
     r = M.throughput(ev).first()
     assert r["wall_clock_s"] == 0.0 and r["overall_records_per_minute"] is None
+
+
+def test_order_stats_hot_group_spans_partitions(spark):
+    # one group holds 60 % of the rows; it must be ranked across partitions
+    rows = [("hot", float(i % 997)) for i in range(6000)] + [(f"g{i % 7}", float(i)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(8)
+    got = {(r["g"], r["p"]): r["value"] for r in M.order_stats(df, ["g"], "v", [0, 50, 99, 100]).collect()}
+    hot = sorted(v for g, v in rows if g == "hot")
+
+    def pct(d, p):
+        idx = (len(d) - 1) * p / 100
+        lo = int(idx)
+        hi = min(lo + 1, len(d) - 1)
+        return d[lo] * (1 - (idx - lo)) + d[hi] * (idx - lo)
+    for p in (0, 50, 99, 100):
+        assert got[("hot", float(p))] == pytest.approx(pct(hot, p))
+    s = (df.repartitionByRange(8, "g", "v").withColumn("pid", F.spark_partition_id())
+         .filter("g = 'hot'").select("pid").distinct().count())
+    assert s > 1
