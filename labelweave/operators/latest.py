@@ -44,15 +44,24 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
 
 
+MAX_BROADCAST_IDS = 2_000_000  # ids of one batch we agree to broadcast for a prefetch
+
+
+def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
 def _join_by_ids(records: DataFrame, table: DataFrame, order: list[str], bibcode="bibcode",
-                 scix_id="scix_id") -> DataFrame:
+                 scix_id="scix_id", ids_from: DataFrame | None = None, ids_small: bool = False) -> DataFrame:
     """Left-join each record to the newest ``table`` row per scix_id
     (``_s_*``) and per bibcode (``_b_*``).  The table side is reduced to one
     row per id before the join, so a hot id costs one row, not all of its."""
     # prefetch: only table rows whose id occurs in the batch (semi joins), so
     # the per-batch work follows the batch size, not the table size
-    s_ids = records.select(nonblank(F.col(scix_id)).alias("scix_id")).filter(F.col("scix_id").isNotNull())
-    b_ids = records.select(nonblank(F.col(bibcode)).alias("bibcode")).filter(F.col("bibcode").isNotNull())
+    src = ids_from if ids_from is not None else records
+    s_ids = src.select(nonblank(F.col(scix_id)).alias("scix_id")).filter(F.col("scix_id").isNotNull())
+    b_ids = src.select(nonblank(F.col(bibcode)).alias("bibcode")).filter(F.col("bibcode").isNotNull())
+    s_ids, b_ids = _maybe_broadcast(s_ids, ids_small), _maybe_broadcast(b_ids, ids_small)
     by_s = _prefixed(latest_per_key(table.join(s_ids, "scix_id", "left_semi"), "scix_id", order), "_s_")
     by_b = _prefixed(latest_per_key(table.join(b_ids, "bibcode", "left_semi"), "bibcode", order), "_b_")
     return (records.join(by_s, nonblank(F.col(scix_id)) == F.col("_s_scix_id"), "left")
@@ -60,18 +69,22 @@ def _join_by_ids(records: DataFrame, table: DataFrame, order: list[str], bibcode
 
 
 def resolve_by_either_id(records: DataFrame, table: DataFrame, order: list[str], prefix: str,
-                         bibcode="bibcode", scix_id="scix_id") -> DataFrame:
+                         bibcode="bibcode", scix_id="scix_id", ids_from: DataFrame | None = None,
+                         ids_small: bool = False) -> DataFrame:
     """D1 / D5 rule: newest ``table`` row with the record's scix_id; if there
     is none, newest with its bibcode.  Adds the chosen row's columns with
-    ``prefix``."""
-    j = _join_by_ids(records, table, order, bibcode, scix_id)
+    ``prefix``.  ``ids_from``: a cheaper frame with the same ids to prefetch
+    by (e.g. the materialised batch); ``ids_small``: its size was checked
+    against ``MAX_BROADCAST_IDS`` and it may be broadcast."""
+    j = _join_by_ids(records, table, order, bibcode, scix_id, ids_from, ids_small)
     use_s = F.col("_s_id").isNotNull()
     picked = [F.when(use_s, F.col("_s_" + c)).otherwise(F.col("_b_" + c)).alias(prefix + c) for c in table.columns]
     return j.select(*records.columns, *picked)
 
 
 def resolve_newest_either(records: DataFrame, table: DataFrame, order: list[str], prefix: str,
-                          key: str = "input_index", bibcode="bibcode", scix_id="scix_id") -> DataFrame:
+                          key: str = "input_index", bibcode="bibcode", scix_id="scix_id",
+                          ids_from: DataFrame | None = None, ids_small: bool = False) -> DataFrame:
     """D2 rule: newest ``table`` row matching EITHER id = the newer of the
     newest row by scix_id and the newest row by bibcode."""
     j = _join_by_ids(records, table, order, bibcode, scix_id)

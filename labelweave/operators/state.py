@@ -49,26 +49,29 @@ def dedupe_batch(records: DataFrame, key: str = "input_index") -> DataFrame:
 
 
 def resolve_override(records: DataFrame, overrides: DataFrame, mode: str = "batch",
-                     collections_col: str = "collections", key: str = "input_index") -> DataFrame:
+                     collections_col: str = "collections", key: str = "input_index",
+                     ids_from: DataFrame | None = None, ids_small: bool = False) -> DataFrame:
     """D1 (mode 'batch': scix_id first, then bibcode) / D2 (mode 'newest':
     newest of either id).  Adds ``overrides_id`` and ``final_collections``."""
     if mode == "batch":
-        j = L.resolve_by_either_id(records, overrides, ORDER, "ov_")
+        j = L.resolve_by_either_id(records, overrides, ORDER, "ov_", ids_from=ids_from, ids_small=ids_small)
     else:
-        j = L.resolve_newest_either(records, overrides, ORDER, "ov_", key)
+        j = L.resolve_newest_either(records, overrides, ORDER, "ov_", key, ids_from=ids_from, ids_small=ids_small)
     has = F.col("ov_id").isNotNull()
     return j.select(*records.columns, F.col("ov_id").alias("overrides_id"),
                     F.when(has, F.col("ov_override")).otherwise(F.col(collections_col)).alias("final_collections"))
 
 
-def match_scores(specs: DataFrame, scores: DataFrame, payload_col: str = "payload") -> DataFrame:
+def match_scores(specs: DataFrame, scores: DataFrame, payload_col: str = "payload",
+                 ids_from: DataFrame | None = None, ids_small: bool = False) -> DataFrame:
     """D3: newest existing score row with the same (key kind, key value,
     payload, overrides_id [NULL matches NULL], run_id).  Adds
     ``existing_score_id`` (NULL -> a new row is needed)."""
     k = specs.withColumn("_kk", record_key_kind()).withColumn("_kv", record_key_value())
     # prefetch the score rows of the batch's keys and runs only
-    want = k.select("_kk", "_kv", "run_id")
-    s = _row_key(scores).join(want, ["_kk", "_kv", "run_id"], "left_semi")
+    src = ids_from if ids_from is not None else specs
+    want = src.select(record_key_kind().alias("_kk"), record_key_value().alias("_kv"), "run_id")
+    s = _row_key(scores).join(F.broadcast(want) if ids_small else want, ["_kk", "_kv", "run_id"], "left_semi")
     s = L.latest_per_key(s, ["_kk", "_kv", "scores", "overrides_id", "run_id"], ORDER)
     s = s.select(F.col("_kk").alias("_s_kk"), F.col("_kv").alias("_s_kv"), F.col("scores").alias("_s_payload"),
                  F.col("overrides_id").alias("_s_ov"), F.col("run_id").alias("_s_run"),
@@ -112,10 +115,13 @@ def index_batch(state: State, records: DataFrame, now: Column, payload_col: str
     results) sees the same ids and no branch re-derives the joins."""
     # ``*_id_base``: current max ids when ``state`` holds only a prefetched
     # subset of the tables (default: max over the given tables)
-    recs = dedupe_batch(records)
-    r = resolve_override(recs, state.overrides, override_mode)
-    r = match_scores(r, state.scores, payload_col)
-    f = L.resolve_by_either_id(r, state.final, ORDER, "fc_")
+    # the deduplicated batch is materialised once: every lookup prefetches by
+    # its ids and the derived frames are not re-derived for that
+    recs = cut_lineage(dedupe_batch(records))
+    small = recs.count() <= L.MAX_BROADCAST_IDS  # parquet footers: no scan
+    r = resolve_override(recs, state.overrides, override_mode, ids_from=recs, ids_small=small)
+    r = match_scores(r, state.scores, payload_col, ids_from=recs, ids_small=small)
+    f = L.resolve_by_either_id(r, state.final, ORDER, "fc_", ids_from=recs, ids_small=small)
     f = cut_lineage(f.select("input_index", "bibcode", "scix_id", "run_id", F.col(payload_col).alias("_payload"),
                              "overrides_id", "final_collections", "existing_score_id", "fc_id"))
     new_sc = L.with_surrogate_ids(f.filter(F.col("existing_score_id").isNull()).select("input_index"),
@@ -183,7 +189,7 @@ def validate(state: State, reqs: DataFrame, now: Column, key: str = "input_index
     override array<string>.  Returns the new state and per-request
     ``outcome`` (true status) with ``status`` = 'record_validated' for every
     request (the forwarded status, Q5)."""
-    reqs = dedupe_batch(reqs, key)
+    reqs = cut_lineage(dedupe_batch(reqs, key))
     same = exists_by_either_id(reqs, state.overrides, [("override", "override")], key).withColumn(
         "_same", F.lit(True))
     fin = state.final.select("id", "bibcode", "scix_id", "created", "validated")
