@@ -224,6 +224,37 @@ def load_adjust(throughput_df: DataFrame, system: DataFrame, by: list[str] = ("r
              .drop("_load"))
 
 
+def run_summaries(events: DataFrame, samples: DataFrame, by: list[str] = ("run_id",),
+                  method: str = "sort") -> DataFrame:
+    """E8 + E11 + E12 per run: throughput, load factor and adjusted
+    throughput, mean 1-min load and mean memory ratio."""
+    by = list(by)
+    sysm = system_summary(samples, by, method)
+    adj = load_adjust(throughput(events, by), sysm, by)
+    means = sysm.groupBy(*by).agg(
+        F.max(F.when(F.col("metric") == "normalized_load_1m", F.col("mean"))).alias("mean_load_1m"),
+        F.max(F.when(F.col("metric") == "memory_available_ratio", F.col("mean"))).alias("mean_memory_ratio"))
+    return adj.join(means, by, "left")
+
+
+def gate_for_runs(events: DataFrame, samples: DataFrame, candidate: str, baseline: str,
+                  min_gain_pct: float = C.MIN_THROUGHPUT_GAIN_PCT,
+                  p95_limit_pct: float = C.P95_REGRESSION_LIMIT_PCT, method: str = "sort") -> DataFrame:
+    """E13 from event and sample tables: only the two runs' rows are read
+    (the run filter is pushed to the scan), their per-run summary and
+    per-stage latency tables (a few rows per run) are materialised once and
+    compared, so neither is derived twice."""
+    from labelweave.session import cut_lineage
+    runs = [str(candidate), str(baseline)]
+    ev = events.filter(F.col("run_id").cast("string").isin(*runs))
+    smp = samples.filter(F.col("run_id").cast("string").isin(*runs))
+    summ = cut_lineage(run_summaries(ev, smp, method=method))
+    lat = cut_lineage(stage_latency(ev, method=method))
+    cmp = compare_stages(lat.filter(F.col("run_id") == runs[0]), lat.filter(F.col("run_id") == runs[1]))
+    return evaluate_gate(summ.filter(F.col("run_id") == runs[0]), summ.filter(F.col("run_id") == runs[1]), cmp,
+                         min_gain_pct, p95_limit_pct)
+
+
 def compare_stages(cand: DataFrame, base: DataFrame) -> DataFrame:
     """Candidate vs baseline p95 on stages present in both (inner join)."""
     c = cand.select("stage", F.col("p95").alias("cand_p95"))

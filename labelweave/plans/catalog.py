@@ -1345,13 +1345,7 @@ summary as (select a.*, l.mean as mean_load_1m, r.mean as mean_memory_ratio from
 
 
 def _summary(spark, d):
-    ev = _ev(spark, d)
-    sysm = M.system_summary(_samples(spark, d))
-    adj = M.load_adjust(M.throughput(ev), sysm)
-    means = sysm.groupBy("run_id").agg(
-        F.max(F.when(F.col("metric") == "normalized_load_1m", F.col("mean"))).alias("mean_load_1m"),
-        F.max(F.when(F.col("metric") == "memory_available_ratio", F.col("mean"))).alias("mean_memory_ratio"))
-    return adj.join(means, "run_id", "left")
+    return M.run_summaries(_ev(spark, d), _samples(spark, d))
 
 
 @register("e12_load_adjustment", _BOTH + """
@@ -1390,10 +1384,7 @@ select coalesce(tdelta >= 5.0, false) and not regressed as pass, round(tdelta, 6
  round(bm, 6) as baseline_mean_memory_available_ratio, round(cm, 6) as candidate_mean_memory_available_ratio,
  5.0::double as min_throughput_improvement_pct, 10.0::double as p95_regression_limit_pct from g""")
 def e13(spark, d):
-    s = _summary(spark, d)
-    lat = M.stage_latency(_ev(spark, d))
-    cmp = M.compare_stages(lat.filter(F.col("run_id") == "1"), lat.filter(F.col("run_id") == "0"))
-    g = M.evaluate_gate(s.filter(F.col("run_id") == "1"), s.filter(F.col("run_id") == "0"), cmp)
+    g = M.gate_for_runs(_ev(spark, d), _samples(spark, d), "1", "0")
     g = g.withColumn("reasons", F.array_join("reasons", "; "))
     return _r6_all(g, ["throughput_delta_pct", "load_adjusted_throughput_delta_pct",
                        "baseline_mean_normalized_load_1m", "candidate_mean_normalized_load_1m",
