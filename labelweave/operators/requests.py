@@ -39,8 +39,7 @@ def apply_batch_defaults(df: DataFrame, batch_col: str = "batch_id", order_col:
               .withColumn("run_id", F.coalesce(first_run, new_run if new_run is not None else F.lit(None))))
 
 
-def output_path(home: str, step="operation_step", path="output_path", run="run_id",
-                has_run_col: str | None = None) -> Column:
+def output_path(home: str, step="operation_step", path="output_path", run="run_id") -> Column:
     """``<home>/logs/<basename or 'pre-ingest'>_<run>_classified.tsv``; a
     pre-ingest request with an absolute path keeps it."""
     p = F.col(path)
