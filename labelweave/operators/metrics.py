@@ -20,6 +20,7 @@ from labelweave import config as C
 from labelweave.functions.scores import pct_delta, per_minute
 
 LOW33 = (1 << 33) - 1
+MAX_BROADCAST_TARGETS = 2_000_000
 
 
 def order_stats(df: DataFrame, groups: list[str], value: str, pcts: list[float]) -> DataFrame:
@@ -54,8 +55,11 @@ def order_stats(df: DataFrame, groups: list[str], value: str, pcts: list[float])
     where = (need.join(seg.drop("_total"), groups)
                  .filter((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
                  .select("_pid", *groups, "_rank", (F.col("_rank") - F.col("_before") + F.col("_start")).alias("_pos")))
-    # ``where`` holds at most 2 x len(pcts) rows per group
-    vals = s.join(F.broadcast(where), ["_pid", *groups, "_pos"]).select(*groups, "_rank", "_v")
+    # ``where`` holds at most 2 x len(pcts) rows per group: broadcast it when
+    # the group count (a small aggregate) keeps that under the limit
+    n_groups = tot.count() if groups else 1
+    small = n_groups * 2 * len(pcts) <= MAX_BROADCAST_TARGETS
+    vals = s.join(F.broadcast(where) if small else where, ["_pid", *groups, "_pos"]).select(*groups, "_rank", "_v")
     lo = vals.select(*groups, F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
     hi = vals.select(*groups, F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
     out = tg.join(lo, [*groups, "_lo"]).join(hi, [*groups, "_hi"])
