@@ -103,3 +103,25 @@ def test_closed_form_stats_equal_array_stats(spark):
         b = W.prepare_stats(df.select("input_index", F.size("ids").alias("n_tokens")), "n_tokens", w, s, tail)
         b = b.select(*a.columns)
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())), (w, s, tail)
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    lines = [l for l in plan.splitlines() if "Exchange" in l]
+    shuffles = [l for l in lines if "BroadcastExchange" not in l]
+    return shuffles, plan
+
+
+def test_scoring_plan_shape(spark, sf_small):
+    from labelweave.session import read_table
+    scorer = SC.HashedLinearScorer(SC.default_weights(spark))
+    docs = read_table(spark, sf_small, "documents").select(F.col("doc_id").alias("input_index"), "text")
+    # single-split input: one exchange (records by key), aggregations need none
+    sh, plan = _exchanges(SC.score_records(docs, ["input_index"], scorer))
+    assert len(sh) == 1 and "hashpartitioning(input_index" in sh[0]
+    assert "BroadcastHashJoin" in plan and "BroadcastNestedLoopJoin" not in plan
+    # many input splits: no text shuffle; the two exchanges carry window / record partial sums
+    many = docs.repartition(spark.sparkContext.defaultParallelism * 2)
+    sh2, _ = _exchanges(SC.score_records(many, ["input_index"], scorer))
+    assert len(sh2) == 3  # the test's own repartition + window sums + record pooling
+    assert any("hashpartitioning(input_index#" in l and "chunk" in l for l in sh2)
