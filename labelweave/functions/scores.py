@@ -28,6 +28,12 @@ def py_round(col, digits: int = 2, exact: bool = False) -> Column:
 
 def _exact_round(digits: int):
     import pandas as pd
+    from pyspark.sql import SparkSession
+
+    from labelweave.session import ship_package
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
 
     @F.pandas_udf(DoubleType())
     def _round(s: pd.Series) -> pd.Series:

@@ -26,6 +26,7 @@ from labelweave.functions import scores as S
 from labelweave.functions import text as T
 from labelweave.operators import windows as W
 from labelweave.operators.layout import spread_records
+from labelweave.session import ship_package
 
 
 def default_weights(spark: SparkSession, n_buckets: int = C.N_BUCKETS, n_labels: int = len(C.LABELS)) -> DataFrame:
@@ -93,6 +94,7 @@ class PandasScorer:
     def score_windows(self, chunks: DataFrame, keys: list[str], window_col: str = "window") -> DataFrame:
         import pandas as pd
 
+        ship_package(chunks.sparkSession)
         factory = self.model_factory
         schema = chunks.select(*keys, "chunk").schema.add("probs", ArrayType(DoubleType()))
         cols = list(keys) + ["chunk"]
@@ -142,6 +144,7 @@ def custom_pool(chunk_probs: DataFrame, keys: list[str], fn: Callable, n_labels:
     import numpy as np
     import pandas as pd
 
+    ship_package(chunk_probs.sparkSession)
     schema = chunk_probs.select(*keys).schema.add("scores", ArrayType(DoubleType()))
 
     def per_record(pdf: pd.DataFrame) -> pd.DataFrame:

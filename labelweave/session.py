@@ -101,3 +101,30 @@ def cut_lineage(df):
     path = scratch_dir(spark, "stage")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``labelweave`` importable in Python workers (pandas UDFs,
+    ``applyInPandas``, ``mapInPandas`` and stateful functions refer to it):
+    zip the package once per application and register it with
+    ``addPyFile``, the same mechanism as ``spark-submit --py-files``."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="lw-pyfiles-"), "labelweave.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from labelweave import config as C
+from labelweave.session import ship_package
 
 LEASES = {"classify_inflight": C.CLASSIFY_LEASE_S, "index_inflight": C.INDEX_LEASE_S}
 
@@ -78,6 +79,7 @@ def claims_batch(events: DataFrame, key: str = "fp") -> DataFrame:
     def per_key(pdf: pd.DataFrame) -> pd.DataFrame:
         rows, _, _ = _run(int(pdf[key].iloc[0]), pdf, None, None)
         return pd.DataFrame(rows, columns=OUT.fieldNames())
+    ship_package(events.sparkSession)
     ev = events.select(F.col(key).cast("long").alias(key), F.col("event_id").cast("long"),
                        F.col("ts").cast("double"), "op")
     return ev.groupBy(key).applyInPandas(per_key, OUT)
@@ -93,6 +95,7 @@ def claims_stream(events: DataFrame, key: str = "fp") -> DataFrame:
             out.extend(rows)
         state.update((stage, lease))
         yield pd.DataFrame(out, columns=OUT.fieldNames())
+    ship_package(events.sparkSession)
     ev = events.select(F.col(key).cast("long").alias(key), F.col("event_id").cast("long"),
                        F.col("ts").cast("double"), "op")
     return ev.groupBy(key).applyInPandasWithState(per_key, OUT, STATE, "append", "NoTimeout")
