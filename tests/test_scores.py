@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from labelweave.functions import ids as I
 from labelweave.functions import scores as S

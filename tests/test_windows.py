@@ -1,7 +1,6 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from labelweave import config as C
 from labelweave.operators import scoring as SC
 from labelweave.operators import windows as W
 
