@@ -3,7 +3,7 @@ local[$BENCH_CPUS] and print one JSON line.
 
 Each query is executed in full with the ``noop`` sink (every row is
 computed, nothing is collected to the driver).  After one untimed warm-up
-run, each query runs twice and the best time is reported.
+run, each query runs three times and the best time is reported.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def main() -> None:
     times = {}
     for name in names:
         best = None
-        for _ in range(2):
+        for _ in range(3):
             t0 = time.time()
             catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             dt = time.time() - t0
