@@ -124,3 +124,21 @@ def test_scoring_plan_shape(spark, sf_small):
     sh2, _ = _exchanges(SC.score_records(many, ["input_index"], scorer))
     assert len(sh2) == 3  # the test's own repartition + window sums + record pooling
     assert any("hashpartitioning(input_index#" in l and "chunk" in l for l in sh2)
+
+
+def test_weights_fallback_and_long_form_match_default(spark, sf_small):
+    from labelweave.session import read_table
+    docs = read_table(spark, sf_small, "documents").select(F.col("doc_id").alias("input_index"), "text")
+    w = SC.default_weights(spark)
+    base = {r[0]: r[1] for r in SC.score_records(docs, ["input_index"], SC.HashedLinearScorer(w)).collect()}
+    # no broadcast allowed: the weights join falls back to a shuffle join
+    nob = SC.HashedLinearScorer(w, max_broadcast_rows=1)
+    out = SC.score_records(docs, ["input_index"], nob)
+    assert nob._broadcastable is False
+    got = {r[0]: r[1] for r in out.collect()}
+    assert got.keys() == base.keys() and all(np.allclose(got[k], base[k], atol=1e-12) for k in base)
+    # weights given in long form (bucket, label_index, weight)
+    long = w.select("bucket", F.posexplode("w").alias("label_index", "weight"))
+    lf = {r[0]: r[1] for r in SC.score_records(docs, ["input_index"],
+                                               SC.HashedLinearScorer(SC.weights_from_long(long))).collect()}
+    assert all(np.allclose(lf[k], base[k], atol=1e-12) for k in base)
