@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelweave.llm import exact_dedup, pii
+from labelweave.llm import exact_dedup, mixing, pieces, pii, simhash, topk
+from labelweave.llm.common import utf8_size, with_row_identity
 from labelweave.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,57 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_mixing", """
+with recursive sizes as (
+ select source, sum(coalesce(strlen(text), 0) + 1)::bigint as size from documents group by source),
+total as (select sum(size)::double as t, count(*)::double as w from sizes),
+rates as (
+ select source, 1.0::double * t * (1.0::double / w) / size as rate,
+  greatest(1, ceil(1.0::double * t * (1.0::double / w) / size / 16))::int as parts from sizes, total),
+terms(source, mean, k, p, c) as (
+ select source, rate / parts, 0, exp(-(rate / parts)), exp(-(rate / parts)) from rates
+ union all
+ select source, mean, k + 1, p * mean / (k + 1), c + p * mean / (k + 1) from terms
+ where k + 1 < ceil(mean + 12 * sqrt(mean) + 20)),
+draws as (
+ select d.rowid_ as r, j, r.source, (('0x' || substr(md5('42|' || coalesce(d.doc_id::varchar, 'null') || '|' || j::varchar),
+   1, 13))::bigint::double + 0.5) / 4503599627370496.0::double as u
+ from (select row_number() over () as rowid_, doc_id, source from documents) d
+ join rates r on r.source is not distinct from d.source, unnest(range(1, r.parts + 1)) as x(j)),
+counts as (
+ select r, count(t.k)::int as copies from draws left join terms t
+ on t.source is not distinct from draws.source and draws.u > t.c group by r),
+picked as (
+ select d.doc_id, d.source, r.rate, c.copies, d.text from (
+  select row_number() over () as rowid_, * from documents) d
+ join counts c on c.r = d.rowid_ join rates r on r.source is not distinct from d.source)
+select doc_id, source, rate, copies, copy::int as copy,
+ md5('order 42|' || coalesce(doc_id::varchar, 'null') || '|' || copy::varchar) as shuffle_key,
+ coalesce(strlen(text), 0)::bigint as size, md5(text) as text_md5
+from picked, unnest(range(1, copies + 1)) as x(copy)""")
+def op1(spark: SparkSession, d: str) -> DataFrame:
+    mixed = mixing.mix(read_table(spark, d, "documents"))
+    return mixed.select("doc.doc_id", "doc.source", "rate", "copies", "copy", "shuffle_key",
+                        utf8_size("doc.text").alias("size"), F.md5("doc.text").alias("text_md5"))
+
+
+@register("op3_topk", """
+with v as (
+ select vec_id, [floor(256 * x::double)::bigint for x in embedding] as e from embeddings
+ where vec_id is not null and embedding is not null
+  and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+scored as (
+ select q.vec_id as query_id, c.vec_id,
+  list_sum([q.e[i] * c.e[i] for i in range(1, least(len(q.e), len(c.e)) + 1)])::bigint as score
+ from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
+ranked as (
+ select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+ from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5""")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    return topk.top_k(read_table(spark, d, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 @register("op5_exact_dedup", """
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
  doc_id = max(doc_id) over w as kept, sha256(coalesce(text, '')) as text_sha256
@@ -36,3 +88,14 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
 @register("op8_pii")
 def op8(spark: SparkSession, d: str) -> DataFrame:
     return pii.pii_digest(pii.find_pii(read_table(spark, d, "documents").select("doc_id", "text")))
+
+
+@register("op6_simhash")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    found = simhash.near_duplicates(with_row_identity(read_table(spark, d, "documents")), shingle=3, max_bits=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register("op10_sentencepiece")
+def op10(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.encode_documents(read_table(spark, d, "documents"))
