@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelweave.llm import exact_dedup, mixing, pieces, pii, simhash, topk
+from labelweave.llm import exact_dedup, langid, mixing, pieces, pii, quality, simhash, topk
 from labelweave.llm.common import utf8_size, with_row_identity
 from labelweave.session import read_table
 
@@ -59,6 +59,14 @@ def op1(spark: SparkSession, d: str) -> DataFrame:
                         utf8_size("doc.text").alias("size"), F.md5("doc.text").alias("text_md5"))
 
 
+@register("op2_langid")
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents")
+    model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc.doc_id", langid.held_out(F.col("doc.doc_id")).alias("held_out"), "lang_pred", "score", "spans")
+
+
 @register("op3_topk", """
 with v as (
  select vec_id, [floor(256 * x::double)::bigint for x in embedding] as e from embeddings
@@ -85,6 +93,15 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@register("op7_quality")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    labels = read_table(spark, d, "labels").filter(~quality.held_out(F.col("doc_id")))
+    found = quality.score(docs, quality.fit(docs, labels))
+    return found.select("doc.doc_id", quality.held_out(F.col("doc.doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @register("op8_pii")
 def op8(spark: SparkSession, d: str) -> DataFrame:
     return pii.pii_digest(pii.find_pii(read_table(spark, d, "documents").select("doc_id", "text")))
