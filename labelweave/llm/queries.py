@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelweave.llm import exact_dedup, langid, mixing, pieces, pii, quality, simhash, topk
+from labelweave.llm import exact_dedup, langid, mixing, pieces, pii, quality, sharding, simhash, tokenfile, topk
 from labelweave.llm.common import utf8_size, with_row_identity
 from labelweave.session import read_table
 
@@ -84,6 +84,13 @@ def op3(spark: SparkSession, d: str) -> DataFrame:
     return topk.top_k(read_table(spark, d, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
+@register("op4_sharding")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    placed = sharding.shard_documents(read_table(spark, d, "documents"), shards=40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 @register("op5_exact_dedup", """
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
  doc_id = max(doc_id) over w as kept, sha256(coalesce(text, '')) as text_sha256
@@ -113,6 +120,11 @@ def op6(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@register("op9_tokenfile")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    return tokenfile.token_digest(read_table(spark, d, "documents"))
+
+
 @register("op10_sentencepiece")
 def op10(spark: SparkSession, d: str) -> DataFrame:
     return pieces.encode_documents(read_table(spark, d, "documents"))
