@@ -131,13 +131,15 @@ class Model:
     def predict(self, text: str | None):
         """(language, score, spans): score is the share of letters the
         language labels; spans are (start, end, language), code points, and
-        together cover the text.  ``und``, 0 and no span without a letter."""
+        together cover the text.  ``und``, 0 and no span without a letter;
+        score 0 where no word is in a script of a learned language."""
         words = _WORD.findall(text) if text else []
         if not self.langs or not any(c.isalpha() for w in words for c in w):
             return UNDETERMINED, 0.0, []
         s = self.scores(words)
-        if not s.any():
-            return self.langs[0], 0.0, [(0, len(text), self.langs[0])]
+        if not s.any():  # no evidence: the most frequent language
+            usable = any(script(w) in self.scripts for w in words)
+            return self.langs[0], 1.0 / len(self.langs) if usable else 0.0, [(0, len(text), self.langs[0])]
         path = self.label(s)
         if (path == path[0]).all():
             best = self.langs[int(path[0])]

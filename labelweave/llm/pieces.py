@@ -1,9 +1,9 @@
 """SentencePiece encoding and decoding by streaming Viterbi.
 
-A text is read left to right.  Only the last few characters' best scores and
-backpointers are held; as soon as every surviving backpointer path runs
-through one boundary, the ids before it are committed and dropped from the
-window.  No piece reaches across a boundary between a non-space and a space,
+A text is read left to right.  A score is needed for one longest piece only;
+as soon as every surviving backpointer path runs through one boundary, the ids
+before it are committed and their backpointers dropped (a run of one letter,
+whose paths may never meet, keeps them to its end).  No piece reaches across a boundary between a non-space and a space,
 or to either side of a line break (checked when the model is loaded), so all
 paths meet there; the stretch between two such boundaries is the unit that is
 committed, and its ids are remembered (bounded) for the next time it occurs.
@@ -93,6 +93,7 @@ class PieceModel:
         s = (stretch.replace(MARK, "\0") if MARK in stretch else stretch).replace(" ", MARK)
         n, out, base, reach, ahead = len(s), [], 0, 0, self.longest
         best, back, table = [0.0] + [_NEVER] * ahead, [0] * (ahead + 1), self.table
+        look = 4 * ahead  # paths that don't meet are looked at again when twice as long
         for i in range(n):
             here, known = best[i - base], False
             for k in range(i + 1, min(n, i + ahead) + 1):
@@ -115,8 +116,9 @@ class PieceModel:
             back.append(0)
             if reach == i + 1:
                 met = reach
-            elif len(best) > 4 * ahead:
+            elif len(best) > look:
                 met = self._meeting(best, back, i + 1 - base, base)
+                look = max(4 * ahead, 2 * (len(best) - met + base))
             else:
                 continue
             if met > base:
