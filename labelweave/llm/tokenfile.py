@@ -29,7 +29,8 @@ END_ID = 2
 SCALE_BITS = 18
 BLOCK_TOKENS, LANES, CHECKPOINT_ROWS = 1 << 18, 1024, 128
 LOW = np.uint64(1 << 31)
-MEMO_ENTRIES, MEMO_CHARS = 500_000, 48
+MEMO_ENTRIES, MEMO_CHARS = 300_000, 48
+STEP_ROWS = 500
 _ID = np.dtype("<u4")
 
 
@@ -209,12 +210,16 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
     that repeat an id in reading order), to ``folder``."""
     spark, path = docs.sparkSession, tokenizer or default_tokenizer()
 
-    @F.pandas_udf("binary")
-    def ids(texts: pd.Series) -> pd.Series:
+    def encode(batches):
         e, end = encoder(path), np.array([end_id], _ID).tobytes()
-        return pd.Series([e.encode(t) + end for t in texts], dtype=object)
+        for b in batches:
+            for at in range(0, b.num_rows, STEP_ROWS):
+                part = b.slice(at, STEP_ROWS)
+                ids = pa.array([e.encode(t) + end for t in part.column(3).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], ids], names=[*ROW, "doc_id", "ids"])
     tokens, tokens_path = write_stage(with_row_identity(docs).select(
-        *ROW, F.col("doc.doc_id").cast("long").alias("doc_id"), ids(F.col("doc.text")).alias("ids")), "tokens")
+        *ROW, F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").alias("text")).mapInArrow(
+        encode, "row_file string, row_index long, doc_id long, ids binary"), "tokens")
 
     def count(batches):
         total = np.zeros(0, np.int64)
