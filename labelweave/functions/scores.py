@@ -4,7 +4,6 @@ scores, output row helpers.  All are JVM-side column expressions."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from labelweave import config as C
 
@@ -13,38 +12,32 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def py_round(col, digits: int = 2, exact: bool = False) -> Column:
-    """Round to ``digits``.
-
-    Spark's ``round`` rounds the decimal text half-up; Python rounds the exact
-    binary value.  They differ only on (near-)ties such as 2.675; ``exact=True``
-    uses an Arrow-batched pandas UDF with Python's rule for strict parity.
-    """
-    c = _c(col).cast("double")
-    if not exact:
-        return F.round(c, digits)
-    return _exact_round(digits)(c)
-
-
-def _exact_round(digits: int):
-    import pandas as pd
-    from pyspark.sql import SparkSession
-
-    from labelweave.session import ship_package
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        ship_package(active)
-
-    @F.pandas_udf(DoubleType())
-    def _round(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: v if v is None or v != v else round(float(v), digits))
-    return _round
+def py_round(col, digits: int = 2) -> Column:
+    """The nearest multiple of 10**-digits to the exact binary value,
+    exact ties to even (0.285 -> 0.28, 0.125 -> 0.12), where Spark's
+    ``round`` goes by the decimal text.
+
+    The product with 10**digits is held as ``p + e`` without error (``x`` is
+    split so that both partial products are exact); ``p`` decides unless it
+    sits on a half, where the sign of ``e`` does."""
+    x = _c(col).cast("double")
+    a, scale = F.abs(x), F.lit(float(10 ** digits))
+    p = a * scale
+    big = a * F.lit(float((1 << 27) + 1))
+    high = big - (big - a)
+    e = (high * scale - p) + (a - high) * scale
+    low = F.floor(p).cast("double")
+    half = (p - low) - F.lit(0.5)
+    up = (half > 0) | ((half == 0) & ((e > 0) | ((e == 0) & (low % 2 == 1))))
+    r = (low + F.when(up, F.lit(1.0)).otherwise(F.lit(0.0))) / scale
+    # from 2**53 on (and for infinities and NaN) there is nothing to round
+    return F.when(~(p < float(1 << 53)), x).when(x < 0, -r).otherwise(r)
 
 
 def safe_score(arr, i: int) -> Column:
     """Element i as a float rounded to 2; missing or unparsable -> 0.0."""
     el = F.get(_c(arr), F.lit(i))
-    return F.coalesce(F.round(el.try_cast("double"), 2), F.lit(0.0))
+    return F.coalesce(py_round(el.try_cast("double")), F.lit(0.0))
 
 
 def _lit_array(values, typ: str) -> Column:
@@ -80,7 +73,7 @@ def collection_scores(scores, labels=C.LABELS, **kw) -> Column:
     s = _c(scores)
     meet = meet_flags(s, labels=labels, **kw)
     idx = F.filter(F.sequence(F.lit(0), F.size(meet) - 1), lambda i: F.get(meet, i))
-    return F.transform(idx, lambda i: F.round(F.get(s, i), 2))
+    return F.transform(idx, lambda i: py_round(F.get(s, i)))
 
 
 SUMMARY_NAMES = [
@@ -89,19 +82,19 @@ SUMMARY_NAMES = [
 ]
 
 
-def summary_columns(scores) -> list[Column]:
+def summary(scores) -> dict[str, Column]:
     """The eight rounded scores, astronomy / general maxima and the gross
-    collection (ties resolved astronomy > physics > general)."""
-    s = _c(scores)
-    r = [safe_score(s, i) for i in range(8)]
-    astronomy = F.round(F.greatest(r[0], r[1], r[2]), 2)
-    general = F.round(F.greatest(r[3], r[4], r[6]), 2)
-    physics = r[5]
+    collection (ties resolved astronomy > physics > general), by name."""
+    r = [safe_score(_c(scores), i) for i in range(8)]
+    astronomy, general, physics = F.greatest(r[0], r[1], r[2]), F.greatest(r[3], r[4], r[6]), r[5]
     gross = (F.when((astronomy >= physics) & (astronomy >= general), F.lit("astronomy"))
              .when(physics >= general, F.lit("physics")).otherwise(F.lit("general")))
-    cols = [r[i].alias(SUMMARY_NAMES[i]) for i in range(8)]
-    return cols + [astronomy.alias("astronomy_score"), general.alias("general_score"),
-                   gross.alias("gross_collection")]
+    return dict(zip(SUMMARY_NAMES, r)) | {"astronomy_score": astronomy, "general_score": general,
+                                          "gross_collection": gross}
+
+
+def summary_columns(scores) -> list[Column]:
+    return [c.alias(n) for n, c in summary(scores).items()]
 
 
 def gross_collection(scores) -> Column:

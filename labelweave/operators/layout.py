@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame
 
 
 def spread_records(df: DataFrame, key: str) -> DataFrame:
-    """Tokenizing is the CPU-heavy step.  When the input arrives in fewer
-    partitions than the cluster runs in parallel (e.g. one large row group),
-    hash-partition the records by their key first: the window and record
-    aggregations that follow are then already clustered on the key and plan
-    without further exchanges.  Inputs with enough splits are left as read,
-    so the text itself is never shuffled at scale."""
+    """Tokenizing is the CPU-heavy step.  When the input is too small to give
+    every core a split of its own (by the optimizer's size estimate; nothing
+    is run), the records are hash-partitioned by their key first: the window
+    and record aggregations that follow are then already clustered on the key
+    and plan without further exchanges.  Larger inputs are left as read, so
+    their text is never shuffled."""
     spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    split = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= spark.sparkContext.defaultParallelism * split:
         return df
     return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)

@@ -11,60 +11,49 @@ only the two rows around each requested rank are kept and interpolated.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelweave import config as C
 from labelweave.functions.scores import pct_delta, per_minute
+from labelweave.operators.requests import ranked
+from labelweave.session import cut_lineage
 
-LOW33 = (1 << 33) - 1
-MAX_BROADCAST_TARGETS = 2_000_000
-
-
-def order_stats(df: DataFrame, groups: list[str], value: str, pcts: list[float]) -> DataFrame:
+def order_stats(df: DataFrame, groups: list[str], value: str, pcts: list[float],
+                rows: DataFrame | None = None) -> DataFrame:
     """Exact percentiles per group: ``groups + [p, value]`` (p in 0..100).
 
-    1. range-partition on (group, value) and sort inside partitions: a hot
-       group spans many partitions;
-    2. per (partition, group) segment: row count and first local position
-       (small table) -> each segment's global rank range;
+    1. the rows are range-sorted on (group, value) and written once with their
+       place (``ranked``; a hot group spans many partitions; ``rows`` passes
+       such a copy in);
+    2. per (partition, group) segment: row count and first place (small
+       table) -> each segment's global rank range;
     3. the ranks each percentile needs (2 per percentile per group) are
-       mapped to (partition, local position) on that small table;
-    4. only those rows are picked from the data (semi join against at most
-       2 x len(pcts) rows per group) and interpolated."""
-    s = (df.select(*groups, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-           .repartitionByRange(*groups, "_v").sortWithinPartitions(*groups, "_v")
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(LOW33))))
-    seg = s.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_start"))
-    wg = Window.partitionBy(*groups).orderBy("_pid")
-    seg = (seg.withColumn("_before", F.sum("_n").over(wg) - F.col("_n"))
-              .withColumn("_total", F.sum("_n").over(Window.partitionBy(*groups))))
-    tot = seg.select(*groups, "_total").distinct()
-    ps = F.explode(F.array(*[F.lit(float(p)) for p in pcts])).alias("p")
-    tg = tot.select(*groups, "_total", ps)
-    idx = (F.col("_total") - 1) * F.col("p") / 100.0
-    tg = (tg.withColumn("_idx", F.when(F.col("p") <= 0, F.lit(0.0)).when(F.col("p") >= 100, F.col("_total") - 1)
-                        .otherwise(idx))
-            .withColumn("_lo", F.floor("_idx").cast("long"))
-            .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_total") - 1))
-            .withColumn("_w", F.col("_idx") - F.col("_lo")))
-    need = tg.select(*groups, F.explode(F.array("_lo", "_hi")).alias("_rank")).distinct()
-    where = (need.join(seg.drop("_total"), groups)
-                 .filter((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
-                 .select("_pid", *groups, "_rank", (F.col("_rank") - F.col("_before") + F.col("_start")).alias("_pos")))
-    # ``where`` holds at most 2 x len(pcts) rows per group: broadcast it when
-    # the group count (a small aggregate) keeps that under the limit
-    n_groups = tot.count() if groups else 1
-    small = n_groups * 2 * len(pcts) <= MAX_BROADCAST_TARGETS
-    vals = s.join(F.broadcast(where) if small else where, ["_pid", *groups, "_pos"]).select(*groups, "_rank", "_v")
-    lo = vals.select(*groups, F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = vals.select(*groups, F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
-    out = tg.join(lo, [*groups, "_lo"]).join(hi, [*groups, "_hi"])
-    return out.select(*groups, "p", (F.col("_vlo") * (1.0 - F.col("_w")) + F.col("_vhi") * F.col("_w")).alias(
-        "value"))
+       mapped to (partition, place) on that small table, which is written so
+       that the optimizer joins it by its known size;
+    4. only those rows are picked from the copy and interpolated."""
+    s = (rows if rows is not None else _ranked_values(df, groups, value)).filter(F.col("_v").isNotNull())
+    seg = s.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_start"))
+    per = Window.partitionBy(*groups)
+    seg = (seg.withColumn("_before", F.sum("_n").over(per.orderBy("_pid")) - F.col("_n"))
+              .withColumn("_total", F.sum("_n").over(per)))
+    share = F.explode(F.array(*[F.lit(min(max(float(p), 0.0), 100.0)) for p in pcts]))
+    at = (F.col("_total") - 1) * F.col("p") / 100.0
+    need = (seg.withColumn("p", share).withColumn("_lo", F.floor(at).cast("long"))
+               .withColumn("_w", at - F.col("_lo"))
+               .withColumn("_rank", F.explode(F.array_distinct(F.array(
+                   "_lo", F.least(F.col("_lo") + 1, F.col("_total") - 1))))))
+    inside = (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n"))
+    part = F.when(F.col("_total") - 1 == F.col("_lo"), F.lit(1.0)).when(
+        F.col("_rank") == F.col("_lo"), 1.0 - F.col("_w")).otherwise(F.col("_w"))
+    where = cut_lineage(need.filter(inside).select(
+        "_pid", *groups, (F.col("_rank") - F.col("_before") + F.col("_start")).alias("_local"), "p", part.alias("_part")))
+    picked = s.select("_pid", "_local", "_v").join(where, ["_pid", "_local"])
+    return picked.groupBy(*groups, "p").agg(F.sum(F.col("_v") * F.col("_part")).alias("value"))
+
+
+def _ranked_values(df: DataFrame, groups: list[str], value: str) -> DataFrame:
+    return ranked(df.select(*groups, F.col(value).cast("double").alias("_v")), [*groups, "_v"])
 
 
 def _pname(p: float) -> str:
@@ -77,10 +66,12 @@ def numeric_stats(df: DataFrame, groups: list[str], value: str, include_p99: boo
     (NULL values skipped; a group with none has count 0 and NULL stats)."""
     pcts = [50.0, 95.0] + ([99.0] if include_p99 else [])
     v = F.col(value).cast("double")
-    base = df.groupBy(*groups).agg(F.count(v).alias("count"), F.min(v).alias("min"), F.max(v).alias("max"),
-                                   F.avg(v).alias("mean"))
+    rows = _ranked_values(df, groups, value) if method == "sort" else None
+    x = F.col("_v") if method == "sort" else v
+    base = (rows if method == "sort" else df).groupBy(*groups).agg(
+        F.count(x).alias("count"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"))
     if method == "sort":
-        long = order_stats(df, groups, value, pcts)
+        long = order_stats(df, groups, value, pcts, rows)
         wide = long.groupBy(*groups).pivot("p", pcts).agg(F.first("value"))
         wide = wide.select(*groups, *[F.col(f"`{p}`").alias(_pname(p)) for p in pcts])
         return base.join(wide, groups, "left")
@@ -113,11 +104,17 @@ def event_counts(events: DataFrame, by: list[str] = ("run_id",)) -> DataFrame:
         F.count_if(F.coalesce(F.col("status"), F.lit("ok")) != "ok").alias("failures"))
 
 
+def stage_name() -> Column:
+    """The event's stage; a missing or empty one counts as ``unknown``."""
+    return F.coalesce(F.nullif(F.col("stage"), F.lit("")), F.lit("unknown"))
+
+
 def normalized_durations(events: DataFrame) -> DataFrame:
     """E4 input: durations of every stage but the four named categories;
     classify / index_db divided by record_count when it is > 0."""
     rc = F.coalesce(F.col("record_count").cast("long"), F.lit(0))
-    e = events.filter(F.col("duration_ms").isNotNull() & ~F.col("stage").isin(*C.PERF_NAMED_STAGES))
+    e = events.withColumn("stage", stage_name()).filter(
+        F.col("duration_ms").isNotNull() & ~F.col("stage").isin(*C.PERF_NAMED_STAGES))
     norm = F.when(F.col("stage").isin(*C.PER_RECORD_STAGES) & (rc > 0), F.col("duration_ms") / rc).otherwise(
         F.col("duration_ms"))
     return e.withColumn("latency_ms", norm.cast("double"))
@@ -149,7 +146,7 @@ def named_timings(events: DataFrame, by: list[str] = ("run_id",), method: str =
 
 def errors_by_stage(events: DataFrame, by: list[str] = ("run_id",)) -> DataFrame:
     """Non-ok events per stage."""
-    return (events.filter(F.coalesce(F.col("status"), F.lit("ok")) != "ok")
+    return (events.withColumn("stage", stage_name()).filter(F.coalesce(F.col("status"), F.lit("ok")) != "ok")
                   .groupBy(*by, "stage").agg(F.count(F.lit(1)).alias("errors")))
 
 
@@ -192,6 +189,36 @@ def summarize_events(events: DataFrame, expected: Column | None = None, by: list
     return out.withColumn("backlog", b).withColumn("status", status)
 
 
+def event_measures(events: DataFrame, by: list[str] = ("run_id",)) -> DataFrame:
+    """Every duration and size that E10 summarises, one row each: ``section``
+    (latency_ms, batch_latency_ms, batch_sizes or a named stage), ``name``
+    (stage, or the event's name) and ``value``; one pass over the events."""
+    rc = F.coalesce(F.col("record_count").cast("long"), F.lit(0))
+    d, stage = F.col("duration_ms").cast("double"), stage_name()
+    per_record, named = stage.isin(*C.PER_RECORD_STAGES), stage.isin(*C.PERF_NAMED_STAGES)
+    batch = per_record & (F.coalesce(F.col("batch_mode"), F.lit(False)) | (rc > 1))
+    label = F.coalesce(F.nullif(F.col("name").cast("string"), F.lit("")), F.lit("unknown"))
+
+    def row(section, name, value, when):
+        return F.when(when, F.struct(section.alias("section"), name.alias("name"), value.alias("value")))
+    rows = F.array_compact(F.array(
+        row(F.lit("latency_ms"), stage, F.when(per_record & (rc > 0), d / rc).otherwise(d), ~named),
+        row(F.lit("batch_latency_ms"), stage, d, batch),
+        row(F.lit("batch_sizes"), stage, rc.cast("double"), batch & (rc > 0)),
+        row(stage, label, d, named)))
+    return events.filter(d.isNotNull()).select(*by, F.explode(rows).alias("m")).select(*by, "m.*")
+
+
+def event_report(events: DataFrame, by: list[str] = ("run_id",), method: str = "sort") -> DataFrame:
+    """E10's statistics in full: per run, section and name the count, min,
+    max, mean, p50, p95, p99; section ``errors`` counts non-ok events."""
+    by = list(by)
+    stats = numeric_stats(event_measures(events, by), [*by, "section", "name"], "value", True, method)
+    errors = errors_by_stage(events, by).select(
+        *by, F.lit("errors").alias("section"), F.col("stage").alias("name"), F.col("errors").alias("count"))
+    return stats.unionByName(errors, allowMissingColumns=True)
+
+
 def bottleneck(latency: DataFrame, by: list[str] = ("run_id",)) -> DataFrame:
     """Stage with the highest p95 (ties: alphabetically first)."""
     w = Window.partitionBy(*by).orderBy(F.col("p95").desc(), F.col("stage").asc())
@@ -204,7 +231,8 @@ SAMPLE_METRICS = ["normalized_load_1m", "normalized_load_5m", "normalized_load_1
 
 def system_summary(samples: DataFrame, by: list[str] = ("run_id",), method: str = "sort") -> DataFrame:
     """Stats (no p99) of the normalized loads and memory ratio over the
-    samples of each run (NULL samples skipped); platform from the first."""
+    samples of each run (NULL samples skipped); platform, cpu_count and
+    memory_probe from the first."""
     by = list(by)
     long = samples.select(*by, "ts", F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in SAMPLE_METRICS])).alias("x"))
@@ -212,7 +240,7 @@ def system_summary(samples: DataFrame, by: list[str] = ("run_id",), method: str
     stats = numeric_stats(long, [*by, "metric"], "v", False, method)
     first = samples.groupBy(*by).agg(
         F.count(F.lit(1)).alias("sample_count"),
-        *([F.min_by("platform", "ts").alias("platform")] if "platform" in samples.columns else []))
+        *[F.min_by(c, "ts").alias(c) for c in ("platform", "cpu_count", "memory_probe") if c in samples.columns])
     return stats.join(first, by, "left")
 
 
@@ -228,17 +256,14 @@ def load_adjust(throughput_df: DataFrame, system: DataFrame, by: list[str] = ("r
              .drop("_load"))
 
 
-def run_summaries(events: DataFrame, samples: DataFrame, by: list[str] = ("run_id",),
-                  method: str = "sort") -> DataFrame:
+def run_summaries(events: DataFrame, samples: DataFrame, by: list[str] = ("run_id",)) -> DataFrame:
     """E8 + E11 + E12 per run: throughput, load factor and adjusted
     throughput, mean 1-min load and mean memory ratio."""
     by = list(by)
-    sysm = system_summary(samples, by, method)
-    adj = load_adjust(throughput(events, by), sysm, by)
-    means = sysm.groupBy(*by).agg(
-        F.max(F.when(F.col("metric") == "normalized_load_1m", F.col("mean"))).alias("mean_load_1m"),
-        F.max(F.when(F.col("metric") == "memory_available_ratio", F.col("mean"))).alias("mean_memory_ratio"))
-    return adj.join(means, by, "left")
+    means = samples.groupBy(*by).agg(F.avg(F.col("normalized_load_1m").cast("double")).alias("mean_load_1m"),
+                                     F.avg(F.col("memory_available_ratio").cast("double")).alias("mean_memory_ratio"))
+    load = means.select(*by, F.lit("normalized_load_1m").alias("metric"), F.col("mean_load_1m").alias("mean"))
+    return load_adjust(throughput(events, by), load, by).join(means, by, "left")
 
 
 def gate_for_runs(events: DataFrame, samples: DataFrame, candidate: str, baseline: str,
@@ -248,11 +273,10 @@ def gate_for_runs(events: DataFrame, samples: DataFrame, candidate: str, baselin
     (the run filter is pushed to the scan), their per-run summary and
     per-stage latency tables (a few rows per run) are materialised once and
     compared, so neither is derived twice."""
-    from labelweave.session import cut_lineage
     runs = [str(candidate), str(baseline)]
     ev = events.filter(F.col("run_id").cast("string").isin(*runs))
     smp = samples.filter(F.col("run_id").cast("string").isin(*runs))
-    summ = cut_lineage(run_summaries(ev, smp, method=method))
+    summ = cut_lineage(run_summaries(ev, smp))
     lat = cut_lineage(stage_latency(ev, method=method))
     cmp = compare_stages(lat.filter(F.col("run_id") == runs[0]), lat.filter(F.col("run_id") == runs[1]))
     return evaluate_gate(summ.filter(F.col("run_id") == runs[0]), summ.filter(F.col("run_id") == runs[1]), cmp,
@@ -278,7 +302,9 @@ def evaluate_gate(cand_summary: DataFrame, base_summary: DataFrame, stage_cmp: D
     j = both.agg(*[F.max(F.when(F.col("_role") == r, F.col(x))).alias(f"{r}_{x}") for r in ("c", "b") for x in cols])
     regressed = stage_cmp.select(F.coalesce(F.max(F.col("p95_delta_pct") > p95_limit_pct), F.lit(False))).scalar()
     common = stage_cmp.select(F.count(F.lit(1))).scalar()
-    j = j.withColumn("_regressed", regressed).withColumn("common_stages", common)
+    deltas = stage_cmp.select(F.map_from_entries(F.array_sort(F.collect_list(F.struct("stage", "p95_delta_pct"))))).scalar()
+    j = (j.withColumn("_regressed", regressed).withColumn("common_stages", common)
+          .withColumn("p95_delta_pct_by_stage", deltas))
     tdelta = pct_delta("c_overall_records_per_minute", "b_overall_records_per_minute")
     adelta = pct_delta("c_load_adjusted_records_per_minute", "b_load_adjusted_records_per_minute")
     tpass = F.coalesce(tdelta >= min_gain_pct, F.lit(False))
@@ -289,6 +315,7 @@ def evaluate_gate(cand_summary: DataFrame, base_summary: DataFrame, stage_cmp: D
     return j.select(
         (tpass & ppass).alias("pass"), tdelta.alias("throughput_delta_pct"),
         adelta.alias("load_adjusted_throughput_delta_pct"), reasons.alias("reasons"), "common_stages",
+        "p95_delta_pct_by_stage",
         F.col("b_mean_load_1m").alias("baseline_mean_normalized_load_1m"),
         F.col("c_mean_load_1m").alias("candidate_mean_normalized_load_1m"),
         F.col("b_mean_memory_ratio").alias("baseline_mean_memory_available_ratio"),
@@ -313,6 +340,3 @@ def resolve_event_context(events: DataFrame, contexts: DataFrame, default_enable
     return j.withColumn("context_id", ctx).withColumn("enabled", en).filter("enabled").drop(
         "_en_spec", "_en_run", "_ctx_run")
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -4,25 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from labelweave import config as C
 from labelweave.functions import scores as S
 
 
 def output_row(df: DataFrame) -> DataFrame:
-    """The 20 TSV columns (lists joined by ', ', NULL/0 ids -> '')."""
+    """The 20 TSV columns (lists joined by ', '; NULL and the number 0
+    -> '', the text "0" stays)."""
     def blank(c):
-        col = F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
-        return F.when(col.isNull() | (col == "0"), F.lit("")).otherwise(col)
-    summ = {c._jc.toString().split(" AS ")[-1].strip("`"): c for c in S.summary_columns("scores")}
+        if c not in df.columns:
+            return F.lit("")
+        shown = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        return F.when(F.col(c) == 0, F.lit("")).otherwise(shown) if isinstance(
+            df.schema[c].dataType, NumericType) else shown
+    by_name = S.summary("scores")
     return df.select(
-        blank("bibcode").alias("bibcode"), blank("scix_id").alias("scix_id"), blank("run_id").alias("run_id"),
-        blank("title").alias("title"), blank("abstract").alias("abstract"),
+        *[blank(c).alias(c) for c in ("bibcode", "scix_id", "run_id", "title", "abstract")],
         S.join_list("collections").alias("collections"), S.join_list("collection_scores").alias("collection_scores"),
-        *[summ[n] for n in C.OUTPUT_HEADER[7:18]],
-        (blank("gross_collection_override") if "gross_collection_override" in df.columns else F.lit("")).alias(
-            "gross_collection_override"),
-        F.lit("").alias("override"))
+        *[by_name[n].alias(n) for n in C.OUTPUT_HEADER[7:18]],
+        blank("gross_collection_override").alias("gross_collection_override"), F.lit("").alias("override"))
 
 
 def score_payload(scores="scores", collections_col="collections", labels=C.LABELS,
@@ -36,10 +38,12 @@ def score_payload(scores="scores", collections_col="collections", labels=C.LABEL
                               F.lit(adjustment).alias("earth_science_adjustment"), m.alias("scores")))
 
 
-def model_metadata(model_name: str = "hashed-linear", revision: str = "v1", cfg: C.ClassifierConfig = C.DEFAULT):
-    """Canonical JSON of the model settings and of the post-processing settings."""
-    model = F.to_json(F.struct(F.lit(list(cfg.labels)).alias("labels"), F.lit(model_name).alias("model"),
-                               F.lit(revision).alias("revision")))
+def model_metadata(model_name: str = "hashed-linear", revision: str = "v1", tokenizer: str = "ascii-words-md5",
+                   cfg: C.ClassifierConfig = C.DEFAULT):
+    """Canonical JSON (sorted keys) of the model's name, revision and
+    tokenizer, and of the post-processing settings; together they key D4."""
+    model = F.to_json(F.struct(F.lit(model_name).alias("model"), F.lit(revision).alias("revision"),
+                               F.lit(tokenizer).alias("tokenizer")))
     post = F.to_json(F.struct(F.lit(cfg.relabel_active).alias("earth_science_adjustment"),
                               F.lit(cfg.relabel_threshold).alias("earth_science_threshold"),
                               F.lit([float(x) for x in cfg.thresholds]).alias("thresholds")))

@@ -75,27 +75,26 @@ def is_single_empty(col) -> Column:
     return F.coalesce((F.size(c) == 1) & (F.get(c, 0) == F.lit("")), F.lit(False))
 
 
-def dense_index(df: DataFrame, order: list[str], name: str = "row_index") -> DataFrame:
-    """Dense 0-based index in ``order`` without a single-partition window:
-    range-sort, take each row's position inside its partition from the
-    documented layout of ``monotonically_increasing_id`` (low 33 bits), add
-    per-partition offsets (one row per partition, broadcast)."""
-    s = df.orderBy(*order).withColumn("_pid", F.spark_partition_id()).withColumn(
-        "_local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offs = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
-    return s.join(F.broadcast(offs), "_pid").withColumn(name, F.col("_off") + F.col("_local")).drop(
-        "_pid", "_local", "_off")
+LOW33 = (1 << 33) - 1
+
+
+def ranked(df: DataFrame, order: list[str], by_range: list[str] | None = None) -> DataFrame:
+    """``df`` range-sorted on ``order`` and written once with each row's
+    partition ``_pid`` and place in it ``_local`` (the documented layout of
+    ``monotonically_increasing_id``).  Everything derived from these two
+    columns reads that one written copy, so it never rests on two branches of
+    a plan being partitioned alike."""
+    from labelweave.session import cut_lineage
+    s = df.repartitionByRange(*(by_range or order)).sortWithinPartitions(*order)
+    return cut_lineage(s.withColumn("_pid", F.spark_partition_id()).withColumn(
+        "_local", F.monotonically_increasing_id().bitwiseAND(F.lit(LOW33))))
 
 
-def dense_index_in_place(df: DataFrame, name: str = "row_index") -> DataFrame:
-    """Dense 0-based index in the frame's current row order (partition after
-    partition, rows in reading order) without sorting: local position from
-    the low 33 bits of ``monotonically_increasing_id`` plus per-partition
-    offsets (one row per partition, broadcast).  The frame must be
-    deterministic (e.g. a file scan and filters), since it is read twice."""
-    s = df.withColumn("_pid", F.spark_partition_id()).withColumn(
-        "_local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+def dense_index(df: DataFrame, order: list[str], name: str = "row_index") -> DataFrame:
+    """Dense 0-based index in ``order`` without a single-partition window:
+    the place in the range partition (``ranked``) plus the rows of the
+    partitions before it (one small row per partition)."""
+    s = ranked(df, order)
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
     return s.join(F.broadcast(offs), "_pid").withColumn(name, F.col("_off") + F.col("_local")).drop(

@@ -15,6 +15,7 @@ Arrow batches of windows, model loaded once per Python worker.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,25 +86,37 @@ class HashedLinearScorer:
 class PandasScorer:
     """Plug-in scorer.  ``model_factory()`` is called once per Python
     worker and must return ``f(list[list[int]]) -> list[list[float]]`` of
-    sigmoid scores per window.  Batches stay Arrow-sized."""
+    sigmoid scores per window.  Workers keep the model under ``name`` (give
+    another model another name or version).  Windows of an Arrow batch reach
+    the model by length in groups of ``micro_batch``, so little is padding."""
 
-    def __init__(self, model_factory: Callable, n_labels: int = len(C.LABELS)):
+    def __init__(self, model_factory: Callable, n_labels: int = len(C.LABELS), name: str | None = None,
+                 micro_batch: int = C.MODEL_INFERENCE_BATCH_SIZE):
         self.model_factory = model_factory
         self.n_labels = n_labels
+        self.name = name or f"{model_factory.__module__}.{getattr(model_factory, '__qualname__', 'model')}-{uuid.uuid4().hex}"
+        self.micro_batch = micro_batch
 
     def score_windows(self, chunks: DataFrame, keys: list[str], window_col: str = "window") -> DataFrame:
         import pandas as pd
 
         ship_package(chunks.sparkSession)
-        factory = self.model_factory
+        factory, name, step = self.model_factory, self.name, self.micro_batch
         schema = chunks.select(*keys, "chunk").schema.add("probs", ArrayType(DoubleType()))
         cols = list(keys) + ["chunk"]
 
         def run(it):
-            model = _worker_model(factory)
+            model = _worker_model(name, factory)
             for pdf in it:
                 out = pdf[cols].copy()
-                out["probs"] = list(model([list(w) for w in pdf[window_col]]))
+                windows = [list(w) for w in pdf[window_col]]
+                by_length = sorted(range(len(windows)), key=lambda i: len(windows[i]))
+                probs = [None] * len(windows)
+                for a in range(0, len(windows), step):
+                    at = by_length[a:a + step]
+                    for i, p in zip(at, model([windows[i] for i in at])):
+                        probs[i] = p
+                out["probs"] = probs
                 yield out
         return chunks.select(*cols, window_col).mapInPandas(run, schema)
 
@@ -111,11 +124,10 @@ class PandasScorer:
 _MODELS: dict = {}
 
 
-def _worker_model(factory):
-    key = id(factory)
-    if key not in _MODELS:
-        _MODELS[key] = factory()
-    return _MODELS[key]
+def _worker_model(name, factory):
+    if name not in _MODELS:
+        _MODELS[name] = factory()
+    return _MODELS[name]
 
 
 def explode_windows(df: DataFrame, keys: list[str], ids_col: str = "ids", window: int = C.SCORING_WINDOW,
@@ -178,12 +190,15 @@ def score_records(df: DataFrame, keys: list[str], scorer, text_col: str = "text"
 def classify(df: DataFrame, scorer, cfg: C.ClassifierConfig = C.DEFAULT,
              keys: tuple = ("input_index",), carry: tuple = ()) -> DataFrame:
     """Requests (``title``/``abstract`` or ``text``) -> scores,
-    categories, collections, collection_scores.  ``carry`` columns ride
-    along through the aggregation (no join back)."""
+    categories, collections, collection_scores.  ``keys`` name a record once;
+    ``carry`` columns are joined back to the pooled scores, so they are never
+    copied to window or token rows."""
     if "text" not in df.columns:
         df = df.withColumn("text", T.request_text(missing=cfg.missing_text))
     k = list(keys) + [c for c in carry if c not in keys]
-    scored = score_records(df, k, scorer, "text", cfg)
+    scored = score_records(df, list(keys), scorer, "text", cfg)
+    if len(k) > len(keys):
+        scored = scored.join(df.select(*k), list(keys))
     kw = dict(thresholds=cfg.thresholds, relabel_active=cfg.relabel_active, relabel_from=cfg.relabel_from,
               relabel_to=cfg.relabel_to, relabel_threshold=cfg.relabel_threshold)
     return scored.select(
@@ -224,3 +239,23 @@ def classify_counts(routed: DataFrame, batch_col: str = "batch_id") -> DataFrame
         F.count_if(~F.col("fake")).alias("real_count"),
         F.count_if(F.col("fake")).alias("fake_count"),
     ).withColumn("status", F.lit("ok"))
+
+
+def classify_ids(spark: SparkSession, ids_path: str, catalog: DataFrame, out_path: str, scorer, sort: bool = True) -> DataFrame:
+    """Ids CSV -> catalogue lookup (D7) -> classify (C13) -> raw scores
+    of the assigned collections and their minimum (B22, B23) -> optional
+    ascending sort (F6) -> ``<name>_classified.csv``, read back."""
+    from labelweave.sources.readers import read_ids_csv
+    ids = read_ids_csv(spark, ids_path).withColumnRenamed("bibcode", "identifier")
+    found = catalog.join(ids, "identifier", "left_semi")
+    cl = classify(found, scorer, carry=("identifier", "title", "abstract"))
+    cl = cl.withColumn("collection_scores", S.scores_by_label("collections", "scores")).withColumn(
+        "minimum_collection_score", S.min_collection_score("collections", "scores"))
+    lists = ("categories", "scores", "collections", "collection_scores")
+    out = cl.select("identifier", "title", "abstract", *[S.join_list(F.col(c)).alias(c) for c in lists],
+                    "minimum_collection_score")
+    if sort:
+        out = out.orderBy(F.col("minimum_collection_score").asc_nulls_last(), "identifier")
+    (out.write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False).csv(out_path))
+    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(out_path)

@@ -1,9 +1,11 @@
 """Table state: score/override/final-collection lookups and the index,
 validate and resend transitions (D3 D4 D6 D7 D8 D11, F2, G1..G11).
 
-Every transition is a pure function ``new_state = f(old_state, batch)`` of
-DataFrames; ``store.SnapshotStore`` persists the result (append-only
-``scores``/``overrides``/``runs``/``models``, versioned ``final_collection``).
+Every transition is a pure function of the old state and a batch that gives
+``Changes``: the rows it inserts or changes, never whole tables.
+``State.apply`` shows the tables after them; ``SnapshotStore`` persists them
+(append-only ``overrides``/``runs``/``models``, change logs for ``scores`` and
+``final_collection``).
 
 Table schemas (ids are longs, times are timestamps in UTC):
   overrides(id, bibcode, scix_id, override array<string>, created)
@@ -37,15 +39,41 @@ class State:
     runs: DataFrame | None = None
     models: DataFrame | None = None
 
+    def apply(self, c: "Changes") -> "State":
+        """The tables after the changes (rows replaced or added by id)."""
+        return State(merged(self.overrides, c.overrides), merged(self.scores, c.scores), merged(self.final, c.final),
+                     self.runs, self.models)
+
+
+@dataclass
+class Changes:
+    """Inserted and changed rows of each table (None: none)."""
+    overrides: DataFrame | None = None
+    scores: DataFrame | None = None
+    final: DataFrame | None = None
+
+    def then(self, later: "Changes") -> "Changes":
+        both = [merged(a, b) if a is not None else b for a, b in (
+            (self.overrides, later.overrides), (self.scores, later.scores), (self.final, later.final))]
+        return Changes(*both)
+
+
+def merged(table: DataFrame, changed: DataFrame | None) -> DataFrame:
+    if changed is None:
+        return table
+    return table.join(changed.select("id"), "id", "left_anti").unionByName(changed.select(*table.columns))
+
 
 def _row_key(df: DataFrame) -> DataFrame:
     return df.withColumn("_kk", record_key_kind()).withColumn("_kv", record_key_value())
 
 
 def dedupe_batch(records: DataFrame, key: str = "input_index") -> DataFrame:
-    """Q8: one row per record key inside a batch, the last input wins."""
-    k = _row_key(records)
-    return L.latest_per_key(k, ["_kk", "_kv"], [key]).drop("_kk", "_kv")
+    """Q8: one row per record key inside a batch, the last input wins; rows
+    without any id are records of their own and all stay."""
+    named = nonblank("scix_id").isNotNull() | nonblank("bibcode").isNotNull()
+    last = L.latest_per_key(_row_key(records.filter(named)), ["_kk", "_kv"], [key]).drop("_kk", "_kv")
+    return last.unionByName(records.filter(~named))
 
 
 def resolve_override(records: DataFrame, overrides: DataFrame, mode: str = "batch",
@@ -82,6 +110,25 @@ def match_scores(specs: DataFrame, scores: DataFrame, payload_col: str = "payloa
     return k.join(s, cond, "left").select(*specs.columns, "existing_score_id")
 
 
+def match_scores_either(specs: DataFrame, scores: DataFrame, payload_col: str = "payload",
+                        ids_from: DataFrame | None = None, ids_small: bool = False) -> DataFrame:
+    """G2's lookup: newest existing score row with EITHER id of the record and
+    the same payload, overrides_id and run_id: the newer of the newest by
+    scix_id and the newest by bibcode."""
+    src = ids_from if ids_from is not None else specs
+    out = specs
+    for c in ("scix_id", "bibcode"):
+        want = src.select(nonblank(c).alias(c), "run_id").filter(F.col(c).isNotNull())
+        s = scores.join(F.broadcast(want) if ids_small else want, [c, "run_id"], "left_semi")
+        s = L.latest_per_key(s, [c, "scores", "overrides_id", "run_id"], ORDER).select(
+            F.col(c).alias("_k"), F.col("scores").alias("_p"), F.col("overrides_id").alias("_o"),
+            F.col("run_id").alias("_r"), F.struct(*ORDER).alias(f"_by_{c}"))
+        out = out.join(s, (nonblank(F.col(c)) == F.col("_k")) & (F.col(payload_col) == F.col("_p"))
+                       & F.col("overrides_id").eqNullSafe(F.col("_o")) & (F.col("run_id") == F.col("_r")),
+                       "left").drop("_k", "_p", "_o", "_r")
+    return out.select(*specs.columns, F.greatest("_by_scix_id", "_by_bibcode")["id"].alias("existing_score_id"))
+
+
 def get_or_create_model(models: DataFrame, runs: DataFrame, model: Column, postprocessing: Column,
                         run_ids: DataFrame, now: Column) -> tuple[DataFrame, DataFrame, Column]:
     """Newest models row with this (model, postprocessing), inserted when
@@ -105,9 +152,11 @@ def get_or_create_model(models: DataFrame, runs: DataFrame, model: Column, postp
 
 def index_batch(state: State, records: DataFrame, now: Column, payload_col: str = "payload",
                 override_mode: str = "batch", score_id_base: Column | None = None,
-                final_id_base: Column | None = None) -> tuple[State, DataFrame]:
-    """Resolve overrides, reuse or append score rows, update or insert
-    final rows.  Returns the new state and per-record results
+                final_id_base: Column | None = None) -> tuple[Changes, DataFrame]:
+    """G1 (mode 'batch') / G2 (mode 'newest'): resolve overrides, reuse or
+    append score rows, update or insert final rows.  G1 matches scix_id first,
+    then bibcode; G2 takes the newest row of either id, also for scores and
+    final rows.  Returns the changes and per-record results
     (``status='record_indexed'``, score/final ids, flags for E16).
 
     The resolved batch is materialised once (checkpoint) and new ids are
@@ -120,8 +169,12 @@ def index_batch(state: State, records: DataFrame, now: Column, payload_col: str
     recs = cut_lineage(dedupe_batch(records))
     small = recs.count() <= L.MAX_BROADCAST_IDS  # parquet footers: no scan
     r = resolve_override(recs, state.overrides, override_mode, ids_from=recs, ids_small=small)
-    r = match_scores(r, state.scores, payload_col, ids_from=recs, ids_small=small)
-    f = L.resolve_by_either_id(r, state.final, ORDER, "fc_", ids_from=recs, ids_small=small)
+    if override_mode == "batch":
+        r = match_scores(r, state.scores, payload_col, ids_from=recs, ids_small=small)
+        f = L.resolve_by_either_id(r, state.final, ORDER, "fc_", ids_from=recs, ids_small=small)
+    else:
+        r = match_scores_either(r, state.scores, payload_col, ids_from=recs, ids_small=small)
+        f = L.resolve_newest_either(r, state.final, ORDER, "fc_", ids_from=recs, ids_small=small)
     f = cut_lineage(f.select("input_index", "bibcode", "scix_id", "run_id", F.col(payload_col).alias("_payload"),
                              "overrides_id", "final_collections", "existing_score_id", "fc_id"))
     new_sc = L.with_surrogate_ids(f.filter(F.col("existing_score_id").isNull()).select("input_index"),
@@ -136,12 +189,11 @@ def index_batch(state: State, records: DataFrame, now: Column, payload_col: str
         F.col("new_score_id").alias("id"), "bibcode", "scix_id", F.col("_payload").alias("scores"),
         now.alias("created"), F.col("overrides_id").cast("long").alias("overrides_id"),
         F.col("run_id").cast("long").alias("run_id"))
-    scores2 = state.scores.unionByName(score_rows.select(*state.scores.columns))
     upd = L.latest_per_key(res.filter(F.col("fc_id").isNotNull()).select(
         "fc_id", "input_index", "final_collections", "score_id"), "fc_id", ["input_index"])
     u = upd.select(F.col("fc_id").alias("id"), F.col("final_collections").alias("_coll"),
                    F.col("score_id").alias("_sid"))
-    fin = state.final.join(u, "id", "left").select(
+    fin = state.final.join(u, "id").select(
         *[F.coalesce(F.col("_coll"), F.col("collection")).alias("collection") if c == "collection"
           else F.coalesce(F.col("_sid"), F.col("score_id")).alias("score_id") if c == "score_id"
           else F.col(c) for c in state.final.columns])
@@ -149,14 +201,14 @@ def index_batch(state: State, records: DataFrame, now: Column, payload_col: str
         F.col("new_final_id").alias("id"), "bibcode", "scix_id", "score_id",
         F.col("final_collections").alias("collection"), F.lit(False).alias("validated"),
         F.lit(None).cast("timestamp").alias("validated_at"), now.alias("created"))
-    final2 = fin.unionByName(new_rows.select(*state.final.columns))
+    final = fin.unionByName(new_rows.select(*state.final.columns))
     results = res.select(
         "input_index", "bibcode", "scix_id", "overrides_id", "final_collections", "score_id",
         F.col("new_score_id").isNotNull().alias("new_score"),
         F.col("fc_id").isNotNull().alias("final_updated"),
         F.coalesce(F.col("fc_id"), F.col("new_final_id")).alias("final_id"),
         F.lit(C.STATUS_INDEXED).alias("status"))
-    return State(state.overrides, scores2, final2, state.runs, state.models), results
+    return Changes(scores=score_rows.select(*state.scores.columns), final=final), results
 
 
 def index_counters(results: DataFrame, batch_col: str | None = None) -> DataFrame:
@@ -184,9 +236,10 @@ def _either_match(reqs: DataFrame, table: DataFrame, key: str, cols: list[str])
     return a.unionByName(b).drop("_rs", "_rb").dropDuplicates([key, "_t_id"])
 
 
-def validate(state: State, reqs: DataFrame, now: Column, key: str = "input_index") -> tuple[State, DataFrame]:
+def validate(state: State, reqs: DataFrame, now: Column, key: str = "input_index",
+             override_id_base: Column | None = None) -> tuple[Changes, DataFrame]:
     """G3 + G4 + G5: curator validation.  ``reqs``: key, bibcode, scix_id,
-    override array<string>.  Returns the new state and per-request
+    override array<string>.  Returns the changes and per-request
     ``outcome`` (true status) with ``status`` = 'record_validated' for every
     request (the forwarded status, Q5)."""
     reqs = cut_lineage(dedupe_batch(reqs, key))
@@ -215,17 +268,16 @@ def validate(state: State, reqs: DataFrame, now: Column, key: str = "input_index
     x = cut_lineage(x.withColumn("outcome", outcome))
     # new override rows
     ins = x.filter(F.col("_branch") == "override").select(key, "bibcode", "scix_id", "override")
-    ins = L.with_surrogate_ids(ins, L.max_id(state.overrides), [key], "new_override_id")
+    ins = cut_lineage(L.with_surrogate_ids(
+        ins, override_id_base if override_id_base is not None else L.max_id(state.overrides), [key], "new_override_id"))
     ov_rows = ins.select(F.col("new_override_id").alias("id"), "bibcode", "scix_id", "override",
                          now.alias("created"))
-    overrides2 = state.overrides.unionByName(ov_rows.select(*state.overrides.columns))
     # every score row of the record gets the new override id
     sm = _either_match(ins, state.scores, key, ["id", "bibcode", "scix_id"]).join(
         ins.select(key, "new_override_id"), key)
     sm = L.latest_per_key(sm, "_t_id", [key]).select(F.col("_t_id").alias("id"), F.col("new_override_id").alias("_nov"))
-    scores2 = state.scores.join(sm, "id", "left").select(
-        *[F.coalesce(F.col("_nov"), F.col("overrides_id")).alias("overrides_id") if c == "overrides_id"
-          else F.col(c) for c in state.scores.columns])
+    changed_scores = state.scores.join(sm, "id").select(
+        *[F.col("_nov").alias("overrides_id") if c == "overrides_id" else F.col(c) for c in state.scores.columns])
     # final rows: newest row gets the override + validation (G3); newest
     # unvalidated row gets validation
     set_coll = x.filter(F.col("_branch") == "override").select(F.col("_newest_id").alias("id"),
@@ -233,17 +285,14 @@ def validate(state: State, reqs: DataFrame, now: Column, key: str = "input_index
     set_val = x.filter((F.col("_branch") == "as_is") & F.col("_unval_id").isNotNull()).select(
         F.col("_unval_id").alias("id"), F.lit(None).cast("array<string>").alias("_coll"), key)
     ch = L.latest_per_key(set_coll.unionByName(set_val).filter(F.col("id").isNotNull()), "id", [key]).drop(key)
-    ch = ch.withColumn("_touch", F.lit(True))
-    fj = state.final.join(ch, "id", "left")
-    touched = F.coalesce(F.col("_touch"), F.lit(False))
-    fj = fj.withColumn("collection", F.coalesce(F.col("_coll"), F.col("collection")))
-    fj = fj.withColumn("validated_at", F.when(touched, F.coalesce(F.col("validated_at"), now))
-                       .otherwise(F.col("validated_at")))
-    fj = fj.withColumn("validated", F.when(touched, F.lit(True)).otherwise(F.col("validated")))
-    final2 = fj.select(*state.final.columns)
+    changed = state.final.join(ch, "id").select(*[
+        F.coalesce(F.col("_coll"), F.col("collection")).alias("collection") if c == "collection"
+        else F.lit(True).alias("validated") if c == "validated"
+        else F.coalesce(F.col("validated_at"), now).alias("validated_at") if c == "validated_at"
+        else F.col(c) for c in state.final.columns])
     res = x.select(key, "bibcode", "scix_id", "outcome", F.lit(C.STATUS_VALIDATED).alias("status"),
                    F.lit(True).alias("forward"))
-    return State(overrides2, scores2, final2, state.runs, state.models), res
+    return Changes(ov_rows.select(*state.overrides.columns), changed_scores, changed), res
 
 
 def run_results(final: DataFrame, scores: DataFrame, run_id) -> DataFrame:
@@ -289,7 +338,7 @@ def lookup_by_id(final: DataFrame, ids: DataFrame, id_col: str = "identifier", b
     return L.latest_per_key(f, by, ORDER)
 
 
-def validate_run(state: State, run_id, now: Column, key: str = "input_index") -> tuple[State, DataFrame]:
+def validate_run(state: State, run_id, now: Column, key: str = "input_index") -> tuple[Changes, DataFrame]:
     """Every record of a run: its newest unvalidated final row becomes
     validated.  Per-row ``success`` (Q7)."""
     recs = cut_lineage(run_results(state.final, state.scores, run_id).select(
@@ -297,15 +346,14 @@ def validate_run(state: State, run_id, now: Column, key: str = "input_index") ->
     fin = state.final.select("id", "bibcode", "scix_id", "created", "validated")
     unval = L.resolve_newest_either(recs, fin.filter(~F.col("validated")), ORDER, "_u_", key).select(
         key, F.col("_u_id").alias("_fid")).filter(F.col("_fid").isNotNull())
-    tgt = L.latest_per_key(unval, "_fid", [key]).select(F.col("_fid").alias("id")).withColumn("_touch", F.lit(True))
-    fj = state.final.join(tgt, "id", "left")
-    touched = F.coalesce(F.col("_touch"), F.lit(False))
-    fj = (fj.withColumn("validated_at", F.when(touched, F.coalesce(F.col("validated_at"), now))
-                        .otherwise(F.col("validated_at")))
-            .withColumn("validated", touched | F.col("validated")))
+    tgt = unval.select(F.col("_fid").alias("id")).distinct()
+    changed = state.final.join(tgt, "id").select(*[
+        F.lit(True).alias("validated") if c == "validated"
+        else F.coalesce(F.col("validated_at"), now).alias("validated_at") if c == "validated_at"
+        else F.col(c) for c in state.final.columns])
     res = recs.join(unval, key, "left").select(key, "bibcode", "scix_id",
                                                F.col("_fid").isNotNull().alias("success"))
-    return State(state.overrides, state.scores, fj.select(*state.final.columns), state.runs, state.models), res
+    return Changes(final=changed), res
 
 
 def route_index(df: DataFrame) -> Column:

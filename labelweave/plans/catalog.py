@@ -260,13 +260,14 @@ def b12(spark, d):
 
 
 @register("b14_python_round", duck_cte("v_scored") + "select input_index, " + ", ".join(
-    f"round(s{i} * 3, 2) as r{i}, round(s{i} * 3, 2) as e{i}" for i in range(8)) + " from v_scored")
+    f"round(s{i} * 3, 2) as r{i}, cast(printf('%.2f', doc_id::double / 1000 + {i}) as double) as e{i}"
+    for i in range(8)) + " from v_scored")
 def b14(spark, d):
     v = view(spark, d, "v_scored")
     cols = []
     for i in range(8):
         cols += [S.py_round(F.col(f"s{i}") * 3, 2).alias(f"r{i}"),
-                 S.py_round(F.col(f"s{i}") * 3, 2, exact=True).alias(f"e{i}")]
+                 S.py_round(F.col("doc_id").cast("double") / 1000 + float(i)).alias(f"e{i}")]
     return v.select("input_index", *cols)
 
 
@@ -302,14 +303,21 @@ def b17(spark, d):
     return output_row(s.join(r, "input_index"))
 
 
-@register("b18_score_payload")
+@register("b18_score_payload", duck_cte("v_scored") + f"""
+select input_index, false as adjustment, array_to_string({O.collections_sql('scores')}, ', ') as collections,
+ {", ".join(f"round(scores[{i + 1}], 6) as s{i}" for i in range(8))} from v_scored""")
 def b18(spark, d):
+    """The JSON payload, read back field by field."""
     s = view(spark, d, "v_scored").withColumn("collections", S.collections("scores"))
-    return s.select("input_index", score_payload().alias("payload"))
+    p = F.from_json(score_payload(), "collections array<string>, earth_science_adjustment boolean, scores map<string,double>")
+    back = s.select("input_index", p.alias("p"))
+    return back.select("input_index", F.col("p.earth_science_adjustment").alias("adjustment"),
+                       S.join_list("p.collections").alias("collections"),
+                       *[r6(F.element_at("p.scores", x)).alias(f"s{i}") for i, x in enumerate(C.LABELS)])
 
 
 @register("b19_model_metadata", duck_cte("v_scores") + f"""
-select distinct run_id, to_json({{'labels': {O.LABELS_SQL}, 'model': 'hashed-linear', 'revision': 'v1'}}) as model,
+select distinct run_id, to_json({{'model': 'hashed-linear', 'revision': 'v1', 'tokenizer': 'ascii-words-md5'}}) as model,
  to_json({{'earth_science_adjustment': false, 'earth_science_threshold': 0.015, 'thresholds': {O.THRESH_SQL}}})
  as postprocessing from v_scores""")
 def b19(spark, d):
@@ -828,7 +836,7 @@ runs as (select distinct run_id as id, run_id as model_id from v_scores),
 want as (select * from (values ('found', 'm1'), ('created', 'm9')) t(variant, model)),
 mid as (select w.variant, coalesce((select max(id) from models m where m.model = w.model and m.postprocessing = 'p'),
   (select max(id) from models) + 1) as model_id from want w),
-batch_runs as (select distinct input_index % 3 as run_id from v_scored where input_index % 3 < 2)
+batch_runs as (select distinct input_index % 5 as run_id from v_scored)
 select w.variant, r.id as run_id, case when r.id in (select run_id from batch_runs) then w.model_id
  else r.model_id end as model_id from runs r cross join mid w"""
 
@@ -840,7 +848,7 @@ def d04(spark, d):
                        F.concat(F.lit("m"), F.col("run_id").cast("string")).alias("model"),
                        F.lit("p").alias("postprocessing"), F.col("run_id").cast("long").alias("created")).distinct()
     runs = sc.select(F.col("run_id").cast("long").alias("id"), F.col("run_id").cast("long").alias("model_id")).distinct()
-    batch_runs = view(spark, d, "v_scored").select((F.col("input_index") % 3).alias("run_id")).filter("run_id < 2")
+    batch_runs = view(spark, d, "v_scored").select((F.col("input_index") % 5).alias("run_id"))
     outs = []
     for variant, name in (("found", "m1"), ("created", "m9")):
         _, runs2, _ = ST.get_or_create_model(models, runs, F.lit(name), F.lit("p"), batch_runs, F.lit(0).cast("long"))
@@ -912,8 +920,7 @@ gres as (select g.input_index, g.overrides_id, g.score_id, coalesce(d5.fc_id, nf
 
 def _g01_results(spark, d, mode="batch"):
     st, _, _ = fixture_state(spark, d)
-    _, res = ST.index_batch(st, fixture_records(spark, d), _now(), "payload", mode)
-    return res
+    return ST.index_batch(st, fixture_records(spark, d), _now(), "payload", mode)[1]
 
 
 @register("g01_index_batch", _G_SQL + "select * from gres")
@@ -923,6 +930,23 @@ def g01(spark, d):
                       F.array_join("final_collections", "|").alias("final_collections"))
 
 
+@register("g01b_index_tables", _G_SQL + """
+, upd as (select final_id as id, score_id, final_collections from gres where final_updated
+  qualify row_number() over (partition by final_id order by input_index desc) = 1)
+select 'final' as kind, f.id, coalesce(u.score_id, f.score_id) as ref,
+ coalesce(u.final_collections, array_to_string(f.collection, '|')) as val from st_fc f left join upd u on u.id = f.id
+union all select 'final', final_id, score_id, final_collections from gres where not final_updated
+union all select 'score', id, run_id, scores from st_sc
+union all select 'score', g.score_id, r.run_id, r.payload from gres g join recs r using (input_index) where g.new_score""")
+def g01b(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    changes, _ = ST.index_batch(st, fixture_records(spark, d), _now())
+    st2 = st.apply(changes)
+    return st2.final.select(F.lit("final").alias("kind"), "id", F.col("score_id").alias("ref"),
+                            F.array_join("collection", "|").alias("val")).unionByName(
+        st2.scores.select(F.lit("score").alias("kind"), "id", F.col("run_id").alias("ref"), F.col("scores").alias("val")))
+
+
 _D2_CTE = """d1 as (select r.*, b.id as overrides_id,
   case when b.id is not null then b.override else r.collections end as final_collections from recs r left join
   (select * from (select r.input_index, o.id, o.created, o.override from recs r join st_ov o
@@ -931,13 +955,22 @@ _D2_CTE = """d1 as (select r.*, b.id as overrides_id,
    qualify row_number() over (partition by input_index order by created desc, id desc) = 1) b using (input_index)),"""
 
 
-def _swap_d1(sql: str) -> str:
-    start = sql.index("d1 as (")
-    end = sql.index("sc_k as (")
-    return sql[:start] + _D2_CTE + "\n" + sql[end:]
+_G2_LOOKUPS = """d3 as (select d1.*, m.id as existing_score_id from d1 left join (
+  select d1.input_index, s.id from d1 join st_sc s on (s.scix_id = nullif(d1.scix_id,'') or s.bibcode = nullif(d1.bibcode,''))
+   and s.scores = d1.payload and s.overrides_id is not distinct from d1.overrides_id and s.run_id = d1.run_id
+  qualify row_number() over (partition by d1.input_index order by s.created desc, s.id desc) = 1) m using (input_index)),
+d5 as (select r.input_index, m.id as fc_id from recs r left join (
+  select r.input_index, f.id from recs r join st_fc f on f.scix_id = nullif(r.scix_id,'') or f.bibcode = nullif(r.bibcode,'')
+  qualify row_number() over (partition by r.input_index order by f.created desc, f.id desc) = 1) m using (input_index)),
+"""
+
 
+def _single_record_rule(sql: str) -> str:
+    """The batch SQL with every lookup replaced by 'newest of either id'."""
+    return sql[:sql.index("d1 as (")] + _D2_CTE + _G2_LOOKUPS + sql[sql.index("newsc as ("):]
 
-@register("g02_index_record_single", _swap_d1(_G_SQL) + "select * from gres")
+
+@register("g02_index_record_single", _single_record_rule(_G_SQL) + "select * from gres")
 def g02(spark, d):
     res = _g01_results(spark, d, "newest")
     return res.select("input_index", "overrides_id", "score_id", "final_id", "new_score", "final_updated",
@@ -953,7 +986,7 @@ def e16(spark, d):
 
 
 def fixture_validations(spark, d):
-    v = view(spark, d, "v_scored").filter(F.col("input_index") % 4 == 0)
+    v = view(spark, d, "v_scored")
     i = F.col("input_index") % 16
     ov = F.when(i == 0, "").when(i == 4, "Astrophysics,physics").when(i == 8, "Nope").otherwise("general")
     return v.select("input_index", "bibcode", "scix_id", F.split(ov, ",", -1).alias("override"))
@@ -961,8 +994,7 @@ def fixture_validations(spark, d):
 
 _V_SQL = _ST_SQL + f""",
 reqs as (select input_index, bibcode, scix_id, string_split(case input_index % 16 when 0 then '' when 4 then
-  'Astrophysics,physics' when 8 then 'Nope' else 'general' end, ',') as override from v_scored
-  where input_index % 4 = 0),
+  'Astrophysics,physics' when 8 then 'Nope' else 'general' end, ',') as override from v_scored),
 ovm as (select r.input_index, o.id, o.override from reqs r join st_ov o on o.scix_id = nullif(r.scix_id,'')
   union select r.input_index, o.id, o.override from reqs r join st_ov o on o.bibcode = nullif(r.bibcode,'')),
 same as (select distinct m.input_index from ovm m join reqs r using (input_index) where m.override = r.override),
@@ -1003,7 +1035,8 @@ union all select 'override', n.new_ov_id, null, array_to_string(r.override, '|')
  using (input_index)""")
 def g03(spark, d):
     st, _, _ = fixture_state(spark, d)
-    st2, _ = _validated(spark, d)
+    changes, _ = _validated(spark, d)
+    st2 = st.apply(changes)
     sc = st2.scores.select(F.lit("score").alias("kind"), "id", F.col("overrides_id").alias("ref"),
                            F.lit(None).cast("string").alias("val"))
     new_ov = st2.overrides.join(st.overrides.select("id"), "id", "left_anti").select(
@@ -1018,7 +1051,8 @@ select f.id, array_to_string(coalesce(ch.coll, f.collection), '|') as collection
  case when ch.id is not null then coalesce(f.validated_at, {NOW_S}) else f.validated_at end as validated_at
 from st_fc f left join ch on ch.id = f.id""")
 def g04(spark, d):
-    st2, _ = _validated(spark, d)
+    st, _, _ = fixture_state(spark, d)
+    st2 = st.apply(_validated(spark, d)[0])
     return st2.final.select("id", F.array_join("collection", "|").alias("collection"), "validated",
                             _epoch("validated_at").alias("validated_at"))
 
@@ -1065,6 +1099,20 @@ def g07(spark, d):
     return res
 
 
+@register("g07b_validate_run_table", _ST_SQL + _RUN1_ROWS + f"""
+, fcm as (select r.id as rid, f.id, f.created, f.validated from rr r join st_fc f on f.scix_id = nullif(r.scix_id,'')
+  union select r.id, f.id, f.created, f.validated from rr r join st_fc f on f.bibcode = nullif(r.bibcode,'')),
+unval as (select rid, id as fid from fcm where not validated
+  qualify row_number() over (partition by rid order by created desc, id desc) = 1)
+select f.id, f.validated or u.fid is not null as validated,
+ case when u.fid is not null then coalesce(f.validated_at, {NOW_S}) else f.validated_at end as validated_at
+from st_fc f left join (select distinct fid from unval) u on u.fid = f.id""")
+def g07b(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    changes, _ = ST.validate_run(st, 1, _now())
+    return st.apply(changes).final.select("id", "validated", _epoch("validated_at").alias("validated_at"))
+
+
 _G8_SRC = """(select input_index, case input_index % 5 when 0 then 'classify' when 1 then 'classify_verify'
   when 2 then 'pre_ingest' when 3 then 'pre_ingest' else 'validate' end as operation_step, identifier,
   case when length(identifier) = 19 and not regexp_matches(identifier,
@@ -1251,7 +1299,7 @@ def e06(spark, d):
 
 
 @register("e07_errors_by_stage", _EV + """
-select run_id, stage, count(*) as errors from v_perf_events where coalesce(status, 'ok') <> 'ok'
+select run_id, coalesce(nullif(stage, ''), 'unknown') as stage, count(*) as errors from v_perf_events where coalesce(status, 'ok') <> 'ok'
 group by run_id, stage""")
 def e07(spark, d):
     return M.errors_by_stage(_ev(spark, d))
@@ -1306,9 +1354,28 @@ def e10(spark, d):
     return _r6_all(s.select(*_E10_COLS), ["wall_clock_s", "overall_records_per_minute", "bottleneck_p95"])
 
 
+_REPORT_COLS = "min,max,mean,p50,p95,p99"
+
+
+@register("e10b_event_report", _EV + _NORM_SQL + _BATCH_SQL + f""",
+m as (select run_id, 'latency_ms' as section, stage as name, latency_ms as value from nd
+ union all select run_id, 'batch_latency_ms', stage, duration_ms from b
+ union all select run_id, 'batch_sizes', stage, record_count::double from b where coalesce(record_count, 0) > 0
+ union all select run_id, stage, coalesce(nullif(name, ''), 'unknown'), duration_ms from v_perf_events
+  where duration_ms is not null and stage in ('task_timing', 'app_timing', 'classifier_timing', 'classifier_batch_shape'))
+select run_id, section, name, count, {_round_sql(_REPORT_COLS)} from (
+ select run_id, section, name, {_stats_sql('value')} from m group by run_id, section, name) t
+union all select run_id, 'errors', coalesce(nullif(stage, ''), 'unknown'), count(*), null, null, null, null, null, null
+ from v_perf_events where coalesce(status, 'ok') <> 'ok' group by run_id, stage""")
+def e10b(spark, d):
+    return _r6_all(M.event_report(_ev(spark, d)), _STAT_COLS)
+
+
 def _samples(spark, d):
     v = view(spark, d, "v_system_samples")
-    return v.withColumn("platform", F.when(F.col("event_id") % 40 == 0, "linux").otherwise("darwin"))
+    return (v.withColumn("platform", F.when(F.col("event_id") % 40 == 0, "linux").otherwise("darwin"))
+             .withColumn("cpu_count", (F.col("event_id") % 7 + 1).cast("long"))
+             .withColumn("memory_probe", F.concat(F.lit("probe"), (F.col("event_id") % 3).cast("string"))))
 
 
 _SYS_SQL = duck_cte("v_system_samples") + f""",
@@ -1319,15 +1386,17 @@ sl as (select run_id, ts, m.metric, m.v from v_system_samples, (select unnest([
   {{'metric': 'memory_available_ratio', 'v': memory_available_ratio}}]) as m)),
 sysm as (select run_id, metric, {_stats_sql('v', False)} from sl group by run_id, metric),
 first as (select run_id, count(*) as sample_count, arg_min(case when event_id % 40 = 0 then 'linux' else 'darwin' end,
-  ts) as platform from v_system_samples group by run_id)
+  ts) as platform, arg_min(event_id % 7 + 1, ts) as cpu_count, arg_min('probe' || (event_id % 3)::varchar, ts)
+  as memory_probe from v_system_samples group by run_id)
 """
 
 
 @register("e11_system_samples", _SYS_SQL + f"""
-select s.run_id, s.metric, s.count, {_round_sql('s.min,s.max,s.mean,s.p50,s.p95').replace('as s.', 'as ')},
- f.sample_count, f.platform from sysm s join first f using (run_id)""")
+select s.run_id, s.metric, s.count, {_round_sql('s.min,s.max,s.mean,s.p50,s.p95').replace('as s.', 'as ').replace(', 6)', ', 5)')},
+ f.sample_count, f.platform, f.cpu_count, f.memory_probe from sysm s join first f using (run_id)""")
 def e11(spark, d):
-    return _r6_all(M.system_summary(_samples(spark, d)), _STAT_COLS)
+    out = M.system_summary(_samples(spark, d))
+    return out.select(*[F.round(c, 5).alias(c) if c in _STAT_COLS else F.col(c) for c in out.columns])
 
 
 
@@ -1380,12 +1449,17 @@ select coalesce(tdelta >= 5.0, false) and not regressed as pass, round(tdelta, 6
  array_to_string(list_filter([case when not coalesce(tdelta >= 5.0, false) then
   'throughput improvement below threshold' end, case when regressed then
   'p95 latency regression exceeded threshold' end], lambda x: x is not null), '; ') as reasons, common_stages,
+ (select string_agg(stage || '=' || coalesce(round(p95_delta_pct, 2)::decimal(18, 2)::varchar, 'null'), ',' order by stage)
+  from cmp) as p95_delta_pct_by_stage,
  round(bl, 6) as baseline_mean_normalized_load_1m, round(cl, 6) as candidate_mean_normalized_load_1m,
  round(bm, 6) as baseline_mean_memory_available_ratio, round(cm, 6) as candidate_mean_memory_available_ratio,
  5.0::double as min_throughput_improvement_pct, 10.0::double as p95_regression_limit_pct from g""")
 def e13(spark, d):
     g = M.gate_for_runs(_ev(spark, d), _samples(spark, d), "1", "0")
     g = g.withColumn("reasons", F.array_join("reasons", "; "))
+    shown = F.transform(F.map_entries("p95_delta_pct_by_stage"), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(
+        F.round(e["value"], 2).cast("decimal(18,2)").cast("string"), F.lit("null"))))
+    g = g.withColumn("p95_delta_pct_by_stage", F.array_join(F.array_sort(shown), ","))
     return _r6_all(g, ["throughput_delta_pct", "load_adjusted_throughput_delta_pct",
                        "baseline_mean_normalized_load_1m", "candidate_mean_normalized_load_1m",
                        "baseline_mean_memory_available_ratio", "candidate_mean_memory_available_ratio"])
@@ -1524,7 +1598,7 @@ def a01(spark, d):
 @register("a02_read_pre_ingest", duck_cte("v_requests") + """
 select bibcode, scix_id, coalesce(title, '') as title, coalesce(abstract, '') as abstract,
  'pre_ingest' as operation_step, case when bibcode is null and scix_id is null
- then 'Expected a bibcode or scix_id in the first column, got ' || identifier end as error
+ then 'three columns, but the first holds no record id: ' || identifier end as error
 from (select *, """ + _REQ_IDS + """ from v_requests) r""")
 def a02(spark, d):
     path = scratch_dir(spark, "a02")
@@ -1534,10 +1608,11 @@ def a02(spark, d):
     return out.select("bibcode", "scix_id", "title", "abstract", "operation_step", "error")
 
 
-@register("a02b_resolve_delimiter")
+@register("a02b_resolve_delimiter", """select * from (values ('tabbed', chr(9)), ('comma', ',')) t(folder, delimiter)
+where (select count(*) from documents) > 0""")
 def a02b(spark, d):
     base = scratch_dir(spark, "a02b")
-    v = view(spark, d, "v_requests").select("identifier", "title", "abstract")
+    v = view(spark, d, "v_requests").select("identifier", "input_index", "batch_id")
     _csv_out(v, os.path.join(base, "tabbed"), sep="\t")
     _csv_out(v, os.path.join(base, "comma"), sep=",")
     s = RD.delimiter_by_file(RD.sniff_delimiters(spark, [os.path.join(base, "tabbed"), os.path.join(base, "comma")]))
@@ -1692,11 +1767,19 @@ def a10(spark, d):
         "escape", '"').csv(path)
 
 
-@register("a11_forward_response")
+@register("a11_forward_response", _ST_SQL + f"""
+select bibcode, scix_id, 'success' as status, array_to_string(collection, '|') as collections from st_fc
+where validated and validated_at is not null and validated_at >= {NOW_S} - 30*86400
+qualify row_number() over (partition by case when coalesce(scix_id,'') <> '' then 'scix_id' else 'bibcode' end,
+  case when coalesce(scix_id,'') <> '' then scix_id else bibcode end order by validated_at desc, created desc,
+  id desc) = 1""")
 def a11(spark, d):
+    """Written as JSON lines and read back field by field."""
     st, _, _ = fixture_state(spark, d)
-    r = ST.recently_validated(st.final, 30, _now())
-    return WR.to_response(r, F.lit("success"))
+    path = scratch_dir(spark, "a11")
+    WR.forward(ST.recently_validated(st.final, 30, _now()).withColumn("status", F.lit("success")), path)
+    back = spark.read.schema("bibcode string, scix_id string, status string, collections array<string>").json(path)
+    return back.withColumn("collections", F.array_join("collections", "|"))
 
 
 @register("a12_write_metrics_summary")
@@ -1707,28 +1790,24 @@ def a12(spark, d):
     return spark.read.json(path)
 
 
-def classify_ids(spark, ids_path: str, catalog: DataFrame, out_path: str, scorer) -> DataFrame:
-    """Ids CSV -> catalogue lookup (D7) -> classify (C13) -> scores by
-    label and minimum collection score (B22, B23) -> ascending sort (F6) ->
-    ``<name>_classified.csv``."""
-    ids = RD.read_ids_csv(spark, ids_path).withColumnRenamed("bibcode", "identifier")
-    found = catalog.join(ids, "identifier", "left_semi")
-    cl = SC.classify(found, scorer, carry=("identifier",))
-    out = cl.select(F.col("identifier").alias("bibcode"), S.join_list("collections").alias("collections"),
-                    S.min_collection_score("collections", "scores").alias("min_score"))
-    out = out.orderBy(F.col("min_score").asc_nulls_last(), "bibcode")
-    out.write.mode("overwrite").option("header", True).csv(out_path)
-    return spark.read.option("header", True).csv(out_path)
-
-
-@register("a13_ids_csv_roundtrip")
+@register("a13_ids_csv_roundtrip", duck_cte("v_requests") + f""", ids as (
+ select *, {_REQ_IDS} from v_requests), req as (select input_index, coalesce(title,'None') || ' ' ||
+ coalesce(abstract,'None') as text from ids where bibcode is not null or scix_id is not null),""" + O.scores_ctes("req") + f""",
+c as (select input_index, scores, {O.collections_sql('scores')} as collections from o_scores)
+select i.identifier, coalesce(i.title, '') as title, coalesce(i.abstract, '') as abstract,
+ array_to_string(c.collections, ', ') as collections, round(list_min(list_filter(c.scores,
+  lambda s, n: list_contains(c.collections, {O.LABELS_SQL}[n]))), 6) as minimum_collection_score
+from c join ids i using (input_index)""")
 def a13(spark, d):
+    from labelweave.operators.scoring import classify_ids
     base = scratch_dir(spark, "a13")
     v = _requests_split(spark, d)
-    ids = v.filter(F.col("bibcode").isNotNull()).select("bibcode")
-    ids.write.mode("overwrite").option("header", True).csv(os.path.join(base, "ids"))
-    return classify_ids(spark, os.path.join(base, "ids"), v, os.path.join(base, "ids_classified.csv"),
-                        _scorer(spark))
+    known = v.filter(F.col("bibcode").isNotNull() | F.col("scix_id").isNotNull())
+    known.select(F.col("identifier").alias("bibcode")).write.mode("overwrite").option("header", True).csv(os.path.join(base, "ids"))
+    out = classify_ids(spark, os.path.join(base, "ids"), v, os.path.join(base, "ids_classified.csv"), _scorer(spark))
+    return out.select("identifier", F.coalesce("title", F.lit("")).alias("title"),
+                      F.coalesce("abstract", F.lit("")).alias("abstract"), F.coalesce("collections", F.lit("")).alias("collections"),
+                      r6(F.col("minimum_collection_score").cast("double")).alias("minimum_collection_score"))
 
 
 # ------------------------------------------------------- H (streaming) ----
@@ -1758,15 +1837,39 @@ def _claims_events(spark, d):
     return v.select("fp", "event_id", F.col("ts_s").cast("double").alias("ts"), "op")
 
 
-@register("h02_claim_stage")
+_CLAIMS_SQL = duck_cte("v_claims").replace("with ", "with recursive ", 1) + """,
+ev as (select fp, event_id, ts_s::double as ts, op, split_part(op, ':', 2) as target, op like 'mark:%' as mark,
+  case split_part(op, ':', 2) when 'classify_inflight' then 300 else 120 end as lease,
+  row_number() over (partition by fp order by ts_s, event_id) as n from v_claims),
+st as (
+ select fp, n, event_id, ts, op, true as granted, target as stage, case when not mark then ts + lease end as lease_until
+ from ev where n = 1
+ union all
+ select fp, n, event_id, ts, op, granted, case when granted then target else stage end,
+  case when mark then null when granted then ts + lease else lease_until end
+ from (select e.*, s.stage, s.lease_until, case when e.mark then true
+   when s.stage = 'classify_done' then e.target = 'index_inflight'
+   when s.stage in ('classify_inflight', 'index_inflight') then e.target = s.stage and coalesce(s.lease_until, 0) <= e.ts
+   else false end as granted
+  from ev e join st s on s.fp = e.fp and e.n = s.n + 1) x)
+"""
+
+
+@register("h02_claim_stage", _CLAIMS_SQL + "select fp, event_id, op, granted, stage from st")
 def h02(spark, d):
-    out = CL.claims_replay(_claims_events(spark, d), scratch_dir(spark, "h02"), n_slices=4)
+    return CL.claims_batch(_claims_events(spark, d)).select("fp", "event_id", "op", "granted", "stage")
+
+
+@register("h02b_claim_stage_stream", _CLAIMS_SQL + "select fp, event_id, op, granted, stage from st")
+def h02b(spark, d):
+    out = CL.claims_replay(_claims_events(spark, d), scratch_dir(spark, "h02"))
     return out.select("fp", "event_id", "op", "granted", "stage")
 
 
-@register("h03_mark_stage")
+@register("h03_mark_stage", _CLAIMS_SQL + """select fp, stage, lease_until from st
+qualify row_number() over (partition by fp order by n desc) = 1""")
 def h03(spark, d):
-    return CL.final_states(CL.claims_replay(_claims_events(spark, d), scratch_dir(spark, "h03"), n_slices=4))
+    return CL.final_states(CL.claims_batch(_claims_events(spark, d)))
 
 
 @register("h04_replay_dedupe", duck_cte("v_requests") + f"""

@@ -61,7 +61,7 @@ from {events}""",
 select event_id, 1704067200e0 + event_id as ts, cast(user_id % 4 as varchar(20)) as run_id, value/100e0 as normalized_load_1m,
  case when event_id % 300 = 0 then null else value/120e0 end as normalized_load_5m, value/150e0 as normalized_load_15m,
  cast(event_id % 97 as double)/97e0 as memory_available_ratio
-from {events} where event_id % 20 = 0""",
+from {events}""",
     "v_claims": """
 select event_id, user_id % 50 as fp, event_id*20 as ts_s,
  case event_id % 4 when 0 then 'claim:classify_inflight' when 1 then 'mark:classify_done'

@@ -40,14 +40,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator sets it to shared storage and we only read it.
-    Only where it is unset (local tests) do we create a scratch folder.
+    Only a local master (tests) may leave it unset; it then gets a scratch
+    folder of this machine.
     """
-    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="lw-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -56,9 +59,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
 
 
 def scratch_dir(spark: SparkSession, tag: str) -> str:
-    """A fresh folder under the shared checkpoint folder for derived files."""
+    """A fresh folder under the shared checkpoint folder for derived files.
+    The application's scratch root is deleted when its driver ends."""
     import uuid
-    return os.path.join(ensure_checkpoint_dir(spark), "lw-scratch", f"{tag}-{uuid.uuid4().hex[:12]}")
+    sc = spark.sparkContext
+    root = os.path.join(ensure_checkpoint_dir(spark), "lw-scratch", sc.applicationId)
+    if root not in _SCRATCH_ROOTS:
+        p = sc._jvm.org.apache.hadoop.fs.Path(root)
+        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        _SCRATCH_ROOTS.add(root)
+    return os.path.join(root, f"{tag}-{uuid.uuid4().hex[:12]}")
+
+
+_SCRATCH_ROOTS: set = set()
 
 
 def rename_parts(spark: SparkSession, src_dir: str, dest_dir: str, prefix: str, ext: str) -> list[str]:

@@ -2,8 +2,8 @@
 
 TSV output mirrors Python's csv writer (tab separator, ``"`` quoting with
 doubled quotes, header row, no whitespace trimming).  The store keeps
-``scores`` / ``overrides`` / ``runs`` / ``models`` append-only and
-``final_collection`` as a change log (see ``SnapshotStore``).
+``overrides`` / ``runs`` / ``models`` append-only, and ``scores`` and
+``final_collection`` as change logs (see ``SnapshotStore``).
 """
 
 from __future__ import annotations
@@ -58,58 +58,75 @@ def write_summary(df: DataFrame, path: str) -> None:
 class SnapshotStore:
     """Persisted table state under one root folder (on shared storage).
 
-    ``scores`` / ``overrides`` / ``runs`` / ``models`` are append-only;
-    ``final_collection`` is a change log: each batch appends only the rows
-    it inserted or updated (partition ``batch=<id>``, overwritten when the
-    batch is replayed) and the current table is the newest version per id.
-    ``compact`` folds the log into one partition."""
+    ``overrides`` / ``runs`` / ``models`` are append-only.  ``scores`` and
+    ``final_collection`` are change logs: each batch writes only the rows it
+    inserted or changed (partition ``batch=<id>``, overwritten when the batch
+    is replayed) and the current table is the newest version per id.
 
-    LOG = "final_collection"
+    A log lives in ``<name>/v<k>``; ``compact`` writes the next version beside
+    it and makes it current by creating one marker file, so a crash leaves the
+    old version in force."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
 
-    def _path(self, name: str) -> str:
-        return os.path.join(self.root, name)
+    def _path(self, *name: str) -> str:
+        return os.path.join(self.root, *name)
 
-    def _exists(self, name: str) -> bool:
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self._path(name))
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _exists(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return fs.exists(p)
 
     def append(self, name: str, df: DataFrame, batch_id: int | None = None) -> None:
         """Append rows; with ``batch_id`` the batch's rows land in their own
         partition, replaced on replay (dynamic partition overwrite)."""
+        self._append(self._path(name), df, batch_id)
+
+    def _append(self, path: str, df: DataFrame, batch_id: int | None) -> None:
         if batch_id is None:
-            df.write.mode("append").parquet(self._path(name))
+            df.write.mode("append").parquet(path)
             return
         (df.withColumn("batch", F.lit(int(batch_id)).cast("long")).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self._path(name)))
+           .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
 
     def read(self, name: str, schema=None, before_batch: int | None = None) -> DataFrame:
         """Rows of an append-only table (empty frame of ``schema`` if absent);
         ``before_batch`` hides the rows of that batch and later ones."""
-        if not self._exists(name):
+        if not self._exists(self._path(name)):
             return self.spark.createDataFrame([], schema)
         df = self.spark.read.parquet(self._path(name))
         if before_batch is not None and "batch" in df.columns:
             df = df.filter(F.col("batch") < F.lit(int(before_batch)))
         return df.drop("batch") if "batch" in df.columns else df
 
-    def final_log(self, before_batch: int | None = None) -> DataFrame | None:
-        if not self._exists(self.LOG):
+    def _version(self, name: str) -> int:
+        k = 0
+        while self._exists(self._path(name, f"v{k + 1}.current")):
+            k += 1
+        return k
+
+    def _log_path(self, name: str) -> str:
+        return self._path(name, f"v{self._version(name)}")
+
+    def log(self, name: str, before_batch: int | None = None) -> DataFrame | None:
+        path = self._log_path(name)
+        if not self._exists(path):
             return None
-        df = self.spark.read.parquet(self._path(self.LOG))
-        if before_batch is not None:
-            df = df.filter(F.col("batch") < F.lit(int(before_batch)))
-        return df
+        df = self.spark.read.parquet(path)
+        return df if before_batch is None else df.filter(F.col("batch") < F.lit(int(before_batch)))
 
-    def current_final(self, schema, before_batch: int | None = None, records: DataFrame | None = None) -> DataFrame:
-        """Current final rows (newest version per id).  With ``records`` only
-        rows sharing a scix_id or bibcode with them are read (prefetch)."""
+    def current(self, name: str, schema, before_batch: int | None = None, records: DataFrame | None = None) -> DataFrame:
+        """Current rows of a log table (newest version per id).  With
+        ``records`` only rows sharing a scix_id or bibcode with them are read
+        (prefetch)."""
         from labelweave.operators.latest import latest_per_key
-        log = self.final_log(before_batch)
+        log = self.log(name, before_batch)
         if log is None:
             return self.spark.createDataFrame([], schema)
         if records is not None:
@@ -118,21 +135,27 @@ class SnapshotStore:
             log = log.join(s_ids, "scix_id", "left_semi").unionByName(log.join(b_ids, "bibcode", "left_semi"))
         return latest_per_key(log, "id", ["batch"]).drop("batch")
 
-    def write_final_changes(self, changes: DataFrame, batch_id: int) -> None:
-        self.append(self.LOG, changes, batch_id)
+    def write_changes(self, name: str, changes: DataFrame, batch_id: int) -> None:
+        self._append(self._log_path(name), changes, batch_id)
 
-    def compact(self, schema) -> None:
-        """Rewrite the log as one partition holding the current table."""
-        cur = self.current_final(schema)
-        last = self.final_log().agg(F.max("batch")).first()[0]
-        tmp = self._path(self.LOG + "_compacted")
-        cur.withColumn("batch", F.lit(int(last)).cast("long")).write.mode("overwrite").partitionBy("batch").parquet(tmp)
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        src = jvm.org.apache.hadoop.fs.Path(tmp)
-        dst = jvm.org.apache.hadoop.fs.Path(self._path(self.LOG))
-        fs = src.getFileSystem(conf)
-        import uuid
-        old = jvm.org.apache.hadoop.fs.Path(self._path(f"{self.LOG}_previous_{uuid.uuid4().hex[:8]}"))
-        fs.rename(dst, old)
-        fs.rename(src, dst)
+    def compact(self, name: str) -> None:
+        """Fold all batches but the last into one partition; the last keeps
+        its own, so that it can still be replayed."""
+        from labelweave.operators.latest import latest_per_key
+        log = self.log(name)
+        if log is None:
+            return
+        last = log.agg(F.max("batch")).first()[0]
+        before = log.filter(F.col("batch") < F.lit(last))
+        fold_to = before.agg(F.max("batch")).first()[0]
+        if fold_to is None:
+            return
+        k = self._version(name)
+        new = self._path(name, f"v{k + 1}")
+        fs, p = self._fs(new)
+        fs.delete(p, True)  # left by a compaction that did not end
+        folded = latest_per_key(before, "id", ["batch"]).withColumn("batch", F.lit(int(fold_to)).cast("long"))
+        folded.unionByName(log.filter(F.col("batch") == F.lit(last))).write.partitionBy("batch").parquet(new)
+        self._fs(new)[0].create(self._fs(self._path(name, f"v{k + 1}.current"))[1], False).close()
+        old_fs, old = self._fs(self._path(name, f"v{k}"))
+        old_fs.delete(old, True)

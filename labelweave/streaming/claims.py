@@ -14,12 +14,12 @@ succeeds or not by the table below; a success stores the stage with
   index_inflight, expired       no               yes
   indexed_done                  no               no
 
-Streams use ``applyInPandasWithState``: each micro-batch brings a key's new
-events only, the state is one small row, so a hot key costs O(1) memory.
-Stored event tables go through the same streaming form (``claims_replay``:
-time-ordered slices, one per micro-batch).  ``claims_batch`` runs a key's
-whole history in one ``applyInPandas`` group and is meant for small inputs
-and as a cross-check.
+Decisions of a key follow one another, so a key is folded in order; the state
+is one small row.  A stored table is sorted by (key, ts, event_id) and folded
+in one pass that holds one Arrow batch at a time (``claims_batch``).  Streams
+use ``applyInPandasWithState``: a key's events of a micro-batch are put in
+order before they are folded.  ``claims_replay`` runs a stored table through
+the streaming form in time-ordered slices.
 """
 
 from __future__ import annotations
@@ -41,64 +41,70 @@ OUT = StructType([StructField("fp", LongType()), StructField("event_id", LongTyp
 STATE = StructType([StructField("stage", StringType()), StructField("lease_until", DoubleType())])
 
 
+ALWAYS, EXPIRED, NEVER = "always", "once the lease has run out", "never"
+#: When a claim is granted, by current stage and claimed stage (fixed values).
+GRANTS = {
+    None: {"classify_inflight": ALWAYS, "index_inflight": ALWAYS},
+    "classify_inflight": {"classify_inflight": EXPIRED, "index_inflight": NEVER},
+    "classify_done": {"classify_inflight": NEVER, "index_inflight": ALWAYS},
+    "index_inflight": {"classify_inflight": NEVER, "index_inflight": EXPIRED},
+    "indexed_done": {"classify_inflight": NEVER, "index_inflight": NEVER},
+}
+
+
 def transition(stage, lease_until, op: str, target: str, ts: float):
-    """One event: returns (granted, new_stage, new_lease_until)."""
+    """One event: (granted, stage after it, lease after it).  A mark always
+    holds and ends the lease; a claim holds as ``GRANTS`` says."""
     if op == "mark":
         return True, target, None
-    lease = float(lease_until or 0.0)
-    if stage is None:
+    when = GRANTS[stage][target]
+    if when == ALWAYS or (when == EXPIRED and (lease_until or 0.0) <= ts):
         return True, target, ts + LEASES[target]
-    if stage == "indexed_done":
-        return False, stage, lease_until
-    if target == "classify_inflight":
-        if stage in ("classify_done", "index_inflight"):
-            return False, stage, lease_until
-        if stage == "classify_inflight" and lease > ts:
-            return False, stage, lease_until
-    else:
-        if stage == "index_inflight" and lease > ts:
-            return False, stage, lease_until
-        if stage != "classify_done" and not (stage == target and lease <= ts):
-            return False, stage, lease_until
-    return True, target, ts + LEASES[target]
-
-
-def _run(fp, pdf: pd.DataFrame, stage, lease):
-    pdf = pdf.sort_values(["ts", "event_id"], kind="mergesort")
+    return False, stage, lease_until
+
+
+def _fold(fps, ids, times, ops, fp=None, stage=None, lease=None):
+    """Rows of events given in order, and the state after the last; a change
+    of key starts from no state."""
     rows = []
-    for eid, ts, op in zip(pdf["event_id"], pdf["ts"], pdf["op"]):
+    for key, eid, ts, op in zip(fps, ids, times, ops):
+        if key != fp:
+            fp, stage, lease = key, None, None
         kind, target = op.split(":", 1)
         granted, stage, lease = transition(stage, lease, kind, target, float(ts))
-        rows.append((fp, int(eid), float(ts), op, granted, stage, lease))
-    return rows, stage, lease
+        rows.append((int(key), int(eid), float(ts), op, granted, stage, lease))
+    return rows, fp, stage, lease
 
 
-def claims_batch(events: DataFrame, key: str = "fp") -> DataFrame:
-    """Batch twin: ``key, event_id, ts, op`` ('claim:<stage>' / 'mark:<stage>')
-    -> per event granted flag and the state after it."""
-    def per_key(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, _, _ = _run(int(pdf[key].iloc[0]), pdf, None, None)
-        return pd.DataFrame(rows, columns=OUT.fieldNames())
+def _events(events: DataFrame, key: str) -> DataFrame:
     ship_package(events.sparkSession)
-    ev = events.select(F.col(key).cast("long").alias(key), F.col("event_id").cast("long"),
-                       F.col("ts").cast("double"), "op")
-    return ev.groupBy(key).applyInPandas(per_key, OUT)
+    return events.select(F.col(key).cast("long").alias("fp"), F.col("event_id").cast("long"),
+                         F.col("ts").cast("double"), "op")
+
+
+def claims_batch(events: DataFrame, key: str = "fp") -> DataFrame:
+    """Stored events: ``key, event_id, ts, op`` ('claim:<stage>' /
+    'mark:<stage>') -> per event granted flag and the state after it."""
+    def fold(batches):
+        fp = stage = lease = None
+        for pdf in batches:
+            rows, fp, stage, lease = _fold(pdf["fp"], pdf["event_id"], pdf["ts"], pdf["op"], fp, stage, lease)
+            yield pd.DataFrame(rows, columns=OUT.fieldNames())
+    ev = _events(events, key).repartition("fp").sortWithinPartitions("fp", "ts", "event_id")
+    return ev.mapInPandas(fold, OUT)
 
 
 def claims_stream(events: DataFrame, key: str = "fp") -> DataFrame:
-    """Streaming form: state carried across micro-batches per key."""
+    """Streaming form: state carried across micro-batches per key.  Spark
+    hands a key's events over in chunks of no order, so the key's events of
+    the micro-batch (bounded by the trigger) are gathered and sorted first."""
     def per_key(k, pdfs, state):
         stage, lease = (state.get if state.exists else (None, None))
-        out = []
-        for pdf in pdfs:
-            rows, stage, lease = _run(int(k[0]), pdf, stage, lease)
-            out.extend(rows)
+        pdf = pd.concat(list(pdfs)).sort_values(["ts", "event_id"], kind="mergesort")
+        rows, _, stage, lease = _fold(pdf["fp"], pdf["event_id"], pdf["ts"], pdf["op"], int(k[0]), stage, lease)
         state.update((stage, lease))
-        yield pd.DataFrame(out, columns=OUT.fieldNames())
-    ship_package(events.sparkSession)
-    ev = events.select(F.col(key).cast("long").alias(key), F.col("event_id").cast("long"),
-                       F.col("ts").cast("double"), "op")
-    return ev.groupBy(key).applyInPandasWithState(per_key, OUT, STATE, "append", "NoTimeout")
+        yield pd.DataFrame(rows, columns=OUT.fieldNames())
+    return _events(events, key).groupBy("fp").applyInPandasWithState(per_key, OUT, STATE, "append", "NoTimeout")
 
 
 def final_states(claims: DataFrame, key: str = "fp") -> DataFrame:
@@ -107,22 +113,23 @@ def final_states(claims: DataFrame, key: str = "fp") -> DataFrame:
         "s")).select(key, "s.stage", "s.lease_until")
 
 
-def claims_replay(events: DataFrame, base: str, n_slices: int = 8, key: str = "fp") -> DataFrame:
-    """Claims over a stored event table, run through the streaming form so no
-    key's history is ever processed in one piece: events are written as
-    ``n_slices`` time-ordered files (range-partitioned on ts), replayed one
-    file per micro-batch with per-key state, and the decisions read back."""
+def claims_replay(events: DataFrame, base: str, slice_rows: int = 1_000_000, key: str = "fp") -> DataFrame:
+    """Claims over a stored event table, run through the streaming form: the
+    events are written as time-ordered files of about ``slice_rows`` rows
+    (range-partitioned on ts), replayed one file per micro-batch with per-key
+    state, and the decisions read back."""
     import os
 
     from labelweave.session import stamp_in_name_order
     spark = events.sparkSession
-    ev = events.select(F.col(key).cast("long").alias(key), F.col("event_id").cast("long"),
+    ev = events.select(F.col(key).cast("long").alias("fp"), F.col("event_id").cast("long"),
                        F.col("ts").cast("double"), "op")
+    slices = max(1, -(-events.count() // slice_rows))
     src, out, ckpt = (os.path.join(base, x) for x in ("in", "out", "ckpt"))
-    ev.repartitionByRange(n_slices, "ts", "event_id").sortWithinPartitions("ts", "event_id").write.parquet(src)
+    ev.repartitionByRange(slices, "ts", "event_id").sortWithinPartitions("ts", "event_id").write.parquet(src)
     stamp_in_name_order(spark, src)
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    q = (claims_stream(stream, key).writeStream.format("parquet").option("path", out)
+    q = (claims_stream(stream).writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out)

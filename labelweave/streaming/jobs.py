@@ -9,7 +9,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from labelweave import config as C
 from labelweave.functions.ids import fingerprint
@@ -20,21 +20,21 @@ REQUEST = StructType([
     StructField("bibcode", StringType()), StructField("scix_id", StringType()),
     StructField("title", StringType()), StructField("abstract", StringType()),
     StructField("operation_step", StringType()), StructField("run_id", LongType()),
-    StructField("output_path", StringType()),
+    StructField("output_path", StringType()), StructField("override", ArrayType(StringType())),
 ])
 
 
 def classify_batch_writer(scorer, sink: str, cfg: C.ClassifierConfig = C.DEFAULT, on_batch=None):
     """foreachBatch body: classify the micro-batch and write its results to
     ``sink/batch=<id>`` (overwritten on replay); ``on_batch(df, id)`` can
-    chain index / TSV / forward steps."""
+    chain index / TSV / forward steps, and gets the written results."""
     def run(df: DataFrame, batch_id: int) -> None:
-        out = SC.classify(df, scorer, cfg, keys=("input_index",),
-                          carry=tuple(c for c in ("batch_id", "bibcode", "scix_id", "run_id", "operation_step")
-                                      if c in df.columns))
-        out.write.mode("overwrite").parquet(os.path.join(sink, f"batch={batch_id}"))
+        out = SC.classify(df, scorer, cfg, keys=("input_index",), carry=tuple(
+            f.name for f in REQUEST if f.name in df.columns and f.name != "input_index"))
+        path = os.path.join(sink, f"batch={batch_id}")
+        out.write.mode("overwrite").parquet(path)
         if on_batch is not None:
-            on_batch(out, batch_id)
+            on_batch(df.sparkSession.read.parquet(path), batch_id)
     return run
 
 
@@ -49,16 +49,18 @@ def start_classify_stream(spark: SparkSession, src: str, sink: str, checkpoint:
     return w.start()
 
 
-def drop_replays(df: DataFrame, done: DataFrame | None = None, watermark: str | None = None) -> DataFrame:
+def drop_replays(df: DataFrame, done: DataFrame | None = None, watermark: str | None = None,
+                 within: str = "7 days") -> DataFrame:
     """H4: rows classified once per fingerprint.  Batch: drop keys already
     done (anti join) and duplicates; stream: ``dropDuplicatesWithinWatermark``
-    when an event-time column is given (bounded state), else
-    ``dropDuplicates`` (state grows with the distinct keys)."""
+    when an event-time column is given (bounded state; replays up to
+    ``within`` apart are found), else ``dropDuplicates`` (state grows with the
+    distinct keys)."""
     fp = df if "fingerprint" in df.columns else df.withColumn("fingerprint", fingerprint(df))
     if done is not None:
         fp = fp.join(done.select("fingerprint"), "fingerprint", "left_anti")
     if df.isStreaming and watermark:
-        return fp.withWatermark(watermark, "1 hour").dropDuplicatesWithinWatermark(["fingerprint"])
+        return fp.withWatermark(watermark, within).dropDuplicatesWithinWatermark(["fingerprint"])
     return fp.dropDuplicates(["fingerprint"])
 
 
@@ -106,45 +108,56 @@ def start_event_stream(spark: SparkSession, src: str, sink: str, checkpoint: str
     return w.start()
 
 
-def index_sink(store, tsv_root: str, forward_root: str, now=None, cfg: C.ClassifierConfig = C.DEFAULT,
-               default_step: str = C.DEFAULT_OPERATION_STEP):
-    """H1 ``on_batch`` step after classification: G1 index against the
-    stored state as of before this batch, A10 TSV rows and A11 responses
-    (G9 decides which rows go where).  Every output of batch ``n`` is
-    written under ``batch=<n>`` and replaced if the batch is replayed."""
+def index_sink(store, tsv_root: str, forward_root: str, now=None, default_step: str = C.DEFAULT_OPERATION_STEP):
+    """H1 ``on_batch`` step after classification.  G8 routes every row by its
+    own step: to G1 index, to G3-G5 validation, or straight to the TSV; both
+    transitions see the stored state as of before this batch, and only their
+    changes are stored.  A10 TSV rows and A11 responses follow G9.  Every
+    output of batch ``n`` is written under ``batch=<n>`` and replaced if the
+    batch is replayed."""
     from labelweave import schemas
     from labelweave.operators import latest as L
     from labelweave.operators import state as ST
     from labelweave.operators.output import output_row, score_payload
     from labelweave.sources.writers import to_response
 
+    def last_id(name, batch_id):
+        log = store.log(name, batch_id)
+        return L.max_id(log) if log is not None else F.lit(0)
+
     def on_batch(classified: DataFrame, batch_id: int) -> None:
         ts = now if now is not None else F.current_timestamp()
         recs = classified
         for c, t in (("run_id", "long"), ("operation_step", "string"), ("bibcode", "string"),
-                     ("scix_id", "string")):
+                     ("scix_id", "string"), ("override", "array<string>")):
             if c not in recs.columns:
                 recs = recs.withColumn(c, F.lit(None).cast(t))
         recs = recs.withColumn("operation_step", F.coalesce(F.col("operation_step"), F.lit(default_step)))
         recs = recs.withColumn("payload", score_payload())
-        ident = recs.filter(F.coalesce(F.col("bibcode"), F.lit("")) != "")
-        ident = ident.unionByName(recs.filter((F.coalesce(F.col("bibcode"), F.lit("")) == "")
-                                              & (F.coalesce(F.col("scix_id"), F.lit("")) != "")))
+        recs = recs.withColumn("route", ST.route_index(recs))
+        ident = recs.filter((F.col("route") == "index") & (F.coalesce(F.col("bibcode"), F.col("scix_id"), F.lit("")) != ""))
+        checks = recs.filter(F.col("route") == "validate")
+        known = recs.filter(F.col("route") != "pass_through").select("bibcode", "scix_id")
         state = ST.State(store.read("overrides", schemas.OVERRIDES, batch_id),
-                         store.read("scores", schemas.SCORES, batch_id),
-                         store.current_final(schemas.FINAL_COLLECTION, batch_id, ident))
-        log = store.final_log(batch_id)
-        final_base = L.max_id(log) if log is not None else F.lit(0)
-        new_state, res = ST.index_batch(state, ident, ts, final_id_base=final_base)
-        store.append("scores", new_state.scores.join(state.scores.select("id"), "id", "left_anti"), batch_id)
-        changed = new_state.final.join(res.select(F.col("final_id").alias("id")), "id", "left_semi")
-        store.write_final_changes(changed, batch_id)
+                         store.current("scores", schemas.SCORES, batch_id, known),
+                         store.current("final_collection", schemas.FINAL_COLLECTION, batch_id, known))
+        indexed, res = ST.index_batch(state, ident, ts, score_id_base=last_id("scores", batch_id),
+                                      final_id_base=last_id("final_collection", batch_id))
+        checked, outcome = ST.validate(state.apply(indexed), checks.select(
+            "input_index", "bibcode", "scix_id", "override"), ts)
+        changes = indexed.then(checked)
+        store.append("overrides", changes.overrides, batch_id)
+        store.write_changes("scores", changes.scores, batch_id)
+        store.write_changes("final_collection", changes.final, batch_id)
         write_tsv, fwd = ST.output_actions(F.col("operation_step"), F.lit(C.STATUS_INDEXED))
         rows = output_row(recs.filter(write_tsv))
         (rows.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", '"')
-             .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-             .csv(os.path.join(tsv_root, f"batch={batch_id}")))
-        fw = res.join(recs.filter(fwd).select("input_index"), "input_index", "left_semi")
-        to_response(fw.withColumnRenamed("final_collections", "collections"), F.lit("success")).write.mode(
-            "overwrite").text(os.path.join(forward_root, f"batch={batch_id}"))
+             .option("escape", '"').option("escapeQuotes", True).option("ignoreLeadingWhiteSpace", False)
+             .option("ignoreTrailingWhiteSpace", False).csv(os.path.join(tsv_root, f"batch={batch_id}")))
+        sent = res.join(recs.filter(fwd).select("input_index"), "input_index", "left_semi").select(
+            "bibcode", "scix_id", F.lit("success").alias("status"), F.col("final_collections").alias("collections"))
+        validated = outcome.join(checks.select("input_index", "override"), "input_index").select(
+            "bibcode", "scix_id", "status", F.col("override").alias("collections"))
+        to_response(sent.unionByName(validated)).write.mode("overwrite").text(
+            os.path.join(forward_root, f"batch={batch_id}"))
     return on_batch

@@ -4,11 +4,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from labelweave.plans import catalog
 from labelweave.session import TABLES
 
-ROWS_ONLY = {"a02b_resolve_delimiter", "a09_write_classified_tsv", "a10_append_classified_tsv",
-             "a11_forward_response", "a12_write_metrics_summary", "a13_ids_csv_roundtrip", "b18_score_payload",
-             "h02_claim_stage", "h03_mark_stage"}
+ROWS_ONLY = {"a09_write_classified_tsv", "a10_append_classified_tsv", "a12_write_metrics_summary"}
 
 
 def test_entry_runs(spark):
@@ -18,9 +17,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == ROWS_ONLY
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(catalog.QUERIES) <= set(E.queries())
+    assert set(catalog.QUERIES) - set(catalog.ORACLE) == ROWS_ONLY
 
 
 def _norm(v):
@@ -63,7 +62,7 @@ def test_query_matches_oracle(spark, sf_small, duck, name):
 BAD_PLAN_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_nested_loop_or_cartesian_join(spark, sf_small, name):
     df = E.queries()[name](spark, sf_small)
     plan = df._jdf.queryExecution().executedPlan().toString()

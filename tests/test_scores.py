@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 
 from labelweave.functions import ids as I
 from labelweave.functions import scores as S
@@ -66,27 +68,36 @@ def test_allowed_and_single_empty(spark):
 
 
 def test_python_round_exact(spark):
-    df = spark.createDataFrame([(2.675,), (1.005,), (0.125,)], "x double")
-    r = df.select(S.py_round("x", 2, exact=True)).collect()
-    assert [x[0] for x in r] == [round(2.675, 2), round(1.005, 2), round(0.125, 2)]
+    import random
+    rng = random.Random(4)
+    xs = [0.285, 0.575, 1.005, 0.145, 0.615, 2.675, 0.125, 0.375, 0.625, 0.875, -0.285, -0.125, -0.001, 0.0, 1e20, 4.5e15,
+          9.0e13 + 0.125, float("inf"), float("-inf")]
+    xs += [k / 1000 for k in range(0, 2000, 5)] + [rng.random() * 10 ** rng.randint(-3, 9) for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double")
+    got = [r[0] for r in df.select(S.py_round("x")).collect()]
+    assert got == [round(x, 2) if abs(x) < 1e300 else x for x in xs] + [None]
+    assert spark.createDataFrame([(float("nan"),)], "x double").select(F.isnan(S.py_round("x"))).first()[0]
+
+
+def test_output_row_keeps_the_text_zero(spark):
+    from labelweave.operators.output import output_row
+    df = spark.createDataFrame([("0", "0", None, 0, ["a"], [0.5] * 8, [0.5])],
+                               "title string, abstract string, bibcode string, run_id long, collections array<string>, "
+                               "scores array<double>, collection_scores array<double>")
+    r = output_row(df).first()
+    assert (r["title"], r["abstract"], r["bibcode"], r["run_id"]) == ("0", "0", "", "")
 
 
-def test_fingerprint_matches_python(spark):
-    import hashlib
-    import re
-    rows = [("1", None, None, "  A  title\n", "abs tract "), ("0", "2019J....123..456AB", None, "t", "a"),
+def test_fingerprint_digests(spark):
+    rows = [("1", None, None, "  A  title\n", "abs tract "), ("0", "2019J....123..456AB", None, "t", "a"),
             ("7", "x", "scix:AB12-CD34-EF56", "t", "a")]
     df = spark.createDataFrame(rows, "run_id string, bibcode string, scix_id string, title string, abstract string")
+    assert [r[0] for r in df.select(I.fingerprint(df)).collect()] == DIGESTS
+
 
-    def ref(run, bib, scix, title, abstract):
-        n = lambda v: re.sub(r"\s+", " ", str(v or "").strip())
-        parts = [n(run)]
-        if scix:
-            parts += ["scix_id", n(scix)]
-        elif bib:
-            parts += ["bibcode", n(bib)]
-        else:
-            parts += ["text", n(title), n(abstract)]
-        return hashlib.sha256("|".join(parts).encode()).hexdigest()
-    got = [r[0] for r in df.select(I.fingerprint(df)).collect()]
-    assert got == [ref(*r) for r in rows]
+# SHA-256 of "1|text|A title|abs tract", "0|bibcode|2019J....123..456AB", "7|scix_id|scix:AB12-CD34-EF56"
+DIGESTS = [
+    "df94335b79e7287ae1b26bd379b6a3224a535efb6366ca68297aeb17c271e596",
+    "1174a862f13c31c7bef29b16ac1354e57c56c4b6257b85cf15e73ab3a2cdbecf",
+    "b855970d6b4de3cedab084541dce09539d724158899fdd55d25262a28e946d1e",
+]

@@ -43,7 +43,8 @@ def test_index_batch_reuses_scores_and_upserts_final(spark):
                 fc=[(100, "B1", None, 10, ["old"], True, ts(2), ts(1))])
     recs = spark.createDataFrame([(0, "B1", None, ["astrophysics"], 1, "p"),
                                   (1, "B2", None, ["general"], 1, "q")], REC)
-    st2, res = ST.index_batch(st, recs, F.lit(ts(60)))
+    ch, res = ST.index_batch(st, recs, F.lit(ts(60)))
+    st2 = st.apply(ch)
     r = {x["input_index"]: x for x in res.collect()}
     assert r[0]["score_id"] == 10 and not r[0]["new_score"] and r[0]["final_updated"]
     assert r[1]["score_id"] == 11 and r[1]["new_score"] and not r[1]["final_updated"] and r[1]["final_id"] == 101
@@ -59,7 +60,8 @@ def test_index_batch_reuses_scores_and_upserts_final(spark):
 def test_duplicate_ids_in_batch_last_wins(spark):
     st = _state(spark)
     recs = spark.createDataFrame([(0, "B1", None, ["a"], 1, "p"), (5, "B1", None, ["b"], 1, "p")], REC)
-    st2, res = ST.index_batch(st, recs, F.lit(ts(1)))
+    ch, res = ST.index_batch(st, recs, F.lit(ts(1)))
+    st2 = st.apply(ch)
     assert res.count() == 1 and st2.final.first()["collection"] == ["b"]
 
 
@@ -74,7 +76,8 @@ def test_validation_outcomes(spark):
     reqs = spark.createDataFrame([(0, "B1", None, ["Physics"]), (1, "B2", None, ["general"]),
                                   (2, "B3", None, [""]), (3, "B4", None, [""]), (4, "B1", None, ["Nope"])],
                                  "input_index long, bibcode string, scix_id string, override array<string>")
-    st2, res = ST.validate(st, reqs.filter("input_index < 4"), F.lit(ts(100)))
+    ch, res = ST.validate(st, reqs.filter("input_index < 4"), F.lit(ts(100)))
+    st2 = st.apply(ch)
     out = {r["input_index"]: r["outcome"] for r in res.collect()}
     assert out == {0: "record_validated", 1: "record_previously_validated", 2: "record_validated",
                    3: "record_previously_validated"}
@@ -112,3 +115,54 @@ def test_set_validation(spark):
     out = {r["id"]: (r["validated"], r["validated_at"]) for r in
            ST.set_validation(df, F.col("id") == 2, F.lit(ts(9))).collect()}
     assert out == {1: (False, None), 2: (True, ts(9))}
+
+
+def test_rows_without_ids_all_stay(spark):
+    st = _state(spark)
+    reqs = spark.createDataFrame([(0, None, None, ["x"]), (1, "", None, ["general"]), (2, "B1", None, ["x"]),
+                                  (3, "B1", None, ["general"])],
+                                 "input_index long, bibcode string, scix_id string, override array<string>")
+    _, res = ST.validate(st, reqs, F.lit(ts(1)))
+    assert sorted(r["input_index"] for r in res.collect()) == [0, 1, 3]
+
+
+def test_single_record_rule_takes_the_newest_of_either_id(spark):
+    st = _state(spark,
+                sc=[(10, None, "S1", "p", ts(1), None, 1), (11, "B1", None, "p", ts(5), None, 1)],
+                fc=[(1, None, "S1", 10, ["old"], False, None, ts(1)), (2, "B1", None, 11, ["new"], False, None, ts(9))])
+    recs = spark.createDataFrame([(0, "B1", "S1", ["a"], 1, "p")], REC)
+    _, res = ST.index_batch(st, recs, F.lit(ts(60)), override_mode="newest")
+    r = res.first()
+    assert (r["score_id"], r["final_id"], r["new_score"]) == (11, 2, False)
+    _, res = ST.index_batch(st, recs, F.lit(ts(60)))
+    assert res.first()["final_id"] == 1
+
+
+def test_changes_hold_only_touched_rows(spark):
+    st = _state(spark, sc=[(10, "B1", None, "p", ts(1), None, 1), (11, "B9", None, "p", ts(1), None, 1)],
+                fc=[(1, "B1", None, 10, ["x"], False, None, ts(1)), (2, "B9", None, 11, ["y"], False, None, ts(1))])
+    ch, _ = ST.validate(st, spark.createDataFrame([(0, "B1", None, ["general"])],
+                                                  "input_index long, bibcode string, scix_id string, override array<string>"),
+                        F.lit(ts(5)))
+    assert [r["id"] for r in ch.final.collect()] == [1] and [r["id"] for r in ch.scores.collect()] == [10]
+    assert ch.overrides.count() == 1
+
+
+def test_compaction_survives_a_replay(spark, tmp_path):
+    from labelweave import schemas
+    from labelweave.sources.writers import SnapshotStore
+    store = SnapshotStore(spark, str(tmp_path))
+    rows = lambda ids, v: spark.createDataFrame(
+        [(i, f"B{i}", None, i, [v], False, None, ts(1)) for i in ids], FC)
+    store.write_changes("final_collection", rows([1, 2], "a"), 0)
+    store.write_changes("final_collection", rows([2, 3], "b"), 1)
+    store.write_changes("final_collection", rows([4], "c"), 2)
+    now = lambda before=None: {r["id"]: r["collection"][0] for r in store.current(
+        "final_collection", schemas.FINAL_COLLECTION, before).collect()}
+    store.compact("final_collection")
+    assert now() == {1: "a", 2: "b", 3: "b", 4: "c"}
+    assert now(2) == {1: "a", 2: "b", 3: "b"}
+    store.write_changes("final_collection", rows([4], "d"), 2)
+    assert now() == {1: "a", 2: "b", 3: "b", 4: "d"}
+    store.compact("final_collection")
+    assert now() == {1: "a", 2: "b", 3: "b", 4: "d"}
