@@ -29,6 +29,8 @@ BUCKETS, DIM, GRAMS = 1 << 15, 16, (3, 4)
 FIT_ROWS, EPOCHS, RATE = 4000, 6, 0.5
 MEMO_ENTRIES, MEMO_CHARS = 600_000, 64
 REPEAT = BUCKETS
+#: How a sampled document's features travel to the trainer.
+_AT, _SHARE = np.dtype("<u2"), np.dtype("<f4")
 _SHAPES = [(re.compile(r"[A-ZÀ-ÖØ-Þ]+"), "A"), (re.compile(r"[a-zß-öø-ÿ]+"), "a"), (re.compile(r"[0-9]+"), "0")]
 
 
@@ -117,7 +119,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], dim: int
     steps, done = max(1, epochs * len(bags)), 0
     for _ in range(epochs):
         for i in rng.permutation(len(bags)):
-            at, share = bags[i]
+            at, share = bags[i][0].astype(np.intp), bags[i][1].astype(np.float64)
             lr = rate * (1 - done / steps)
             done += 1
             rows = vectors[at]
@@ -144,15 +146,14 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     chosen, _ = write_stage(known.filter(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1_000_000))
                                          < math.ceil(share * 1_000_000)), "labels")
 
-    @F.pandas_udf("at array<int>, share array<float>")
+    @F.pandas_udf("at binary, share binary")
     def bags(texts: pd.Series) -> pd.DataFrame:
-        found = [bag(t) for t in texts]
-        return pd.DataFrame({"at": [a.astype(np.int32) for a, _ in found],
-                             "share": [s.astype(np.float32) for _, s in found]})
+        found = [(a.astype(_AT).tobytes(), s.astype(_SHARE).tobytes()) for a, s in map(bag, texts)]
+        return pd.DataFrame({"at": [a for a, _ in found], "share": [s for _, s in found]})
     rows = (docs.select("doc_id", "text").join(chosen, "doc_id")
             .select("doc_id", "quality", bags("text").alias("b")).select("doc_id", "quality", "b.*")).toPandas()
     rows = rows.sort_values(["doc_id", "quality"], kind="stable")
-    return train([(np.asarray(a), np.asarray(s, np.float64)) for a, s in zip(rows["at"], rows["share"])],
+    return train([(np.frombuffer(a, _AT), np.frombuffer(s, _SHARE)) for a, s in zip(rows["at"], rows["share"])],
                  rows["quality"].astype(int).tolist())
 
 
