@@ -112,7 +112,9 @@ class ClassifierConfig:
     thresholds: tuple = tuple(THRESHOLDS)
     window: int = SCORING_WINDOW
     stride: int = SCORING_STRIDE
-    cover_tail: bool = False
+    # windows reach the last token; False keeps the source rule of len // stride
+    # windows, which leaves up to stride - 1 tokens of a text unscored
+    cover_tail: bool = True
     pooling: str = "max"
     select_thresholds: tuple | None = None
     relabel_active: bool = RELABEL_ACTIVE
@@ -125,3 +127,4 @@ class ClassifierConfig:
 
 
 DEFAULT = ClassifierConfig()
+PARITY = ClassifierConfig(cover_tail=False)

@@ -131,7 +131,7 @@ def _worker_model(name, factory):
 
 
 def explode_windows(df: DataFrame, keys: list[str], ids_col: str = "ids", window: int = C.SCORING_WINDOW,
-                    stride: int = C.SCORING_STRIDE, cover_tail: bool = False) -> DataFrame:
+                    stride: int = C.SCORING_STRIDE, cover_tail: bool = True) -> DataFrame:
     """One row per (record, window) with the window's content token ids."""
     return df.select(*keys, F.posexplode(W.window_split(F.col(ids_col), window, stride, cover_tail)).alias(
         "chunk", "window"))

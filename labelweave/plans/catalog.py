@@ -78,13 +78,25 @@ def b16(spark, d):
 
 
 # --------------------------------------------------------------------- C ----
-_C13_SQL = duck_cte("v_requests") + """, req as (select input_index, coalesce(title,'None') || ' ' ||
- coalesce(abstract,'None') as text from v_requests),""" + O.scores_ctes("req") + f"""
+def _c13_sql(cover_tail: bool) -> str:
+    return duck_cte("v_requests") + """, req as (select input_index, coalesce(title,'None') || ' ' ||
+ coalesce(abstract,'None') as text from v_requests),""" + O.scores_ctes("req", cover_tail=cover_tail) + f"""
 select input_index, {", ".join(f"round(scores[{i + 1}], 6) as s{i}" for i in range(8))},
  array_to_string({O.collections_sql('scores')}, ', ') as collections
 from o_scores"""
 
 
+_C13_SQL = _c13_sql(cover_tail=True)
+
+
+@register("c13b_classify_parity", _c13_sql(cover_tail=False))
+def c13b(spark, d):
+    """The source's own window rule."""
+    out = SC.classify(view(spark, d, "v_requests"), _scorer(spark), C.PARITY)
+    return out.select("input_index", *[r6(F.get(F.col("scores"), i)).alias(f"s{i}") for i in range(8)],
+                      S.join_list("collections").alias("collections"))
+
+
 @register("c13_classify", _C13_SQL)
 def c13(spark, d):
     out = SC.classify(view(spark, d, "v_requests"), _scorer(spark))

@@ -20,12 +20,15 @@ def token_ids_sql(text: str) -> str:
 
 
 def scores_ctes(src: str, key: str = "input_index", text: str = "text", window: int = C.SCORING_WINDOW,
-                stride: int = C.SCORING_STRIDE, pooling: str = "max") -> str:
-    """CTEs ending in ``o_scores(<key>, scores)`` for the hashed linear model."""
+                stride: int = C.SCORING_STRIDE, pooling: str = "max", cover_tail: bool = True) -> str:
+    """CTEs ending in ``o_scores(<key>, scores)`` for the hashed linear model;
+    windows reach the last token, or are len // stride (the source rule)."""
+    count = (f"1 + (greatest(0, len(ids) - {window}) + {stride} - 1) // {stride}" if cover_tail
+             else f"greatest(1, len(ids) // {stride})")
     agg = "max" if pooling == "max" else "avg"
     return f"""
 o_ids as (select {key}, {token_ids_sql(text)} as ids from {src}),
-o_win as (select {key}, ids, unnest(range(0, greatest(1, len(ids) // {stride}))) as chunk from o_ids),
+o_win as (select {key}, ids, unnest(range(0, {count})) as chunk from o_ids),
 o_chunks as (select {key}, chunk, list_slice(ids, chunk*{stride}+1, chunk*{stride}+{window}) as w from o_win),
 o_toks as (select {key}, chunk, unnest(w) as tok from o_chunks),
 o_wts as (select b.range as bucket, l.range as label,

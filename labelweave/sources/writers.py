@@ -83,6 +83,15 @@ class SnapshotStore:
         fs, p = self._fs(path)
         return fs.exists(p)
 
+    def _scan(self, path: str) -> DataFrame | None:
+        """The table at ``path``; None where nothing was written yet (a batch
+        without rows leaves a folder without files)."""
+        fs, p = self._fs(path)
+        if not fs.exists(p) or all(
+                st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p)):
+            return None
+        return self.spark.read.parquet(path)
+
     def append(self, name: str, df: DataFrame, batch_id: int | None = None) -> None:
         """Append rows; with ``batch_id`` the batch's rows land in their own
         partition, replaced on replay (dynamic partition overwrite)."""
@@ -98,9 +107,9 @@ class SnapshotStore:
     def read(self, name: str, schema=None, before_batch: int | None = None) -> DataFrame:
         """Rows of an append-only table (empty frame of ``schema`` if absent);
         ``before_batch`` hides the rows of that batch and later ones."""
-        if not self._exists(self._path(name)):
+        df = self._scan(self._path(name))
+        if df is None:
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.parquet(self._path(name))
         if before_batch is not None and "batch" in df.columns:
             df = df.filter(F.col("batch") < F.lit(int(before_batch)))
         return df.drop("batch") if "batch" in df.columns else df
@@ -115,10 +124,9 @@ class SnapshotStore:
         return self._path(name, f"v{self._version(name)}")
 
     def log(self, name: str, before_batch: int | None = None) -> DataFrame | None:
-        path = self._log_path(name)
-        if not self._exists(path):
+        df = self._scan(self._log_path(name))
+        if df is None:
             return None
-        df = self.spark.read.parquet(path)
         return df if before_batch is None else df.filter(F.col("batch") < F.lit(int(before_batch)))
 
     def current(self, name: str, schema, before_batch: int | None = None, records: DataFrame | None = None) -> DataFrame:
