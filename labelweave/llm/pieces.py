@@ -24,12 +24,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Remembered stretches per Python worker, and the longest one remembered.
 MEMO_ENTRIES, MEMO_CHARS = 400_000, 64
+STEP_ROWS = 500
 UNKNOWN_PENALTY = 10.0
 _ID = np.dtype("=i4")
 _NEVER = float("-inf")
@@ -191,6 +193,23 @@ def decode_ids(path: str | None = None):
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id, n_ids, ids_crc32, round_trip, ids`` for every row of ``docs``
-    (further columns are not read); repeated rows give repeated results."""
-    return docs.select("doc_id", encode_ids(path)("text").alias("e")).select(
-        "doc_id", "e.n_ids", "e.ids_crc32", "e.round_trip", "e.ids")
+    (further columns are not read); repeated rows give repeated results.
+    Results leave a task a few hundred documents at a time."""
+    path = path or default_model()
+    pairs = docs.select("doc_id", "text")
+
+    def run(batches):
+        m = model(path)
+        for b in batches:
+            for at in range(0, b.num_rows, STEP_ROWS):
+                part = b.slice(at, STEP_ROWS)
+                texts = part.column(1).to_pylist()
+                ids = [m.encode(t) for t in texts]
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), pa.array(np.diff(ends).astype(np.int64)), pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                    pa.array([m.decode(x) == (t or "") for x, t in zip(ids, texts)], pa.bool_()),
+                    pa.ListArray.from_arrays(ends, np.concatenate(ids))],
+                    names=["doc_id", "n_ids", "ids_crc32", "round_trip", "ids"])
+    kind = pairs.schema["doc_id"].dataType.simpleString()
+    return pairs.mapInArrow(run, f"doc_id {kind}, n_ids long, ids_crc32 long, round_trip boolean, ids array<int>")
