@@ -68,3 +68,25 @@ def group_members(df: DataFrame, keys: list[str], payload: list[str], stats: dic
 def utf8_size(text) -> Column:
     """UTF-8 bytes of a text, 0 for null."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+
+
+class Recent(dict):
+    """Values of recent keys, made on demand by ``make``; keys longer than
+    ``longest`` are not kept.  When ``limit`` keys are held they become the
+    old generation, and what is asked for again moves back, so frequent keys
+    stay while memory is bounded by two generations."""
+
+    def __init__(self, make, limit: int, longest: int):
+        super().__init__()
+        self.make, self.limit, self.longest, self.old = make, limit, longest, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.limit:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value

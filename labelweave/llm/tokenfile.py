@@ -13,6 +13,7 @@ on its own.
 from __future__ import annotations
 
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -22,16 +23,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from labelweave.llm.common import ROW, drop_stage, with_row_identity, write_stage
+from labelweave.llm.common import ROW, Recent, drop_stage, with_row_identity, write_stage
 from labelweave.session import scratch_dir
 
 END_ID = 2
 SCALE_BITS = 18
 BLOCK_TOKENS, LANES, CHECKPOINT_ROWS = 1 << 18, 1024, 128
 LOW = np.uint64(1 << 31)
-MEMO_ENTRIES, MEMO_CHARS = 300_000, 48
+MEMO_ENTRIES, MEMO_CHARS = 400_000, 48
 STEP_ROWS = 500
-_ID = np.dtype("<u4")
+_ID = np.dtype("=u4")
 
 
 # ---------------------------------------------------------------- tokens ----
@@ -65,29 +66,17 @@ class Encoder:
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.spaces = regex.compile(r" (?=\S)")
         self.odd = regex.compile(r" (?:\s|$)|\s ")
-        self.letters = {b: c for b, c in enumerate(byte_letters())}
-        self.words: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
-        self.after: dict[str, bytes] = {}
+        self.letters, self.merge = byte_letters(), self.whole.model.tokenize
+        self.words = Recent(self._word, MEMO_ENTRIES, MEMO_CHARS)
+        #: Stretches by what is before them: nothing, or a space.
+        self.first, self.after = (Recent(lambda s, lead=lead: b"".join(map(self.words.__getitem__, self.split(lead + s))),
+                                         MEMO_ENTRIES, MEMO_CHARS) for lead in ("", " "))
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            spelled = word.encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.whole.model.tokenize(spelled)], _ID).tobytes()
-            if len(self.words) >= MEMO_ENTRIES:
-                self.words.clear()
-            if len(word) <= MEMO_CHARS:
-                self.words[word] = ids
-        return ids
-
-    def _stretch(self, s: str, memo: dict[str, bytes], lead: str) -> bytes:
-        ids = b"".join(map(self._word, self.split(lead + s)))
-        if len(memo) >= MEMO_ENTRIES:
-            memo.clear()
-        if len(s) <= MEMO_CHARS:
-            memo[s] = ids
-        return ids
+        # printable ASCII stands for itself, but for the space
+        spelled = (word.replace(" ", self.letters[32]) if word.isascii() and word.isprintable()
+                   else "".join(map(self.letters.__getitem__, word.encode())))
+        return array("I", [t.id for t in self.merge(spelled)]).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -95,11 +84,7 @@ class Encoder:
         if any(a in text for a in self.added):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, _ID).tobytes()
         parts = self.spaces.split(text) if self.odd.search(text) else text.split(" ")
-        get, after = self.after.get, self.after
-        start = self.first.get(parts[0])
-        if start is None:
-            start = self._stretch(parts[0], self.first, "")
-        return start + b"".join([get(p) or self._stretch(p, after, " ") for p in parts[1:]])
+        return self.first[parts[0]] + b"".join(map(self.after.__getitem__, parts[1:]))
 
 
 @lru_cache(maxsize=2)
