@@ -290,6 +290,11 @@ def compare_stages(cand: DataFrame, base: DataFrame) -> DataFrame:
     return c.join(b, "stage").withColumn("p95_delta_pct", pct_delta("cand_p95", "base_p95"))
 
 
+# Why a gate fails.
+GATE_REASONS = {"throughput": "throughput improvement below threshold",
+                "latency": "p95 latency regression exceeded threshold"}
+
+
 def evaluate_gate(cand_summary: DataFrame, base_summary: DataFrame, stage_cmp: DataFrame,
                   min_gain_pct: float = C.MIN_THROUGHPUT_GAIN_PCT,
                   p95_limit_pct: float = C.P95_REGRESSION_LIMIT_PCT) -> DataFrame:
@@ -310,8 +315,7 @@ def evaluate_gate(cand_summary: DataFrame, base_summary: DataFrame, stage_cmp: D
     tpass = F.coalesce(tdelta >= min_gain_pct, F.lit(False))
     ppass = ~F.col("_regressed")
     reasons = F.array_compact(F.array(
-        F.when(~tpass, F.lit("throughput improvement below threshold")),
-        F.when(~ppass, F.lit("p95 latency regression exceeded threshold"))))
+        F.when(~tpass, F.lit(GATE_REASONS["throughput"])), F.when(~ppass, F.lit(GATE_REASONS["latency"]))))
     return j.select(
         (tpass & ppass).alias("pass"), tdelta.alias("throughput_delta_pct"),
         adelta.alias("load_adjusted_throughput_delta_pct"), reasons.alias("reasons"), "common_stages",

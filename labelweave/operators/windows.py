@@ -105,12 +105,8 @@ def length_group(df: DataFrame, batch_col: str = "batch_id", index_col: str = "i
 
 def assign_micro_batch(df: DataFrame, n=C.MODEL_INFERENCE_BATCH_SIZE, rank_col: str = "group_rank") -> DataFrame:
     """Consecutive groups of ``n`` in grouped order (invalid n -> 16)."""
-    try:
-        n = int(n)
-    except (TypeError, ValueError):
-        n = C.MODEL_INFERENCE_BATCH_SIZE
-    if n <= 0:
-        n = C.MODEL_INFERENCE_BATCH_SIZE
+    text = str(n).strip()
+    n = int(text) if text.isdigit() and int(text) else C.MODEL_INFERENCE_BATCH_SIZE
     return df.withColumn("micro_batch", ((F.col(rank_col) - 1) / F.lit(n)).cast("int"))
 
 
@@ -140,6 +136,7 @@ def tensor_shape(df: DataFrame, batch_col: str = "batch_id") -> DataFrame:
                            .otherwise(F.lit(0.0))))
 
 
+# Names of the batch-shape metrics.
 SHAPE_METRICS = [
     "configured_record_batch_size", "model_inference_batch_size", "effective_chunk_batch_size", "total_chunks",
     "mean_chunks_per_record", "max_chunks_per_record", "max_tokenized_length", "padded_tensor_rows",

@@ -19,14 +19,15 @@ SCIX_EXPR = (f"case when doc_id % 3 = 0 or doc_id % 4 = 1 then 'scix:' || substr
              f"|| substr({_PAD12},5,4) || '-' || substr({_PAD12},9,4) end")
 
 VIEW_SQL = {
+    # every text whole, then extra requests that lack a title or an abstract
     "v_requests": f"""
-select doc_id as input_index, cast(floor(doc_id/100) as bigint) as batch_id,
+select input_index, cast(floor(input_index/100) as bigint) as batch_id,
  case when doc_id % 10 = 9 then 'bad' || {_PAD12}
   when doc_id % 3 = 0 then 'scix:' || substr({_PAD12},1,4) || '-' || substr({_PAD12},5,4) || '-' || substr({_PAD12},9,4)
-  else '2024Test.' || lpad(cast(doc_id as varchar(20)),10,'0') end as identifier,
- case when doc_id % 17 = 0 then null else substr(text,1,40) end as title,
- case when doc_id % 23 = 0 then null else substr(text,41) end as abstract
-from {{documents}}""",
+  else '2024Test.' || lpad(cast(doc_id as varchar(20)),10,'0') end as identifier, title, abstract
+from (select doc_id, doc_id as input_index, substr(text,1,40) as title, substr(text,41) as abstract from {{documents}}
+ union all select doc_id, 1000000000 + doc_id, null, substr(text,41) from {{documents}} where doc_id % 17 = 0
+ union all select doc_id, 2000000000 + doc_id, substr(text,1,40), null from {{documents}} where doc_id % 23 = 0) q""",
     "v_scored": "select doc_id as input_index, doc_id, "
                 + ", ".join(f"cast((doc_id*{37 + k} + n_chars*{11 + 2 * k}) % 997 as double)/997e0 as s{k}"
                             for k in range(8))
