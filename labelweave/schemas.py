@@ -23,3 +23,5 @@ MODELS = StructType([StructField("id", LongType()), StructField("model", StringT
                      StructField("postprocessing", StringType()), StructField("created", TimestampType())])
 RESPONSE = StructType([StructField("bibcode", StringType()), StructField("scix_id", StringType()),
                        StructField("status", StringType()), StructField("collections", ArrayType(StringType()))])
+# Pre-ingest claims: one row per replay fingerprint.
+CLAIMS = "id string, stage string, lease_until double"

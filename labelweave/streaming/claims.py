@@ -25,7 +25,7 @@ the streaming form in time-ordered slices.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
@@ -63,6 +63,18 @@ def transition(stage, lease_until, op: str, target: str, ts: float):
     return False, stage, lease_until
 
 
+def granted(target: str, stage: Column, lease_until: Column, ts: Column) -> Column:
+    """``GRANTS`` as a column expression: whether a claim of ``target`` at
+    ``ts`` is granted to a key in ``stage`` (null: no state yet)."""
+    def rule(when):
+        return {ALWAYS: F.lit(True), NEVER: F.lit(False), EXPIRED: F.coalesce(lease_until, F.lit(0.0)) <= ts}[when]
+    out = F.when(stage.isNull(), rule(GRANTS[None][target]))
+    for name, rules in GRANTS.items():
+        if name is not None:
+            out = out.when(stage == name, rule(rules[target]))
+    return out
+
+
 def _fold(fps, ids, times, ops, fp=None, stage=None, lease=None):
     """Rows of events given in order, and the state after the last; a change
     of key starts from no state."""

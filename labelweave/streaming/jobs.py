@@ -14,6 +14,8 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from labelweave import config as C
 from labelweave.functions.ids import fingerprint
 from labelweave.operators import scoring as SC
+from labelweave.session import cut_lineage
+from labelweave.streaming import claims as CL
 
 REQUEST = StructType([
     StructField("input_index", LongType()), StructField("batch_id", LongType()),
@@ -24,26 +26,53 @@ REQUEST = StructType([
 ])
 
 
-def classify_batch_writer(scorer, sink: str, cfg: C.ClassifierConfig = C.DEFAULT, on_batch=None):
+def claim_pre_ingest(df: DataFrame, store, batch_id: int, ts) -> tuple[DataFrame, DataFrame]:
+    """H2 / H4 before classification: of the pre-ingest rows, one per replay
+    fingerprint goes on, and only if its claim of ``classify_inflight`` is
+    granted on the state before this batch (a replayed batch decides alike).
+    The claims are stored with their lease.  Rows of other steps go on
+    untouched.  Returns the rows that go on and the claimed fingerprints."""
+    from labelweave import schemas
+    pre = F.coalesce(F.col("operation_step") == "pre_ingest", F.lit(False))
+    states = store.current("claims", schemas.CLAIMS, batch_id).withColumnRenamed("id", "fingerprint")
+    once = drop_replays(df.filter(pre)).join(states, "fingerprint", "left")
+    mine = cut_lineage(once.filter(CL.granted("classify_inflight", F.col("stage"), F.col("lease_until"), ts)))
+    claimed = mine.select(F.col("fingerprint").alias("id"))
+    store.write_changes("claims", claimed.select(
+        "id", F.lit("classify_inflight").alias("stage"), (ts + F.lit(float(C.CLASSIFY_LEASE_S))).alias("lease_until")), batch_id)
+    return df.filter(~pre).unionByName(mine.select(*df.columns)), claimed
+
+
+def classify_batch_writer(scorer, sink: str, cfg: C.ClassifierConfig = C.DEFAULT, on_batch=None, claims=None, now=None):
     """foreachBatch body: classify the micro-batch and write its results to
     ``sink/batch=<id>`` (overwritten on replay); ``on_batch(df, id)`` can
-    chain index / TSV / forward steps, and gets the written results."""
+    chain index / TSV / forward steps, and gets the written results.  With a
+    ``claims`` store, pre-ingest rows are claimed first and marked done after
+    the last step."""
     def run(df: DataFrame, batch_id: int) -> None:
+        ts = (now if now is not None else F.unix_timestamp()).cast("double")
+        claimed = None
+        if claims is not None:
+            df, claimed = claim_pre_ingest(df, claims, batch_id, ts)
         out = SC.classify(df, scorer, cfg, keys=("input_index",), carry=tuple(
             f.name for f in REQUEST if f.name in df.columns and f.name != "input_index"))
         path = os.path.join(sink, f"batch={batch_id}")
         out.write.mode("overwrite").parquet(path)
         if on_batch is not None:
             on_batch(df.sparkSession.read.parquet(path), batch_id)
+        if claimed is not None:  # H3: classified, then indexed
+            claims.write_changes("claims", claimed.select(
+                "id", F.lit("indexed_done" if on_batch is not None else "classify_done").alias("stage"),
+                F.lit(None).cast("double").alias("lease_until")), batch_id)
     return run
 
 
 def start_classify_stream(spark: SparkSession, src: str, sink: str, checkpoint: str, scorer,
                           cfg: C.ClassifierConfig = C.DEFAULT, files_per_trigger: int = 1,
-                          available_now: bool = True, on_batch=None):
+                          available_now: bool = True, on_batch=None, claims=None):
     """H1: requests arrive as JSON files in ``src``."""
     stream = (spark.readStream.schema(REQUEST).option("maxFilesPerTrigger", files_per_trigger).json(src))
-    w = (stream.writeStream.foreachBatch(classify_batch_writer(scorer, sink, cfg, on_batch))
+    w = (stream.writeStream.foreachBatch(classify_batch_writer(scorer, sink, cfg, on_batch, claims))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

@@ -162,3 +162,43 @@ def test_stream_routes_validation(spark, tmp_path):
     assert store.read("overrides").count() == 2
     scores = {r["bibcode"]: r["overrides_id"] for r in store.current("scores", schemas.SCORES).collect()}
     assert scores["2024Test.0000000001"] is not None and scores["2024Test.0000000002"] is None
+
+
+def test_stream_claims_pre_ingest_rows_once(spark, tmp_path):
+    from labelweave.operators import scoring as SC
+    from labelweave.sources.writers import SnapshotStore
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    seen = []
+    scorer = SC.HashedLinearScorer(SC.default_weights(spark))
+
+    def write(rows, batch_id, at, on_batch):
+        df = spark.createDataFrame(rows, "input_index long, title string, abstract string, operation_step string").selectExpr(
+            "*", "cast(null as string) as bibcode", "cast(null as string) as scix_id", "cast(1 as long) as run_id")
+        PL.classify_batch_writer(scorer, str(tmp_path / "out"), on_batch=on_batch, claims=store, now=F.lit(at))(df, batch_id)
+
+    def note(df, batch_id):
+        seen.append((batch_id, sorted(r["input_index"] for r in df.collect())))
+
+    def fail(df, batch_id):
+        raise RuntimeError("lost")
+    write([(0, "a", "x", "pre_ingest"), (1, " a ", "x", "pre_ingest"), (2, "b", "x", "pre_ingest"), (3, "a", "x", "classify")],
+          0, 100, note)
+    write([(4, "a", "x", "pre_ingest"), (5, "c", "x", "pre_ingest")], 1, 200, note)  # 4 is done already
+    try:
+        write([(6, "d", "x", "pre_ingest")], 2, 300, fail)
+    except RuntimeError:
+        pass
+    write([(7, "d", "x", "pre_ingest")], 3, 400, note)  # the lease of batch 2 still runs
+    write([(8, "d", "x", "pre_ingest")], 4, 900, note)
+    write([(6, "d", "x", "pre_ingest")], 2, 300, note)  # batch 2 again: decides as before
+    assert len(seen[0][1]) == 3 and {2, 3} < set(seen[0][1])
+    assert seen[1:] == [(1, [5]), (3, []), (4, [8]), (2, [6])]
+
+
+def test_grant_expression_is_the_table(spark):
+    stages = [None, "classify_inflight", "classify_done", "index_inflight", "indexed_done"]
+    rows = [(s, lease) for s in stages for lease in (None, 50.0, 100.0, 150.0)]
+    df = spark.createDataFrame(rows, "stage string, lease double")
+    for target in CL.LEASES:
+        got = df.select("stage", "lease", CL.granted(target, F.col("stage"), F.col("lease"), F.lit(100.0)).alias("g")).collect()
+        assert all(r["g"] == CL.transition(r["stage"], r["lease"], "claim", target, 100.0)[0] for r in got)
