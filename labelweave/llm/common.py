@@ -72,7 +72,7 @@ def utf8_size(text) -> Column:
 
 class Recent(dict):
     """Values of recent keys, made on demand by ``make``; keys longer than
-    ``longest`` are not kept.  When ``limit`` keys are held they become the
+    ``longest``, or that hold a line break, are not kept.  When ``limit`` keys are held they become the
     old generation, and what is asked for again moves back, so frequent keys
     stay while memory is bounded by two generations."""
 
@@ -84,7 +84,7 @@ class Recent(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(key) <= self.longest:
+        if len(key) <= self.longest and "\n" not in key:
             if len(self) >= self.limit:
                 self.old = dict(self)
                 self.clear()

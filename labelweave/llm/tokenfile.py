@@ -19,6 +19,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ END_ID = 2
 SCALE_BITS = 18
 BLOCK_TOKENS, LANES, CHECKPOINT_ROWS = 1 << 18, 1024, 128
 LOW = np.uint64(1 << 31)
-MEMO_ENTRIES, MEMO_CHARS = 400_000, 48
+MEMO_ENTRIES, MEMO_CHARS = 300_000, 48
 STEP_ROWS = 500
 _ID = np.dtype("=u4")
 
@@ -68,9 +69,17 @@ class Encoder:
         self.odd = regex.compile(r" (?:\s|$)|\s ")
         self.letters, self.merge = byte_letters(), self.whole.model.tokenize
         self.words = Recent(self._word, MEMO_ENTRIES, MEMO_CHARS)
+        self.line_break = self._word("\n")
         #: Stretches by what is before them: nothing, or a space.
-        self.first, self.after = (Recent(lambda s, lead=lead: b"".join(map(self.words.__getitem__, self.split(lead + s))),
-                                         MEMO_ENTRIES, MEMO_CHARS) for lead in ("", " "))
+        self.first = Recent(lambda s: self._stretch(s, ""), MEMO_ENTRIES, MEMO_CHARS)
+        self.after = Recent(lambda s: self._stretch(s, " "), MEMO_ENTRIES, MEMO_CHARS)
+
+    def _stretch(self, s: str, lead: str) -> bytes:
+        # a single line break between non-spaces is a word of its own
+        before, line, rest = s.partition("\n")
+        if line and before and rest and not before[-1].isspace() and not rest[0].isspace():
+            return (self.after if lead else self.first)[before] + self.line_break + self.first[rest]
+        return b"".join(map(self.words.__getitem__, self.split(lead + s)))
 
     def _word(self, word: str) -> bytes:
         # printable ASCII stands for itself, but for the space
@@ -175,12 +184,12 @@ BLOCK_SCHEMA = ("part int, block int, n long, doc_ids array<long>, lengths array
 
 
 def pack_block(coder: Coder, part: int, block: int, docs: list, lanes: int, every: int) -> pa.RecordBatch:
-    ids = np.concatenate([np.frombuffer(x, _ID) for _, x in docs])
+    ids = np.concatenate([x for _, x in docs])
     words, states, offsets = coder.encode(ids, lanes, every)
     w, s = words.tobytes(), states.astype("<u8").tobytes()
     return pa.RecordBatch.from_arrays([
         pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([len(ids)], pa.int64()),
-        pa.array([[d for d, _ in docs]], pa.list_(pa.int64())), pa.array([[len(x) // 4 for _, x in docs]], pa.list_(pa.int32())),
+        pa.array([[d for d, _ in docs]], pa.list_(pa.int64())), pa.array([[len(x) for _, x in docs]], pa.list_(pa.int32())),
         pa.array([states.shape[1]], pa.int32()), pa.array([every], pa.int32()), pa.array([w], pa.binary()),
         pa.array([s], pa.binary()), pa.array([offsets.astype(np.int32)], pa.list_(pa.int32())),
         pa.array([zlib.crc32(s, zlib.crc32(w))], pa.int64())],
@@ -194,13 +203,19 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
     ``end_id`` after each, in ascending doc_id order (null ids first, rows
     that repeat an id in reading order), to ``folder``."""
     spark, path = docs.sparkSession, tokenizer or default_tokenizer()
+    # between tokenizing and coding, ids are held in the fewest bytes and packed
+    kind = np.dtype("<u2" if max(end_id, encoder(path).whole.get_vocab_size()) < 1 << 16 else "<u4")
+
+    def ids_of(packed: bytes) -> np.ndarray:
+        return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
 
     def encode(batches):
-        e, end = encoder(path), np.array([end_id], _ID).tobytes()
+        e, end, pack = encoder(path), np.array([end_id], _ID).tobytes(), zstandard.ZstdCompressor(level=3)
         for b in batches:
             for at in range(0, b.num_rows, STEP_ROWS):
                 part = b.slice(at, STEP_ROWS)
-                ids = pa.array([e.encode(t) + end for t in part.column(3).to_pylist()], pa.binary())
+                ids = pa.array([pack.compress(np.frombuffer(e.encode(t) + end, _ID).astype(kind).tobytes())
+                                for t in part.column(3).to_pylist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], ids], names=[*ROW, "doc_id", "ids"])
     tokens, tokens_path = write_stage(with_row_identity(docs).select(
         *ROW, F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").alias("text")).mapInArrow(
@@ -210,7 +225,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
         total = np.zeros(0, np.int64)
         for b in batches:
             for x in b.column(0):
-                c = np.bincount(np.frombuffer(x.as_buffer(), _ID))
+                c = np.bincount(ids_of(x.as_buffer()))
                 if len(c) > len(total):
                     total = np.pad(total, (0, len(c) - len(total)))
                 total[:len(c)] += c
@@ -230,8 +245,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
         held, tokens_held, block = [], 0, 0
         for b in batches:
             for d, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                held.append((d, x))
-                tokens_held += len(x) // 4
+                held.append((d, ids_of(x)))
+                tokens_held += len(held[-1][1])
                 if tokens_held >= block_tokens:
                     yield pack_block(coder, part, block, held, lanes, every)
                     held, tokens_held, block = [], 0, block + 1
