@@ -28,9 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelweave.llm.common import Recent
+
 MARK = "▁"
 #: Remembered stretches per Python worker, and the longest one remembered.
-MEMO_ENTRIES, MEMO_CHARS = 400_000, 64
+MEMO_ENTRIES, MEMO_CHARS = 250_000, 64
 STEP_ROWS = 500
 UNKNOWN_PENALTY = 10.0
 _ID = np.dtype("=i4")
@@ -68,25 +70,17 @@ class PieceModel:
         self.table.update(pieces)
         meets = not any(MARK in p.lstrip(MARK) or ("\n" in p and len(p) > 1) for p in pieces)
         self.stretches = re.compile(r" *[^ \n]+|\n| +" if meets else r"(?s).+")
-        self.memo: dict[str, bytes] = {}
+        self.memo = Recent(self.unit_ids, MEMO_ENTRIES, MEMO_CHARS)
         self.window = 0
 
     def unit_ids(self, stretch: str) -> bytes:
-        ids = self.memo.get(stretch)
-        if ids is None:
-            ids = array("i", self.stream(stretch)).tobytes()
-            if len(stretch) <= MEMO_CHARS:
-                if len(self.memo) >= MEMO_ENTRIES:
-                    self.memo.clear()
-                self.memo[stretch] = ids
-        return ids
+        return array("i", self.stream(stretch)).tobytes()
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a whole text; none for a null or empty text."""
         if not text:
             return np.empty(0, _ID)
-        memo = self.memo.get
-        return np.frombuffer(b"".join([memo(u) or self.unit_ids(u) for u in self.stretches.findall(" " + text)]), _ID)
+        return np.frombuffer(b"".join(map(self.memo.__getitem__, self.stretches.findall(" " + text))), _ID)
 
     def stream(self, stretch: str) -> list[int]:
         """Best path of one stretch, committed as paths meet.  ``best[j]`` and
