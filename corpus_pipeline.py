@@ -25,6 +25,7 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)  # its pandas functions import the package
     return langid.drop_undetermined(docs)
 
 
@@ -33,6 +34,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)  # its pandas functions import the package
     return simhash.drop_near_duplicates(docs, shingle=3, max_bits=2)
 
 
@@ -41,6 +43,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)  # its pandas functions import the package
     return pieces.encode_documents(docs)
 
 
@@ -50,7 +53,6 @@ STAGES = [("language", language), ("exact_dedup", exact), ("near_dedup", near),
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; stages between are written under the
     shared checkpoint folder and deleted when their successor is written."""
-    ship_package(spark)
     docs, path = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs, new = write_stage(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -26,7 +26,7 @@ from labelweave.llm.common import drop_stage, write_stage
 UNDETERMINED = "und"
 FIT_ROWS, MAX_WORDS, MAX_GRAMS = 20_000, 50_000, 50_000
 SWITCH_PENALTY, WORD_CAP = 20.0, 8.0
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 #: First and last code points of scripts (fixed values, Unicode blocks).
 SCRIPTS = [
@@ -104,8 +104,8 @@ class Model:
     def scores(self, words: list[str]) -> np.ndarray:
         """Word scores of a whole text, in steps the memo can hold."""
         parts = []
-        for i in range(0, len(words), 100_000):
-            step = [w.lower() for w in words[i:i + 100_000]]
+        for i in range(0, len(words), 50_000):
+            step = [w.lower() for w in words[i:i + 50_000]]
             if len(self.memo) + len(step) > MEMO_ENTRIES:
                 self._reset()
             get = self.memo.get
