@@ -12,6 +12,7 @@ on its own.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from functools import lru_cache
@@ -31,9 +32,10 @@ END_ID = 2
 SCALE_BITS = 18
 BLOCK_TOKENS, LANES, CHECKPOINT_ROWS = 1 << 18, 1024, 128
 LOW = np.uint64(1 << 31)
-MEMO_ENTRIES, MEMO_CHARS = 300_000, 48
+MEMO_ENTRIES, MEMO_CHARS = 450_000, 48
 STEP_ROWS = 500
 _ID = np.dtype("=u4")
+_MARKS = frozenset(".,;:!?)")
 
 
 # ---------------------------------------------------------------- tokens ----
@@ -66,7 +68,11 @@ class Encoder:
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.spaces = regex.compile(r" (?=\S)")
-        self.odd = regex.compile(r" (?:\s|$)|\s ")
+        odd = regex.compile(r" \s|\s ").search
+        beside = [" " + c for c in "\n\t\r"] + [c + " " for c in "\n\t\r"]
+        rare = re.compile("[\x0b\x0c\x1c-\x1f]").search
+        #: No white space beside a space (empty parts show spaces side by side).
+        self.plain = lambda t: not any(x in t for x in beside) and not rare(t) if t.isascii() else not odd(t)
         self.letters, self.merge = byte_letters(), self.whole.model.tokenize
         self.words = Recent(self._word, MEMO_ENTRIES, MEMO_CHARS)
         self.line_break = self._word("\n")
@@ -75,6 +81,11 @@ class Encoder:
         self.after = Recent(lambda s: self._stretch(s, " "), MEMO_ENTRIES, MEMO_CHARS)
 
     def _stretch(self, s: str, lead: str) -> bytes:
+        # letters alone are one word, and so is a mark behind them
+        if s.isalpha():
+            return self._word(lead + s)
+        if s[-1:] in _MARKS and s[:-1].isalpha():
+            return (self.after if lead else self.first)[s[:-1]] + self.words[s[-1]]
         # a single line break between non-spaces is a word of its own
         before, line, rest = s.partition("\n")
         if line and before and rest and not before[-1].isspace() and not rest[0].isspace():
@@ -92,7 +103,9 @@ class Encoder:
             return b""
         if any(a in text for a in self.added):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, _ID).tobytes()
-        parts = self.spaces.split(text) if self.odd.search(text) else text.split(" ")
+        parts = text.split(" ")
+        if "" in parts or not self.plain(text):
+            parts = self.spaces.split(text)
         return self.first[parts[0]] + b"".join(map(self.after.__getitem__, parts[1:]))
 
 
@@ -210,7 +223,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
         return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
 
     def encode(batches):
-        e, end, pack = encoder(path), np.array([end_id], _ID).tobytes(), zstandard.ZstdCompressor(level=3)
+        e, end, pack = encoder(path), np.array([end_id], _ID).tobytes(), zstandard.ZstdCompressor(level=1)
         for b in batches:
             for at in range(0, b.num_rows, STEP_ROWS):
                 part = b.slice(at, STEP_ROWS)
