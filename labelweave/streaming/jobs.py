@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from labelweave import config as C
-from labelweave.functions.ids import fingerprint
+from labelweave.functions.ids import fingerprint, nonblank
 from labelweave.operators import scoring as SC
 from labelweave.session import cut_lineage
 from labelweave.streaming import claims as CL
@@ -164,7 +164,7 @@ def index_sink(store, tsv_root: str, forward_root: str, now=None, default_step:
         recs = recs.withColumn("operation_step", F.coalesce(F.col("operation_step"), F.lit(default_step)))
         recs = recs.withColumn("payload", score_payload())
         recs = recs.withColumn("route", ST.route_index(recs))
-        ident = recs.filter((F.col("route") == "index") & (F.coalesce(F.col("bibcode"), F.col("scix_id"), F.lit("")) != ""))
+        ident = recs.filter((F.col("route") == "index") & (nonblank("bibcode").isNotNull() | nonblank("scix_id").isNotNull()))
         checks = recs.filter(F.col("route") == "validate")
         known = recs.filter(F.col("route") != "pass_through").select("bibcode", "scix_id")
         state = ST.State(store.read("overrides", schemas.OVERRIDES, batch_id),

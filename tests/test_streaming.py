@@ -164,6 +164,24 @@ def test_stream_routes_validation(spark, tmp_path):
     assert scores["2024Test.0000000001"] is not None and scores["2024Test.0000000002"] is None
 
 
+def test_stream_indexes_a_row_with_an_empty_bibcode_and_a_scix_id(spark, tmp_path):
+    from labelweave import schemas
+    from labelweave.operators import scoring as SC
+    from labelweave.sources.writers import SnapshotStore
+    rows = [(0, "", "scix:AAAA-BBBB-CCCC", "classify"), (1, "", "scix:AAAA-BBBB-DDDD", "pre_ingest"),
+            (2, "2024Test.0000000001", "", "classify"), (3, "", "", "classify"), (4, "", None, "pre_ingest")]
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    sink = PL.index_sink(store, str(tmp_path / "tsv"), str(tmp_path / "fwd"), now=F.lit(0).cast("timestamp"))
+    df = spark.createDataFrame(rows, "input_index long, bibcode string, scix_id string, operation_step string").selectExpr(
+        "*", "cast(null as array<string>) as override", "cast(1 as long) as run_id", "'a title' as title", "'an abstract' as abstract")
+    PL.classify_batch_writer(SC.HashedLinearScorer(SC.default_weights(spark)), str(tmp_path / "out"), on_batch=sink)(df, 0)
+    ids = {("", "scix:AAAA-BBBB-CCCC"), ("", "scix:AAAA-BBBB-DDDD"), ("2024Test.0000000001", "")}
+    for name, schema in (("scores", schemas.SCORES), ("final_collection", schemas.FINAL_COLLECTION)):
+        assert {(r["bibcode"] or "", r["scix_id"] or "") for r in store.current(name, schema).collect()} == ids
+    sent = spark.read.text(str(tmp_path / "fwd")).collect()
+    assert len(sent) == 2 and sum("scix:AAAA-BBBB-CCCC" in r[0] for r in sent) == 1
+
+
 def test_stream_claims_pre_ingest_rows_once(spark, tmp_path):
     from labelweave.operators import scoring as SC
     from labelweave.sources.writers import SnapshotStore
