@@ -6,15 +6,18 @@ Viterbi pass with a penalty for every switch labels the words, so a passage in
 another language becomes a span of its own while single odd words do not.  The
 document's language is the one that labels most letters.
 
-Learned: word and trigram counts per language over a bounded, hash-chosen
-sample of the labelled rows, counted on the executors; the most frequent words
-and trigrams are the model (bounded by ``max_words`` and ``max_grams``).
+Learned: the scripts of each language from all labelled rows; word and trigram
+counts per language over a bounded, hash-chosen sample with rows of every
+language, counted on the executors; each language's most frequent words and
+trigrams are the model (about ``max_words`` and ``max_grams`` per language).
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
+import sys
 
 import numpy as np
 import pandas as pd
@@ -47,6 +50,26 @@ def script(word: str) -> str:
     return "other"
 
 
+SCRIPT_NAMES = [*dict.fromkeys(x[0] for x in SCRIPTS), "other"]
+
+
+@functools.cache
+def _script_table() -> np.ndarray:
+    """Per code point 0 if words don't hold it, else 1 + place of its script
+    in SCRIPT_NAMES."""
+    out = np.zeros(sys.maxunicode + 1, np.uint8)
+    for m in _WORD.finditer(" ".join(map(chr, range(sys.maxunicode + 1)))):
+        out[ord(m.group())] = 1 + SCRIPT_NAMES.index(script(m.group()))
+    return out
+
+
+def script_words(text: str) -> np.ndarray:
+    """Number of words of each script of SCRIPT_NAMES, as ``predict`` splits
+    and names them."""
+    of = _script_table()[np.frombuffer(f" {text.lower()}".encode("utf-32-le", "surrogatepass"), np.uint32)]
+    return np.bincount(of[1:][(of[1:] > 0) & (of[:-1] == 0)], minlength=len(SCRIPT_NAMES) + 1)[1:]
+
+
 def trigrams(word: str) -> list[str]:
     w = f" {word} "
     return [w[i:i + 3] for i in range(len(w) - 2)]
@@ -57,7 +80,10 @@ class Model:
     recent words (bounded)."""
 
     def __init__(self, langs, totals, words, grams, scripts):
-        self.langs, self.totals, self.words, self.grams, self.scripts = langs, totals, words, grams, scripts
+        self.langs, self.totals, self.words, self.scripts = langs, totals, words, scripts
+        self.grams = {g: i for i, g in enumerate(grams)}
+        counts = np.array(list(grams.values()), np.float64).reshape(len(grams), len(langs))
+        self.gram_logs = np.log((counts + 0.5) / (np.array(totals[1], np.float64) + 1.0))
         self._reset()
 
     def __getstate__(self):
@@ -71,35 +97,42 @@ class Model:
         self.memo: dict[str, int] = {}
         self.rows = np.zeros((1024, max(1, len(self.langs))), np.float32)
 
-    def word_scores(self, word: str) -> list[float]:
-        """Score per language: 0 for the best candidate, down to -WORD_CAP for
-        others, twice that where the script rules a language out; all 0 if no
-        learned language uses the script."""
-        fits = self.scripts.get(script(word))
-        if not fits:
-            return [0.0] * len(self.langs)
-        known = self.words.get(word)
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        """Score of each word per language: 0 for the best candidate, down to
+        -WORD_CAP for others, twice that where the script rules a language out;
+        all 0 if no learned language uses the script."""
+        raw = np.zeros((len(words), len(self.langs)))
+        known, counts, owner, at = [], [], [], []
+        for i, w in enumerate(words):
+            c = self.words.get(w)
+            if c:
+                known.append(i)
+                counts.append(c)
+            else:
+                found = [g for g in map(self.grams.get, trigrams(w)) if g is not None]
+                at += found
+                owner += [i] * len(found)
         if known:
-            raw = [math.log((c + 0.2) / (t + 1.0)) for c, t in zip(known, self.totals[0])]
-        else:
-            raw = [0.0] * len(self.langs)
-            for g in trigrams(word):
-                counts = self.grams.get(g)
-                if counts:
-                    raw = [r + math.log((c + 0.5) / (t + 1.0)) for r, c, t in zip(raw, counts, self.totals[1])]
-        top = max(r for r, ok in zip(raw, fits) if ok)
-        return [max(r - top, -WORD_CAP) if ok else -2 * WORD_CAP for r, ok in zip(raw, fits)]
-
-    def _row(self, word: str) -> int:
-        at = self.memo.get(word)
-        if at is None:
-            if len(self.memo) >= MEMO_ENTRIES:
-                self._reset()
-            at = self.memo[word] = len(self.memo)
-            if at >= len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.rows[at] = self.word_scores(word)
-        return at
+            raw[known] = np.log((np.array(counts) + 0.2) / (np.array(self.totals[0]) + 1.0))
+        if at:
+            logs = self.gram_logs[at]
+            for k in range(raw.shape[1]):
+                raw[:, k] += np.bincount(owner, logs[:, k], len(words))
+        none = [False] * len(self.langs)
+        fits = np.array([self.scripts.get(script(w), none) for w in words], bool)
+        top = np.where(fits, raw, -np.inf).max(axis=1, keepdims=True)
+        out = np.where(fits, np.maximum(raw - top, -WORD_CAP), -2 * WORD_CAP)
+        out[~fits.any(axis=1)] = 0.0
+        return out
+
+    def _remember(self, words: list[str]) -> None:
+        """Rows of words the memo doesn't hold."""
+        new = list(dict.fromkeys(words))
+        first = len(self.memo)
+        self.memo.update(zip(new, range(first, first + len(new))))
+        while len(self.rows) < len(self.memo):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        self.rows[first:first + len(new)] = self.word_scores(new)
 
     def scores(self, words: list[str]) -> np.ndarray:
         """Word scores of a whole text, in steps the memo can hold."""
@@ -111,7 +144,8 @@ class Model:
             get = self.memo.get
             at = [get(w) for w in step]
             if None in at:
-                at = [self._row(w) if a is None else a for w, a in zip(step, at)]
+                self._remember([w for w, a in zip(step, at) if a is None])
+                at = [get(w) if a is None else a for w, a in zip(step, at)]
             parts.append(self.rows[at])
         return np.concatenate(parts)
 
@@ -174,45 +208,97 @@ def viterbi(s: np.ndarray, penalty: float) -> np.ndarray:
     return path
 
 
+def script_counts(rows: DataFrame) -> DataFrame:
+    """One row per language and script of ``rows`` (``lang``, ``text``,
+    ``bucket``): its words, the rows with such words and their lowest bucket;
+    script ``any`` stands for words of all scripts."""
+    def run(batches):
+        for b in batches:
+            found = np.array([script_words(t) for t in b["text"]]).reshape(len(b), len(SCRIPT_NAMES))
+            found = np.column_stack([found, found.sum(axis=1)])
+            at, name = np.nonzero(found)
+            got = pd.DataFrame({"lang": b["lang"].to_numpy()[at], "script": np.array([*SCRIPT_NAMES, "any"])[name],
+                                "words": found[at, name], "rows": 1, "low": b["bucket"].to_numpy()[at]})
+            yield got.groupby(["lang", "script"], as_index=False).agg({"words": "sum", "rows": "sum", "low": "min"})
+    return rows.select("lang", "text", "bucket").mapInPandas(
+        run, "lang string, script string, words long, rows long, low long").groupBy("lang", "script").agg(
+        F.sum("words").alias("words"), F.sum("rows").alias("rows"), F.min("low").alias("low"))
+
+
+def _quota(sizes: list[int], total: int) -> float:
+    """Largest bound such that sizes cut to it sum to at most ``total``."""
+    left = sorted(sizes)
+    for i, n in enumerate(left):
+        bound = total / (len(left) - i)
+        if n > bound:
+            return bound
+        total -= n
+    return math.inf
+
+
+def _most(counts: DataFrame, limit: int) -> DataFrame:
+    """Counts of each language's ``limit`` most frequent words, in all
+    languages.  How many words have each count tells where to cut; of the words
+    that tie there about as many as still fit are chosen by hash."""
+    sizes: dict[str, list[tuple[int, int]]] = {}
+    for r in counts.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("words")).collect():
+        sizes.setdefault(r.lang, []).append((r.n, r.words))
+    cuts = []
+    for lang, have in sizes.items():
+        left, cut, share = limit, 0, 0
+        for n, words in sorted(have, reverse=True):
+            if words > left:
+                cut, share = n, left * 1_000_000 // words
+                break
+            left -= words
+        cuts.append((lang, cut, share))
+    cut = F.broadcast(counts.sparkSession.createDataFrame(cuts, "lang string, cut long, share long"))
+    top = counts.join(cut, "lang").filter((F.col("n") > F.col("cut")) | (F.col("n") == F.col("cut")) & (
+        F.pmod(F.xxhash64("word"), F.lit(1_000_000)) < F.col("share"))).select("word").distinct()
+    return counts.join(top, "word").select("word", "lang", "n")
+
+
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_words: int = MAX_WORDS,
         max_grams: int = MAX_GRAMS) -> Model:
     """Learn from ``text`` and ``lang`` of ``labelled`` (rows with a null in
-    either don't count).  At most about ``fit_rows`` rows are used, chosen by
-    a hash of doc_id."""
+    either don't count).  Languages and their scripts come from all rows: a
+    script is a language's own if it has a thousandth of its words.  Words and
+    trigrams are counted in about ``fit_rows`` rows, chosen by a hash of
+    doc_id; the languages share them equally, those with fewer rows give all,
+    and each gives one at least."""
     spark = labelled.sparkSession
-    rows = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    n = rows.count()
-    share = min(1.0, fit_rows / n) if n else 1.0
-    chosen = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1_000_000)) < math.ceil(share * 1_000_000)
-    words = rows.filter(chosen).select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
+    rows = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
+        "text", F.col("lang").cast("string").alias("lang"),
+        F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1_000_000)).alias("bucket"))
+    seen = script_counts(rows).collect()
+    whole = {r.lang: r for r in seen if r.script == "any"}
+    if not whole:
+        return Model([], ([], []), {}, {}, {})
+    langs = sorted(whole, key=lambda x: (-whole[x].words, x))
+    at = {x: i for i, x in enumerate(langs)}
+    scripts: dict[str, list[bool]] = {}
+    for r in seen:
+        if r.script != "any" and r.words >= 0.001 * whole[r.lang].words:
+            scripts.setdefault(r.script, [False] * len(langs))[at[r.lang]] = True
+    quota = _quota([r.rows for r in whole.values()], fit_rows)
+    below = [(x, max(math.ceil(min(1.0, quota / r.rows) * 1_000_000), r.low + 1)) for x, r in whole.items()]
+    chosen = rows.join(F.broadcast(spark.createDataFrame(below, "lang string, below long")), "lang").filter("bucket < below")
+    words = chosen.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
     counts, path = write_stage(words.filter("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "words")
     grams = counts.select("lang", "n", F.concat(F.lit(" "), F.col("word"), F.lit(" ")).alias("w")).select(
         "lang", "n", F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 2), lambda i: F.substring(F.col("w"), i, F.lit(3))))
         .alias("word")).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     grams, grams_path = write_stage(grams, "grams")
-
-    def most(t, limit):
-        top = t.groupBy("word").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "word").limit(limit).select("word")
-        return t.join(top, "word").select("word", "lang", "n").collect()
-    totals = {t: {r.lang: r.n for r in f.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-              for t, f in ((0, counts), (1, grams))}
-    langs = sorted(totals[0], key=lambda x: (-totals[0][x], x))
-    at = {x: i for i, x in enumerate(langs)}
+    totals = [{r.lang: r.n for r in f.groupBy("lang").agg(F.sum("n").alias("n")).collect()} for f in (counts, grams)]
 
     def table(rows_):
         out: dict[str, list[float]] = {}
         for r in rows_:
             out.setdefault(r.word, [0.0] * len(langs))[at[r.lang]] = float(r.n)
         return out
-    known, tri = table(most(counts, max_words)), table(most(grams, max_grams))
-    used: dict[str, list[float]] = {}
-    for w, c in known.items():
-        mine = used.setdefault(script(w), [0.0] * len(langs))
-        used[script(w)] = [a + b for a, b in zip(mine, c)]
-    scripts = {k: [x >= 0.001 * totals[0][g] for x, g in zip(v, langs)] for k, v in used.items()}
-    scripts = {k: v for k, v in scripts.items() if any(v)}
+    known, tri = table(_most(counts, max_words).collect()), table(_most(grams, max_grams).collect())
     drop_stage(spark, path, grams_path)
-    return Model(langs, ([totals[0][x] for x in langs], [totals[1].get(x, 0) for x in langs]), known, tri, scripts)
+    return Model(langs, tuple([t.get(x, 0) for x in langs] for t in totals), known, tri, scripts)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

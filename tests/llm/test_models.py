@@ -79,6 +79,37 @@ def test_edge_rows(edge, empty, model):
     assert langid.drop_undetermined(empty).collect() == []
 
 
+def test_rare_language_in_its_own_script_is_kept(spark):
+    rng = random.Random(4)
+    rows = [(i, prose(rng, "en", 30), "en") for i in range(900)]
+    han = lambda n: "".join(chr(rng.randint(0x4E00, 0x9FA0)) for _ in range(n))
+    rows += [(1000 + i, "、".join(han(12) for _ in range(5)) + "。", "zh") for i in range(40)]
+    rows += [(2000, "ภาษาไทยเขียนติดกัน", "th")]
+    rows += [(3000, "Ελληνικά", "en"), (3001, "Україна", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = docs.filter(~langid.held_out(F.col("doc_id")) | (F.col("doc_id") == 2000))
+    m = langid.fit(seen, fit_rows=30, max_words=20, max_grams=20)
+    got = {r.doc.doc_id: r for r in langid.predict(docs, m).collect()}
+    for i, _, lang in rows[900:-2]:
+        assert got[i].lang_pred == lang and got[i].score > 0
+    assert got[3000].score == 0 and got[3001].score == 0
+    assert sum(c[m.langs.index("en")] > 0 for c in m.words.values()) >= 15
+    kept = {r.doc_id for r in langid.drop_undetermined(docs).collect()}
+    assert set(range(1000, 1040)) <= kept and not kept & {3000, 3001}
+
+
+def test_script_words_are_the_words_of_predict():
+    for t in ("", "a b2c d_e", "日本語のテキスト、かな 한글", "ภาษาไทย हिन्दी", "ẞ K ②x 𝒳y", "é😀ñ"):
+        want = [langid.script(w.lower()) for w in langid._WORD.findall(t.lower())]
+        got = dict(zip(langid.SCRIPT_NAMES, langid.script_words(t).tolist()))
+        assert {k: n for k, n in got.items() if n} == {k: want.count(k) for k in want}
+
+
+def test_sample_is_shared_between_languages():
+    assert langid._quota([5, 100, 1000], 205) == 100 and langid._quota([5, 5], 20) == float("inf")
+    assert langid._quota([10, 10, 10], 15) == 5
+
+
 def test_quality_learns_shouting_tables_and_repetition(spark, edge, empty):
     rng = random.Random(3)
     rows, labels = [], []
