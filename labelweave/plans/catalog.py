@@ -1160,12 +1160,15 @@ def g09(spark, d):
     return s.select("input_index", w.alias("write_tsv"), f.alias("forward"))
 
 
-def fixture_resend_requests(spark, d):
+def fixture_resend_requests(spark, d, every=False):
+    """Requests by bibcode from even and by scix id from odd rows, or from
+    ``every`` row with such an id, and one per run."""
     r = _requests_split(spark, d)
-    bib = r.filter((F.col("input_index") % 2 == 0) & F.col("bibcode").isNotNull()).select(
+    even, odd = (F.lit(every) | (F.col("input_index") % 2 == n) for n in (0, 1))
+    bib = r.filter(even & F.col("bibcode").isNotNull()).select(
         F.col("input_index").alias("request_id"), "bibcode", F.lit(None).cast("string").alias("scix_id"),
         F.lit(None).cast("long").alias("run_id"))
-    scx = r.filter((F.col("input_index") % 2 == 1) & F.col("scix_id").isNotNull()).select(
+    scx = r.filter(odd & F.col("scix_id").isNotNull()).select(
         F.col("input_index").alias("request_id"), F.lit(None).cast("string").alias("bibcode"), "scix_id",
         F.lit(None).cast("long").alias("run_id"))
     runs = view(spark, d, "v_scores").select(F.col("run_id").cast("long")).distinct().select(
@@ -1208,6 +1211,16 @@ def g10(spark, d):
         "collection"))
 
 
+@register("g10b_resend_select_every_id", _G10_SQL.replace("input_index % 2 = 0 and ", "").replace(
+    "input_index % 2 = 1 and ", "") + """
+select request_id, bibcode, scix_id, final_id, array_to_string(collection, '|') as collection from allr""")
+def g10b(spark, d):
+    st, _, _ = fixture_state(spark, d)
+    out = ST.resend_select(fixture_resend_requests(spark, d, every=True), st.final, st.scores)
+    return out.select("request_id", "bibcode", "scix_id", "final_id", F.array_join("collection", "|").alias(
+        "collection"))
+
+
 @register("g11_resend_validated", _ST_SQL + f"""
 select bibcode, scix_id, 'success' as status, array_to_string(collection, ', ') as collections from st_fc
 where validated and validated_at is not null and validated_at >= {NOW_S} - 7*86400

@@ -166,3 +166,12 @@ def test_compaction_survives_a_replay(spark, tmp_path):
     assert now() == {1: "a", 2: "b", 3: "b", 4: "d"}
     store.compact("final_collection")
     assert now() == {1: "a", 2: "b", 3: "b", 4: "d"}
+
+
+def test_every_identified_row_is_asked_for(spark, sf_small):
+    from labelweave.plans import catalog
+    rows = catalog._requests_split(spark, sf_small)
+    asked = catalog.fixture_resend_requests(spark, sf_small, every=True).filter("run_id is null")
+    for c in ("bibcode", "scix_id"):
+        want = {(r[0], r[1]) for r in rows.filter(f"{c} is not null").select("input_index", c).collect()}
+        assert {(r[0], r[1]) for r in asked.filter(f"{c} is not null").select("request_id", c).collect()} == want
