@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 
 MIN_SCORE = 0.7
 CONTEXT_CHARS = 48
+IBAN_HEAD = 4
 
 #: Patterns are the plain ones, anchored so that a long run of word characters
 #: or digits is tried once (at its start, or where the last match ended) and
-#: consumed without backtracking: linear time on any text.
+#: consumed without backtracking: linear time on any text.  ``iban`` consumes
+#: only its first four characters and looks at the longest run behind them
+#: (at most 44 characters, group 1), so every place an IBAN can start is tried.
 _WORD = r"[A-Za-z0-9._%+-]"
 KINDS = ["email", "ip", "card", "phone", "iban", "ssn"]
 BASE_KINDS = KINDS[:4]
@@ -28,7 +31,7 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])))[A-Z]{2}[0-9]{2}",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
 }
 CONTEXT = {
@@ -59,6 +62,15 @@ def mod97(c: Column) -> Column:
     return F.aggregate(moved, F.lit(0), step)
 
 
+def iban_in(run: Column) -> Column:
+    """Longest valid IBAN that ``run`` starts with and that ends before a
+    space or with the run (words behind an IBAN can look like groups of it);
+    null if there is none."""
+    parts = F.split(run, " ")
+    ends = F.transform(F.sequence(F.size(parts), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), " "))
+    return F.get(F.filter(ends, lambda c: (F.length(F.replace(c, F.lit(" "), F.lit(""))) >= 12) & (mod97(c) == 1)), 0)
+
+
 def confirmed(kind: str, c: Column) -> Column:
     d = digits(c)
     if kind == "ip":
@@ -68,34 +80,44 @@ def confirmed(kind: str, c: Column) -> Column:
         return F.length(d).between(14, 19) & F.call_function("luhn_check", d)
     if kind == "phone":
         return F.length(d).between(10, 15)
-    if kind == "iban":
-        return mod97(c) == 1
     return F.lit(True)
 
 
-def _spans(kind: str, matches: Column, pieces: Column) -> Column:
+def _spans(kind: str, matches: Column, pieces: Column, ibans: Column | None = None) -> Column:
     """Confirmed spans of one kind.  ``pieces`` is what lies between the
-    matches, so the running length of both gives every offset (code points)."""
+    matches, so the running length of both gives every offset (code points).
+    For ``iban`` a match is the run behind a start, of which only IBAN_HEAD
+    characters lie between the pieces, and ``ibans`` its IBAN or null; one that
+    starts inside the IBAN before it doesn't count."""
     base, bonus = SCORES[kind]
     rank = KINDS.index(kind)
     after = F.slice(pieces, F.lit(2), F.size(matches))
     walk = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(matches)).alias("before"), matches.alias("value"),
-                        after.alias("after"))
+                        after.alias("after"), *([ibans.alias("iban")] if kind == "iban" else []))
     empty = F.struct(F.lit(0).alias("at"), F.expr(
         "cast(array() as array<struct<start:int,rank:int,end:int,kind:string,value:string,score:double>>)").alias("out"))
 
     def step(acc, x):
         start = acc["at"] + F.length(x["before"])
-        end = start + F.length(x["value"])
+        value, behind = x["value"], x["after"]
+        if kind == "iban":
+            value = x["iban"]
+            behind = F.concat(F.substr(x["value"], F.length(value) + 1),
+                              F.substr(x["after"], F.length(x["value"]) - IBAN_HEAD + 1))
+        end = start + F.length(value)
         near = F.concat(F.substring(x["before"], -CONTEXT_CHARS, CONTEXT_CHARS), F.lit(" "),
-                        F.substring(x["after"], 1, CONTEXT_CHARS))
+                        F.substring(behind, 1, CONTEXT_CHARS))
         score = F.lit(float(base)) + F.when(F.lower(near).rlike(CONTEXT[kind]), F.lit(float(bonus))).otherwise(F.lit(0.0))
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"),
-                        x["value"].alias("value"), score.alias("score"))
-        good = confirmed(kind, x["value"])
+                        value.alias("value"), score.alias("score"))
+        if kind == "iban":
+            good = value.isNotNull() & (start >= F.coalesce(F.try_element_at(acc["out"], F.lit(-1))["end"], F.lit(0)))
+        else:
+            good = confirmed(kind, value)
         if kind not in BASE_KINDS:
             good = good & (score >= MIN_SCORE)
-        return F.struct(end.alias("at"), F.when(good, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+        at = start + IBAN_HEAD if kind == "iban" else end
+        return F.struct(at.alias("at"), F.when(good, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
     return F.aggregate(walk, empty, step, lambda acc: acc["out"])
 
@@ -108,12 +130,12 @@ def find_pii(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     out = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"),
                       F.coalesce(docs["text"], F.lit("")).alias("text"))
-    out = out.select("doc", "text", *[F.regexp_extract_all(text, F.lit(PATTERNS[k]), F.lit(0)).alias(f"m_{k}")
+    out = out.select("doc", "text", *[F.regexp_extract_all(text, F.lit(PATTERNS[k]), F.lit(int(k == "iban"))).alias(f"m_{k}")
                                       for k in KINDS])
-    out = out.select("doc", *[f"m_{k}" for k in KINDS],
+    out = out.select("doc", F.transform("m_iban", iban_in).alias("ibans"), *[f"m_{k}" for k in KINDS],
                      *[F.when(F.size(f"m_{k}") > 0, F.split(text, PATTERNS[k], -1)).alias(f"p_{k}") for k in KINDS])
     none = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string,value:string,score:double>>)")
-    spans = [F.when(F.size(f"m_{k}") > 0, _spans(k, F.col(f"m_{k}"), F.col(f"p_{k}"))).otherwise(none) for k in KINDS]
+    spans = [F.when(F.size(f"m_{k}") > 0, _spans(k, F.col(f"m_{k}"), F.col(f"p_{k}"), F.col("ibans"))).otherwise(none) for k in KINDS]
     return out.select("doc", F.array_sort(F.concat(*spans)).alias("spans"))
 
 

@@ -57,6 +57,19 @@ def test_checksums_and_context_decide_added_kinds(found):
     assert "ssn:4:15" in found[18].spans
 
 
+def test_words_behind_an_iban_are_not_part_of_it(spark):
+    at, es, de = "AT61 1904 3002 3457 3201", "ES9121000418450200051332", "DE89 3704 0044 0532 0130 00"
+    texts = [(f"IBAN {at} EUR 50", [at]), (f"IBAN {at.replace(' ', '')} EUR", [at.replace(" ", "")]), (f"iban {es} BBVA", [es]),
+             (f"IBAN {at.replace(' ', '')} 2024", [at.replace(" ", "")]), (f"😀 {at} 2024 ABCD X1", [at]),
+             (f"{at} {de} {es} {at}", [at, de, es, at]), (f"REF AB12 CDEF GHIJ {at} EUR", [at]), (f"{de} EUR", [de]),
+             (f"{at}5", []), ("IBAN AT62 1904 3002 3457 3201 EUR 50", [])]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc.doc_id: [(s.start, s.end, s.value) for s in r.spans if s.kind == "iban"] for r in pii.find_pii(df).collect()}
+    for i, (t, want) in enumerate(texts):
+        assert [v for _, _, v in got[i]] == want, t
+        assert all(t[a:z] == v for a, z, v in got[i])
+
+
 def test_context_is_what_makes_an_ssn(spark):
     df = spark.createDataFrame([(1, "123-45-6789"), (2, "social security 123-45-6789")], "doc_id long, text string")
     got = {r.doc_id: r.spans for r in pii.pii_digest(pii.find_pii(df)).collect()}
