@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelweave.llm import exact_dedup, langid, mixing, pieces, pii, quality, sharding, simhash, tokenfile, topk
+from labelweave.llm import exact_dedup, langid, merkle, mixing, pieces, pii, quality, sharding, simhash, tokenfile, topk
 from labelweave.llm.common import utf8_size, with_row_identity
 from labelweave.session import read_table
 
@@ -128,3 +128,68 @@ def op9(spark: SparkSession, d: str) -> DataFrame:
 @register("op10_sentencepiece")
 def op10(spark: SparkSession, d: str) -> DataFrame:
     return pieces.encode_documents(read_table(spark, d, "documents"))
+
+
+#: CRC-32 of a string of ASCII letters, bit by bit, in SQL.
+_CRC32_SQL = """xor(4294967295, list_reduce(list_concat([4294967295], range(0, 8 * len(s))), lambda c, k: xor(
+ xor(c, case when k % 8 = 0 then ascii(substr(s, (k // 8 + 1)::int, 1)) else 0 end) >> 1,
+ case when xor(c, case when k % 8 = 0 then ascii(substr(s, (k // 8 + 1)::int, 1)) else 0 end) & 1 = 1
+ then 3988292384 else 0 end)))"""
+
+
+def _crc_sql(text: str) -> str:
+    return _CRC32_SQL.replace("(s,", f"({text},").replace("len(s)", f"len({text})")
+
+
+def _field_sql(c: str) -> str:
+    return f"coalesce(strlen({c}::varchar) || ':' || {c}::varchar, '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+@register("op11_merkle", f"""
+with recursive leaves as (
+ select doc_id, dense_rank() over (order by lang nulls first) - 1 as gid, {_leaf_sql("n_chars")} as leaf,
+  case when {_crc_sql("doc_id::varchar")} % 7 = 0 then {_leaf_sql("(n_chars + 1)")} else {_leaf_sql("n_chars")} end as given
+ from documents),
+placed as (select *, row_number() over (partition by gid order by doc_id nulls first, leaf) - 1 as i,
+  row_number() over () as r from leaves),
+nodes as (
+ select gid, 0 as lv, i, leaf as node from placed
+ union all
+ select gid, lv + 1, i // 2, sha256(string_agg(node, '' order by i))
+ from (select *, count(*) over (partition by gid) as c from nodes) where c > 1 group by gid, lv, i // 2),
+subroots as (select gid, lv, node from nodes qualify row_number() over (partition by gid order by lv desc) = 1),
+tops as (
+ select 0 as lv, gid as i, node from subroots
+ union all
+ select lv + 1, i // 2, sha256(string_agg(node, '' order by i))
+ from (select *, count(*) over () as c from tops) where c > 1 group by lv, i // 2),
+root as (select lv, node from tops order by lv desc limit 1),
+steps as (
+ select p.r, n.lv, n.i % 2 = 1 as is_right, coalesce(o.node, '') as other
+ from placed p join subroots s using (gid) join nodes n on n.gid = p.gid and n.lv < s.lv and n.i = p.i >> n.lv
+ left join nodes o on o.gid = n.gid and o.lv = n.lv and o.i = xor(n.i, 1)
+ union all
+ select p.r, s.lv + t.lv, t.i % 2 = 1, coalesce(o.node, '')
+ from placed p join subroots s using (gid) join root on true join tops t on t.lv < root.lv and t.i = p.gid >> t.lv
+ left join tops o on o.lv = t.lv and o.i = xor(t.i, 1)),
+folds as (
+ select r, 0 as lv, given as node from placed
+ union all
+ select f.r, f.lv + 1, sha256(case when s.is_right then s.other || f.node else f.node || s.other end)
+ from folds f join steps s on s.r = f.r and s.lv = f.lv),
+folded as (select r, arg_max(node, lv) as node from folds group by r),
+proofs as (select r, string_agg(other, '' order by lv) as others from steps group by r)
+select p.doc_id, p.leaf, s.node as subroot, root.node as root, sha256(coalesce(o.others, '')) as proof_sha256,
+ f.node as folded_root, f.node = root.node as verified
+from placed p join subroots s using (gid) join root on true join folded f using (r) left join proofs o using (r)""")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    chosen = F.crc32(F.col("doc.doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = merkle.leaf(*[F.col(f"doc.{c}") + 1 if c == "n_chars" else F.col(f"doc.{c}") for c in merkle.FIELDS])
+    found = merkle.merkle_manifest(read_table(spark, d, "documents"), payload={"tampered": F.when(chosen, changed)})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("siblings"))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("siblings")).alias("proof_sha256"),
+                        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
