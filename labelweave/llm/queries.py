@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelweave.llm import exact_dedup, langid, merkle, mixing, pieces, pii, quality, sharding, simhash, tokenfile, topk
+from labelweave.llm import exact_dedup, langid, merkle, mixing, pieces, pii, prefix_trie, quality, sharding, simhash, tokenfile, topk
 from labelweave.llm.common import utf8_size, with_row_identity
 from labelweave.session import read_table
 
@@ -193,3 +193,39 @@ def op11(spark: SparkSession, d: str) -> DataFrame:
     folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("siblings"))
     return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("siblings")).alias("proof_sha256"),
                         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@register("op12_prefix_trie", f"""
+with turns as (
+ select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (
+  partition by conv_id order by turn nulls first, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
+  ) - 1 as place from conversations where conv_id is not null),
+convs as (select distinct conv_id, {_crc_sql("conv_id::varchar")} % 4 as h, conv_id - conv_id % 20 as base from turns),
+rebuilt as (
+ select c.conv_id, 0 as own, place, role, text from convs c join turns t on t.conv_id = c.base and t.place < c.h
+ union all select c.conv_id, 1, place, role, text from convs c join turns t on t.conv_id = c.conv_id and t.place >= c.h),
+lines as (
+ select c.conv_id, coalesce(list(sha256(strlen(role) || ':' || role || text) order by own, place) filter (where place is not null),
+  []) as ids, coalesce(list(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) order by own, place) filter (
+  where place is not null), []) as words from convs c left join rebuilt r using (conv_id) group by c.conv_id),
+paths as (
+ select conv_id, d as depth, len(ids) as n_turns, md5(array_to_string(ids[1:d], ',')) as key,
+  case when d > 0 then md5(array_to_string(ids[1:d - 1], ',')) end as above, case when d > 0 then words[d] else 0 end as words
+ from lines, unnest(range(0, len(ids) + 1)) as x(d)),
+nodes as (
+ select depth, key, any_value(above) as above, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(words) as saved,
+  sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where n_turns = depth), '')) as ends_sha256
+ from paths group by depth, key),
+kids as (select depth - 1 as depth, above as key, count(*) as n from nodes where above is not null group by all),
+pairs as (select distinct a.depth, a.key, b.depth as below_depth, b.key as below from paths a join paths b
+ on b.conv_id = a.conv_id and b.depth >= a.depth),
+sums as (
+ select p.depth, p.key, count(*) filter (where k.n is null) as n_leaves, sum(n.saved)::bigint as saved_tokens
+ from pairs p join nodes n on n.depth = p.below_depth and n.key = p.below
+ left join kids k on k.depth = p.below_depth and k.key = p.below group by p.depth, p.key)
+select n.conv_id, n.depth::bigint as depth, u.conv_id as parent_conv_id, n.n_convs, coalesce(k.n, 0) as n_children, s.n_leaves,
+ s.saved_tokens, n.ends_sha256
+from nodes n join sums s on s.depth = n.depth and s.key = n.key left join kids k on k.depth = n.depth and k.key = n.key
+left join nodes u on u.depth = n.depth - 1 and u.key = n.above""")
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read_table(spark, d, "conversations"))
