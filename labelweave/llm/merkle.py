@@ -153,6 +153,7 @@ def merkle_manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group: st
     rows = with_row_identity(docs).select(
         *ROW, F.col(f"doc.{group}").alias("g"), F.col(f"doc.{order}").alias("o"),
         leaf(*[F.col(f"doc.{f}") for f in fields]).alias("node"), *[c.alias(f"p_{n}") for n, c in more.items()])
+    rows, rows_path = write_stage(rows, "leaves")  # sampling for the ranges must not hash the texts again
     # a group of any share of the rows spans as many range partitions as it needs
     placed = ranked(rows, ["g", "o", "node", *ROW])
     segments, seg_path = write_stage(placed.groupBy("_pid", "g").agg(
@@ -175,7 +176,7 @@ def merkle_manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group: st
     start = _tops(group_layers, size).select("gid", F.array().cast(_SIBLINGS).alias("siblings"), F.col("top").alias("root"))
     above, _ = write_stage(_paths(group_layers, start, [], arity, block_levels).select(
         F.col("at").alias("gid"), "siblings", F.col("node").alias("subroot"), "root"), "above")
-    drop_stage(spark, seg_path, off_path, top_path, *group_paths)
+    drop_stage(spark, rows_path, seg_path, off_path, top_path, *group_paths)
     return _paths(layers, above, keep, arity, block_levels).select(
         *ROW, F.col("g").alias(group), F.col("o").alias(order), F.col("node").alias("leaf"), "siblings", "subroot", "root",
         *[F.col(f"p_{n}").alias(n) for n in more])
