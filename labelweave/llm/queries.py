@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelweave.llm import exact_dedup, langid, merkle, mixing, pieces, pii, prefix_trie, quality, sharding, simhash, tokenfile, topk
+from labelweave.llm import (exact_dedup, langid, merkle, mixing, packing, pieces, pii, prefix_trie, quality, sharding,
+                            simhash, tokenfile, topk)
 from labelweave.llm.common import utf8_size, with_row_identity
 from labelweave.session import read_table
 
@@ -229,3 +230,8 @@ from nodes n join sums s on s.depth = n.depth and s.key = n.key left join kids k
 left join nodes u on u.depth = n.depth - 1 and u.key = n.above""")
 def op12(spark: SparkSession, d: str) -> DataFrame:
     return prefix_trie.conversation_trie(read_table(spark, d, "conversations"))
+
+
+@register("op13_packing")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, d, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
