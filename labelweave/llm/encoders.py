@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Remembered stretches, the longest of them, and the text that is cut at once.
-MEMO_ENTRIES, MEMO_CHARS, COLUMN_BYTES = 300_000, 40, 12 << 20
+MEMO_ENTRIES, MEMO_CHARS, COLUMN_BYTES = 500_000, 40, 8 << 20
 #: Settings of the lower-casing word-end files that ``WordEncoder`` knows (fixed values).
 WORD_NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -144,7 +144,10 @@ class StretchEncoder(WholeEncoder):
         at = known.indices.to_numpy()
         n = size[at]
         stop = np.concatenate([[0], np.cumsum(n)])
-        ids = flat[np.arange(stop[-1]) + np.repeat(begin[at] - stop[:-1], n)]
+        # a column's ids are counted in 32 bits
+        from_start = np.repeat((begin[at] - stop[:-1]).astype(np.int32), n)
+        from_start += np.arange(stop[-1], dtype=np.int32)
+        ids = flat[from_start]
         ends = stop[np.concatenate([[0], offsets[1:] - offsets[0]])]
         if odd:
             parts = [alone.get(i, ids[a:z]) for i, (a, z) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist()))]

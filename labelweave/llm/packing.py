@@ -29,7 +29,7 @@ from labelweave.llm.encoders import batches_of, word_encoder
 END_ID = 1
 TIERS = (2048, 1024, 512, 256)
 #: A bucket is closed at this many tokens or documents; tokens of a step.
-BUCKET_TOKENS, BUCKET_DOCS, STEP_TOKENS = 1 << 21, 1 << 16, 1 << 17
+BUCKET_TOKENS, BUCKET_DOCS, STEP_TOKENS = 1 << 20, 1 << 16, 1 << 17
 OUT_ROWS = 4096
 PIECE = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, context int, "
          "step_group long, ids binary")
@@ -156,7 +156,7 @@ class Bucket:
         sequences = pack(self.lengths, tiers)
         groups = step_groups(sequences, step_tokens)
         begin = np.cumsum([0, *self.lengths]).tolist()
-        raw = memoryview(np.concatenate(self.flat).tobytes())
+        raw = np.concatenate(self.flat).tobytes()
         rows, high = [], number << 32
         for k, ((context, pieces), group) in enumerate(zip(sequences, groups)):
             at = 0
