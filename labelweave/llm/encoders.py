@@ -27,8 +27,11 @@ WORD_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
     {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
      "behavior": "Removed", "invert": True},
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
-#: Settings of the byte-level files that ``tokenfile.Encoder`` knows (fixed values).
+#: Settings of the byte-level files that ``ByteEncoder`` knows (fixed values).
 BYTE_PRE_TOKENIZER = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+#: White space by code point, and what Arrow and Python but not the library take for it.
+_SPACE = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_CONTROL = r"[\x1c-\x1f]"
 _MARKS = frozenset(".,;:!?)")
 
 
@@ -173,7 +176,7 @@ class WordEncoder(StretchEncoder):
     def __init__(self, path: str):
         super().__init__(path)
         # white space to Arrow alone (the library takes it for marks), and added tokens
-        self.odd = "|".join(["[\x1c-\x1f]", *map(re.escape, self.added)])
+        self.odd = "|".join([_CONTROL, *map(re.escape, self.added)])
         self.letters = byte_letters()
         self.normal, self.parts = self.whole.normalizer.normalize_str, self.whole.pre_tokenizer.pre_tokenize_str
         self.latin = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
@@ -198,6 +201,54 @@ class WordEncoder(StretchEncoder):
         return b"".join([self.merged(part) for part, _ in self.parts(self.normal(s))])
 
 
+class ByteEncoder(StretchEncoder):
+    """Such a file splits a text into words before merging, and never across a
+    space that a non-space follows, nor beside a lone line break; each stretch
+    keeps the space before it."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        import public_tokenizers
+        import regex
+        self.split = regex.compile(public_tokenizers.PATTERN).findall
+        self.spaces = regex.compile(r"(?= \S)").split
+        self.control = re.compile(_CONTROL).search
+        # letters that every Unicode version knows; the library cuts other stretches itself
+        self.latin = re.compile("[\x00-\u024f]*").fullmatch
+        self.parts = self.whole.pre_tokenizer.pre_tokenize_str
+        self.odd = "|".join([_SPACE + _SPACE, _CONTROL, *map(re.escape, self.added)])
+        self.letters = byte_letters()
+
+    def unfit(self, texts: pa.StringArray) -> pa.BooleanArray:
+        return pc.match_substring_regex(texts, self.odd)
+
+    def cut(self, texts: pa.StringArray) -> pa.ListArray:
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", "\x1f "), "\n", "\x1f\n\x1f")
+        return pc.split_pattern(marked, "\x1f")
+
+    def _word(self, word: str) -> bytes:
+        # printable ASCII stands for itself, but for the space
+        return self.merged(word.replace(" ", self.letters[32]) if word.isascii() and word.isprintable()
+                           else "".join(map(self.letters.__getitem__, word.encode())))
+
+    def stretch(self, s: str) -> bytes:
+        if not self.latin(s):
+            return b"".join([self.merged(part) for part, _ in self.parts(s)])
+        # letters alone are one word, and so is a mark behind them
+        body = s[1:] if s[:1] == " " else s
+        if body.isalpha():
+            return self._word(s)
+        if body[-1:] in _MARKS and body[:-1].isalpha():
+            return (self.seen.get(s[:-1]) or self._word(s[:-1])) + self._word(s[-1])
+        return b"".join(map(self._word, self.split(s)))
+
+    def encode(self, text: str | None) -> bytes:
+        if not text or self.control(text) or any(a in text for a in self.added):
+            return super().encode(text)
+        return b"".join(self.recall(self.spaces(text)))
+
+
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WholeEncoder:
-    return WordEncoder(path) if is_word_end(path) else WholeEncoder(path)
+def encoder(path: str) -> WholeEncoder:
+    """The fastest encoder that knows the settings of a tokenizer file."""
+    return (WordEncoder if is_word_end(path) else ByteEncoder if is_byte_level(path) else WholeEncoder)(path)

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelweave.llm.encoders import batches_of, word_encoder
+from labelweave.llm.encoders import batches_of, encoder
 
 END_ID = 1
 TIERS = (2048, 1024, 512, 256)
@@ -189,11 +189,11 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
     path = tokenizer or default_tokenizer()
 
     def run(batches):
-        encoder, number = word_encoder(path), TaskContext.get().partitionId()
+        ids_of, number = encoder(path), TaskContext.get().partitionId()
         bucket, sequences, groups = Bucket(), 0, 0
         for batch in batches:
             for part in batches_of(batch, 1):
-                ids, ends = encoder.encode_column(part.column(1))
+                ids, ends = ids_of.encode_column(part.column(1))
                 bucket.add(part.column(0).to_pylist(), *_with_ends(ids, ends, end_id))
                 if bucket.tokens >= bucket_tokens or len(bucket.lengths) >= BUCKET_DOCS:
                     out, n, g = bucket.batches(number, sequences, groups, tiers, step_tokens)

@@ -12,10 +12,7 @@ on its own.
 
 from __future__ import annotations
 
-import re
 import zlib
-from array import array
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -25,17 +22,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from labelweave.llm.common import ROW, Recent, drop_stage, with_row_identity, write_stage
+from labelweave.llm.common import ROW, drop_stage, with_row_identity, write_stage
+from labelweave.llm.encoders import ByteEncoder, batches_of, encoder
 from labelweave.session import scratch_dir
 
 END_ID = 2
 SCALE_BITS = 18
-BLOCK_TOKENS, LANES, CHECKPOINT_ROWS = 1 << 18, 1024, 128
+BLOCK_TOKENS, LANES, CHECKPOINT_ROWS = 1 << 18, 4096, 32
 LOW = np.uint64(1 << 31)
-MEMO_ENTRIES, MEMO_CHARS = 450_000, 48
 STEP_ROWS = 500
 _ID = np.dtype("=u4")
-_MARKS = frozenset(".,;:!?)")
 
 
 # ---------------------------------------------------------------- tokens ----
@@ -44,74 +40,11 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def byte_letters() -> list[str]:
-    """The printable letter that stands for each byte in the vocabulary."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
-
-
-class Encoder:
-    """Whole-text ids of a byte-level tokenizer file, as little-endian bytes.
-
-    The library splits a text into words before merging, and never across a
-    space that a non-space follows; stretches between such spaces, and the
-    words in them, are remembered (bounded), the library's model merging each
-    new word once.  A text that holds an added token's string goes to the
-    library whole."""
-
-    def __init__(self, path: str):
-        import public_tokenizers
-        import regex
-        from tokenizers import Tokenizer
-        self.whole = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.spaces = regex.compile(r" (?=\S)")
-        odd = regex.compile(r" \s|\s ").search
-        beside = [" " + c for c in "\n\t\r"] + [c + " " for c in "\n\t\r"]
-        rare = re.compile("[\x0b\x0c\x1c-\x1f]").search
-        #: No white space beside a space (empty parts show spaces side by side).
-        self.plain = lambda t: not any(x in t for x in beside) and not rare(t) if t.isascii() else not odd(t)
-        self.letters, self.merge = byte_letters(), self.whole.model.tokenize
-        self.words = Recent(self._word, MEMO_ENTRIES, MEMO_CHARS)
-        self.line_break = self._word("\n")
-        #: Stretches by what is before them: nothing, or a space.
-        self.first = Recent(lambda s: self._stretch(s, ""), MEMO_ENTRIES, MEMO_CHARS)
-        self.after = Recent(lambda s: self._stretch(s, " "), MEMO_ENTRIES, MEMO_CHARS)
-
-    def _stretch(self, s: str, lead: str) -> bytes:
-        # letters alone are one word, and so is a mark behind them
-        if s.isalpha():
-            return self._word(lead + s)
-        if s[-1:] in _MARKS and s[:-1].isalpha():
-            return (self.after if lead else self.first)[s[:-1]] + self.words[s[-1]]
-        # a single line break between non-spaces is a word of its own
-        before, line, rest = s.partition("\n")
-        if line and before and rest and not before[-1].isspace() and not rest[0].isspace():
-            return (self.after if lead else self.first)[before] + self.line_break + self.first[rest]
-        return b"".join(map(self.words.__getitem__, self.split(lead + s)))
-
-    def _word(self, word: str) -> bytes:
-        # printable ASCII stands for itself, but for the space
-        spelled = (word.replace(" ", self.letters[32]) if word.isascii() and word.isprintable()
-                   else "".join(map(self.letters.__getitem__, word.encode())))
-        return array("I", [t.id for t in self.merge(spelled)]).tobytes()
+class Encoder(ByteEncoder):
+    """Whole-text ids of a byte-level tokenizer file, as little-endian 32-bit numbers."""
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if any(a in text for a in self.added):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, _ID).tobytes()
-        parts = text.split(" ")
-        if "" in parts or not self.plain(text):
-            parts = self.spaces.split(text)
-        return self.first[parts[0]] + b"".join(map(self.after.__getitem__, parts[1:]))
-
-
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+        return np.frombuffer(super().encode(text), self.kind).astype(_ID).tobytes()
 
 
 # ---------------------------------------------------------------- coding ----
@@ -214,7 +147,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
                       block_tokens: int = BLOCK_TOKENS, lanes: int = LANES, every: int = CHECKPOINT_ROWS) -> None:
     """Write the ids of every whole text (null: empty) of ``docs`` and
     ``end_id`` after each, in ascending doc_id order (null ids first, rows
-    that repeat an id in reading order), to ``folder``."""
+    that repeat an id in reading order), to ``folder``.  A text of any length
+    is coded whole; an empty table gives a table of frequencies and one of
+    blocks without rows.  A tokenizer file of settings that ``encoders`` does
+    not know is left to the library."""
     spark, path = docs.sparkSession, tokenizer or default_tokenizer()
     # between tokenizing and coding, ids are held in the fewest bytes and packed
     kind = np.dtype("<u2" if max(end_id, encoder(path).whole.get_vocab_size()) < 1 << 16 else "<u4")
@@ -222,30 +158,42 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
     def ids_of(packed: bytes) -> np.ndarray:
         return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
 
+    names = [*ROW, "doc_id", "ids", "seen"]
+
     def encode(batches):
-        e, end, pack = encoder(path), np.array([end_id], _ID).tobytes(), zstandard.ZstdCompressor(level=1)
+        e, pack = encoder(path), zstandard.ZstdCompressor(level=1).compress
+        total = np.zeros(max(end_id + 1, e.whole.get_vocab_size()), np.int64)
         for b in batches:
-            for at in range(0, b.num_rows, STEP_ROWS):
-                part = b.slice(at, STEP_ROWS)
-                ids = pa.array([pack.compress(np.frombuffer(e.encode(t) + end, _ID).astype(kind).tobytes())
-                                for t in part.column(3).to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], ids], names=[*ROW, "doc_id", "ids"])
-    tokens, tokens_path = write_stage(with_row_identity(docs).select(
+            for part in batches_of(b, 3):
+                ids, ends = e.encode_column(part.column(3))
+                total += np.bincount(ids, minlength=len(total))
+                total[end_id] += part.num_rows
+                raw, end, k = ids.astype(kind, copy=False).tobytes(), np.array([end_id], kind).tobytes(), kind.itemsize
+                packed = [pack(raw[k * a:k * z] + end) for a, z in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                for at in range(0, part.num_rows, STEP_ROWS):
+                    some = part.slice(at, STEP_ROWS)
+                    yield pa.RecordBatch.from_arrays([*some.columns[:3], pa.array(packed[at:at + STEP_ROWS], pa.binary()),
+                                                      pa.nulls(some.num_rows, pa.binary())], names=names)
+        # a task's counts travel beside its rows
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(
+            1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names=names)
+    written, tokens_path = write_stage(with_row_identity(docs).select(
         *ROW, F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").alias("text")).mapInArrow(
-        encode, "row_file string, row_index long, doc_id long, ids binary"), "tokens")
+        encode, "row_file string, row_index long, doc_id long, ids binary, seen binary"), "tokens")
+    tokens = written.filter(F.col("ids").isNotNull()).drop("seen")
 
     def count(batches):
-        total = np.zeros(0, np.int64)
+        total = None
         for b in batches:
             for x in b.column(0):
-                c = np.bincount(ids_of(x.as_buffer()))
-                if len(c) > len(total):
-                    total = np.pad(total, (0, len(c) - len(total)))
-                total[:len(c)] += c
-        at = np.flatnonzero(total)
-        yield pa.record_batch({"id": pa.array(at), "n": pa.array(total[at])})
+                c = np.frombuffer(x.as_buffer(), "<i8")
+                total = c if total is None else total + c
+        if total is not None:
+            at = np.flatnonzero(total)
+            yield pa.record_batch({"id": pa.array(at), "n": pa.array(total[at])})
     # at most one row per id of the vocabulary
-    seen = tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    seen = written.filter(F.col("seen").isNotNull()).select("seen").mapInArrow(count, "id long, n long").groupBy("id").agg(
+        F.sum("n").alias("n")).toPandas()
     counts = np.zeros(int(seen["id"].max()) + 1 if len(seen) else 1, np.int64)
     counts[seen["id"].to_numpy(np.int64)] = seen["n"].to_numpy(np.int64)
     freq = frequencies(counts)

@@ -35,8 +35,10 @@ def test_ids_are_the_library_s(name, monkeypatch):
         "".join(rng.choice(" \n\tAb'é.1Σς\x1ćS😀²\x85") for _ in range(rng.randint(0, 40))) for _ in range(3000)]
     t = Tokenizer.from_file(path)
     want = [t.encode(x or "", add_special_tokens=False).ids for x in texts]
-    e = (encoders.WordEncoder if name.startswith("word") else encoders.WholeEncoder)(path)
+    e = (encoders.WordEncoder if name.startswith("word") else encoders.ByteEncoder)(path)
+    assert type(encoders.encoder(path)) is type(e)
     assert by_column(e, texts) == want == by_column(e, texts)
+    assert [np.frombuffer(e.encode(x), e.kind).tolist() for x in texts] == want
 
 
 def test_files_of_other_settings_go_to_the_library_whole(tmp_path):
@@ -48,9 +50,9 @@ def test_files_of_other_settings_go_to_the_library_whole(tmp_path):
     with open(path, "w", encoding="utf-8") as f:
         json.dump(held, f)
     assert encoders.is_word_end(packing.default_tokenizer()) and not encoders.is_word_end(path)
-    assert type(encoders.word_encoder(path)) is encoders.WholeEncoder
-    want = encoders.word_encoder(path).whole.encode("Some Text", add_special_tokens=False).ids
-    assert by_column(encoders.word_encoder(path), ["Some Text"]) == [want]
+    assert type(encoders.encoder(path)) is encoders.WholeEncoder
+    want = encoders.encoder(path).whole.encode("Some Text", add_special_tokens=False).ids
+    assert by_column(encoders.encoder(path), ["Some Text"]) == [want]
 
 
 @pytest.mark.parametrize("seed", range(8))
