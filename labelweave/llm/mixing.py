@@ -2,7 +2,7 @@
 
 A source's mean repetition rate is what its target weight asks of it; each
 document's repetition count inverts a Poisson distribution with that mean at
-a point seeded by a hash of the document's id, so a rerun, a retried task or
+a point seeded by a hash of the document, so a rerun, a retried task or
 another layout gives the same mixture.  Copies are exploded and shuffled
 globally by a hash key.
 """
@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelweave.llm.common import utf8_size, write_stage
+from labelweave.llm.common import ROW, drop_stage, join_groups, utf8_size, with_row_identity, write_stage
+from labelweave.operators.requests import dense_index
 
 SEED = 42
 #: A mean above this is drawn as the sum of equal independent parts, so that
@@ -56,18 +57,46 @@ def repetition_rates(docs: DataFrame, weights: dict[str, float] | None = None, e
     return sizes.withColumn("rate", rate)
 
 
+def repeated_rows(rows: DataFrame) -> DataFrame | None:
+    """Of ``rows`` (``with_row_identity``): ``row_file, row_index, nth``: among rows that agree in doc_id, source
+    and text, the number (from 0) of each row; None where no rows do.  Numbers
+    come from a range sort, so rows that all agree still spread."""
+    same = ["id", "source", "text"]
+    spark = rows.sparkSession
+    rows, path = write_stage(rows.select(*ROW, F.col("doc.doc_id").alias("id"), F.col("doc.source").alias("source"),
+                                         F.md5("doc.text").alias("text")), "keys")
+    groups, groups_path = write_stage(rows.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated")
+    out = None
+    if not groups.isEmpty():
+        found = dense_index(join_groups(rows, groups, same).select(*ROW, *same, "n"), [*same, *ROW], "at")
+        found, _ = write_stage(found, "ranked")
+        first, _ = write_stage(found.groupBy(*same).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")), "first")
+        out, _ = write_stage(join_groups(found.drop("n"), first, same).select(
+            *ROW, (F.col("at") - F.col("first")).alias("nth")), "nth")
+    drop_stage(spark, path, groups_path)
+    return out
+
+
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, seed: int = SEED) -> DataFrame:
     """``doc`` (struct of the input columns), ``rate``, ``copies``, ``copy``
     (from 1) and ``shuffle_key`` for every copy, globally shuffled: a copy's
     partition and its place there follow the hash key.
 
-    A document is known by its doc_id: rows that repeat one draw the same
-    count, null ids share one draw.  Null and empty texts take part (an end
-    mark each).  A source of weight 0 is left out; an empty table stays empty.
-    """
+    Every row draws for itself, from its doc_id, its text and, among rows that
+    agree in doc_id, source and text, its number there; so rows that share an
+    id, or have none, are repeated or left out one by one, and spread over the
+    partitions.  Null and empty texts take part (an end mark each); a text of
+    any length counts whole.  A source of weight 0 is left out; an empty table
+    stays empty."""
     rates = repetition_rates(docs, weights, epochs).select(F.col("source").alias("of"), "rate")
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"))
-    key = F.coalesce(F.col("doc.doc_id").cast("string"), F.lit("null"))
+    placed = with_row_identity(docs)
+    again = repeated_rows(placed)
+    if again is None:
+        rows = placed.select("doc", F.lit(0).cast("long").alias("nth"))
+    else:
+        rows = placed.join(again, ROW, "left").select("doc", F.coalesce("nth", F.lit(0)).alias("nth"))
+    key = F.concat_ws("|", *[F.coalesce(c, F.lit("null")) for c in (F.col("doc.doc_id").cast("string"), F.md5("doc.text"))],
+                      F.col("nth").cast("string"))
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART_MEAN).cast("int"))
     drawn = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda n, j: n + poisson(
         F.col("rate") / F.col("parts"), uniform(F.lit(str(seed)), F.col("key"), j.cast("string"))))

@@ -38,20 +38,20 @@ terms(source, mean, k, p, c) as (
  union all
  select source, mean, k + 1, p * mean / (k + 1), c + p * mean / (k + 1) from terms
  where k + 1 < ceil(mean + 12 * sqrt(mean) + 20)),
+keyed as (
+ select row_number() over () as rowid_, *, coalesce(doc_id::varchar, 'null') || '|' || coalesce(md5(text), 'null') || '|' || (
+  row_number() over (partition by doc_id, source, text) - 1)::varchar as key from documents),
 draws as (
- select d.rowid_ as r, j, r.source, (('0x' || substr(md5('42|' || coalesce(d.doc_id::varchar, 'null') || '|' || j::varchar),
+ select d.rowid_ as r, j, r.source, (('0x' || substr(md5('42|' || d.key || '|' || j::varchar),
    1, 13))::bigint::double + 0.5) / 4503599627370496.0::double as u
- from (select row_number() over () as rowid_, doc_id, source from documents) d
- join rates r on r.source is not distinct from d.source, unnest(range(1, r.parts + 1)) as x(j)),
+ from keyed d join rates r on r.source is not distinct from d.source, unnest(range(1, r.parts + 1)) as x(j)),
 counts as (
  select r, count(t.k)::int as copies from draws left join terms t
  on t.source is not distinct from draws.source and draws.u > t.c group by r),
 picked as (
- select d.doc_id, d.source, r.rate, c.copies, d.text from (
-  select row_number() over () as rowid_, * from documents) d
- join counts c on c.r = d.rowid_ join rates r on r.source is not distinct from d.source)
+ select d.doc_id, d.source, r.rate, c.copies, d.text, d.key from keyed d join counts c on c.r = d.rowid_ join rates r on r.source is not distinct from d.source)
 select doc_id, source, rate, copies, copy::int as copy,
- md5('order 42|' || coalesce(doc_id::varchar, 'null') || '|' || copy::varchar) as shuffle_key,
+ md5('order 42|' || key || '|' || copy::varchar) as shuffle_key,
  coalesce(strlen(text), 0)::bigint as size, md5(text) as text_md5
 from picked, unnest(range(1, copies + 1)) as x(copy)""")
 def op1(spark: SparkSession, d: str) -> DataFrame:

@@ -10,11 +10,16 @@ from labelweave.llm import mixing, sharding
 from .conftest import edge_rows
 
 
-def brute_copies(doc_id, rate):
+def brute_key(doc_id, text, nth):
+    return "|".join(["null" if doc_id is None else str(doc_id),
+                     "null" if text is None else hashlib.md5(text.encode()).hexdigest(), str(nth)])
+
+
+def brute_copies(key, rate):
     parts = max(1, math.ceil(rate / 16))
     mean, total = rate / parts, 0
     for j in range(1, parts + 1):
-        h = hashlib.md5(f"42|{'null' if doc_id is None else doc_id}|{j}".encode()).hexdigest()[:13]
+        h = hashlib.md5(f"42|{key}|{j}".encode()).hexdigest()[:13]
         u = (int(h, 16) + 0.5) / 2**52
         p = c = math.exp(-mean)
         k = 0
@@ -34,9 +39,11 @@ def test_copies_match_brute_force(edge):
     weights = {"s0": 3.0, "s1": 0.0, "s2": 30.0}
     w = {s: weights.get(s, 1.0) for s in size}
     rate = {s: 2.0 * sum(size.values()) * (w[s] / sum(w.values())) / size[s] for s in size}
-    want = Counter()
+    want, met = Counter(), Counter()
     for d, t, _, s in rows:
-        for c in range(1, (brute_copies(d, rate[s]) if w[s] else 0) + 1):
+        key = brute_key(d, t, met[d, t, s])
+        met[d, t, s] += 1
+        for c in range(1, (brute_copies(key, rate[s]) if w[s] else 0) + 1):
             want[(d, t, s, c)] += 1
     got = mixing.mix(edge, weights, epochs=2.0)
     assert Counter((r.doc.doc_id, r.doc.text, r.doc.source, r.copy) for r in got.collect()) == want
@@ -55,6 +62,20 @@ def test_mixture_does_not_depend_on_the_layout_and_is_shuffled(spark, edge, empt
     assert sum(a < b for a, b in zip(order, order[1:])) < 0.6 * len(order)
 
 
+def test_rows_that_share_an_id_draw_for_themselves(spark):
+    rows = [(None, f"t{i}", "a") for i in range(1500)] + [(7, "same", "b")] * 1500 + [(i + 10, f"u{i}", "c") for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t) + 1
+    got = mixing.mix(df, {s: sizes[s] for s in sizes}).withColumn("_p", F.spark_partition_id()).collect()  # every mean is 1
+    copies, parts = Counter(r.doc.source for r in got), Counter(r._p for r in got)
+    assert all(abs(copies[s] - 1500) < 3 * 1500 ** 0.5 for s in "abc")
+    assert len({r.shuffle_key for r in got}) == len(got)
+    sizes = sorted(parts.values())
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
 def test_poisson_inversion_has_the_right_distribution(spark):
     df = spark.range(20_000).select(mixing.poisson(F.lit(2.5), mixing.uniform(F.lit("t"), F.col("id"))).alias("n"))
     n = [r.n for r in df.collect()]
