@@ -25,6 +25,8 @@ BLOCK_ROWS, LEADING = 4096, 16
 #: Sums of products below this are exact in doubles.
 EXACT = float(1 << 53)
 _QUERIES = 256
+#: Queries that meet a block in one task, and marks on the blocks' lengths.
+SLICE_QUERIES, MARKS = 1 << 15, 1024
 
 
 def usable(col: str) -> Column:
@@ -35,10 +37,10 @@ def usable(col: str) -> Column:
 
 def quantized(vectors: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
     """``id, v, norm``: usable vectors with components floor(scale * x) and
-    their length; rows without an id take no part, repeated rows count once."""
+    their length; rows without an id take no part."""
     v = F.transform(F.col(vec_col), lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("double"))
     out = vectors.filter(F.col(id_col).isNotNull() & usable(vec_col)).select(
-        F.col(id_col).cast("long").alias("id"), v.alias("v")).dropDuplicates(["id", "v"])
+        F.col(id_col).cast("long").alias("id"), v.alias("v"))
     return out.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))
 
 
@@ -108,8 +110,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     inner product (all, if fewer), ties to the smaller id.  Rows with a
     query's own id are no candidates for it.  Null vectors and vectors with
     null or non-finite components take no part; shorter vectors count as
-    padded with zeros; further columns are not read; an empty table gives an
-    empty result."""
+    padded with zeros; a row that repeats is a candidate each time and one
+    query; further columns are not read; an empty table gives an empty result."""
     spark = vectors.sparkSession
     empty = "query_id long, rank int, vec_id long, score long"
     spread = quantized(vectors, id_col, vec_col, scale).repartitionByRange(F.desc("norm"), F.col("id"))
@@ -140,13 +142,30 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
                 out[a:a + _QUERIES] = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
         return pd.Series(out)
 
-    queries = rows.filter(is_query).select("id", "v", "norm", threshold("id", "v").alias("thr"))
+    queries = rows.filter(is_query).select("id", "v", "norm").distinct().select(
+        "*", threshold("id", "v").alias("thr"), F.pmod(F.xxhash64("id", "v"), F.lit(1 << 30)).alias("h"))
     queries, queries_path = write_stage(queries, "queries")
+    slices = max(1, -(-queries.count() // SLICE_QUERIES))
+    queries = queries.withColumn("slice", F.col("h") % slices)
+    # blocks are sorted by length: a query's last one lies before the first mark too short for it
     reach = F.col("norm") * F.col("longest") * (1 + 1e-9) + 1e-6 >= F.col("thr")
-    asked = (queries.withColumn("place", F.explode(F.sequence(F.lit(1), F.lit(int(count)))))
-             .join(blocks, "place").filter(reach).select("block", F.lit(1).alias("kind"), "id", "v", "thr"))
-    held = rows.select("block", F.lit(0).alias("kind"), "id", "v", F.lit(0.0).alias("thr"))
-    stream = held.unionByName(asked).repartition("block").sortWithinPartitions("block", "kind")
+    every = max(1, -(-int(count) // MARKS))
+    marks = blocks.filter(F.col("place") % every == 0).orderBy("place").limit(MARKS).collect()
+    out_of_reach = F.filter(F.array(*[F.struct(F.lit(float(r.longest)).alias("longest"), F.lit(int(r.place)).alias("place"))
+                                      for r in marks]), lambda m: ~(
+        F.col("norm") * m["longest"] * (1 + 1e-9) + 1e-6 >= F.col("thr"))) if marks else F.array()
+    last = F.when(F.size(out_of_reach) > 0, F.get(out_of_reach, 0)["place"]).otherwise(F.lit(int(count))) if marks else F.lit(
+        int(count))
+    # ids alone meet the blocks; vectors follow for the pairs that are left
+    pairs, pairs_path = write_stage(queries.select("h", "id", "norm", "thr", "slice", last.alias("last")).select(
+        "h", "id", "norm", "thr", "slice", F.explode(F.sequence(F.lit(1).cast("long"), F.col("last").cast("long"))).alias("place"))
+        .join(blocks.withColumn("place", F.col("place").cast("long")), "place").filter(reach).select("block", "slice", "h", "id"),
+        "pairs")
+    asked = pairs.join(queries.select("h", "id", "v", "thr"), ["h", "id"]).distinct().select(
+        "block", "slice", F.lit(1).alias("kind"), "id", "v", "thr")
+    held = rows.join(pairs.select("block", "slice").distinct(), "block").select(
+        "block", "slice", F.lit(0).alias("kind"), "id", "v", F.lit(0.0).alias("thr"))
+    stream = held.unionByName(asked).repartition("block", "slice").sortWithinPartitions("block", "slice", "kind").drop("slice")
 
     def search(batches):
         at, ids, vs, ready = None, [], [], None
@@ -175,7 +194,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
                                    "score": pa.array(s, pa.int64())})
 
     found, _ = write_stage(stream.mapInArrow(search, "query_id long, vec_id long, score long"), "found")
-    drop_stage(spark, path, blocks_path, queries_path)
+    drop_stage(spark, path, blocks_path, queries_path, pairs_path)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

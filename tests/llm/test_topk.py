@@ -7,15 +7,12 @@ from labelweave.llm import topk
 
 
 def brute(rows, is_query, k, scale=256.0):
-    ok = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        ok[i] = [math.floor(scale * x) for x in v]
+    ok = [(i, tuple(math.floor(scale * x) for x in v)) for i, v in rows
+          if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in ok:
+    for q, v in dict(ok).items():
         if is_query(q):
-            s = sorted((-sum(a * b for a, b in zip(ok[q], ok[c])), c) for c in ok if c != q)[:k]
+            s = sorted((-sum(a * b for a, b in zip(v, w)), c) for c, w in ok if c != q)[:k]
             out += [(q, n + 1, c, -x) for n, (x, c) in enumerate(s)]
     return sorted(out)
 
@@ -41,7 +38,17 @@ def test_ties_nulls_repeats_and_lengths(spark):
     rows = vectors(2, 60, 8, 0.2) + [(100 + i, [1.0] * 8) for i in range(200)]
     rows += [(400, None), (410, [1.0, None] * 4), (420, [math.nan] * 8), (430, [math.inf] * 8), (None, [1.0] * 8),
              (440, []), (450, [2.0, 3.0]), (460, [0.0] * 8)]
-    assert run(spark, rows + rows[:30]) == brute(rows, lambda i: i % 10 == 0, 5)
+    rows += rows[:30]  # a row that repeats is a candidate each time
+    assert run(spark, rows) == brute(rows, lambda i: i % 10 == 0, 5)
+    assert [r[2] for r in run(spark, [(0, [1.0]), (1, [.5]), (1, [.5]), (2, [.4])])] == [1, 1, 2]
+
+
+def test_slices_of_queries_and_marks_on_lengths(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(topk, "SLICE_QUERIES", 7)
+    monkeypatch.setattr(topk, "MARKS", 5)
+    rows = vectors(5, 400, 12, 0.8)
+    assert run(spark, rows) == brute(rows, lambda i: i % 10 == 0, 5)
 
 
 def test_few_rows_and_empty_table(spark):
