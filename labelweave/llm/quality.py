@@ -138,20 +138,24 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], dim: int
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """Learn ``quality`` (0 or 1; other values don't count) of the rows of
-    ``labels`` from the text of the document with the same doc_id.  About
-    ``fit_rows`` rows at most are used, chosen by a hash of doc_id."""
-    known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality")
-    n = known.count()
-    share = min(1.0, fit_rows / n) if n else 1.0
-    chosen, _ = write_stage(known.filter(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1_000_000))
-                                         < math.ceil(share * 1_000_000)), "labels")
+    ``labels`` from the text of the document with the same doc_id (the least
+    text of rows that repeat the id).  At most ``fit_rows`` labels are used,
+    the first by a hash of doc_id; only they reach the driver.  Labels that
+    repeat count once."""
+    known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select(
+        "doc_id", F.col("quality").cast("int").alias("quality")).distinct()
+    order = [F.xxhash64(F.lit("fit"), "doc_id"), F.col("doc_id"), F.col("quality")]
+    chosen, _ = write_stage(known.orderBy(*order).limit(fit_rows), "labels")
 
     @F.pandas_udf("at binary, share binary")
     def bags(texts: pd.Series) -> pd.DataFrame:
         found = [(a.astype(_AT).tobytes(), s.astype(_SHARE).tobytes()) for a, s in map(bag, texts)]
         return pd.DataFrame({"at": [a for a, _ in found], "share": [s for _, s in found]})
-    rows = (docs.select("doc_id", "text").join(chosen, "doc_id")
-            .select("doc_id", "quality", bags("text").alias("b")).select("doc_id", "quality", "b.*")).toPandas()
+    # of rows that repeat an id the least text counts, so no more rows than labels reach the driver
+    texts, _ = write_stage(docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id"), "texts")
+    one = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
+    rows = (one.join(chosen, "doc_id").select("doc_id", "quality", bags("text").alias("b"))
+            .select("doc_id", "quality", "b.*")).limit(fit_rows).toPandas()
     rows = rows.sort_values(["doc_id", "quality"], kind="stable")
     return train([(np.frombuffer(a, _AT), np.frombuffer(s, _SHARE)) for a, s in zip(rows["at"], rows["share"])],
                  rows["quality"].astype(int).tolist())
@@ -159,7 +163,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc`` (struct of the input columns) and ``score``, the probability of
-    label 1 from the whole text alone."""
+    label 1 from the whole text alone, however long; null and empty texts have
+    the score of no evidence; rows that repeat are scored alike; an empty table
+    gives an empty result."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

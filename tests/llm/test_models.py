@@ -141,3 +141,14 @@ def test_quality_score_is_the_average_of_feature_vectors():
         at, share = quality.bag(t)
         z = out @ (share @ vectors[at]) + bias
         assert m.score(t) == pytest.approx(np.exp(z[1]) / np.exp(z).sum())
+
+
+def test_quality_fit_is_bounded_where_an_id_repeats(spark, monkeypatch):
+    rows = [(7, f"text {i}") for i in range(400)] + [(i + 100, f"own text {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1), (7, 1), (7, 0)] + [(i + 100, i % 2) for i in range(60)], "doc_id long, quality int")
+    got = []
+    monkeypatch.setattr(quality, "train", lambda bags, given: got.append((len(bags), len(given))))
+    quality.fit(docs, labels)
+    quality.fit(docs, labels, fit_rows=20)
+    assert got == [(62, 62), (20, 20)]
