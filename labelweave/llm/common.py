@@ -1,10 +1,12 @@
-"""Small shared helpers: stable row identity, written stages, hot-group safe
-group statistics."""
+"""Small shared helpers: stable row identity, written stages, joins of
+rows to their groups that bear hot keys."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelweave.session import scratch_dir
@@ -49,20 +51,32 @@ def keep_rows(rows: DataFrame, dropped: DataFrame) -> DataFrame:
     return rows.join(dropped.select(*ROW), ROW, "left_anti").select("doc.*")
 
 
-def group_members(df: DataFrame, keys: list[str], payload: list[str], stats: dict[str, Column],
-                  merge: dict[str, Column]) -> DataFrame:
-    """Attach group statistics to every row without gathering a group.
-
-    Rows of a key are first packed per input task (a list is never larger
-    than what one task read) with partial ``stats``; a window over the few
-    packs of a key merges them (``merge``, over the stat columns); the packs
-    are then unpacked.  A key with a third of all rows thus costs one pack
-    per task.  Null keys form a group of their own."""
-    packs = (df.withColumn("_task", F.spark_partition_id()).groupBy(*keys, "_task")
-               .agg(F.collect_list(F.struct(*payload)).alias("_rows"), *[c.alias(n) for n, c in stats.items()]))
-    w = Window.partitionBy(*keys)
-    return packs.select(*keys, "_rows", *[c.over(w).alias(n) for n, c in merge.items()]).select(
-        *keys, *merge, F.inline("_rows"))
+#: A join's list of hot keys never holds more rows than this.
+HOT_KEYS, HOT_ROWS = 10_000, 1 << 16
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """``rows`` (a written table) with the columns of ``groups`` (one row per
+    key, written, ``n`` of them in ``rows``; null keys match).
+
+    Keys with many rows (more than ``HOT_ROWS`` and one ``HOT_KEYS``-th of all,
+    so there are at most ``HOT_KEYS`` of them) are joined by a broadcast: their
+    rows stay where they are.  All other keys meet in a shuffle, where none is
+    large."""
+    total = groups.agg(F.sum(n)).first()[0] or 0
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    more = [c for c in groups.columns if c not in keys]
+
+    def joined(left, right, how="inner"):
+        named = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+        same = [left[k].eqNullSafe(named[f"_k{i}"]) for i, k in enumerate(keys)]
+        out = left.join(named, reduce(lambda x, y: x & y, same), how)
+        return out if how == "left_anti" else out.select(*rows.columns, *more)
+    hot = groups.filter(F.col(n) > limit)
+    if hot.isEmpty():
+        return joined(rows, groups)
+    others = joined(rows, F.broadcast(hot.select(*keys)), "left_anti")
+    return joined(rows, F.broadcast(hot)).unionByName(joined(others, groups.filter(F.col(n) <= limit)))
 
 
 def utf8_size(text) -> Column:

@@ -21,10 +21,10 @@ from itertools import combinations, repeat
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelweave.llm.common import ROW, drop_stage, group_members, keep_rows, with_row_identity, write_stage
+from labelweave.llm.common import ROW, drop_stage, join_groups, keep_rows, with_row_identity, write_stage
 
 SEGMENTS, SEGMENT_BITS, PIVOTS = 4, 16, 12
 #: Above this many fingerprints under one key, single-bit variants of the
@@ -87,8 +87,9 @@ def pivot_table(fps: DataFrame) -> DataFrame:
 def links(fps: DataFrame, max_bits: int = 2, limit: int = BUCKET_LIMIT) -> DataFrame:
     """Pairs ``a, b`` of distinct fingerprints (column ``fp``) that join all
     fingerprints at ``max_bits`` or fewer differing bits: every pair of a key
-    within ``limit``; for larger keys, a pair from each fingerprint to the
-    smallest one that shares a single-bit variant with it."""
+    within ``limit``; for larger keys, pairs from each fingerprint to the
+    smallest one that shares a single-bit variant with it (for 1 bit: to the
+    one that is the variant)."""
     if not 0 <= max_bits <= 2:
         raise ValueError("max_bits must be 0, 1 or 2")
     same = list(combinations(range(SEGMENTS), SEGMENTS - 2))
@@ -111,8 +112,11 @@ def links(fps: DataFrame, max_bits: int = 2, limit: int = BUCKET_LIMIT) -> DataF
     variants = shared.filter(F.col("n") > limit).select(
         *keys, "fp", F.explode(F.get(flips, F.col("c"))).alias("flip")).select(
         *keys, "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("near"))
-    stars = (group_members(variants, [*keys, "near"], ["fp"], {"a": F.min("fp")}, {"a": F.min("a")})
-             .select("a", F.col("fp").alias("b")).filter("a < b").filter(differ <= max_bits))
+    # a variant is shared by at most one fingerprint more than it has free bits
+    shared_by = Window.partitionBy(*keys, "near")
+    centre = F.min("fp").over(shared_by) if max_bits == 2 else F.max(F.when(F.col("fp") == F.col("near"), F.col("fp"))).over(shared_by)
+    stars = (variants.select(centre.alias("x"), F.col("fp").alias("y")).filter("x <> y")
+             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter(differ <= max_bits))
     out, _ = write_stage(pairs.unionByName(stars).distinct(), "links")
     drop_stage(fps.sparkSession, path)
     return out
@@ -151,19 +155,22 @@ def near_duplicates(rows: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     ``component_id`` is the smallest doc_id of the rows linked directly or
     through others (null only if all of them are null); ``first`` marks the
     one row that stands for the component: smallest doc_id, then file and
-    position, null ids last.  Texts without words share fingerprint 0; an
-    empty table gives an empty result."""
+    position, null ids last.  Texts without words share fingerprint 0; a text
+    of any length is read whole; an empty table gives an empty result."""
     prints, _ = write_stage(fingerprint_rows(rows, shingle), "fingerprints")
     me = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW)
-    fps, fps_path = write_stage(prints.groupBy("fp").agg(F.min(me).alias("lead")), "distinct")
+    fps, fps_path = write_stage(prints.groupBy("fp").agg(F.min(me).alias("lead"), F.count(F.lit(1)).alias("rows")), "distinct")
     found = links(fps.select("fp"), max_bits)
     comps = components(found)
     member = fps.join(comps.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "comp", F.coalesce("comp", "fp"))
-    classes, _ = write_stage(group_members(member, ["comp"], ["fp"], {"lead": F.min("lead")}, {"lead": F.min("lead")})
-                             .select("fp", "lead"), "classes")
+    member, member_path = write_stage(member, "member")
+    leads, leads_path = write_stage(member.groupBy("comp").agg(F.count(F.lit(1)).alias("n"), F.min("lead").alias("first")), "leads")
+    classes, _ = write_stage(join_groups(member, leads, ["comp"]).select(
+        "fp", F.col("first").alias("lead"), "rows"), "classes")
+    drop_stage(rows.sparkSession, member_path, leads_path)
     drop_stage(rows.sparkSession, fps_path)
-    return prints.join(classes, "fp").select(
+    return join_groups(prints, classes, ["fp"], "rows").select(
         *ROW, "doc_id", "fp", F.col("lead.doc_id").alias("component_id"), (me == F.col("lead")).alias("first"))
 
 

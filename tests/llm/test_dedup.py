@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import defaultdict
 
 import pytest
@@ -117,3 +118,60 @@ def test_component_of_a_long_chain(spark):
 def test_not_a_file_scan(spark, edge):
     df = with_clashes(edge.select("doc_id", "text").limit(20))
     assert exact_dedup.drop_exact_copies(df).count() <= 20
+
+
+@pytest.mark.parametrize("max_bits", [0, 1, 2])
+@pytest.mark.parametrize("limit", [0, 3, 256])
+def test_links_join_the_same_fingerprints_at_every_limit(spark, max_bits, limit):
+    rng = random.Random(max_bits)
+    base = [rng.getrandbits(64) for _ in range(6)]
+    fps = {b ^ sum(1 << k for k in rng.sample(range(20), rng.randint(0, 3))) for b in base for _ in range(30)}
+    df = spark.createDataFrame([(simhash.signed(x),) for x in fps], "fp long")
+    found = {frozenset((r.a, r.b)) for r in simhash.links(df, max_bits, limit=limit).collect()}
+    real = {frozenset((simhash.signed(x), simhash.signed(y))) for x in fps for y in fps
+            if x < y and bin(x ^ y).count("1") <= max_bits}
+    assert found <= real
+
+    def classes(pairs):
+        top = {}
+
+        def root(x):
+            while top.setdefault(x, x) != x:
+                x = top[x]
+            return x
+        for a, b in map(tuple, pairs):
+            top[root(a)] = root(b)
+        out = defaultdict(set)
+        for x in top:
+            out[root(x)].add(x)
+        return {frozenset(c) for c in out.values()}
+    assert classes(found) == classes(real)
+
+
+def test_a_group_with_most_rows_is_never_packed(spark, monkeypatch):
+    from labelweave.llm import common
+    monkeypatch.setattr(common, "HOT_ROWS", 50)
+    monkeypatch.setattr(common, "HOT_KEYS", 100)
+    rows = [(i, "copy " * 2000) for i in range(3000)] + [(None, None)] * 100 + [(10_000 + i, f"own {i % 700}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    out = exact_dedup.exact_dedup(df)
+    assert "ObjectHashAggregate" not in out._jdf.queryExecution().toString()
+    got = out.collect()
+    groups = defaultdict(list)
+    for d, t in rows:
+        groups[t or ""].append(d)
+    assert sorted(((r.doc_id, r.keep_id, r.group_size) for r in got), key=repr) == sorted((
+        (d, max(groups[t or ""], key=key), len(groups[t or ""])) for d, t in rows), key=repr)
+    assert sum(r.kept for r in got) == len(groups)
+    near = simhash.near_duplicates(with_row_identity(df)).collect()
+    assert sum(r.first for r in near) == len({r.component_id for r in near}) and len(near) == len(rows)
+
+
+def test_blocks_that_share_a_hash_keep_their_names(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda *c: F.lit(7).cast("long"))
+    texts = ["a", "b", "c", "a", "ab", "ba", None, "b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = exact_dedup.exact_dedup(df, block_chars=1).collect()
+    want = {t: max(i for i, x in enumerate(texts) if x == t) for t in texts}
+    assert {r.doc_id: r.keep_id for r in got} == {i: want[t] for i, t in enumerate(texts)}
