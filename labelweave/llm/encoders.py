@@ -110,6 +110,15 @@ class StretchEncoder(WholeEncoder):
         """Ids of one stretch."""
         raise NotImplementedError
 
+    def known(self, word: str, make) -> bytes:
+        """Ids of a word inside a stretch, remembered like a stretch."""
+        ids = self.seen.get(word) or self.old.get(word)
+        if ids is None:
+            ids = make(word)
+            if len(word) <= MEMO_CHARS:
+                self.seen[word] = ids
+        return ids
+
     def cut(self, texts: pa.StringArray) -> pa.ListArray:
         """Stretches of each text."""
         raise NotImplementedError
@@ -177,10 +186,9 @@ class WordEncoder(StretchEncoder):
         super().__init__(path)
         # white space to Arrow alone (the library takes it for marks), and added tokens
         self.odd = "|".join([_CONTROL, *map(re.escape, self.added)])
-        self.letters = byte_letters()
+        self.letters = dict(enumerate(byte_letters()))
         self.normal, self.parts = self.whole.normalizer.normalize_str, self.whole.pre_tokenizer.pre_tokenize_str
         self.latin = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
-        self.marks: dict[str, bytes] = {}
 
     def unfit(self, texts: pa.StringArray) -> pa.BooleanArray:
         return pc.match_substring_regex(texts, self.odd)
@@ -190,14 +198,13 @@ class WordEncoder(StretchEncoder):
 
     def _word(self, word: str) -> bytes:
         """Ids of a lower-case Latin word."""
-        return self.merged(word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode())))
+        return self.merged(word if word.isascii() else word.encode().decode("latin-1").translate(self.letters))
 
     def stretch(self, s: str) -> bytes:
         if self.latin(s):
             return self._word(s.lower())
         if s[-1:] in _MARKS and self.latin(s[:-1]):
-            mark = self.marks.get(s[-1]) or self.marks.setdefault(s[-1], self.merged(s[-1]))
-            return (self.seen.get(s[:-1]) or self._word(s[:-1].lower())) + mark
+            return self.known(s[:-1], lambda w: self._word(w.lower())) + self.known(s[-1], self.merged)
         return b"".join([self.merged(part) for part, _ in self.parts(self.normal(s))])
 
 
@@ -217,7 +224,8 @@ class ByteEncoder(StretchEncoder):
         self.latin = re.compile("[\x00-\u024f]*").fullmatch
         self.parts = self.whole.pre_tokenizer.pre_tokenize_str
         self.odd = "|".join([_SPACE + _SPACE, _CONTROL, *map(re.escape, self.added)])
-        self.letters = byte_letters()
+        self.letters = dict(enumerate(byte_letters()))
+        self.space = self.letters[32]
 
     def unfit(self, texts: pa.StringArray) -> pa.BooleanArray:
         return pc.match_substring_regex(texts, self.odd)
@@ -228,18 +236,19 @@ class ByteEncoder(StretchEncoder):
 
     def _word(self, word: str) -> bytes:
         # printable ASCII stands for itself, but for the space
-        return self.merged(word.replace(" ", self.letters[32]) if word.isascii() and word.isprintable()
-                           else "".join(map(self.letters.__getitem__, word.encode())))
+        if word.isascii() and word.isprintable():
+            return self.merged(word.replace(" ", self.space))
+        return self.merged(word.encode().decode("latin-1").translate(self.letters))
 
     def stretch(self, s: str) -> bytes:
-        if not self.latin(s):
+        if not (s.isascii() or self.latin(s)):
             return b"".join([self.merged(part) for part, _ in self.parts(s)])
         # letters alone are one word, and so is a mark behind them
         body = s[1:] if s[:1] == " " else s
         if body.isalpha():
             return self._word(s)
         if body[-1:] in _MARKS and body[:-1].isalpha():
-            return (self.seen.get(s[:-1]) or self._word(s[:-1])) + self._word(s[-1])
+            return self.known(s[:-1], self._word) + self.known(s[-1], self._word)
         return b"".join(map(self._word, self.split(s)))
 
     def encode(self, text: str | None) -> bytes:
