@@ -98,11 +98,15 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
     key = F.concat_ws("|", *[F.coalesce(c, F.lit("null")) for c in (F.col("doc.doc_id").cast("string"), F.md5("doc.text"))],
                       F.col("nth").cast("string"))
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART_MEAN).cast("int"))
-    drawn = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda n, j: n + poisson(
-        F.col("rate") / F.col("parts"), uniform(F.lit(str(seed)), F.col("key"), j.cast("string"))))
+
+    def draw(k):
+        # the text is hashed once a row, and a point once a part
+        return F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda n, j: n + F.get(F.transform(
+            F.array(uniform(F.lit(str(seed)), k, j.cast("string"))), lambda u: poisson(F.col("rate") / F.col("parts"), u)), 0))
+    drawn = F.get(F.transform(F.array(key), lambda k: F.struct(k.alias("key"), draw(k).alias("copies"))), 0)
     out = (rows.join(rates, F.col("doc.source").eqNullSafe(F.col("of")))
-           .select("doc", "rate", key.alias("key"), parts.alias("parts"))
-           .select("doc", "rate", "key", drawn.alias("copies"))
+           .select("doc", "nth", "rate", parts.alias("parts"))
+           .select("doc", "rate", F.inline(F.array(drawn)))
            .filter("copies > 0 and rate > 0")
            .select("doc", "rate", "copies", "key", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")))
     out = out.select("doc", "rate", "copies", "copy", F.md5(F.concat_ws(
