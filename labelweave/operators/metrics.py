@@ -1,10 +1,11 @@
 """E1..E18, D9, D10: pipeline event metrics.
 
 Percentiles are exact with linear interpolation at ``(n-1)*p/100``.  The
-default plan ("sort") never gathers a group in one task: rows are
+default plan ("sort") never gathers a group in one task: rows are reduced to
+(group, value, count), so a value that most events share is one row, and
 range-partitioned on (group, value), so a hot group spans many partitions;
-each row's rank comes from per-(partition, group) counts (a small table);
-only the two rows around each requested rank are kept and interpolated.
+ranks come from per-(partition, group) sums (a small table); only the values
+around each requested rank are kept and interpolated.
 "agg" uses Spark's exact ``percentile`` aggregate (fine for bounded groups),
 "approx" uses ``percentile_approx`` (bounded memory, approximate).
 """
@@ -20,20 +21,23 @@ from labelweave.operators.requests import ranked
 from labelweave.session import cut_lineage
 
 def order_stats(df: DataFrame, groups: list[str], value: str, pcts: list[float],
-                rows: DataFrame | None = None) -> DataFrame:
-    """Exact percentiles per group: ``groups + [p, value]`` (p in 0..100).
-
-    1. the rows are range-sorted on (group, value) and written once with their
-       place (``ranked``; a hot group spans many partitions; ``rows`` passes
-       such a copy in);
-    2. per (partition, group) segment: row count and first place (small
-       table) -> each segment's global rank range;
-    3. the ranks each percentile needs (2 per percentile per group) are
-       mapped to (partition, place) on that small table, which is written so
-       that the optimizer joins it by its known size;
-    4. only those rows are picked from the copy and interpolated."""
-    s = (rows if rows is not None else _ranked_values(df, groups, value)).filter(F.col("_v").isNotNull())
-    seg = s.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_start"))
+                rows: DataFrame | None = None, weight: str | None = None) -> DataFrame:
+    """Exact percentiles per group: ``groups + [p, value]`` (p in 0..100); with
+    ``weight`` a row counts that many times.
+
+    1. rows are reduced to (group, value, count), so a value held by any share
+       of the rows is one row, then range-sorted on (group, value) and written
+       once with their place (``ranked``; a hot group spans many partitions;
+       ``rows`` passes such a copy in);
+    2. per (partition, group) segment: the counts' sum (small table) -> each
+       segment's global rank range;
+    3. the ranks each percentile needs (2 per percentile per group) are mapped
+       to segments on that small table, which is written so that the optimizer
+       joins it by its known size;
+    4. inside a segment a running sum of the counts gives each value its ranks;
+       the values that hold a needed rank are picked and interpolated."""
+    s = (rows if rows is not None else _ranked_values(df, groups, value, weight)).filter(F.col("_v").isNotNull())
+    seg = s.groupBy("_pid", *groups).agg(F.sum("_c").alias("_n"))
     per = Window.partitionBy(*groups)
     seg = (seg.withColumn("_before", F.sum("_n").over(per.orderBy("_pid")) - F.col("_n"))
               .withColumn("_total", F.sum("_n").over(per)))
@@ -47,13 +51,23 @@ def order_stats(df: DataFrame, groups: list[str], value: str, pcts: list[float],
     part = F.when(F.col("_total") - 1 == F.col("_lo"), F.lit(1.0)).when(
         F.col("_rank") == F.col("_lo"), 1.0 - F.col("_w")).otherwise(F.col("_w"))
     where = cut_lineage(need.filter(inside).select(
-        "_pid", *groups, (F.col("_rank") - F.col("_before") + F.col("_start")).alias("_local"), "p", part.alias("_part")))
-    picked = s.select("_pid", "_local", "_v").join(where, ["_pid", "_local"])
+        F.col("_pid").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
+        (F.col("_rank") - F.col("_before")).alias("_at"), "p", part.alias("_part")))
+    upto = F.sum("_c").over(Window.partitionBy("_pid", *groups).orderBy("_local"))
+    held = s.withColumn("_end", upto)
+    same = held["_pid"] == where["_p"]
+    for i, g in enumerate(groups):
+        same = same & held[g].eqNullSafe(where[f"_g{i}"])
+    picked = held.join(where, same & (F.col("_at") < F.col("_end")) & (F.col("_at") >= F.col("_end") - F.col("_c")))
     return picked.groupBy(*groups, "p").agg(F.sum(F.col("_v") * F.col("_part")).alias("value"))
 
 
-def _ranked_values(df: DataFrame, groups: list[str], value: str) -> DataFrame:
-    return ranked(df.select(*groups, F.col(value).cast("double").alias("_v")), [*groups, "_v"])
+def _ranked_values(df: DataFrame, groups: list[str], value: str, weight: str | None = None) -> DataFrame:
+    """Distinct values of each group with their counts, ranked."""
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counted = df.select(*groups, F.col(value).cast("double").alias("_v"), *([weight] if weight else [])).groupBy(
+        *groups, "_v").agg(n.alias("_c"))
+    return ranked(counted, [*groups, "_v"])
 
 
 def _pname(p: float) -> str:
@@ -61,20 +75,23 @@ def _pname(p: float) -> str:
 
 
 def numeric_stats(df: DataFrame, groups: list[str], value: str, include_p99: bool = True,
-                  method: str = "sort") -> DataFrame:
+                  method: str = "sort", weight: str | None = None) -> DataFrame:
     """Count, min, max, mean, p50, p95 [, p99] of ``value`` per group
-    (NULL values skipped; a group with none has count 0 and NULL stats)."""
+    (NULL values skipped; a group with none has count 0 and NULL stats).  With
+    ``weight`` ("sort" only) a row counts that many times."""
     pcts = [50.0, 95.0] + ([99.0] if include_p99 else [])
     v = F.col(value).cast("double")
-    rows = _ranked_values(df, groups, value) if method == "sort" else None
-    x = F.col("_v") if method == "sort" else v
-    base = (rows if method == "sort" else df).groupBy(*groups).agg(
-        F.count(x).alias("count"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"))
     if method == "sort":
+        rows = _ranked_values(df, groups, value, weight)
+        n = F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_c"))), F.lit(0))
+        base = rows.groupBy(*groups).agg(n.alias("count"), F.min("_v").alias("min"), F.max("_v").alias("max"),
+                                         F.sum(F.col("_v") * F.col("_c")).alias("_sum")).select(
+            *groups, "count", "min", "max", (F.col("_sum") / F.nullif("count", F.lit(0))).alias("mean"))
         long = order_stats(df, groups, value, pcts, rows)
         wide = long.groupBy(*groups).pivot("p", pcts).agg(F.first("value"))
         wide = wide.select(*groups, *[F.col(f"`{p}`").alias(_pname(p)) for p in pcts])
         return base.join(wide, groups, "left")
+    base = df.groupBy(*groups).agg(F.count(v).alias("count"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"))
     if method == "agg":
         pc = [F.percentile(v, F.lit(p / 100.0)).alias(_pname(p)) for p in pcts]
     else:

@@ -382,8 +382,10 @@ def resend_select(reqs: DataFrame, final: DataFrame, scores: DataFrame, key: str
     sel = F.when(nonblank("bibcode").isNotNull(), "bibcode").when(nonblank("scix_id").isNotNull(), "scix_id") \
         .when(F.col("run_id").isNotNull(), "run_id")
     r = reqs.withColumn("_sel", sel)
-    fb = L.latest_per_key(final.filter(nonblank("bibcode").isNotNull()), "bibcode", ORDER)
-    fs = L.latest_per_key(final.filter(nonblank("scix_id").isNotNull()), "scix_id", ORDER)
+    # only the final rows that a request names are reduced
+    by_b = final.filter(nonblank("bibcode").isNotNull()).join(r.filter(F.col("_sel") == "bibcode").select("bibcode"), "bibcode", "left_semi")
+    by_s = final.filter(nonblank("scix_id").isNotNull()).join(r.filter(F.col("_sel") == "scix_id").select("scix_id"), "scix_id", "left_semi")
+    fb, fs = L.latest_per_key(by_b, "bibcode", ORDER), L.latest_per_key(by_s, "scix_id", ORDER)
     a = r.filter(F.col("_sel") == "bibcode").select(key, "bibcode").join(
         fb.select("bibcode", F.col("id").alias("final_id"), "collection", "scix_id"), "bibcode")
     b = r.filter(F.col("_sel") == "scix_id").select(key, "scix_id").join(

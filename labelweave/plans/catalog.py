@@ -1202,17 +1202,19 @@ allr as (select q.request_id, q.bibcode, f.scix_id, f.id as final_id, f.collecti
 """
 
 
-@register("g10_resend_select", _G10_SQL + """
+_G10_ALL_SQL = _G10_SQL.replace("input_index % 2 = 0 and ", "").replace("input_index % 2 = 1 and ", "")
+
+
+@register("g10_resend_select", _G10_ALL_SQL + """
 select request_id, bibcode, scix_id, final_id, array_to_string(collection, '|') as collection from allr""")
 def g10(spark, d):
     st, _, _ = fixture_state(spark, d)
-    out = ST.resend_select(fixture_resend_requests(spark, d), st.final, st.scores)
+    out = ST.resend_select(fixture_resend_requests(spark, d, every=True), st.final, st.scores)
     return out.select("request_id", "bibcode", "scix_id", "final_id", F.array_join("collection", "|").alias(
         "collection"))
 
 
-@register("g10b_resend_select_every_id", _G10_SQL.replace("input_index % 2 = 0 and ", "").replace(
-    "input_index % 2 = 1 and ", "") + """
+@register("g10b_resend_select_every_id", _G10_ALL_SQL + """
 select request_id, bibcode, scix_id, final_id, array_to_string(collection, '|') as collection from allr""")
 def g10b(spark, d):
     st, _, _ = fixture_state(spark, d)
@@ -1774,7 +1776,20 @@ def _classified_rows(spark, d):
     return output_row(cl)
 
 
-@register("a09_write_classified_tsv")
+_TSV_SQL = duck_cte("v_requests") + """, req as (select input_index, coalesce(title,'None') || ' ' ||
+ coalesce(abstract,'None') as text from v_requests),""" + O.scores_ctes("req") + f""",
+rows as (select coalesce(r.bibcode, '') as bibcode, coalesce(r.scix_id, '') as scix_id, case when r.batch_id = 0 then '' else r.batch_id::varchar end as run_id,
+ coalesce(r.title, '') as title, coalesce(r.abstract, '') as abstract,
+ array_to_string({O.collections_sql('s.scores')}, ', ') as collections,
+ array_to_string(list_transform({O.collection_scores_sql('s.scores')}, lambda x: cast(x as varchar)), ', ')
+   as collection_scores,
+ {O.summary_sql('s.scores')}, '' as gross_collection_override, '' as override
+from o_scores s join (select *, {_REQ_IDS} from v_requests) r using (input_index)),
+tsv as (select nullif(cast(columns(*) as varchar), '') from rows)
+"""
+
+
+@register("a09_write_classified_tsv", _TSV_SQL + "select * from tsv")
 def a09(spark, d):
     path = scratch_dir(spark, "a09")
     WR.write_classified_tsv(_classified_rows(spark, d), path)
@@ -1782,7 +1797,7 @@ def a09(spark, d):
         "escape", '"').csv(path)
 
 
-@register("a10_append_classified_tsv")
+@register("a10_append_classified_tsv", _TSV_SQL + "select * from tsv union all select * from tsv")
 def a10(spark, d):
     path = scratch_dir(spark, "a10")
     rows = _classified_rows(spark, d)
@@ -1807,12 +1822,14 @@ def a11(spark, d):
     return back.withColumn("collections", F.array_join("collections", "|"))
 
 
-@register("a12_write_metrics_summary")
+@register("a12_write_metrics_summary", _E10_SQL + "select * from summ")
 def a12(spark, d):
+    """Written as JSON and read back."""
     path = scratch_dir(spark, "a12")
     s = M.summarize_events(_ev(spark, d), F.lit(300))
     WR.write_summary(s, path)
-    return spark.read.json(path)
+    return _r6_all(spark.read.schema(s.schema).json(path).select(*_E10_COLS), [
+        "wall_clock_s", "overall_records_per_minute", "bottleneck_p95"])
 
 
 @register("a13_ids_csv_roundtrip", duck_cte("v_requests") + f""", ids as (
@@ -1885,6 +1902,40 @@ def h02(spark, d):
     return CL.claims_batch(_claims_events(spark, d)).select("fp", "event_id", "op", "granted", "stage")
 
 
+_H02C_SRC = """(select *, case when event_id % 5 = 0 then null else 'out' || (event_id % 2)::varchar end as output_path,
+ case when event_id % 7 = 0 then 'classify' else 'pre_ingest' end as operation_step from v_claims) src"""
+
+
+@register("h02c_claim_pipeline", duck_cte("v_claims").replace("with ", "with recursive ", 1) + f""",
+src as (select * from {_H02C_SRC}),
+ev as (select output_path, fp, event_id, ts_s::double as ts, op, split_part(op, ':', 2) as target, op like 'mark:%' as mark,
+  case split_part(op, ':', 2) when 'classify_inflight' then 300 else 120 end as lease,
+  row_number() over (partition by output_path, fp order by ts_s, event_id) as n from src
+  where operation_step = 'pre_ingest' and output_path is not null),
+st as (
+ select output_path, fp, n, event_id, op, true as granted, target as stage, case when not mark then ts + lease end as lease_until
+ from ev where n = 1
+ union all
+ select output_path, fp, n, event_id, op, granted, case when granted then target else stage end,
+  case when mark then null when granted then ts + lease else lease_until end
+ from (select e.*, s.stage, s.lease_until, case when e.mark then true
+   when s.stage = 'classify_done' then e.target = 'index_inflight'
+   when s.stage in ('classify_inflight', 'index_inflight') then e.target = s.stage and coalesce(s.lease_until, 0) <= e.ts
+   else false end as granted
+  from ev e join st s on s.output_path = e.output_path and s.fp = e.fp and e.n = s.n + 1) x)
+select output_path, fp, event_id, op, granted, stage, lease_until from st
+union all select output_path, fp, event_id, op, true, null, null from src
+where operation_step <> 'pre_ingest' or output_path is null""")
+def h02c(spark, d):
+    """Claims of both stages per output path; rows without one always pass."""
+    v = view(spark, d, "v_claims")
+    path = F.when(F.col("event_id") % 5 != 0, F.concat(F.lit("out"), (F.col("event_id") % 2).cast("string")))
+    step = F.when(F.col("event_id") % 7 == 0, "classify").otherwise("pre_ingest")
+    ev = v.select("fp", "event_id", F.col("ts_s").cast("double").alias("ts"), "op", path.alias("output_path"),
+                  step.alias("operation_step"))
+    return CL.claims_by_output(ev).select("output_path", "fp", "event_id", "op", "granted", "stage", "lease_until")
+
+
 @register("h02b_claim_stage_stream", _CLAIMS_SQL + "select fp, event_id, op, granted, stage from st")
 def h02b(spark, d):
     out = CL.claims_replay(_claims_events(spark, d), scratch_dir(spark, "h02"))

@@ -54,9 +54,12 @@ GRANTS = {
 
 def transition(stage, lease_until, op: str, target: str, ts: float):
     """One event: (granted, stage after it, lease after it).  A mark always
-    holds and ends the lease; a claim holds as ``GRANTS`` says."""
-    if op == "mark":
+    holds and ends the lease; a claim holds as ``GRANTS`` says; anything else
+    (also null, or a stage that is not known) is refused and changes nothing."""
+    if op == "mark" and target in GRANTS:
         return True, target, None
+    if op != "claim" or target not in LEASES:
+        return False, stage, lease_until
     when = GRANTS[stage][target]
     if when == ALWAYS or (when == EXPIRED and (lease_until or 0.0) <= ts):
         return True, target, ts + LEASES[target]
@@ -82,7 +85,7 @@ def _fold(fps, ids, times, ops, fp=None, stage=None, lease=None):
     for key, eid, ts, op in zip(fps, ids, times, ops):
         if key != fp:
             fp, stage, lease = key, None, None
-        kind, target = op.split(":", 1)
+        kind, _, target = (op if isinstance(op, str) else "").partition(":")
         granted, stage, lease = transition(stage, lease, kind, target, float(ts))
         rows.append((int(key), int(eid), float(ts), op, granted, stage, lease))
     return rows, fp, stage, lease
@@ -91,7 +94,37 @@ def _fold(fps, ids, times, ops, fp=None, stage=None, lease=None):
 def _events(events: DataFrame, key: str) -> DataFrame:
     ship_package(events.sparkSession)
     return events.select(F.col(key).cast("long").alias("fp"), F.col("event_id").cast("long"),
-                         F.col("ts").cast("double"), "op")
+                         F.coalesce(F.col("ts").cast("double"), F.lit(0.0)).alias("ts"), "op")
+
+
+def claims_by_output(events: DataFrame) -> DataFrame:
+    """H2 in its scope: ``output_path, fp, operation_step, event_id, ts, op``
+    -> per event whether it is granted and the state after it.
+
+    A claim belongs to (output path, fingerprint); events of other steps than
+    pre-ingest, or without an output path, always hold and have no state."""
+    from labelweave.functions.ids import nonblank
+    scoped = F.coalesce((F.col("operation_step") == "pre_ingest") & nonblank("output_path").isNotNull(), F.lit(False))
+    schema = StructType([StructField("output_path", StringType()), *OUT.fields])
+
+    def fold(batches):
+        path = fp = stage = lease = None
+        for pdf in batches:
+            rows = []
+            for where, run in pdf.groupby("output_path", sort=False):
+                if where != path:
+                    path, fp, stage, lease = where, None, None, None
+                found, fp, stage, lease = _fold(run["fp"], run["event_id"], run["ts"], run["op"], fp, stage, lease)
+                rows += [(where, *r) for r in found]
+            yield pd.DataFrame(rows, columns=schema.fieldNames())
+    ship_package(events.sparkSession)
+    ev = events.select("output_path", F.col("fp").cast("long").alias("fp"), F.col("event_id").cast("long").alias("event_id"),
+                       F.coalesce(F.col("ts").cast("double"), F.lit(0.0)).alias("ts"), "op", scoped.alias("scoped"))
+    held = (ev.filter("scoped").drop("scoped").repartition("output_path", "fp")
+            .sortWithinPartitions("output_path", "fp", "ts", "event_id").mapInPandas(fold, schema))
+    free = ev.filter("not scoped").select("output_path", "fp", "event_id", "ts", "op", F.lit(True).alias("granted"),
+                                          F.lit(None).cast("string").alias("stage"), F.lit(None).cast("double").alias("lease_until"))
+    return held.unionByName(free)
 
 
 def claims_batch(events: DataFrame, key: str = "fp") -> DataFrame:

@@ -26,29 +26,45 @@ REQUEST = StructType([
 ])
 
 
+def claim_key() -> F.Column:
+    """A claim is scoped by the output it is for: one replay of a record goes
+    on per output path."""
+    return F.sha2(F.concat_ws("|", F.octet_length("output_path").cast("string"), "output_path", "fingerprint"), 256)
+
+
 def claim_pre_ingest(df: DataFrame, store, batch_id: int, ts) -> tuple[DataFrame, DataFrame]:
-    """H2 / H4 before classification: of the pre-ingest rows, one per replay
-    fingerprint goes on, and only if its claim of ``classify_inflight`` is
-    granted on the state before this batch (a replayed batch decides alike).
-    The claims are stored with their lease.  Rows of other steps go on
-    untouched.  Returns the rows that go on and the claimed fingerprints."""
+    """H2 / H4 before classification: of the pre-ingest rows that name an
+    output path, one per path and replay fingerprint goes on, and only if its
+    claim of ``classify_inflight`` is granted on the state before this batch (a
+    replayed batch decides alike).  The claims are stored with their lease.
+    Rows of other steps, and pre-ingest rows without an output path, always go
+    on.  Returns the rows that go on and the claims' keys."""
     from labelweave import schemas
-    pre = F.coalesce(F.col("operation_step") == "pre_ingest", F.lit(False))
-    states = store.current("claims", schemas.CLAIMS, batch_id).withColumnRenamed("id", "fingerprint")
-    once = drop_replays(df.filter(pre)).join(states, "fingerprint", "left")
+    if "output_path" not in df.columns:
+        df = df.withColumn("output_path", F.lit(None).cast("string"))
+    pre = F.coalesce((F.col("operation_step") == "pre_ingest") & nonblank("output_path").isNotNull(), F.lit(False))
+    states = store.current("claims", schemas.CLAIMS, batch_id).withColumnRenamed("id", "claim")
+    rows = df.filter(pre).withColumn("fingerprint", fingerprint(df)).withColumn("claim", claim_key())
+    once = rows.dropDuplicates(["claim"]).join(states, "claim", "left")
     mine = cut_lineage(once.filter(CL.granted("classify_inflight", F.col("stage"), F.col("lease_until"), ts)))
-    claimed = mine.select(F.col("fingerprint").alias("id"))
-    store.write_changes("claims", claimed.select(
-        "id", F.lit("classify_inflight").alias("stage"), (ts + F.lit(float(C.CLASSIFY_LEASE_S))).alias("lease_until")), batch_id)
+    claimed = mine.select(F.col("claim").alias("id"))
+    mark_claims(store, claimed, "classify_inflight", batch_id, ts + F.lit(float(C.CLASSIFY_LEASE_S)))
     return df.filter(~pre).unionByName(mine.select(*df.columns)), claimed
 
 
+def mark_claims(store, claimed: DataFrame, stage: str, batch_id: int, lease_until=None) -> None:
+    """Store the stage of this batch's claims (H3); a batch's later stage takes
+    the place of its earlier one, also when the batch is replayed."""
+    lease = lease_until if lease_until is not None else F.lit(None)
+    store.write_changes("claims", claimed.select("id", F.lit(stage).alias("stage"), lease.cast("double").alias("lease_until")), batch_id)
+
+
 def classify_batch_writer(scorer, sink: str, cfg: C.ClassifierConfig = C.DEFAULT, on_batch=None, claims=None, now=None):
     """foreachBatch body: classify the micro-batch and write its results to
     ``sink/batch=<id>`` (overwritten on replay); ``on_batch(df, id)`` can
     chain index / TSV / forward steps, and gets the written results.  With a
-    ``claims`` store, pre-ingest rows are claimed first and marked done after
-    the last step."""
+    ``claims`` store, pre-ingest rows claim classification first, then are
+    marked classified, claim the index step and are marked indexed."""
     def run(df: DataFrame, batch_id: int) -> None:
         ts = (now if now is not None else F.unix_timestamp()).cast("double")
         claimed = None
@@ -58,12 +74,14 @@ def classify_batch_writer(scorer, sink: str, cfg: C.ClassifierConfig = C.DEFAULT
             f.name for f in REQUEST if f.name in df.columns and f.name != "input_index"))
         path = os.path.join(sink, f"batch={batch_id}")
         out.write.mode("overwrite").parquet(path)
+        if claimed is not None:
+            mark_claims(claims, claimed, "classify_done", batch_id)
         if on_batch is not None:
+            if claimed is not None:  # classify_done always grants the index claim
+                mark_claims(claims, claimed, "index_inflight", batch_id, ts + F.lit(float(C.INDEX_LEASE_S)))
             on_batch(df.sparkSession.read.parquet(path), batch_id)
-        if claimed is not None:  # H3: classified, then indexed
-            claims.write_changes("claims", claimed.select(
-                "id", F.lit("indexed_done" if on_batch is not None else "classify_done").alias("stage"),
-                F.lit(None).cast("double").alias("lease_until")), batch_id)
+            if claimed is not None:
+                mark_claims(claims, claimed, "indexed_done", batch_id)
     return run
 
 
@@ -107,10 +125,11 @@ def start_event_stream(spark: SparkSession, src: str, sink: str, checkpoint: str
                        available_now: bool = True, table: str | None = None):
     """H5: JSONL events appended by many workers, folded per run/stage.
 
-    ``exact=True``: each micro-batch appends its events to ``table``
-    (partition ``batch=<id>``, replaced on replay) and the exact per-stage
-    statistics are recomputed over the table with the distributed
-    order-statistics operator (no group is held in one task or in state).
+    ``exact=True``: each micro-batch appends its (run, stage, duration, count)
+    runs to ``table`` (partition ``batch=<id>``, replaced on replay) and the
+    exact per-stage statistics are merged from all runs with the distributed
+    weighted order statistics (no group is held in one task or in state; the
+    work follows the distinct durations, not the events).
     ``exact=False``: a complete-mode aggregate with approximate percentiles.
     Either way ``sink`` holds the current result after every micro-batch."""
     from labelweave.operators.metrics import numeric_stats
@@ -121,10 +140,10 @@ def start_event_stream(spark: SparkSession, src: str, sink: str, checkpoint: str
         table = table or sink + "_events"
 
         def write(df: DataFrame, batch_id: int) -> None:
-            (df.withColumn("batch", F.lit(int(batch_id)).cast("long")).write.mode("overwrite")
+            (df.groupBy("run_id", "stage", "duration_ms").agg(F.count(F.lit(1)).alias("n")).withColumn("batch", F.lit(int(batch_id)).cast("long")).write.mode("overwrite")
                .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(table))
             allev = spark.read.parquet(table)
-            st = numeric_stats(allev, ["run_id", "stage"], "duration_ms", include_p99=False)
+            st = numeric_stats(allev, ["run_id", "stage"], "duration_ms", include_p99=False, weight="n")
             st.select("run_id", "stage", "count", "p50", "p95").write.mode("overwrite").parquet(sink)
         w = ev.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     else:

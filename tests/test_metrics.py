@@ -127,3 +127,21 @@ def test_order_stats_hot_group_spans_partitions(spark):
     s = (df.repartitionByRange(8, "g", "v").withColumn("pid", F.spark_partition_id())
          .filter("g = 'hot'").select("pid").distinct().count())
     assert s > 1
+
+
+def test_a_value_that_most_rows_share_is_one_row(spark):
+    import numpy as np
+    rows = [("hot", 5.0)] * 8000 + [("hot", float(i)) for i in range(2000)] + [("small", 1.0), ("small", 4.0), (None, 7.0), (None, None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(8)
+    kept = M._ranked_values(df, ["g"], "v")
+    assert kept.filter("g = 'hot'").count() == 2000 and kept.agg({"_c": "sum"}).first()[0] == len(rows)
+    got = {r["g"]: r for r in M.numeric_stats(df, ["g"], "v").collect()}
+    for g in ("hot", "small", None):
+        x = [v for k, v in rows if k == g and v is not None]
+        assert got[g]["count"] == len(x) and abs(got[g]["mean"] - np.mean(x)) < 1e-9
+        if g is not None:
+            assert [got[g][p] for p in ("p50", "p95", "p99")] == [float(np.percentile(x, p)) for p in (50, 95, 99)]
+    weighted = spark.createDataFrame([("a", 1.0, 3), ("a", 2.0, 1), ("a", 9.0, 4)], "g string, v double, n long")
+    (r,) = M.numeric_stats(weighted, ["g"], "v", weight="n").collect()
+    x = [1.0] * 3 + [2.0] + [9.0] * 4
+    assert (r["count"], r["p50"], r["p95"]) == (8, float(np.percentile(x, 50)), float(np.percentile(x, 95)))

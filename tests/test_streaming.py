@@ -89,6 +89,7 @@ def test_classify_index_stream_is_replay_safe(spark, sf_small):
     from labelweave.plans.catalog import _write_request_files
     from labelweave.sources.writers import SnapshotStore
     from labelweave import schemas
+    from labelweave.functions import ids as I
     base = tempfile.mkdtemp(prefix="lw-h1-")
     _write_request_files(spark, sf_small, os.path.join(base, "in"))
     store = SnapshotStore(spark, os.path.join(base, "store"))
@@ -98,10 +99,14 @@ def test_classify_index_stream_is_replay_safe(spark, sf_small):
                                  os.path.join(base, "ckpt"), scorer, on_batch=sink)
     q.awaitTermination()
     n_in = spark.read.json(os.path.join(base, "in")).count()
-    ident = spark.read.json(os.path.join(base, "in")).filter("bibcode is not null or scix_id is not null").count()
+    out = spark.read.parquet(os.path.join(base, "out")).withColumn("kind", I.record_key_kind()).withColumn("value", I.record_key_value())
+    named = out.filter("coalesce(bibcode, '') <> '' or coalesce(scix_id, '') <> ''")
+    records = named.select("kind", "value").distinct().count()
+    # a record asked for twice in one micro-batch has one row of scores, the last request's
+    scored = named.select("batch", "kind", "value").distinct().count()
     cur = store.current("final_collection", schemas.FINAL_COLLECTION)
-    assert cur.count() == ident and cur.select("id").distinct().count() == ident
-    assert store.current("scores", schemas.SCORES).count() == ident
+    assert cur.count() == records and cur.select("id").distinct().count() == records
+    assert store.current("scores", schemas.SCORES).count() == scored
     tsv = spark.read.option("sep", "\t").option("header", True).option("multiLine", True).option(
         "escape", '"').csv(os.path.join(base, "tsv"))
     assert tsv.count() == n_in
@@ -112,7 +117,7 @@ def test_classify_index_stream_is_replay_safe(spark, sf_small):
     last = max(int(p.split("=")[1]) for p in os.listdir(os.path.join(base, "out")) if p.startswith("batch="))
     sink(spark.read.parquet(os.path.join(base, "out", f"batch={last}")), last)
     after = sorted(map(tuple, store.current("final_collection", schemas.FINAL_COLLECTION).select("id", "score_id").collect()))
-    assert before == after and store.current("scores", schemas.SCORES).count() == ident
+    assert before == after and store.current("scores", schemas.SCORES).count() == scored
 
 
 def test_event_stream_approx_mode(spark, sf_small):
@@ -191,7 +196,8 @@ def test_stream_claims_pre_ingest_rows_once(spark, tmp_path):
 
     def write(rows, batch_id, at, on_batch):
         df = spark.createDataFrame(rows, "input_index long, title string, abstract string, operation_step string").selectExpr(
-            "*", "cast(null as string) as bibcode", "cast(null as string) as scix_id", "cast(1 as long) as run_id")
+            "*", "cast(null as string) as bibcode", "cast(null as string) as scix_id", "cast(1 as long) as run_id",
+            "'out' as output_path")
         PL.classify_batch_writer(scorer, str(tmp_path / "out"), on_batch=on_batch, claims=store, now=F.lit(at))(df, batch_id)
 
     def note(df, batch_id):
@@ -206,11 +212,11 @@ def test_stream_claims_pre_ingest_rows_once(spark, tmp_path):
         write([(6, "d", "x", "pre_ingest")], 2, 300, fail)
     except RuntimeError:
         pass
-    write([(7, "d", "x", "pre_ingest")], 3, 400, note)  # the lease of batch 2 still runs
-    write([(8, "d", "x", "pre_ingest")], 4, 900, note)
+    write([(7, "d", "x", "pre_ingest")], 3, 400, note)  # batch 2 got to the index step: no second classification,
+    write([(8, "d", "x", "pre_ingest")], 4, 900, note)  # also after its lease
     write([(6, "d", "x", "pre_ingest")], 2, 300, note)  # batch 2 again: decides as before
     assert len(seen[0][1]) == 3 and {2, 3} < set(seen[0][1])
-    assert seen[1:] == [(1, [5]), (3, []), (4, [8]), (2, [6])]
+    assert seen[1:] == [(1, [5]), (3, []), (4, []), (2, [6])]
 
 
 def test_grant_expression_is_the_table(spark):
@@ -220,3 +226,37 @@ def test_grant_expression_is_the_table(spark):
     for target in CL.LEASES:
         got = df.select("stage", "lease", CL.granted(target, F.col("stage"), F.col("lease"), F.lit(100.0)).alias("g")).collect()
         assert all(r["g"] == CL.transition(r["stage"], r["lease"], "claim", target, 100.0)[0] for r in got)
+
+
+def test_unknown_ops_are_refused_and_change_nothing(spark):
+    ops = ["claim:classify_inflight", None, "", "claim", "claim:indexed_done", "mark:nothing", "drop:classify_done",
+           "mark:classify_done", "claim:index_inflight"]
+    ev = spark.createDataFrame([(1, i, float(i), op) for i, op in enumerate(ops)], "fp long, event_id long, ts double, op string")
+    got = [(r["granted"], r["stage"]) for r in CL.claims_batch(ev).orderBy("event_id").collect()]
+    assert got == [(True, "classify_inflight")] + [(False, "classify_inflight")] * 6 + [(True, "classify_done"), (True, "index_inflight")]
+
+
+def test_claims_are_scoped_by_output_path(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from labelweave import schemas
+    from labelweave.operators import scoring as SC
+    from labelweave.sources.writers import SnapshotStore
+    rows = [(i, 0, None, None, "same title", "same text", "pre_ingest", None, path, None)
+            for i, path in enumerate(["a", "a", "b", None, None, "", "c"])] + [(9, 0, "x", None, "t", "t", "classify", None, "a", None)]
+    df = spark.createDataFrame(rows, PL.REQUEST)
+    store, ts = SnapshotStore(spark, str(tmp_path / "store")), F.lit(1000.0)
+    on, claimed = PL.claim_pre_ingest(df, store, 0, ts)
+    kept = sorted((r["output_path"] or "", r["input_index"]) for r in on.collect())
+    # one replay a path goes on; rows without a path and of other steps always do
+    assert [p for p, _ in kept] == ["", "", "", "a", "a", "b", "c"] and claimed.count() == 3
+    assert PL.claim_pre_ingest(df, store, 0, ts)[1].count() == 3  # the batch is replayed: same decisions
+    again, none = PL.claim_pre_ingest(df, store, 1, ts + 10)  # leases run
+    assert none.count() == 0 and sorted(r["output_path"] or "" for r in again.collect()) == ["", "", "", "a"]
+    assert PL.claim_pre_ingest(df, store, 2, ts + 400)[1].count() == 3  # leases ran out
+    seen = []
+    PL.classify_batch_writer(SC.HashedLinearScorer(SC.default_weights(spark)), str(tmp_path / "out"), on_batch=lambda d, i: seen.extend(
+        store.current("claims", schemas.CLAIMS).select("stage").distinct().collect()), claims=store, now=ts + 5000)(df, 3)
+    assert [r["stage"] for r in seen] == ["index_inflight"]
+    stages = {r["stage"]: r["lease_until"] for r in store.current("claims", schemas.CLAIMS).collect()}
+    assert stages == {"indexed_done": None}
