@@ -10,9 +10,9 @@ from labelweave import config as C
 from labelweave.functions import scores as S
 
 
-def output_row(df: DataFrame) -> DataFrame:
+def output_row(df: DataFrame, carry: tuple = ()) -> DataFrame:
     """The 20 TSV columns (lists joined by ', '; NULL and the number 0
-    -> '', the text "0" stays)."""
+    -> '', the text "0" stays); ``carry`` columns of ``df`` follow as they are."""
     def blank(c):
         if c not in df.columns:
             return F.lit("")
@@ -24,7 +24,7 @@ def output_row(df: DataFrame) -> DataFrame:
         *[blank(c).alias(c) for c in ("bibcode", "scix_id", "run_id", "title", "abstract")],
         S.join_list("collections").alias("collections"), S.join_list("collection_scores").alias("collection_scores"),
         *[by_name[n].alias(n) for n in C.OUTPUT_HEADER[7:18]],
-        blank("gross_collection_override").alias("gross_collection_override"), F.lit("").alias("override"))
+        blank("gross_collection_override").alias("gross_collection_override"), F.lit("").alias("override"), *carry)
 
 
 def score_payload(scores="scores", collections_col="collections", labels=C.LABELS,

@@ -1874,6 +1874,120 @@ def h01(spark, d):
                       S.join_list("collections").alias("collections"))
 
 
+# arrivals of the index stream: requests, the same records without a title,
+# validations, the same records without an abstract and as sent at first
+_H01B_SRC = """(
+ select 0 as arrival, input_index, input_index as text_index, identifier, title, abstract,
+  case input_index % 3 when 0 then 'classify' when 1 then 'classify_verify' else 'pre_ingest' end as operation_step,
+  cast(null as varchar(20)) as override_csv from v_requests where input_index < 1000000000
+ union all select 1, input_index, input_index, identifier, title, abstract, 'classify', null from v_requests
+  where input_index >= 1000000000 and input_index < 2000000000
+ union all select 2, 3000000000 + input_index, input_index, identifier, title, abstract, 'validate',
+  case input_index % 3 when 0 then 'general' when 1 then '' else 'nope' end from v_requests
+  where input_index < 1000000000 and input_index % 7 = 0 and identifier not like 'bad%'
+ union all select 3, input_index, input_index, identifier, title, abstract, 'classify', null from v_requests
+  where input_index >= 2000000000
+ union all select 3, 4000000000 + input_index, input_index, identifier, title, abstract, 'classify', null from v_requests
+  where input_index < 1000000000 and input_index % 5 = 0)"""
+
+_H01B_SQL = duck_cte("v_requests") + """, req as (select input_index, coalesce(title,'None') || ' ' ||
+ coalesce(abstract,'None') as text from v_requests),""" + O.scores_ctes("req") + f""",
+src as (select s.*, o.scores, {O.collections_sql('o.scores')} as colls, {_REQ_IDS}, text_index // 100 as run_id,
+  case when text_index % 3 <> 0 then 'out/' || (text_index % 2)::varchar end as output_path
+  from {_H01B_SRC} s join o_scores o on o.input_index = s.text_index),
+named as (select * from src where identifier not like 'bad%'),
+batch as (select * from named where operation_step <> 'validate'
+  qualify row_number() over (partition by arrival, identifier order by input_index desc) = 1),
+chk as (select identifier, override_csv, override_csv = 'general' as over from named where operation_step = 'validate'),
+hist as (select b.*, coalesce(c.over, false) as over, c.override_csv in ('general', '') as valid,
+  case when arrival = 3 and c.over then ['general'] else colls end as given
+  from batch b left join chk c using (identifier)),
+newest as (select *, max(arrival) over (partition by identifier) as last from hist
+  qualify row_number() over (partition by identifier order by arrival desc) = 1),
+sc as (select distinct on (identifier, text_index) * from hist)
+select 'final' as kind, null::bigint as arrival, bibcode, scix_id, run_id, array_to_string(
+  case when over then ['general'] else given end, '|') as collections,
+  case when valid then 'validated' else 'open' end as status, null::double as s0, null as output_path from newest
+union all select 'score', null, bibcode, scix_id, run_id, case when over then 'general' end, null,
+  round(scores[1], 6), null from sc
+union all select 'tsv', arrival, bibcode, scix_id, nullif(run_id, 0), nullif(array_to_string(colls, ', '), ''), null, null,
+  output_path from src where operation_step <> 'validate'
+union all select 'response', arrival, bibcode, scix_id, null, array_to_string(given, '|'), 'success', null, null from hist
+  where operation_step = 'classify'
+union all select 'response', arrival, bibcode, scix_id, null, override_csv, 'record_validated', null, null from named
+  where operation_step = 'validate'"""
+
+
+class _LostOnce(WR.SnapshotStore):
+    """A store whose writer is lost once, between the writes of a batch."""
+
+    def __init__(self, spark, root, batch_id):
+        super().__init__(spark, root)
+        self.lose = batch_id
+
+    def write_changes(self, name, changes, batch_id):
+        if name == "final_collection" and batch_id == self.lose:
+            self.lose = None
+            raise RuntimeError("writer lost")
+        super().write_changes(name, changes, batch_id)
+
+
+@register("h01b_stream_index", _H01B_SQL)
+def h01b(spark, d):
+    """The whole stream: requests arrive in four batches, are classified,
+    indexed or validated, and leave as TSV rows and responses.  The writer of
+    batch 1 is lost between two writes; the stream starts again from its
+    checkpoint and replays that batch.  Read through the commit manifest."""
+    from pyspark.errors import StreamingQueryException
+
+    from labelweave import schemas
+    from labelweave.session import cut_lineage
+    base = scratch_dir(spark, "h01b")
+    at = {k: os.path.join(base, k) for k in ("in", "out", "tsv", "fwd", "ckpt")}
+    rows = spark.sql("select * from " + _H01B_SRC.replace("v_requests", "{v_requests}"), v_requests=view(spark, d, "v_requests"))
+    path = F.when(F.col("text_index") % 3 != 0, F.concat(F.lit("out/"), (F.col("text_index") % 2).cast("string")))
+    rows = cut_lineage(I.split_identifier(rows, "identifier").select(
+        "arrival", "input_index", "bibcode", "scix_id", "title", "abstract", "operation_step", path.alias("output_path"),
+        F.floor(F.col("text_index") / 100).alias("run_id"), RQ.split_override("override_csv").alias("override")))
+    store = _LostOnce(spark, os.path.join(base, "store"), 1)
+    sink = PL.index_sink(store, at["tsv"], at["fwd"], now=_now())
+    for n in range(4):
+        rows.filter(F.col("arrival") == n).drop("arrival").write.mode("append").json(at["in"])
+        run = lambda: PL.start_classify_stream(spark, at["in"], at["out"], at["ckpt"], _scorer(spark),
+                                               files_per_trigger=1_000_000, on_batch=sink).awaitTermination()
+        try:
+            run()
+        except StreamingQueryException as e:
+            if "writer lost" not in str(e):
+                raise
+            run()
+    final = store.current_committed("final_collection", schemas.FINAL_COLLECTION)
+    scores = store.current_committed("scores", schemas.SCORES)
+    overrides = store.read_committed("overrides", schemas.OVERRIDES).select(F.col("id").alias("overrides_id"), "override")
+    tsv = store.committed_files(lambda p: spark.read.schema(
+        ", ".join(f"{c} string" for c in C.OUTPUT_HEADER) + ", batch long, output_path string").option("sep", "\t").option(
+        "header", True).option("multiLine", True).option("escape", '"').csv(p), at["tsv"])
+    sent = store.committed_files(lambda p: spark.read.schema(
+        "bibcode string, scix_id string, status string, collections array<string>, batch long").json(p), at["fwd"])
+    none = F.lit(None)
+    cols = ["bibcode", "scix_id"]
+    parts = [
+        final.join(scores.select(F.col("id").alias("score_id"), "run_id"), "score_id").select(
+            F.lit("final").alias("kind"), none.cast("long").alias("arrival"), *cols, "run_id",
+            F.array_join("collection", "|").alias("collections"),
+            F.when(F.col("validated"), "validated").otherwise("open").alias("status"), none.cast("double").alias("s0"),
+            none.cast("string").alias("output_path")),
+        scores.join(overrides, "overrides_id", "left").select(
+            F.lit("score"), none, *cols, "run_id", F.array_join("override", "|"), none,
+            r6(F.element_at(F.from_json("scores", "scores map<string,double>")["scores"], C.LABELS[0])), none),
+        tsv.select(F.lit("tsv"), "batch", *cols, F.col("run_id").cast("long"), "collections", none, none, "output_path"),
+        sent.select(F.lit("response"), "batch", *cols, none, F.array_join("collections", "|"), "status", none, none)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
 def _claims_events(spark, d):
     v = view(spark, d, "v_claims")
     return v.select("fp", "event_id", F.col("ts_s").cast("double").alias("ts"), "op")

@@ -65,7 +65,12 @@ class SnapshotStore:
 
     A log lives in ``<name>/v<k>``; ``compact`` writes the next version beside
     it and makes it current by creating one marker file, so a crash leaves the
-    old version in force."""
+    old version in force.
+
+    A batch that changes several tables and files becomes visible as one:
+    ``commit`` creates its marker after the last of its writes, and readers of
+    ``committed`` batches see the batches up to it.  One stream with one
+    checkpoint writes a store, so its batches are committed in order."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -143,6 +148,54 @@ class SnapshotStore:
             log = log.join(s_ids, "scix_id", "left_semi").unionByName(log.join(b_ids, "bibcode", "left_semi"))
         return latest_per_key(log, "id", ["batch"]).drop("batch")
 
+    def _commits(self) -> dict[int, str]:
+        """The markers kept (the last two), with the digest each one holds."""
+        fs, p = self._fs(self._path("commits"))
+        if not fs.exists(p):
+            return {}
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return {int(n.split("-")[0]): n.split("-", 1)[1] for n in names if n[:1].isdigit()}
+
+    def committed(self) -> int:
+        """The last committed batch (-1: none)."""
+        return max(self._commits(), default=-1)
+
+    def commit(self, batch_id: int, digest: str = "") -> None:
+        """Show the batch to the readers of committed batches: one empty file,
+        named by the batch and its ``digest``, created after all its writes.
+        The marker before it stays, for a batch that is written again."""
+        fs, p = self._fs(self._path("commits", f"{batch_id}-{digest}"))
+        fs.create(p, True).close()
+        for n, d in self._commits().items():
+            if n < batch_id - 1 or (n == batch_id and d != digest):
+                fs.delete(self._fs(self._path("commits", f"{n}-{d}"))[1], False)
+
+    def begin(self, batch_id: int, digest: str = "") -> bool:
+        """Whether the batch is to be written: not if it is committed with the
+        same input.  With other input (a claim that has run out since) it is
+        hidden and written anew.  A batch before the last one is an error: it
+        comes from another checkpoint, whose batches need their own store."""
+        done = self._commits()
+        if batch_id < max(done, default=-1):
+            raise ValueError(f"batch {batch_id} is older than the last one committed to {self.root}")
+        if batch_id in done and done[batch_id] != digest:
+            fs, p = self._fs(self._path("commits", f"{batch_id}-{done.pop(batch_id)}"))
+            fs.delete(p, False)
+        return batch_id not in done
+
+    def read_committed(self, name: str, schema) -> DataFrame:
+        """Rows of an append-only table from committed batches."""
+        return self.read(name, schema, self.committed() + 1)
+
+    def current_committed(self, name: str, schema, records: DataFrame | None = None) -> DataFrame:
+        """``current`` as of the last committed batch."""
+        return self.current(name, schema, self.committed() + 1, records)
+
+    def committed_files(self, reader, root: str) -> DataFrame:
+        """Rows of ``root/batch=<id>`` of committed batches; ``reader(path)``
+        opens the files, the batch column selects folders before any is read."""
+        return reader(root).filter(F.col("batch") <= F.lit(self.committed()))
+
     def write_changes(self, name: str, changes: DataFrame, batch_id: int) -> None:
         self._append(self._log_path(name), changes, batch_id)
 

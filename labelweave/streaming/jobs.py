@@ -156,24 +156,42 @@ def start_event_stream(spark: SparkSession, src: str, sink: str, checkpoint: str
     return w.start()
 
 
+def input_digest(df: DataFrame) -> str:
+    """Rows and the sum of their hashes over the request's own columns: equal
+    for the same rows in any order (scores may differ in their last digits)."""
+    cols = [f.name for f in REQUEST if f.name in df.columns]
+    r = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))).first()
+    return f"{r[0]}-{r[1] or 0}"
+
+
 def index_sink(store, tsv_root: str, forward_root: str, now=None, default_step: str = C.DEFAULT_OPERATION_STEP):
     """H1 ``on_batch`` step after classification.  G8 routes every row by its
     own step: to G1 index, to G3-G5 validation, or straight to the TSV; both
     transitions see the stored state as of before this batch, and only their
-    changes are stored.  A10 TSV rows and A11 responses follow G9.  Every
-    output of batch ``n`` is written under ``batch=<n>`` and replaced if the
-    batch is replayed."""
+    changes are stored.  A10 TSV rows and A11 responses follow G9; TSV rows lie
+    under their own ``output_path`` (a partition folder) where rows name one.
+
+    Every output of batch ``n`` is written under ``batch=<n>`` and the batch is
+    committed to the store last: a crash between the writes shows none of them
+    to readers of committed batches (``current_committed``,
+    ``committed_files``), and the replay writes them all again.  The replay of
+    a committed batch changes nothing.  Of requests for one record in a
+    micro-batch the last one is indexed, so the number of score rows follows
+    the batch cut; TSV rows are one per request."""
     from labelweave import schemas
     from labelweave.operators import latest as L
     from labelweave.operators import state as ST
     from labelweave.operators.output import output_row, score_payload
-    from labelweave.sources.writers import to_response
+    from labelweave.sources.writers import _tsv_writer, to_response
 
     def last_id(name, batch_id):
         log = store.log(name, batch_id)
         return L.max_id(log) if log is not None else F.lit(0)
 
     def on_batch(classified: DataFrame, batch_id: int) -> None:
+        digest = input_digest(classified)
+        if not store.begin(batch_id, digest):
+            return
         ts = now if now is not None else F.current_timestamp()
         recs = classified
         for c, t in (("run_id", "long"), ("operation_step", "string"), ("bibcode", "string"),
@@ -198,14 +216,15 @@ def index_sink(store, tsv_root: str, forward_root: str, now=None, default_step:
         store.write_changes("scores", changes.scores, batch_id)
         store.write_changes("final_collection", changes.final, batch_id)
         write_tsv, fwd = ST.output_actions(F.col("operation_step"), F.lit(C.STATUS_INDEXED))
-        rows = output_row(recs.filter(write_tsv))
-        (rows.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", '"')
-             .option("escape", '"').option("escapeQuotes", True).option("ignoreLeadingWhiteSpace", False)
-             .option("ignoreTrailingWhiteSpace", False).csv(os.path.join(tsv_root, f"batch={batch_id}")))
+        by_path = "output_path" in recs.columns
+        recs = recs.withColumn("output_path", nonblank("output_path")) if by_path else recs
+        tsv = _tsv_writer(output_row(recs.filter(write_tsv), ("output_path",) if by_path else ()), "overwrite")
+        (tsv.partitionBy("output_path") if by_path else tsv).csv(os.path.join(tsv_root, f"batch={batch_id}"))
         sent = res.join(recs.filter(fwd).select("input_index"), "input_index", "left_semi").select(
             "bibcode", "scix_id", F.lit("success").alias("status"), F.col("final_collections").alias("collections"))
         validated = outcome.join(checks.select("input_index", "override"), "input_index").select(
             "bibcode", "scix_id", "status", F.col("override").alias("collections"))
         to_response(sent.unionByName(validated)).write.mode("overwrite").text(
             os.path.join(forward_root, f"batch={batch_id}"))
+        store.commit(batch_id, digest)
     return on_batch

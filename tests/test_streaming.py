@@ -260,3 +260,62 @@ def test_claims_are_scoped_by_output_path(spark, tmp_path):
     assert [r["stage"] for r in seen] == ["index_inflight"]
     stages = {r["stage"]: r["lease_until"] for r in store.current("claims", schemas.CLAIMS).collect()}
     assert stages == {"indexed_done": None}
+
+
+def test_a_batch_killed_between_its_writes_is_not_seen(spark, tmp_path):
+    import pytest
+
+    from labelweave import schemas
+    from labelweave.operators import scoring as SC
+    from labelweave.sources.writers import SnapshotStore
+
+    class Killed(SnapshotStore):
+        at = None
+
+        def _stop(self, step):
+            if step == self.at:
+                raise RuntimeError("killed")
+
+        def write_changes(self, name, changes, batch_id):
+            self._stop(name)
+            super().write_changes(name, changes, batch_id)
+
+        def commit(self, batch_id, digest=""):
+            self._stop("commit")
+            super().commit(batch_id, digest)
+
+    tsv, fwd = str(tmp_path / "tsv"), str(tmp_path / "fwd")
+    store = Killed(spark, str(tmp_path / "store"))
+    write = PL.classify_batch_writer(SC.HashedLinearScorer(SC.default_weights(spark)), str(tmp_path / "out"),
+                                     on_batch=PL.index_sink(store, tsv, fwd, now=F.lit(0).cast("timestamp")))
+
+    def batch(ids, path):
+        return spark.createDataFrame([(i, f"2024Test.{i:010d}", "classify", path) for i in ids],
+                                     "input_index long, bibcode string, operation_step string, output_path string").selectExpr(
+            "*", "cast(null as string) as scix_id", "cast(null as array<string>) as override", "cast(1 as long) as run_id",
+            "'a title' as title", "'an abstract' as abstract")
+
+    def seen():
+        csv = spark.read.schema("bibcode string, batch long, output_path string").option("sep", "\t").option("header", True)
+        return (store.current_committed("scores", schemas.SCORES).count(),
+                store.current_committed("final_collection", schemas.FINAL_COLLECTION).count(),
+                sorted((r["batch"], r["output_path"]) for r in store.committed_files(csv.csv, tsv).collect()),
+                store.committed_files(lambda p: spark.read.text(p), fwd).count())
+
+    assert store.committed() == -1
+    write(batch([1, 2], "a/b"), 0)
+    first = (2, 2, [(0, "a/b")] * 2, 2)
+    assert seen() == first
+    for step in ("scores", "final_collection", "commit"):
+        store.at = step
+        with pytest.raises(RuntimeError):
+            write(batch([2, 3, 4], None), 1)
+        assert seen() == first and store.committed() == 0
+    store.at = None
+    for _ in range(2):  # the second time it is committed already
+        write(batch([2, 3, 4], None), 1)
+        assert seen() == (4, 4, [(0, "a/b")] * 2 + [(1, None)] * 3, 5) and store.committed() == 1
+    with pytest.raises(ValueError):
+        write(batch([9], None), 0)  # of another checkpoint
+    write(batch([2, 3, 4, 5], None), 1)  # the last batch came out larger: written anew
+    assert seen()[:2] == (5, 5) and seen()[3] == 6
