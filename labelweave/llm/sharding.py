@@ -3,7 +3,9 @@
 What is placed are groups of equal texts, at the metadata of their first
 document.  The tree splits recursively, along the dimension in which a node's
 groups are spread widest, at the weighted median (the share of bytes its two
-sides are to hold), until every leaf holds one shard's target bytes.  Medians
+sides are to hold), until every leaf holds one shard's target bytes.  A large group that fits one shard is
+given to one beforehand, and the tree splits what is left of the shards' bytes.
+Medians
 are found on the executors digit by digit: each round sums weights per node
 and digit of the sort key, so what reaches the driver is bounded by the number
 of shards, whatever the input.
@@ -18,8 +20,9 @@ from pyspark.sql import functions as F
 from labelweave.llm.common import ROW, drop_stage, utf8_size, with_row_identity, write_stage
 
 SHARDS, ROW_BYTES = 40, 16
-#: A group of equal texts larger than 1/4 of a shard is cut in pieces of 1/16.
-WHOLE_PER_SHARD, PIECES_PER_SHARD = 4, 16
+#: Groups of equal texts over 1/4 of a shard are placed before the tree is cut;
+#: those that exceed a shard, or fit none any more, in pieces of 1/16.
+LARGE_PER_SHARD, PIECES_PER_SHARD = 4, 16
 #: A median is close enough when what is left unsplit is below this share of a shard.
 TOLERANCE = 0.001
 #: Sort keys: 16 bits of the coordinate, then 32 bits of the group's hash.
@@ -38,15 +41,21 @@ def _size_coord(c: str) -> Column:
 
 
 class Node:
-    """A node of the tree: ``shards`` to hold below it, and its split."""
+    """A node of the tree: the bytes that each shard below it has room for,
+    and its split."""
 
-    def __init__(self, number: int, shards: int):
-        self.number, self.shards = number, shards
+    def __init__(self, number: int, room: list[float]):
+        self.number, self.room = number, room
         self.dim = self.cut = self.left = self.right = None
 
     def leaves(self) -> list["Node"]:
         return [self] if self.left is None else self.left.leaves() + self.right.leaves()
 
+    def left_share(self) -> float:
+        """Share of the node's bytes that goes to its left half of shards."""
+        left, all_ = sum(self.room[:len(self.room) // 2]), sum(self.room)
+        return left / all_ if all_ > 0 else (len(self.room) // 2) / len(self.room)
+
     def place(self, value=lambda n: n.number) -> Column:
         """Column expression: the leaf a unit falls in."""
         if self.left is None:
@@ -71,7 +80,7 @@ def _cuts(units: DataFrame, root: Node, nodes: list[Node], tolerance: float) ->
     for r in here.groupBy("node").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"), *sums).collect():
         spread = {d: r.n * r[f"q_{d}"] - r[f"s_{d}"] ** 2 for d in DIMENSIONS}
         by[r.node].dim, total[r.node] = max(DIMENSIONS, key=lambda d: spread[d]), r.w
-    goal = {n: total[n] * (by[n].shards // 2) / by[n].shards for n in by}
+    goal = {n: total[n] * by[n].left_share() for n in by}
     prefix, below, open_ = {n: 0 for n in by}, {n: 0 for n in by}, {n for n in by if total[n]}
     for n in by:
         by[n].dim, by[n].cut = by[n].dim or DIMENSIONS[0], 0
@@ -95,15 +104,29 @@ def _cuts(units: DataFrame, root: Node, nodes: list[Node], tolerance: float) ->
                 open_.discard(n)
 
 
-def kd_tree(units: DataFrame, shards: int, shard_bytes: float) -> Node:
-    root = Node(1, shards)
-    while level := [n for n in root.leaves() if n.shards > 1]:
+def kd_tree(units: DataFrame, room: list[float], shard_bytes: float) -> Node:
+    """The tree whose leaf ``i`` holds about ``room[i]`` bytes of the units."""
+    root = Node(1, room)
+    while level := [n for n in root.leaves() if len(n.room) > 1]:
         _cuts(units, root, level, TOLERANCE * shard_bytes)
         for n in level:
-            n.left, n.right = Node(2 * n.number, n.shards // 2), Node(2 * n.number + 1, n.shards - n.shards // 2)
+            half = len(n.room) // 2
+            n.left, n.right = Node(2 * n.number, n.room[:half]), Node(2 * n.number + 1, n.room[half:])
     return root
 
 
+def place_large(sizes: list[int], shards: int, shard_bytes: float) -> tuple[list[int | None], list[float]]:
+    """A shard for each large group (given largest first): the fullest one it
+    still fits, None if there is none; and the room left in every shard."""
+    room, at = [shard_bytes] * shards, []
+    for w in sizes:
+        fits = [i for i in range(shards) if w <= room[i]]
+        at.append(min(fits, key=lambda i: (room[i], i)) if fits else None)
+        if fits:
+            room[at[-1]] -= w
+    return at, room
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``row_file, row_index, doc_id, size, text_crc32, shard, slot`` for
     every row of ``docs`` (``doc_id, text, source, lang`` and any further
@@ -111,8 +134,11 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     without gaps in each.
 
     Size is the text's UTF-8 bytes (null: none) plus 16.  Equal texts (null
-    and empty are equal) share a shard unless together they exceed 1/4 of
-    one; then pieces of about 1/16 are placed side by side.
+    and empty are equal) share a shard unless together they exceed one, or are
+    over 1/4 of one and no shard has room for them beside larger such groups;
+    then pieces of about 1/16 are placed side by side.  One text longer than a
+    shard stays whole, in a shard larger than the others.  Repeated rows are
+    rows of their own.
     Null metadata has coordinate 0.  With fewer rows than shards some shards
     stay empty; an empty table gives an empty result."""
     spark = docs.sparkSession
@@ -123,21 +149,26 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         F.col("doc.source").alias("source"), F.col("doc.lang").alias("lang")), "rows")
     shard_bytes = (rows.agg(F.sum("size")).first()[0] or 0) / shards
     piece = max(1.0, shard_bytes / PIECES_PER_SHARD)
-    # at most shards * WHOLE_PER_SHARD groups can exceed a whole one's limit
-    big = rows.groupBy("same").agg(F.sum("size").alias("all")).filter(F.col("all") > shard_bytes / WHOLE_PER_SHARD).select(
-        "same", F.ceil(F.col("all") / piece).alias("pieces"))
+    # at most shards * LARGE_PER_SHARD groups are that large, so the driver can place them
+    large = sorted(rows.groupBy("same").agg(F.sum("size").alias("all")).filter(F.col("all") > shard_bytes / LARGE_PER_SHARD)
+                   .collect(), key=lambda r: (-r["all"], bytes(r["same"])))
+    at, room = place_large([r["all"] for r in large], shards, shard_bytes)
+    big = spark.createDataFrame([(r["same"], -int(-r["all"] // piece), i) for r, i in zip(large, at)],
+                                "same binary, pieces long, given int")
     rows = rows.join(F.broadcast(big), "same", "left").withColumn("piece", F.coalesce(
         F.pmod(F.xxhash64(*ROW), F.col("pieces")), F.lit(0)).cast("long")).drop("pieces")
     lead = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *ROW, "size", "source", "lang"))
     tie = F.pmod(F.xxhash64("same", "piece"), F.lit(1 << TIE_BITS))
-    units = rows.groupBy("same", "piece").agg(F.sum("size").alias("w"), lead.alias("lead")).select(
-        "same", "piece", "w", tie.alias("tie"), "lead.size", "lead.source", "lead.lang")
-    units = units.select("same", "piece", "w", *[(F.shiftleft(c, TIE_BITS) + F.col("tie")).alias(d) for d, c in zip(
+    units = rows.groupBy("same", "piece").agg(
+        F.sum("size").alias("w"), lead.alias("lead"), F.max("given").alias("given")).select(
+        "same", "piece", "w", "given", tie.alias("tie"), "lead.size", "lead.source", "lead.lang")
+    units = units.select("same", "piece", "w", "given", *[(F.shiftleft(c, TIE_BITS) + F.col("tie")).alias(d) for d, c in zip(
         DIMENSIONS, (_size_coord("size"), _name_coord("source"), _name_coord("lang")))])
     units, units_path = write_stage(units, "units")
-    root = kd_tree(units, shards, shard_bytes)
+    root = kd_tree(units.filter(F.col("given").isNull()), room, shard_bytes)
     number = {n.number: i for i, n in enumerate(root.leaves())}
-    placed = rows.join(units.select("same", "piece", root.place(lambda n: number[n.number]).alias("shard")), ["same", "piece"])
+    shard = F.coalesce("given", root.place(lambda n: number[n.number]))
+    placed = rows.drop("given").join(units.select("same", "piece", shard.alias("shard")), ["same", "piece"])
     placed, _ = write_stage(placed.select(
         *ROW, "doc_id", "size", "text_crc32", "shard",
         F.pmod(F.xxhash64(*ROW), F.lit(SLOT_BUCKETS)).alias("bucket")), "placed")

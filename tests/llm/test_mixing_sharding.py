@@ -3,6 +3,8 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from labelweave.llm import mixing, sharding
@@ -110,3 +112,75 @@ def test_sharding_edge_rows(edge, empty, spark):
                                 "doc_id long, text string, source string, lang string")
     got = sharding.shard_documents(few, shards=5).collect()
     assert len(got) == 3 and len({(r.shard, r.slot) for r in got}) == 3
+
+
+def _brute_kd(rows, shards):
+    """The tree cut in plain Python, groups that fit a shard placed first (none here exceeds one)."""
+    crc = lambda v: 0 if v is None else zlib.crc32(v.encode()) >> 16
+    groups, lead = Counter(), {}
+    for d, t, s, g in rows:
+        same = hashlib.sha256(t.encode()).digest()
+        unit = same, 0
+        size = len(t.encode()) + 16
+        groups[unit] += size
+        lead[unit] = min(lead.get(unit, (d, size, s, g)), (d, size, s, g))
+    total = Counter()
+    for (same, _), w in groups.items():
+        total[same] += w
+    target = sum(total.values()) / shards
+    room, given = [target] * shards, {}
+    for same, w in sorted(total.items(), key=lambda x: (-x[1], x[0])):
+        fits = sorted((r, i) for i, r in enumerate(room) if r >= w)
+        if w > target / 4 and fits:
+            given[same] = fits[0][1]
+            room[fits[0][1]] -= w
+    units = []
+    for unit, w in groups.items():
+        if unit[0] not in given:
+            _, size, s, g = lead[unit]
+            tie = xxhash.xxh64(unit[1].to_bytes(8, "little"), seed=xxhash.xxh64(unit[0], seed=42).intdigest()).intdigest() % 2 ** 32
+            c = (min(math.floor(math.log2(size + 1) / 40 * 65536), 65535), crc(s), crc(g))
+            units.append((unit, w, [x * 2 ** 32 + tie for x in c]))
+    out = {u: given[u[0]] for u in groups if u[0] in given}
+
+    def split(part, room, first):
+        if len(room) == 1:
+            out.update({u: first for u, _, _ in part})
+            return
+        half = len(room) // 2
+        spread = [len(part) * sum((k[d] >> 38) ** 2 for *_, k in part) - sum(k[d] >> 38 for *_, k in part) ** 2 for d in range(3)]
+        d = spread.index(max(spread))
+        goal, low, cut = sum(w for _, w, _ in part) * (sum(room[:half]) / sum(room)), 0, 0
+        for _, w, k in sorted(part, key=lambda u: u[2][d]):
+            if low + w >= goal:
+                cut = k[d] + (goal - low > low + w - goal)
+                break
+            low += w
+        split([u for u in part if u[2][d] < cut], room[:half], first)
+        split([u for u in part if u[2][d] >= cut], room[half:], first + half)
+    split(units, room, 0)
+    return out
+
+
+def test_shards_are_those_of_a_plain_kd_tree(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "TOLERANCE", 0)
+    rng = np.random.default_rng(4)
+    rows = [(i, "x" * int(2 ** rng.uniform(0, 9)) + str(i), f"s{int(rng.integers(6))}", [None, "en", "de"][int(rng.integers(3))])
+            for i in range(440)]
+    rows += [(1000 + i, "copied text " * 8, "s1", "en") for i in range(60)]  # fits a shard
+    rows += [(2000 + i, "another " * 7, "s9", None) for i in range(70)]      # fits one, too
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r.doc_id: r.shard for r in sharding.shard_documents(df, shards=5).collect()}
+    text = {d: t for d, t, *_ in rows}
+    assert len({got[d] for d in got if 1000 <= d < 2000}) == 1 and len({got[d] for d in got if d >= 2000}) == 1
+    want = _brute_kd(rows, 5)
+    assert got == {d: want[hashlib.sha256(t.encode()).digest(), 0] for d, t in text.items()}
+    load = Counter()
+    for d, n in got.items():
+        load[n] += len(text[d]) + 16
+    assert max(load.values()) < 1.06 * min(load.values())
+
+
+def test_large_groups_take_the_fullest_shard_they_fit():
+    assert sharding.place_large([9, 6, 5, 4, 3, 3], 3, 10.0) == ([0, 1, 2, 1, 2, None], [1.0, 0.0, 2.0])
+    assert sharding.place_large([25], 2, 10.0) == ([None], [10.0, 10.0])
