@@ -34,14 +34,15 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])))[A-Z]{2}[0-9]{2}",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
 }
-CONTEXT = {
-    "email": "mail|contact|write to|correo|courriel",
-    "ip": "ip|host|server|address|login",
-    "card": "card|visa|master|credit|payment|karte|carte|tarjeta",
-    "phone": "phone|call|tel|mobile|fax|handy|anruf",
+#: Context words, whole ones (a plural s may follow).
+CONTEXT = {kind: rf"\b(?:{words})s?\b" for kind, words in {
+    "email": "mail|e-?mail|mailto|contact|write to|correo|courriel",
+    "ip": "ip|host|server|address|addresse|login",
+    "card": "card|visa|master|mastercard|credit|payment|karte|kreditkarte|carte|tarjeta",
+    "phone": "phone|telephone|telefon|call|tel|mobile|fax|handy|anruf",
     "iban": "iban|bank|account|konto|compte|cuenta",
     "ssn": "ssn|social|security",
-}
+}.items()}
 #: Score of a confirmed span, and what a context word beside it adds.
 SCORES = {"email": (0.9, 0.1), "ip": (0.6, 0.3), "card": (0.8, 0.2), "phone": (0.6, 0.3), "iban": (0.8, 0.2),
           "ssn": (0.4, 0.5)}
@@ -126,7 +127,9 @@ def find_pii(docs: DataFrame) -> DataFrame:
     """``docs`` rows as ``doc`` (struct of the input columns) plus ``spans``:
     array of (start, rank, end, kind, value, score), offsets in code points,
     end exclusive, ordered by start and kind.  Null and empty texts have an
-    empty array; repeated rows are treated each on its own."""
+    empty array; repeated rows are treated each on its own, a text of any
+    length in time that grows with it, and an empty table gives an empty
+    result.  Input columns may have any names."""
     text = F.coalesce(F.col("text"), F.lit(""))
     out = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"),
                       F.coalesce(docs["text"], F.lit("")).alias("text"))

@@ -82,3 +82,12 @@ def test_edge_rows_and_redaction(edge, empty, spark):
     df = spark.createDataFrame([(1, "write to a@b.co or +1 555 010 9999"), (2, None)], "doc_id long, text string")
     got = {r.doc_id: r.redacted for r in pii.redact(pii.find_pii(df)).collect()}
     assert got == {1: "write to [EMAIL] or [PHONE]", 2: None}
+
+
+def test_context_words_are_whole_words(spark):
+    texts = ["078-05-1120 antisocialite", "078-05-1120 socialites", "078-05-1120 insecurity", "social: 078-05-1120", "SSNs 078-05-1120",
+             "hotel +49 30 1234567", "tel. +49 30 1234567", "ship 10.1.2.3", "hosts 10.1.2.3"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc.doc_id: [(s.kind, round(s.score, 2)) for s in r.spans] for r in pii.find_pii(df).collect()}
+    assert [got[i] for i in range(3)] == [[], [], []] and got[3] == got[4] == [("ssn", 0.9)]
+    assert got[5] == [("phone", 0.6)] and got[6] == [("phone", 0.9)] and got[7] == [("ip", 0.6)] and got[8] == [("ip", 0.9)]
