@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from labelweave import config as C
@@ -152,7 +152,8 @@ def get_or_create_model(models: DataFrame, runs: DataFrame, model: Column, postp
 
 def index_batch(state: State, records: DataFrame, now: Column, payload_col: str = "payload",
                 override_mode: str = "batch", score_id_base: Column | None = None,
-                final_id_base: Column | None = None) -> tuple[Changes, DataFrame]:
+                final_id_base: Column | None = None,
+                observe: Observation | None = None) -> tuple[Changes, DataFrame]:
     """G1 (mode 'batch') / G2 (mode 'newest'): resolve overrides, reuse or
     append score rows, update or insert final rows.  G1 matches scix_id first,
     then bibcode; G2 takes the newest row of either id, also for scores and
@@ -161,7 +162,9 @@ def index_batch(state: State, records: DataFrame, now: Column, payload_col: str
 
     The resolved batch is materialised once (checkpoint) and new ids are
     assigned on that copy, so every output (score rows, final upserts,
-    results) sees the same ids and no branch re-derives the joins."""
+    results) sees the same ids and no branch re-derives the joins.  With
+    ``observe`` the E16 counters are taken while that copy is written
+    (``observed_counters``)."""
     # ``*_id_base``: current max ids when ``state`` holds only a prefetched
     # subset of the tables (default: max over the given tables)
     # the deduplicated batch is materialised once: every lookup prefetches by
@@ -183,8 +186,11 @@ def index_batch(state: State, records: DataFrame, now: Column, payload_col: str
     new_fc = L.with_surrogate_ids(f.filter(F.col("fc_id").isNull()).select("input_index"),
                                   final_id_base if final_id_base is not None else L.max_id(state.final),
                                   ["input_index"], "new_final_id")
-    res = cut_lineage(f.join(new_sc, "input_index", "left").join(new_fc, "input_index", "left")
-                      .withColumn("score_id", F.coalesce(F.col("existing_score_id"), F.col("new_score_id"))))
+    res = (f.join(new_sc, "input_index", "left").join(new_fc, "input_index", "left")
+           .withColumn("score_id", F.coalesce(F.col("existing_score_id"), F.col("new_score_id"))))
+    if observe is not None:
+        res = res.observe(observe, *_counters(F.col("new_score_id").isNotNull(), F.col("fc_id").isNotNull()))
+    res = cut_lineage(res)
     score_rows = res.filter(F.col("new_score_id").isNotNull()).select(
         F.col("new_score_id").alias("id"), "bibcode", "scix_id", F.col("_payload").alias("scores"),
         now.alias("created"), F.col("overrides_id").cast("long").alias("overrides_id"),
@@ -211,13 +217,27 @@ def index_batch(state: State, records: DataFrame, now: Column, payload_col: str
     return Changes(scores=score_rows.select(*state.scores.columns), final=final), results
 
 
+def _counters(new_score: Column, final_updated: Column) -> list[Column]:
+    return [F.count(F.lit(1)).alias("record_count"), F.count_if(new_score).alias("new_score_rows"),
+            F.count_if(~new_score).alias("reused_score_rows"), F.count_if(~final_updated).alias("new_final_rows"),
+            F.count_if(final_updated).alias("updated_final_rows")]
+
+
+COUNTERS = "record_count long, new_score_rows long, reused_score_rows long, new_final_rows long, updated_final_rows long"
+
+
 def index_counters(results: DataFrame, batch_col: str | None = None) -> DataFrame:
     """Record count, new / reused score rows, new / updated final rows."""
     g = results.groupBy(batch_col) if batch_col else results.groupBy()
-    return g.agg(F.count(F.lit(1)).alias("record_count"), F.count_if("new_score").alias("new_score_rows"),
-                 F.count_if(~F.col("new_score")).alias("reused_score_rows"),
-                 F.count_if(~F.col("final_updated")).alias("new_final_rows"),
-                 F.count_if("final_updated").alias("updated_final_rows"))
+    return g.agg(*_counters(F.col("new_score"), F.col("final_updated")))
+
+
+def observed_counters(spark, observation: Observation) -> DataFrame:
+    """E16 of one ``index_batch``, as seen by its own write: no further job
+    reads the batch.  One row."""
+    seen = observation.get
+    names = [c.split()[0] for c in COUNTERS.split(", ")]
+    return spark.createDataFrame([tuple(int(seen.get(n, 0)) for n in names)], COUNTERS)
 
 
 def set_validation(df: DataFrame, flag: Column, now: Column) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from labelweave import config as C
@@ -989,14 +989,26 @@ def g02(spark, d):
                       F.array_join("final_collections", "|").alias("final_collections"))
 
 
-@register("e16_index_counters", _G_SQL + """
+_E16_SQL = _G_SQL + """
 select count(*) as record_count, count(*) filter (where new_score) as new_score_rows,
  count(*) filter (where not new_score) as reused_score_rows, count(*) filter (where not final_updated)
- as new_final_rows, count(*) filter (where final_updated) as updated_final_rows from gres""")
+ as new_final_rows, count(*) filter (where final_updated) as updated_final_rows from gres"""
+
+
+@register("e16_index_counters", _E16_SQL)
 def e16(spark, d):
     return ST.index_counters(_g01_results(spark, d))
 
 
+@register("e16b_observed_counters", _E16_SQL)
+def e16b(spark, d):
+    """The counters as the write of the indexed batch saw them."""
+    st, _, _ = fixture_state(spark, d)
+    counted = Observation("e16b")
+    ST.index_batch(st, fixture_records(spark, d), _now(), observe=counted)
+    return ST.observed_counters(spark, counted)
+
+
 def fixture_validations(spark, d):
     v = view(spark, d, "v_scored")
     i = F.col("input_index") % 16

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
@@ -171,7 +171,8 @@ def index_sink(store, tsv_root: str, forward_root: str, now=None, default_step:
     changes are stored.  A10 TSV rows and A11 responses follow G9; TSV rows lie
     under their own ``output_path`` (a partition folder) where rows name one.
 
-    Every output of batch ``n`` is written under ``batch=<n>`` and the batch is
+    The batch's E16 counters are taken by its own write and kept in the table
+    ``counters``.  Every output of batch ``n`` is written under ``batch=<n>`` and the batch is
     committed to the store last: a crash between the writes shows none of them
     to readers of committed batches (``current_committed``,
     ``committed_files``), and the replay writes them all again.  The replay of
@@ -207,8 +208,10 @@ def index_sink(store, tsv_root: str, forward_root: str, now=None, default_step:
         state = ST.State(store.read("overrides", schemas.OVERRIDES, batch_id),
                          store.current("scores", schemas.SCORES, batch_id, known),
                          store.current("final_collection", schemas.FINAL_COLLECTION, batch_id, known))
+        counted = Observation(f"index-{batch_id}")
         indexed, res = ST.index_batch(state, ident, ts, score_id_base=last_id("scores", batch_id),
-                                      final_id_base=last_id("final_collection", batch_id))
+                                      final_id_base=last_id("final_collection", batch_id), observe=counted)
+        store.append("counters", ST.observed_counters(classified.sparkSession, counted), batch_id)
         checked, outcome = ST.validate(state.apply(indexed), checks.select(
             "input_index", "bibcode", "scix_id", "override"), ts)
         changes = indexed.then(checked)

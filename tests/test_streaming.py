@@ -267,6 +267,7 @@ def test_a_batch_killed_between_its_writes_is_not_seen(spark, tmp_path):
 
     from labelweave import schemas
     from labelweave.operators import scoring as SC
+    from labelweave.operators import state as ST
     from labelweave.sources.writers import SnapshotStore
 
     class Killed(SnapshotStore):
@@ -319,3 +320,5 @@ def test_a_batch_killed_between_its_writes_is_not_seen(spark, tmp_path):
         write(batch([9], None), 0)  # of another checkpoint
     write(batch([2, 3, 4, 5], None), 1)  # the last batch came out larger: written anew
     assert seen()[:2] == (5, 5) and seen()[3] == 6
+    counted = store.read_committed("counters", ST.COUNTERS).collect()
+    assert sorted(tuple(r) for r in counted) == [(2, 2, 0, 2, 0), (4, 3, 1, 3, 1)]
