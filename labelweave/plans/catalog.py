@@ -1953,14 +1953,13 @@ def h01b(spark, d):
     from pyspark.errors import StreamingQueryException
 
     from labelweave import schemas
-    from labelweave.session import cut_lineage
     base = scratch_dir(spark, "h01b")
     at = {k: os.path.join(base, k) for k in ("in", "out", "tsv", "fwd", "ckpt")}
     rows = spark.sql("select * from " + _H01B_SRC.replace("v_requests", "{v_requests}"), v_requests=view(spark, d, "v_requests"))
     path = F.when(F.col("text_index") % 3 != 0, F.concat(F.lit("out/"), (F.col("text_index") % 2).cast("string")))
-    rows = cut_lineage(I.split_identifier(rows, "identifier").select(
+    rows = I.split_identifier(rows, "identifier").select(
         "arrival", "input_index", "bibcode", "scix_id", "title", "abstract", "operation_step", path.alias("output_path"),
-        F.floor(F.col("text_index") / 100).alias("run_id"), RQ.split_override("override_csv").alias("override")))
+        F.floor(F.col("text_index") / 100).alias("run_id"), RQ.split_override("override_csv").alias("override"))
     store = _LostOnce(spark, os.path.join(base, "store"), 1)
     sink = PL.index_sink(store, at["tsv"], at["fwd"], now=_now())
     for n in range(4):

@@ -202,7 +202,9 @@ def index_sink(store, tsv_root: str, forward_root: str, now=None, default_step:
         recs = recs.withColumn("operation_step", F.coalesce(F.col("operation_step"), F.lit(default_step)))
         recs = recs.withColumn("payload", score_payload())
         recs = recs.withColumn("route", ST.route_index(recs))
-        ident = recs.filter((F.col("route") == "index") & (nonblank("bibcode").isNotNull() | nonblank("scix_id").isNotNull()))
+        # only what indexing needs: texts and score arrays stay out of its shuffles and copies
+        ident = recs.filter((F.col("route") == "index") & (nonblank("bibcode").isNotNull() | nonblank("scix_id").isNotNull())).select(
+            "input_index", "bibcode", "scix_id", "run_id", "collections", "payload")
         checks = recs.filter(F.col("route") == "validate")
         known = recs.filter(F.col("route") != "pass_through").select("bibcode", "scix_id")
         state = ST.State(store.read("overrides", schemas.OVERRIDES, batch_id),
