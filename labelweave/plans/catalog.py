@@ -1615,8 +1615,10 @@ from labelweave.sources import readers as RD  # noqa: E402
 from labelweave.sources import writers as WR  # noqa: E402
 
 
-def _csv_out(df: DataFrame, path: str, sep: str = ",", header: bool = True, parts: int = 3) -> None:
-    (df.repartition(parts).write.mode("overwrite").option("sep", sep).option("header", header)
+def _csv_out(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:
+    """Files of about ``advisoryPartitionSizeInBytes`` however many rows there
+    are: a file with quoted newlines is read by one task."""
+    (df.hint("rebalance").write.mode("overwrite").option("sep", sep).option("header", header)
        .option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", False)
        .option("ignoreTrailingWhiteSpace", False).csv(path))
 
@@ -1738,9 +1740,9 @@ select identifier, coalesce(title, '') as title, coalesce(abstract, '') as abstr
 def a07(spark, d):
     base = scratch_dir(spark, "a07")
     v = view(spark, d, "v_requests").select("identifier", "title", "abstract")
-    _csv_out(v.filter(F.col("input_index") % 2 == 0), base + "-w1", sep="\t", parts=2)
-    _csv_out(v.filter(F.col("input_index") % 2 == 1).toDF("id", "t", "a"), base + "-w2", sep="\t", parts=1)
-    _csv_out(v.filter(F.col("input_index") % 3 == 0), base + "-w3", sep="\t", parts=1)  # not read: prefix q_
+    _csv_out(v.filter(F.col("input_index") % 2 == 0), base + "-w1", sep="\t")
+    _csv_out(v.filter(F.col("input_index") % 2 == 1).toDF("id", "t", "a"), base + "-w2", sep="\t")
+    _csv_out(v.filter(F.col("input_index") % 3 == 0), base + "-w3", sep="\t")  # not read: prefix q_
     rename_parts(spark, base + "-w1", base, "p_", ".tsv")
     rename_parts(spark, base + "-w2", base, "p_x", ".tsv")
     rename_parts(spark, base + "-w3", base, "q_", ".tsv")

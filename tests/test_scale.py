@@ -1,4 +1,6 @@
 """Positions and ranks at sizes where partitions are not merged into one."""
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,3 +63,48 @@ def test_missing_stage_counts_as_unknown(spark):
     lat = {r["stage"]: r["count"] for r in M.stage_latency(ev).collect()}
     assert lat == {"unknown": 2, "classify": 1}
     assert [(r["stage"], r["errors"]) for r in M.errors_by_stage(ev).collect()] == [("unknown", 1)]
+
+
+def _split_files(spark, folder, files=3, rows=4000):
+    for n in range(files):
+        with open(os.path.join(folder, f"f{n}.csv"), "w") as f:
+            f.write("bibcode,title,abstract\n" + "".join(f"2024Test.{n * rows + i:010d},t{i},a\n" for i in range(rows)))
+
+
+def test_reading_order_needs_no_sort(spark, tmp_path, monkeypatch):
+    _split_files(spark, str(tmp_path))
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")  # a file is many splits
+    monkeypatch.setattr(RD, "dense_index", lambda *a: pytest.fail("rows were sorted"))
+    try:
+        got = {r["bibcode"]: r["input_index"] for r in RD.read_new_records(spark, str(tmp_path), multi_line=False).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+    assert got == {f"2024Test.{i:010d}": i for i in range(12_000)}
+
+
+def test_reading_order_after_rows_were_dropped(spark, tmp_path):
+    _split_files(spark, str(tmp_path))
+    rows = RD.with_file_position(RD._csv(spark, str(tmp_path), multi_line=False)).filter("not _first and c0 like '%7'")
+    got = sorted((r["input_index"], r["c0"]) for r in RD.reading_order_index(rows).collect())
+    assert got == [(i, f"2024Test.{i * 10 + 7:010d}") for i in range(1200)]
+
+
+def test_csv_files_do_not_grow_with_the_input(spark, tmp_path):
+    from labelweave.plans.catalog import _csv_out
+    keep = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    most = []
+    try:
+        for n in (20_000, 80_000):
+            out = str(tmp_path / str(n))
+            df = spark.range(0, n, 1, n // 5000).select(F.format_string("2024Test.%010d", "id").alias("bibcode"), F.md5(F.col("id").cast("string")).alias("title"),
+                                       F.lit("two\nlines").alias("abstract"))
+            _csv_out(df, out)
+            most.append(max(os.path.getsize(os.path.join(out, f)) for f in os.listdir(out) if f.startswith("part-")))
+            r = RD.read_new_records(spark, out).agg(F.count("*"), F.countDistinct("bibcode"), F.countDistinct("input_index"),
+                                                    F.max("input_index"), F.min("abstract"), F.max("abstract")).first()
+            assert tuple(r) == (n, n, n, n - 1, "two\nlines", "two\nlines")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", keep)
+    assert most[1] < 1.5 * most[0]
