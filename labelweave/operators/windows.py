@@ -34,15 +34,14 @@ def window_split(ids, window: int = C.SPLITTER_WINDOW, stride: int = C.SPLITTER_
 
 def add_special_tokens(windows, cls: int = C.CLS_ID, sep: int = C.SEP_ID, pad: int = C.PAD_ID) -> Column:
     """Wrap every window in CLS/SEP; pad only the last one to the first one's width."""
-    w = _c(windows)
-    wrapped = F.transform(w, lambda x: F.concat(F.array(F.lit(cls).cast("bigint")), x,
-                                                 F.array(F.lit(sep).cast("bigint"))))
-    first_w = F.size(F.get(wrapped, 0))
-    last_i = F.size(wrapped) - 1
-    return F.transform(wrapped, lambda x, i: F.when(
-        i == last_i,
-        F.concat(x, F.array_repeat(F.lit(pad).cast("bigint"), F.greatest(F.lit(0), first_w - F.size(x)))),
-    ).otherwise(x))
+    def wrapped(ws: Column) -> Column:
+        # ws is bound once a record; spelled out, it would be built again for every window
+        def wrap(x, i):
+            short = F.when(i == F.size(ws) - 1, F.size(F.get(ws, 0)) - F.size(x))
+            return F.concat(F.array(F.lit(cls).cast("bigint")), x, F.array(F.lit(sep).cast("bigint")),
+                            F.array_repeat(F.lit(pad).cast("bigint"), F.greatest(F.lit(0), short)))
+        return F.transform(ws, wrap)
+    return F.get(F.transform(F.array(_c(windows)), wrapped), 0)
 
 
 def record_stats(rows) -> list[Column]:

@@ -30,6 +30,23 @@ def test_special_tokens_pad_last_only(spark):
     assert df.select(W.add_special_tokens("w")).first()[0] == [[101, 1, 2, 102], [101, 3, 102, 0]]
 
 
+def test_special_tokens_work_follows_the_windows(spark):
+    import time
+    df = spark.range(1).select(F.sequence(F.lit(1), F.lit(200_000)).cast("array<bigint>").alias("ids"))
+    t = time.time()
+    rows = df.select(W.add_special_tokens(W.window_split("ids", 510, 100)).alias("r")).select(
+        F.size("r"), F.size(F.get("r", 0)), F.size(F.element_at("r", -1)),
+        F.size(F.filter(F.element_at("r", -1), lambda v: v == 0))).first()
+    assert tuple(rows) == (2000, 512, 512, 410)
+    assert time.time() - t < 20  # built anew for every window: minutes
+
+
+def test_special_tokens_of_empty_and_null_windows(spark):
+    df = spark.createDataFrame([(0, [[]]), (1, []), (2, None), (3, [[1], [2, 3]]), (4, [None, [1]])], "k int, w array<array<bigint>>")
+    got = {r[0]: r[1] for r in df.select("k", W.add_special_tokens("w")).collect()}
+    assert got == {0: [[101, 102]], 1: [], 2: None, 3: [[101, 1, 102], [101, 2, 3, 102]], 4: [None, [101, 1, 102]]}
+
+
 def _probs(spark, rows):
     return spark.createDataFrame(rows, "input_index long, chunk int, probs array<double>")
 
