@@ -18,6 +18,8 @@ from __future__ import annotations
 import uuid
 from typing import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -98,8 +100,6 @@ class PandasScorer:
         self.micro_batch = micro_batch
 
     def score_windows(self, chunks: DataFrame, keys: list[str], window_col: str = "window") -> DataFrame:
-        import pandas as pd
-
         ship_package(chunks.sparkSession)
         factory, name, step = self.model_factory, self.name, self.micro_batch
         schema = chunks.select(*keys, "chunk").schema.add("probs", ArrayType(DoubleType()))
@@ -140,8 +140,8 @@ def explode_windows(df: DataFrame, keys: list[str], ids_col: str = "ids", window
 def pool_scores(chunk_probs: DataFrame, keys: list[str], how="max", n_labels: int = len(C.LABELS)) -> DataFrame:
     """Combine window scores per record.  ``how`` is 'max', 'mean'
     or a callable ``f(np.ndarray[windows, labels]) -> sequence[labels]``
-    run per record by ``applyInPandas`` (a record's windows are bounded by
-    its text length)."""
+    run per record in Python (a record's windows are bounded by its text
+    length)."""
     if callable(how):
         return custom_pool(chunk_probs, keys, how, n_labels)
     agg = F.max if how == "max" else F.avg
@@ -152,19 +152,17 @@ def pool_scores(chunk_probs: DataFrame, keys: list[str], how="max", n_labels: in
 
 
 def custom_pool(chunk_probs: DataFrame, keys: list[str], fn: Callable, n_labels: int) -> DataFrame:
-    """User combiner over one record's (windows x labels) block."""
-    import numpy as np
-    import pandas as pd
-
+    """User combiner over one record's (windows x labels) block.  Blocks
+    reach Python as arrays, many records in an Arrow batch; ``fn`` is called
+    once a record."""
     ship_package(chunk_probs.sparkSession)
-    schema = chunk_probs.select(*keys).schema.add("scores", ArrayType(DoubleType()))
-
-    def per_record(pdf: pd.DataFrame) -> pd.DataFrame:
-        block = np.array(pdf.sort_values("chunk")["probs"].tolist(), dtype=float).reshape(-1, n_labels)
-        out = pdf[keys].iloc[:1].copy()
-        out["scores"] = [list(map(float, fn(block)))]
-        return out
-    return chunk_probs.groupBy(*keys).applyInPandas(per_record, schema)
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def combined(blocks: pd.Series) -> pd.Series:
+        return pd.Series([list(map(float, fn(np.array(b, dtype=float).reshape(-1, n_labels)))) for b in blocks], dtype=object)
+    windows = F.sort_array(F.collect_list(F.struct("chunk", "probs")))
+    blocks = chunk_probs.groupBy(*keys).agg(F.flatten(F.transform(windows, lambda w: w["probs"])).alias("_block"))
+    return blocks.select(*keys, combined("_block").alias("scores"))
 
 
 def select_labels(scores, labels=C.LABELS, thresholds=None) -> Column:

@@ -74,6 +74,14 @@ def test_custom_combiner(spark):
     assert np.allclose(out["scores"], [0.2, 0.1])
 
 
+def test_custom_combiner_calls_python_once_a_batch(spark):
+    rows = [(k, c, [float(k), float(c)]) for c in (2, 0, 1) for k in range(500)] + [(None, 1, [1.0, 9.0]), (None, 0, [3.0, 4.0])]
+    out = SC.pool_scores(_probs(spark, rows).repartition(4), ["input_index"], lambda b: b[0] + b[-1], 2)
+    assert "FlatMapGroups" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r["input_index"]: r["scores"] for r in out.collect()}
+    assert got == {**{k: [2.0 * k, 2.0] for k in range(500)}, None: [4.0, 13.0]}
+
+
 def test_grouping_order_and_micro_batches(spark):
     rows = [(0, 0, 3, 2), (1, 0, 3, 1), (2, 0, 2, 5), (3, 0, 4, 1)]
     df = spark.createDataFrame(rows, "input_index long, batch_id long, max_row_width int, chunk_count int")
