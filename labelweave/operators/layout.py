@@ -5,6 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def splits(df: DataFrame) -> int:
+    """How many splits of ``spark.sql.files.maxPartitionBytes`` hold ``df``, by
+    the optimizer's size estimate; nothing is run."""
+    spark = df.sparkSession
+    split = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) // split + 1
+
+
 def spread_records(df: DataFrame, key: str) -> DataFrame:
     """Tokenizing is the CPU-heavy step.  When the input is too small to give
     every core a split of its own (by the optimizer's size estimate; nothing
@@ -13,9 +22,6 @@ def spread_records(df: DataFrame, key: str) -> DataFrame:
     and plan without further exchanges.  Larger inputs are left as read, so
     their text is never shuffled."""
     spark = df.sparkSession
-    split = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size >= spark.sparkContext.defaultParallelism * split:
+    if splits(df) > spark.sparkContext.defaultParallelism:
         return df
     return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)

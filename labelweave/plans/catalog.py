@@ -450,7 +450,7 @@ def f08(spark, d):
 # ------------------------------------------------------------ C (more) ----
 from labelweave.functions import text as T  # noqa: E402
 from labelweave.operators import windows as W  # noqa: E402
-from labelweave.operators.layout import spread_records  # noqa: E402
+from labelweave.operators.layout import splits, spread_records  # noqa: E402
 from labelweave.session import read_table  # noqa: E402
 
 
@@ -1871,17 +1871,21 @@ from labelweave.streaming import claims as CL  # noqa: E402
 from labelweave.streaming import jobs as PL  # noqa: E402
 
 
-def _write_request_files(spark, d, path: str, n_files: int = 4) -> None:
+def _write_request_files(spark, d, path: str, n_files: int = 4) -> int:
+    """Request files in input order: ``n_files`` at least, more where the input
+    has more than ``n_files`` splits.  Returns how many."""
     r = _requests_split(spark, d).select("input_index", "batch_id", "bibcode", "scix_id", "title", "abstract")
+    n_files = max(n_files, splits(r))
     r.repartitionByRange(n_files, "input_index").write.mode("overwrite").json(path)
+    return n_files
 
 
 @register("h01_stream_classify", _C13_SQL)
 def h01(spark, d):
     base = scratch_dir(spark, "h01")
-    _write_request_files(spark, d, os.path.join(base, "in"))
+    n_files = _write_request_files(spark, d, os.path.join(base, "in"))
     q = PL.start_classify_stream(spark, os.path.join(base, "in"), os.path.join(base, "out"),
-                                 os.path.join(base, "ckpt"), _scorer(spark))
+                                 os.path.join(base, "ckpt"), _scorer(spark), files_per_trigger=-(-n_files // 4))
     q.awaitTermination()
     out = spark.read.parquet(os.path.join(base, "out"))
     return out.select("input_index", *[r6(F.get(F.col("scores"), i)).alias(f"s{i}") for i in range(8)],

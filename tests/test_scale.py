@@ -108,3 +108,17 @@ def test_csv_files_do_not_grow_with_the_input(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", keep)
     assert most[1] < 1.5 * most[0]
+
+
+def test_request_files_follow_the_splits(spark, sf_small, tmp_path):
+    from labelweave.plans.catalog import _write_request_files
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert _write_request_files(spark, sf_small, str(tmp_path / "few")) == 4
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        n = _write_request_files(spark, sf_small, str(tmp_path / "many"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+    sizes = {k: [os.path.getsize(tmp_path / k / f) for f in os.listdir(tmp_path / k) if f.startswith("part-")] for k in ("few", "many")}
+    assert n > 8 and len(sizes["many"]) > 8 and max(sizes["many"]) < max(sizes["few"])
+    assert spark.read.json(str(tmp_path / "many")).count() == spark.read.json(str(tmp_path / "few")).count()
