@@ -1610,7 +1610,7 @@ def d10(spark, d):
 # ----------------------------------------------------------- A (files) ----
 import os  # noqa: E402
 
-from labelweave.session import rename_parts, scratch_dir  # noqa: E402
+from labelweave.session import cut_lineage, rename_parts, scratch_dir  # noqa: E402
 from labelweave.sources import readers as RD  # noqa: E402
 from labelweave.sources import writers as WR  # noqa: E402
 
@@ -1814,7 +1814,7 @@ def a09(spark, d):
 @register("a10_append_classified_tsv", _TSV_SQL + "select * from tsv union all select * from tsv")
 def a10(spark, d):
     path = scratch_dir(spark, "a10")
-    rows = _classified_rows(spark, d)
+    rows = cut_lineage(_classified_rows(spark, d))  # classified once for both appends
     WR.append_classified_tsv(rows, path)
     WR.append_classified_tsv(rows, path)
     return spark.read.option("sep", "\t").option("header", True).option("multiLine", True).option(

@@ -122,3 +122,15 @@ def test_request_files_follow_the_splits(spark, sf_small, tmp_path):
     sizes = {k: [os.path.getsize(tmp_path / k / f) for f in os.listdir(tmp_path / k) if f.startswith("part-")] for k in ("few", "many")}
     assert n > 8 and len(sizes["many"]) > 8 and max(sizes["many"]) < max(sizes["few"])
     assert spark.read.json(str(tmp_path / "many")).count() == spark.read.json(str(tmp_path / "few")).count()
+
+
+def test_appended_rows_are_classified_once(spark, sf_small, monkeypatch):
+    import uuid
+
+    from labelweave import config as C
+    from labelweave.plans import catalog as K
+    once = F.udf(lambda: uuid.uuid4().hex).asNondeterministic()
+    monkeypatch.setattr(K, "_classified_rows", lambda spark, d: spark.range(50).select(
+        *[once().alias(h) if h == "bibcode" else F.lit("x").alias(h) for h in C.OUTPUT_HEADER]))
+    got = [r["bibcode"] for r in K.QUERIES["a10_append_classified_tsv"](spark, sf_small).collect()]
+    assert len(got) == 100 and all(got.count(b) == 2 for b in set(got))
