@@ -134,3 +134,22 @@ def test_appended_rows_are_classified_once(spark, sf_small, monkeypatch):
         *[once().alias(h) if h == "bibcode" else F.lit("x").alias(h) for h in C.OUTPUT_HEADER]))
     got = [r["bibcode"] for r in K.QUERIES["a10_append_classified_tsv"](spark, sf_small).collect()]
     assert len(got) == 100 and all(got.count(b) == 2 for b in set(got))
+
+
+def test_classify_ids_looks_the_catalogue_up_once(spark, tmp_path):
+    from labelweave.operators import scoring as SC
+    n = spark.sparkContext.accumulator(0)
+
+    def read(x):
+        n.add(1)
+        return x
+    ids = spark.range(40).select("id", F.format_string("2024Test.%010d", "id").alias("identifier"))
+    ids.filter("id < 30").select(F.col("identifier").alias("bibcode")).write.option("header", True).csv(str(tmp_path / "ids"))
+    titles = ids.withColumn("title", F.udf(read)(F.format_string("title %d", "id")))
+    cat = titles.select(F.col("id").alias("input_index"), "identifier", "title", F.lit("stars").alias("abstract"))
+    out = SC.classify_ids(spark, str(tmp_path / "ids"), cat, str(tmp_path / "out"), SC.HashedLinearScorer(SC.default_weights(spark)))
+    rows = out.collect()
+    assert sorted(r["identifier"] for r in rows) == [f"2024Test.{i:010d}" for i in range(30)]
+    low = [float(r["minimum_collection_score"]) for r in rows if r["minimum_collection_score"]]
+    assert low == sorted(low)
+    assert 30 <= n.value <= 40
