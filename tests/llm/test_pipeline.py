@@ -9,7 +9,7 @@ from labelweave.llm import pieces, queries
 
 from .conftest import edge_rows
 from .test_dedup import brute_components, brute_print, key
-from .test_mixing_sharding import brute_copies
+from .test_mixing_sharding import brute_copies, brute_key
 
 
 def brute_pipeline(rows):
@@ -31,7 +31,7 @@ def brute_pipeline(rows):
     out = Counter()
     for r in rows:
         rate = 1.0 * sum(size.values()) * (1.0 / len(size)) / size[r[3]]
-        out[(r[0], tuple(m.encode(r[1]).tolist()))] += brute_copies(r[0], rate)
+        out[(r[0], tuple(m.encode(r[1]).tolist()))] += brute_copies(brute_key(r[0], r[1], 0), rate)
     return +out
 
 
@@ -56,7 +56,7 @@ def test_registered():
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_sql(spark, sf_small, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"create view {t} as select * from '{sf_small}/{t}.parquet'")
     rel = con.sql(queries.ORACLE[name])
     df = queries.QUERIES[name](spark, sf_small).select(*rel.columns)
