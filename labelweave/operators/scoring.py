@@ -178,8 +178,14 @@ def select_labels(scores, labels=C.LABELS, thresholds=None) -> Column:
 def score_records(df: DataFrame, keys: list[str], scorer, text_col: str = "text",
                   cfg: C.ClassifierConfig = C.DEFAULT) -> DataFrame:
     """C1 + C2 + C10 + C11: ``keys + text`` -> ``keys + scores``."""
-    df = spread_records(df.select(*keys, text_col), keys[0])
-    ids = df.select(*keys, T.token_ids(F.col(text_col)).alias("ids"))
+    texts = df.select(*keys, text_col)
+    df = spread_records(texts, keys[0])
+    if df is texts:
+        ship_package(df.sparkSession)
+        ids = T.hashed_token_ids(text_col)
+    else:  # an Arrow step hides the clustering on the key, which spares a small input two exchanges
+        ids = T.token_ids(text_col)
+    ids = df.select(*keys, ids.alias("ids"))
     chunks = explode_windows(ids, keys, "ids", cfg.window, cfg.stride, cfg.cover_tail)
     probs = scorer.score_windows(chunks, keys)
     return pool_scores(probs, keys, cfg.pooling, len(cfg.labels))

@@ -171,3 +171,38 @@ def test_weights_fallback_and_long_form_match_default(spark, sf_small):
     lf = {r[0]: r[1] for r in SC.score_records(docs, ["input_index"],
                                                SC.HashedLinearScorer(SC.weights_from_long(long))).collect()}
     assert all(np.allclose(lf[k], base[k], atol=1e-12) for k in base)
+
+
+def test_hashed_token_ids_are_the_token_ids(spark, monkeypatch):
+    """Odd texts, also when a batch is cut into steps of few bytes."""
+    import pyarrow as pa
+
+    from labelweave.functions import text as T
+    texts = ["", None, " A--b\x0bC\x0c ", "ÀÉ Éa B ß İ x", "a" * 1000 + " " + "Z", "x  y" * 9, "\U0001d11e. \x00", "...", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    rows = df.select("id", T.token_ids("text").alias("a"), T.hashed_token_ids("text").alias("b")).orderBy("id").collect()
+    assert [r["a"] for r in rows] == [r["b"] for r in rows]
+    utf8 = pa.array([t.encode() if t is not None else None for t in texts], pa.binary())
+    for step in (1, 3, 1 << 20):
+        monkeypatch.setattr(T, "_STEP_BYTES", step)
+        assert T._id_lists(utf8).to_pylist() == [r["a"] for r in rows]
+    assert T._id_lists(utf8[:0]).to_pylist() == []
+
+
+def test_scoring_hashes_words_in_batches(spark, tmp_path):
+    """An input of many splits: no token is hashed by an expression of its own,
+    and the scores are those of an input that one split holds."""
+    from labelweave.operators import scoring as SC
+    rows = [(i, None if i % 50 == 7 else " ".join(f"W{i * j % 97},é{j}" for j in range(i * 7 % 1300))) for i in range(200)]
+    spark.createDataFrame(rows, "input_index long, text string").repartition(8).write.parquet(str(tmp_path / "in"))
+    df, scorer = spark.read.parquet(str(tmp_path / "in")), SC.HashedLinearScorer(SC.default_weights(spark))
+    small = SC.score_records(df, ["input_index"], scorer).orderBy("input_index").collect()
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        large = SC.score_records(df, ["input_index"], scorer)
+        plan = large._jdf.queryExecution().executedPlan().toString()
+        assert "md5(" not in plan and plan.count("ArrowEvalPython") == 1
+        assert large.orderBy("input_index").collect() == small
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
