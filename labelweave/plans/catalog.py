@@ -493,7 +493,7 @@ def c02(spark, d):
     x = t.select("doc_id", F.posexplode(W.window_split("ids", C.SPLITTER_WINDOW, C.SPLITTER_STRIDE)).alias(
         "chunk", "w"))
     return x.select("doc_id", "chunk", F.size("w").alias("n_ids"), F.get(F.col("w"), 0).alias("first_id"),
-                    F.element_at("w", -1).alias("last_id"))
+                    F.try_element_at("w", F.lit(-1)).alias("last_id"))  # a text without words has an empty window
 
 
 @register("c03_special_tokens", "with " + O.prepared_ctes() + """

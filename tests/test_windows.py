@@ -25,6 +25,21 @@ def test_tail_loss_and_cover_tail(spark):
     assert w2[-1][-1] == 998
 
 
+def test_window_query_on_texts_without_words(spark, tmp_path):
+    """Such a text has one window without ids, as the query's SQL says."""
+    import duckdb
+
+    from labelweave.plans import catalog
+    long = " ".join(f"w{i}" for i in range(1300))
+    rows = [(0, ""), (1, "... !!"), (2, " \n"), (3, None), (4, "one"), (5, long), (None, ""), (5, "a b")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, catalog.QUERIES["c02_window_split"](spark, str(tmp_path)).collect()), key=str)
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(con.sql(catalog.ORACLE["c02_window_split"]).fetchall(), key=str)
+    assert len(got) == 12 and [r for r in got if r[0] in (0, 1, 2)] == [(i, 0, 0, None, None) for i in range(3)]
+
+
 def test_special_tokens_pad_last_only(spark):
     df = spark.createDataFrame([([[1, 2], [3]],)], "w array<array<bigint>>")
     assert df.select(W.add_special_tokens("w")).first()[0] == [[101, 1, 2, 102], [101, 3, 102, 0]]
